@@ -1,0 +1 @@
+"""Empty on purpose: every planning operator is a batch table-to-table job, none reads a stream."""
