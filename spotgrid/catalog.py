@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.operators import inventory
+from spotgrid.operators import grids, inventory
 from spotgrid.plans import calendar, context
 from spotgrid.sources.tables import BoundTables
 
@@ -57,7 +57,15 @@ INVENTORY = {
     "future_quarter_spots": lambda t: inventory.future_quarter_spots(t, UNITS),
 }
 
-GROUPS = [CALENDAR, CONTEXT, INVENTORY]
+GRIDS = {
+    "quarterly_projects": lambda t: grids.quarterly_projects(t, UNITS),
+    "quarterly_projects_grp": lambda t: grids.quarterly_projects(t, GRP),
+    "quarterly_episodes": lambda t: grids.quarterly_episodes(t, UNITS),
+    "weekly_projects": lambda t: grids.weekly_projects(t, UNITS),
+    "weekly_episode_units": lambda t: grids.weekly_episode_units(t, GRP),
+}
+
+GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

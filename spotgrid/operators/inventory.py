@@ -42,17 +42,18 @@ def plan_weeks(plan: DataFrame, cal: DataFrame, max_weeks: int | None) -> DataFr
     )
 
 
-def by_week(df: DataFrame, cal: DataFrame, value: str, *keys: str) -> DataFrame:
+def by_week(df: DataFrame, cal: DataFrame, values: list[str], *keys: str) -> DataFrame:
     """Sum a dated frame by calendar week. Days are summed first, so the week join sees few rows."""
-    daily = df.groupBy(*keys, "start_date").agg(F.sum(value).alias(value))
+    sums = [F.sum(v).alias(v) for v in values]
+    daily = df.groupBy(*keys, "start_date").agg(*sums)
     days = day_map(cal, "W").select("day", F.col("period_start").alias("week_start"))
-    return daily.join(days, F.col("start_date") == F.col("day")).groupBy(*keys, "week_start").agg(F.sum(value).alias(value))
+    return daily.join(days, F.col("start_date") == F.col("day")).groupBy(*keys, "week_start").agg(*sums)
 
 
 def quarterly_capacity(t, output_type: int = UNITS, max_weeks: int | None = None) -> DataFrame:
     """Capacity of every week on the map of every primary plan; weeks without capacity stay, empty."""
     cap = capacity_rows(t, output_type).where(F.col("plan_type") == PRIMARY_PLAN_TYPE)
-    weekly = by_week(cap, t.cal_period, "capacity", "media_outlet_id")
+    weekly = by_week(cap, t.cal_period, ["capacity"], "media_outlet_id")
     grid = plan_weeks(t.plan.where(F.col("plan_type") == PRIMARY_PLAN_TYPE), t.cal_period, max_weeks)
     return grid.join(weekly, ["media_outlet_id", "week_start"], "left").select(
         "plan_id", "week_no", "week_start", "capacity"
@@ -62,7 +63,7 @@ def quarterly_capacity(t, output_type: int = UNITS, max_weeks: int | None = None
 def weekly_use(t, output_type: int = UNITS, quarters_ahead: int = 0, max_weeks: int | None = MAP_WEEKS) -> DataFrame:
     """Launch and episode spots per map week, of the plan itself (0) or of the next quarter's plan (1), zero-filled."""
     facts = both_phases(t, "plan_id", "start_date", "planned_units", "planned_grp").withColumn("units", measure(output_type))
-    weekly = by_week(facts, t.cal_period, "units", "plan_id").withColumnRenamed("plan_id", "source_plan_id")
+    weekly = by_week(facts, t.cal_period, ["units"], "plan_id").withColumnRenamed("plan_id", "source_plan_id")
     grid = plan_weeks(t.plan, t.cal_period, max_weeks)
     if quarters_ahead:
         source = future_plan(t.plan).withColumnRenamed("future_plan_id", "source_plan_id")

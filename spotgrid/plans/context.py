@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotgrid.functions.columns import model_type
+from spotgrid.functions.columns import flight_weeks, model_type
 from spotgrid.plans.calendar import map_days, next_quarter_by_date, periods
 
 COMPLETED = "C"
@@ -73,12 +73,8 @@ def default_demo(outlet_demo: DataFrame) -> DataFrame:
     )
 
 
-def last_opt_label(members: DataFrame, plan_project: DataFrame, episode: DataFrame, model_exec: DataFrame) -> DataFrame:
-    """Label of the newest completed optimisation per map plan and project.
-
-    ``members`` holds (map_plan_id, plan_id, project_id). An episode run wins over a launch run;
-    if a project reaches a map from several plans, the newest plan decides.
-    """
+def optimised_runs(plan_project: DataFrame, episode: DataFrame, model_exec: DataFrame) -> DataFrame:
+    """Newest completed optimisation per plan and project as a struct; an episode run (phase 2) beats a launch run."""
     runs = (
         model_exec.where(F.col("exec_status_cd") == COMPLETED)
         .groupBy("plan_id", "plan_version_id").agg(F.max("exec_end_ts").alias("exec_end_ts"))
@@ -90,18 +86,36 @@ def last_opt_label(members: DataFrame, plan_project: DataFrame, episode: DataFra
             F.max("plan_version_id").alias("v"), F.max("exec_end_ts").alias("ts")
         ).withColumn("phase", F.lit(phase))
 
-    best = (
+    return (
         optimised(plan_project, 1).unionByName(optimised(episode, 2))
         .groupBy("plan_id", "project_id").agg(F.max(F.struct("phase", "v", "ts")).alias("run"))
     )
-    pick = (
-        members.select("map_plan_id", "plan_id", "project_id").distinct().join(best, ["plan_id", "project_id"])
-        .groupBy("map_plan_id", "project_id")
-        .agg(F.max(F.struct(F.col("run.phase"), F.col("plan_id"), F.col("run.v"), F.col("run.ts"))).alias("run"))
+
+
+def with_last_opt_label(rows: DataFrame, plan_project: DataFrame, episode: DataFrame, model_exec: DataFrame) -> DataFrame:
+    """Add the optimisation label to slim report rows holding (map_plan_id, plan_id, project_id).
+
+    A project that reaches one map from several plans shows one label: the episode run if any, then the newest plan's.
+    """
+    best = optimised_runs(plan_project, episode, model_exec)
+    candidate = F.when(F.col("run").isNotNull(), F.struct(
+        F.col("run.phase").alias("phase"), F.col("plan_id").alias("plan_id"), F.col("run.v").alias("v"), F.col("run.ts").alias("ts")))
+    per_project = Window.partitionBy("map_plan_id", "project_id")
+    return (
+        rows.join(best, ["plan_id", "project_id"], "left").withColumn("run", F.max(candidate).over(per_project))
+        .withColumn("last_opt_version_ts", F.concat(
+            F.lit("v"), F.col("run.v") + 1, F.lit(" "), F.date_format("run.ts", "MM/dd/yyyy hh:mm a")))
+        .drop("run")
     )
-    return pick.select(
-        "map_plan_id", "project_id",
-        F.concat(F.lit("v"), F.col("run.v") + 1, F.lit(" "), F.date_format("run.ts", "MM/dd/yyyy hh:mm a")).alias("last_opt_version_ts"),
+
+
+def last_opt_label(members: DataFrame, plan_project: DataFrame, episode: DataFrame, model_exec: DataFrame) -> DataFrame:
+    """One label per (map_plan_id, project_id) of ``members`` that was ever optimised."""
+    slim = members.select("map_plan_id", "plan_id", "project_id").distinct()
+    return (
+        with_last_opt_label(slim, plan_project, episode, model_exec)
+        .where(F.col("last_opt_version_ts").isNotNull())
+        .select("map_plan_id", "project_id", "last_opt_version_ts").distinct()
     )
 
 
@@ -176,3 +190,26 @@ def star_enrich(df: DataFrame, t, demo_col: str = "demo_id", segment_col: str =
         .join(campaign, "campaign_type_id", "left").join(event, "event_type_id", "left")
         .join(t.subevent.select("subevent_id", "subevent_name"), "subevent_id", "left")
     )
+
+
+def project_info(plan_project: DataFrame) -> DataFrame:
+    """The plan-project columns every report shows."""
+    return plan_project.select(
+        "plan_id", "plan_version_id", "project_id", "status_cd", "demo_id", "segment_id", "frequency", "campaign_goal_id",
+        "cluster_id", "phase_type", "priority", "no_of_episode", "target_grp",
+        F.col("display_seq").alias("project_display_seq"), F.col("target_reach_pct").alias("target_reach"),
+        F.col("proj_reach_pct").alias("proj_reach_percent"), F.col("proj_grp").alias("proj_planned_grp"),
+        F.nullif(F.col("episode_priority"), F.lit(0)).alias("episode_priority"),
+        F.col("on_map_premiere").alias("premiere_date"),
+        F.col("on_map_start").alias("proj_start_date"), F.col("on_map_end").alias("proj_end_date"),
+        flight_weeks(F.col("on_map_start"), F.col("on_map_end")).alias("no_of_weeks"),
+    )
+
+
+REPORT_COLUMNS = [
+    "project_name", "project_comment", "premiere_date", "proj_start_date", "proj_end_date", "demo", "type", "segment",
+    "priority", "frequency", "target_reach", "target_grp", "proj_reach_percent", "proj_planned_grp", "status", "no_of_weeks",
+    "campaign_display_seq", "project_display_seq", "network_display_seq", "scatter_imps", "project_outlet_id",
+    "media_outlet_name", "cluster_id", "cluster_name", "event_type_id", "event_name", "subevent_id", "subevent_name",
+    "phase_type", "ph_desc", "episode_priority", "no_of_episode",
+]

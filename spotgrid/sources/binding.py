@@ -252,7 +252,7 @@ VIEWS: dict[str, str] = {
                k.first_date AS on_map_start,
                k.last_date + CAST(CASE WHEN v.plan_version_id = 2 THEN k.project_id % 3 ELSE 0 END AS INT) AS on_map_end,
                k.last_date AS on_map_premiere,
-               CASE WHEN (k.project_id + v.plan_version_id) % 4 = 0 THEN NULL ELSE k.plan_id * 100 + k.project_id % 100 END AS campaign_id,
+               CASE WHEN (k.project_id + v.plan_version_id) % 4 = 0 THEN NULL ELSE k.plan_id * 10000000000 + k.project_id END AS campaign_id,
                CASE WHEN (k.project_id + v.plan_version_id) % 4 = 0 THEN NULL ELSE k.plan_id * 100000000000 + k.project_id * 10 + 1 END AS campaign_goal_id,
                CASE WHEN (k.project_id + v.plan_version_id) % 3 = 1 THEN NULL ELSE k.first_date - 35 END AS nielsen_start,
                CASE WHEN (k.project_id + v.plan_version_id) % 3 = 1 THEN NULL ELSE k.last_date - 35 END AS nielsen_end,
@@ -275,7 +275,7 @@ VIEWS: dict[str, str] = {
                CAST(k.project_id % 9 + 1 AS INT) AS priority,
                CAST((k.project_id * 5 + v.plan_version_id) % 95 AS DECIMAL(18,2)) AS proj_reach_pct,
                CAST((k.project_id * 11 + v.plan_version_id) % 400 AS DECIMAL(18,2)) AS proj_grp,
-               CASE WHEN (k.project_id + v.plan_version_id) % 5 = 0 THEN NULL ELSE k.plan_id * 100 + k.project_id % 100 END AS campaign_id,
+               CASE WHEN (k.project_id + v.plan_version_id) % 5 = 0 THEN NULL ELSE k.plan_id * 10000000000 + k.project_id END AS campaign_id,
                CASE WHEN (k.project_id + v.plan_version_id) % 5 = 0 THEN NULL
                     ELSE k.plan_id * 100000000000 + k.project_id * 10 + k.episode_id END AS campaign_goal_id,
                CASE WHEN (k.project_id + k.episode_id) % 3 = 1 THEN NULL ELSE k.first_date - 35 END AS nielsen_start,
@@ -296,20 +296,23 @@ VIEWS: dict[str, str] = {
               FROM {spot_line} WHERE l_linenumber > 4
               GROUP BY plan_id, project_id, l_linenumber, CAST(date_trunc('week', start_date) AS DATE)) w
         JOIN {plan_version} v ON w.plan_id = v.plan_id""",
+    "plan_project_spots_episode_map": """
+        SELECT plan_id, plan_version_id, project_id, episode_id, week_date, unit_count + 1 AS unit_count
+        FROM {plan_project_spots_episode}""",
     "campaign": """
-        SELECT plan_id * 100 + project_id % 100 AS campaign_id, project_id, 'Campaign ' || CAST(project_id AS STRING) AS name, plan_id
+        SELECT plan_id * 10000000000 + project_id AS campaign_id, project_id, 'Campaign ' || CAST(project_id AS STRING) AS name, plan_id
         FROM {plan_project_key}""",
     "campaign_goal": """
-        SELECT plan_id * 100000000000 + project_id * 10 + 1 AS campaign_goal_id, plan_id * 100 + project_id % 100 AS campaign_id,
+        SELECT plan_id * 100000000000 + project_id * 10 + 1 AS campaign_goal_id, plan_id * 10000000000 + project_id AS campaign_id,
                plan_id, project_id, media_outlet_id, CAST(project_id % 5 + 1 AS INT) AS demo_id,
                CAST(project_id % 12 + 1 AS INT) AS segment_id, CAST(project_id % 2 + 1 AS INT) AS frequency,
-               first_date AS start_date, last_date AS end_date, '06:00:00' AS start_time, '20:30:00' AS end_time
+               first_date AS start_date, first_date + 2 AS end_date, '06:00:00' AS start_time, '20:30:00' AS end_time
         FROM {plan_project_key}""",
     "campaign_goal_episode": """
-        SELECT plan_id * 100000000000 + project_id * 10 + episode_id AS campaign_goal_id, plan_id * 100 + project_id % 100 AS campaign_id,
+        SELECT plan_id * 100000000000 + project_id * 10 + episode_id AS campaign_goal_id, plan_id * 10000000000 + project_id AS campaign_id,
                plan_id, project_id, episode_id, media_outlet_id, CAST(project_id % 5 + 1 AS INT) AS demo_id,
                CAST(project_id % 12 + 1 AS INT) AS segment_id, CAST(project_id % 2 + 1 AS INT) AS frequency,
-               first_date AS start_date, last_date AS end_date, '06:00:00' AS start_time, '20:30:00' AS end_time
+               first_date AS start_date, first_date + 2 AS end_date, '06:00:00' AS start_time, '20:30:00' AS end_time
         FROM {episode_key}""",
     "episode_json": """
         SELECT k.plan_id, v.plan_version_id, k.project_id,
