@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.operators import grids, inventory
+from spotgrid.operators import daily, details, grids, inventory, popup
 from spotgrid.plans import calendar, context
 from spotgrid.sources.tables import BoundTables
 
@@ -65,7 +65,33 @@ GRIDS = {
     "weekly_episode_units": lambda t: grids.weekly_episode_units(t, GRP),
 }
 
-GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS]
+DAILY = {
+    "daily_primary": lambda t: daily.daily_primary(t, UNITS),
+    "daily_projects": lambda t: daily.daily_projects(t, UNITS),
+    "daily_episodes": lambda t: daily.daily_episodes(t, GRP),
+    "project_popup_grid": popup.project_popup_grid,
+    "daypart_order": popup.daypart_order,
+}
+
+COUNTED = ("plan", "campaign_goal", "campaign_goal_episode", "schedule", "schedule_episode", "plan_project", "plan_project_episode",
+           "plan_project_spots", "plan_project_spots_episode", "plan_project_spots_episode_map", "plan_version", "model_exec")
+
+DETAILS = {
+    "plan_header": lambda t: details.plan_header(t, last_legacy_period=7990),
+    "episode_rules_json": details.episode_rules_json,
+    "saved_episode_rules_json": details.saved_episode_rules_json,
+    "multi_net_flag": details.multi_net_flag,
+    "episode_details": details.episode_details,
+    "episode_timebands": details.episode_timebands,
+    "episode_header": details.episode_header,
+    "blackouts": details.blackouts,
+    "recurring_exclusions": details.recurring_exclusions,
+    "clock_offsets": details.clock_offsets,
+    "exec_report": details.exec_report,
+    "table_row_counts": lambda t: details.table_row_counts({name: getattr(t, name) for name in COUNTED}),
+}
+
+GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS, DAILY, DETAILS]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

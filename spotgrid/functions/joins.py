@@ -25,15 +25,16 @@ def join_on_period(df: DataFrame, date_col: str, cal: DataFrame, period_type: st
     return df.join(days, df[date_col] == days["day"], how).drop("day")
 
 
-def match_left_null(left: DataFrame, right: DataFrame, key: str, fallback: list[str]) -> DataFrame:
-    """Left join on ``key``; left rows without a key join on ``fallback`` instead.
+def match_left_null(left: DataFrame, right: DataFrame, key: str, fallback: list[str], shared: list[str]) -> DataFrame:
+    """Left join on ``shared`` and ``key``; left rows without a key join on ``fallback`` instead.
 
     Split on the nullness of the left key, so each half is an equi join.
     """
-    extra = [c for c in right.columns if c not in {key, *fallback}]
-    by_key = left.where(F.col(key).isNotNull()).join(right.select(key, *extra), key, "left")
-    by_fallback = left.where(F.col(key).isNull()).join(right.select(*fallback, *extra), fallback, "left")
-    return by_key.select(*left.columns, *extra).unionByName(by_fallback.select(*left.columns, *extra))
+    extra = [c for c in right.columns if c not in {key, *fallback, *shared}]
+    out = [*left.columns, *extra]
+    by_key = left.where(F.col(key).isNotNull()).join(right.select(key, *shared, *extra), [key, *shared], "left")
+    by_fallback = left.where(F.col(key).isNull()).join(right.select(*fallback, *shared, *extra), [*fallback, *shared], "left")
+    return by_key.select(*out).unionByName(by_fallback.select(*out))
 
 
 def match_right_null(left: DataFrame, right: DataFrame, key: str, fallback: str, shared: list[str]) -> DataFrame:

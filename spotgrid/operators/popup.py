@@ -1,0 +1,68 @@
+"""Project pop-up: every day and daypart of a flight, with daypart totals and day totals."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from spotgrid.operators.grids import completed_or_first_version
+from spotgrid.plans.context import LAUNCH_EPISODE
+
+# Row kinds of the pop-up.
+LAUNCH_ROW, EPISODE_ROW, DAYPART_TOTAL, DAY_TOTAL = 1, 2, 3, 4
+
+
+def flights(t) -> DataFrame:
+    """Launch and episode flights of every plan and project."""
+    cols = ["plan_id", "project_id", "media_outlet_id", "demo_id", "start_date", "end_date",
+            F.concat(F.col("end_date").cast("string"), F.lit(" "), F.col("end_time")).alias("airing_date")]
+    launch = t.campaign_goal.select(*cols, F.lit(LAUNCH_EPISODE).alias("episode_id"))
+    current = t.plan_project_episode.join(
+        completed_or_first_version(t).select("plan_id", "plan_version_id"), ["plan_id", "plan_version_id"], "left_semi"
+    ).select("plan_id", "project_id", "episode_id")
+    episodes = t.campaign_goal_episode.join(current, ["plan_id", "project_id", "episode_id"], "left_semi").select(*cols, "episode_id")
+    return launch.unionByName(episodes)
+
+
+def project_popup_grid(t) -> DataFrame:
+    """Detail rows (types 1 and 2), daypart totals (3) and day totals (4) from one pass over the detail."""
+    parts = t.daypart.where(F.col("active_yn") == "Y").select("media_outlet_id", "daypart_id", F.col("name").alias("daypart"))
+    cells = flights(t).withColumn("broadcast_date", F.explode(F.sequence("start_date", "end_date"))).join(parts, "media_outlet_id")
+    values = ["planned_units", "planned_grp"]
+    keys = ["plan_id", "project_id", "media_outlet_id", "demo_id", "daypart_id", F.col("start_date").alias("broadcast_date")]
+    spots = (
+        t.schedule.select(*keys, F.lit(LAUNCH_EPISODE).alias("episode_id"), *values)
+        .unionByName(t.schedule_episode.select(*keys, "episode_id", *values)).distinct()
+    )
+    on = ["plan_id", "project_id", "media_outlet_id", "demo_id", "daypart_id", "broadcast_date", "episode_id"]
+    detail = cells.join(spots, on, "left").select(
+        "plan_id", "project_id", "episode_id", "broadcast_date", "daypart_id", "daypart", "airing_date",
+        F.when(F.col("episode_id") == LAUNCH_EPISODE, F.lit("Launch")).otherwise(F.concat(F.lit("Episode"), F.col("episode_id"))).alias("phase"),
+        *[F.coalesce(F.col(v), F.lit(0)).cast(spots.schema[v].dataType).alias(v) for v in values])
+    sets = detail.groupingSets(
+        [[F.col("plan_id"), F.col("project_id"), F.col("broadcast_date"), F.col("episode_id"), F.col("daypart_id"), F.col("phase"), F.col("airing_date"),
+          F.col("planned_units"), F.col("planned_grp")],
+         [F.col("plan_id"), F.col("project_id"), F.col("daypart_id")],
+         [F.col("plan_id"), F.col("project_id"), F.col("broadcast_date"), F.col("episode_id")]],
+        "plan_id", "project_id", "broadcast_date", "episode_id", "daypart_id", "phase", "airing_date", "planned_units", "planned_grp",
+    ).agg(
+        F.max("daypart").alias("daypart"), F.sum("planned_units").alias("sum_units"), F.sum("planned_grp").alias("sum_grp"),
+        F.grouping("broadcast_date").alias("no_date"), F.grouping("daypart_id").alias("no_daypart"),
+    )
+    is_day, is_part = F.col("no_daypart") == 1, F.col("no_date") == 1
+    detail_units = F.when(is_day | is_part, F.col("sum_units")).otherwise(F.col("planned_units"))
+    detail_grp = F.when(is_day | is_part, F.col("sum_grp")).otherwise(F.col("planned_grp"))
+    return sets.select(
+        "plan_id", "project_id",
+        F.when(is_part, F.lit("TOTAL")).otherwise(F.col("broadcast_date").cast("string")).alias("broadcast_date"),
+        "daypart_id", F.when(~is_day, F.col("daypart")).alias("daypart"), "episode_id", "phase", "airing_date",
+        detail_units.cast("bigint").alias("planned_units"), detail_grp.cast("decimal(28,2)").alias("planned_grp"),
+        F.when(is_part, F.lit(DAYPART_TOTAL)).when(is_day, F.lit(DAY_TOTAL))
+        .when(F.col("episode_id") == LAUNCH_EPISODE, F.lit(LAUNCH_ROW)).otherwise(F.lit(EPISODE_ROW)).alias("data_type"),
+    )
+
+
+def daypart_order(t) -> DataFrame:
+    w = Window.partitionBy("media_outlet_id").orderBy("daypart_id")
+    return t.daypart.where(F.col("active_yn") == "Y").select(
+        "media_outlet_id", "daypart_id", "name", F.row_number().over(w).alias("display_seq"))

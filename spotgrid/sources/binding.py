@@ -458,6 +458,10 @@ def view_sql(name: str, engine: str) -> str:
     return CAL_DAY[engine] if name == "cal_day" else VIEWS[name]
 
 
+def takes_shuffle(sql: str) -> bool:
+    return any(word in sql for word in ("GROUP BY", "DISTINCT", "JOIN ", "UNION"))
+
+
 def with_views(sql: str) -> str:
     """The SQL check's text: ``sql`` preceded by the views it needs."""
     order: list[str] = []

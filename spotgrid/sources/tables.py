@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spotgrid.sources.binding import BASE_TABLES, referenced, view_sql
+from spotgrid.sources.binding import BASE_TABLES, referenced, takes_shuffle, view_sql
+from spotgrid.sources.shared import new_table_path
 
 
 class Tables:
@@ -41,10 +42,33 @@ class Tables:
 
 
 class BoundTables(Tables):
-    """Planning tables derived from ``<root>/{lineitem,orders,...}.parquet``."""
+    """Planning tables derived from ``<root>/{lineitem,orders,...}.parquet``.
+
+    Plain projections stay lazy over the base files. Tables that take a join or an aggregation
+    are written once per session to the shared folder, as a planning database would hold them;
+    so a report reads stored tables instead of deriving the same one several times.
+    """
+
+    _frames_of: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None,
+                 overrides: dict[str, DataFrame] | None = None):
+        super().__init__(spark, str(root), database, overrides)
+        # Opened tables are kept per application, so a table is listed and written once.
+        self._opened = self._frames_of.setdefault((spark.sparkContext.applicationId, str(root)), {})
 
     def _load(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
+
+    def _open(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.spark.read.parquet(f"{self._root}/{name}.parquet")
         sql = view_sql(name, "spark")
-        return self.spark.sql(sql, **{dep: getattr(self, dep) for dep in referenced(sql)})
+        frame = self.spark.sql(sql, **{dep: self._load(dep) for dep in referenced(sql)})
+        path = new_table_path(self.spark, name) if takes_shuffle(sql) else None
+        if path is None:
+            return frame
+        frame.write.parquet(path)
+        return self.spark.read.parquet(path)
