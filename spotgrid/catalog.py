@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.operators import daily, details, grids, inventory, popup
+from spotgrid.operators import daily, details, editable, grids, inventory, popup
 from spotgrid.plans import calendar, context
 from spotgrid.sources.tables import BoundTables
 
 AS_OF = dt.date(1998, 6, 17)
+NOON = dt.datetime(1998, 6, 17, 12)
 UNITS, GRP = 1, 2
 
 CALENDAR = {
@@ -91,7 +92,14 @@ DETAILS = {
     "table_row_counts": lambda t: details.table_row_counts({name: getattr(t, name) for name in COUNTED}),
 }
 
-GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS, DAILY, DETAILS]
+EDITABLE = {
+    "plan_grid_for_edit": lambda t: editable.plan_grid_for_edit(t, NOON, UNITS, last_unchecked=7990),
+    "plan_grid_for_edit_default_demo": lambda t: editable.plan_grid_for_edit(t, NOON, GRP, network_target="default"),
+    "episodes_optimised": lambda t: editable.episodes_optimised(t, UNITS, last_unchecked=7990),
+    "episodes_saved": lambda t: editable.episodes_saved(t, UNITS),
+}
+
+GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS, DAILY, DETAILS, EDITABLE]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
