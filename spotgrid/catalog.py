@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.operators import daily, details, editable, grids, inventory, popup
+from spotgrid.operators import choices, daily, details, distribute, editable, grids, inventory, popup, reach
 from spotgrid.plans import calendar, context
 from spotgrid.sources.tables import BoundTables
 
@@ -99,7 +99,36 @@ EDITABLE = {
     "episodes_saved": lambda t: editable.episodes_saved(t, UNITS),
 }
 
-GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS, DAILY, DETAILS, EDITABLE]
+CHOICES = {
+    "user_networks": choices.user_networks,
+    "cluster_networks": lambda t: choices.cluster_networks(t, media_outlet_id=3),
+    "frequencies": choices.frequencies,
+    "demo_types": choices.demo_types,
+    "episodic_phases": choices.episodic_phases,
+    "segment_selection": choices.segment_selection,
+    "network_config_errors": choices.network_config_errors,
+    "project_eligibility": lambda t: choices.project_eligibility(t, project_type=1),
+    "project_eligibility_events": lambda t: choices.project_eligibility(t, project_type=2),
+}
+
+
+def _overlap(t):
+    return distribute.week_overlap(reach.reach_estimates(t, AS_OF), t.cal_period)
+
+
+REACH = {
+    "flight_profile": lambda t: reach.flight_profile(t, AS_OF),
+    "select_guide": lambda t: reach.select_guide(reach.flight_profile(t, AS_OF), t),
+    "guide_limits": reach.guide_limits,
+    "reach_guide": reach.build_reach_guide,
+    "reach_brackets": lambda t: reach.reach_brackets(t, AS_OF),
+    "reach_estimates": lambda t: reach.reach_estimates(t, AS_OF),
+    "week_overlap": _overlap,
+    "distribute_proportional": lambda t: distribute.week_labels(distribute.distribute_proportional(_overlap(t))),
+    "distribute_carry": lambda t: distribute.week_labels(distribute.distribute_carry(_overlap(t))),
+}
+
+GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS, DAILY, DETAILS, EDITABLE, CHOICES, REACH]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -314,8 +314,8 @@ VIEWS: dict[str, str] = {
                CAST(project_id % 12 + 1 AS INT) AS segment_id, CAST(project_id % 2 + 1 AS INT) AS frequency,
                first_date AS start_date, first_date + 2 AS end_date, '06:00:00' AS start_time, '20:30:00' AS end_time
         FROM {episode_key}""",
-    "episode_json": """
-        SELECT k.plan_id, v.plan_version_id, k.project_id,
+    "stg_episode_json": """
+        SELECT k.plan_id AS uid, k.project_id,
                '[{{"PROJECT_ID":' || CAST(k.project_id AS STRING) || ',"EPISODE_NUM":2,"TARGET_GRP":' || CAST(k.project_id % 50 AS STRING)
                || ',"TARGET_SPOT":' || CAST(k.project_id % 30 AS STRING) || ',"START_TS":"' || CAST(k.first_date AS STRING)
                || '","END_TS":"' || CAST(k.last_date AS STRING) || '","EPISODE_START_TS":"' || CAST(k.last_date AS STRING) || ' 20:00:00","chkSelectRow":true}},'
@@ -323,7 +323,10 @@ VIEWS: dict[str, str] = {
                || CAST(k.project_id % 70 AS STRING) || ',"START_TS":"' || CAST(k.first_date + 3 AS STRING)
                || '","END_TS":"' || CAST(k.last_date + 3 AS STRING) || '","EPISODE_START_TS":"' || CAST(k.last_date AS STRING) || ' 21:30:00","chkSelectRow":'
                || CASE WHEN k.project_id % 2 = 0 THEN 'true' ELSE 'false' END || '}}]' AS episode_dtl_json
-        FROM {plan_project_key} k JOIN {plan_version} v ON k.plan_id = v.plan_id""",
+        FROM {plan_project_key} k""",
+    "episode_json": """
+        SELECT s.uid AS plan_id, v.plan_version_id, s.project_id, s.episode_dtl_json
+        FROM {stg_episode_json} s JOIN {plan_version} v ON s.uid = v.plan_id""",
     # --- capacity ----------------------------------------------------------------
     "capacity": """
         SELECT o_orderkey + 1 AS capacity_id, plan_type, media_outlet_id, CAST(media_outlet_id * 10 + o_orderkey % 7 + 1 AS INT) AS daypart_id,
@@ -361,7 +364,9 @@ VIEWS: dict[str, str] = {
                      CASE WHEN l_linenumber % 2 = 0 THEN DATE '1995-01-02' ELSE DATE '1995-02-06' END AS start_date
               FROM {spot_line}) x""",
     "reach_request": """
-        SELECT k.plan_id AS call_id, k.project_id, k.media_outlet_id, k.media_outlet_id % 5 + 1 AS demo_id,
+        SELECT k.plan_id AS call_id, k.project_id,
+               CASE WHEN k.project_id % 7 = 0 THEN k.media_outlet_id % 25 + 1 ELSE k.media_outlet_id END AS media_outlet_id,
+               CASE WHEN k.project_id % 7 = 0 THEN (k.media_outlet_id % 25 + 1) % 5 + 1 ELSE k.media_outlet_id % 5 + 1 END AS demo_id,
                CASE WHEN k.project_id % 8 = 0 THEN NULL ELSE CAST(k.project_id % 12 + 1 AS INT) END AS segment_id,
                CAST(k.project_id % 2 + 1 AS INT) AS frequency,
                CASE CAST((k.project_id + k.plan_id) % 6 AS INT) WHEN 0 THEN 'R' WHEN 1 THEN 'G' WHEN 2 THEN 'S' WHEN 3 THEN 'ER' WHEN 4 THEN 'EG' ELSE 'ES' END AS calc_based_on,
