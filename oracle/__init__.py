@@ -9,7 +9,7 @@ import importlib
 
 from spotgrid.sources.binding import with_views
 
-MODULES = ("calendar", "context", "inventory", "reports", "daily", "details", "editable", "choices", "reach")
+MODULES = ("calendar", "context", "inventory", "reports", "daily", "details", "editable", "choices", "reach", "save", "prepare")
 
 
 def oracle_sql() -> dict[str, str]:

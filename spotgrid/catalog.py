@@ -8,12 +8,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.operators import choices, daily, details, distribute, editable, grids, inventory, popup, reach
+from spotgrid.operators import (
+    choices,
+    daily,
+    details,
+    distribute,
+    editable,
+    grids,
+    ingest,
+    inventory,
+    popup,
+    prepare,
+    reach,
+    save,
+    validate,
+)
 from spotgrid.plans import calendar, context
 from spotgrid.sources.tables import BoundTables
 
 AS_OF = dt.date(1998, 6, 17)
 NOON = dt.datetime(1998, 6, 17, 12)
+LAST_MEASURED = dt.date(1998, 5, 13)
 UNITS, GRP = 1, 2
 
 CALENDAR = {
@@ -128,7 +143,48 @@ REACH = {
     "distribute_carry": lambda t: distribute.week_labels(distribute.distribute_carry(_overlap(t))),
 }
 
-GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS, DAILY, DETAILS, EDITABLE, CHOICES, REACH]
+SAVE = {
+    "resolve_plan": save.resolve_plan,
+    "decide_version": save.decide_version,
+    "saved_plans": lambda t: save.saved_plans(t, NOON),
+    "saved_versions": save.saved_versions,
+    "carry_forward_results": lambda t: save.carry_forward_results(save.staged_projects(t, NOON), t),
+    "freeze_optimize_flag": lambda t: save.freeze_optimize_flag(save.staged_projects(t, NOON), NOON),
+    "upsert_plan_projects": lambda t: save.upsert_plan_projects(t, NOON),
+    "upsert_spots": save.upsert_spots,
+    "propagate_targets": save.propagate_targets,
+    "removed_projects": save.removed_projects,
+    "removed_episode_projects": save.removed_episode_projects,
+    "cascade_schedule_episode": lambda t: save.cascade_remove(t)["schedule_episode"],
+    "cascade_project_reach": lambda t: save.cascade_remove(t)["project_reach"],
+    "cascade_campaign_goal": lambda t: save.cascade_remove(t)["campaign_goal"],
+    "cascade_campaign_goal_episode": lambda t: save.cascade_remove(t)["campaign_goal_episode"],
+    "audit_events": lambda t: save.audit_events(t, NOON),
+    "store_episode_json": save.store_episode_json,
+    "flatten_episode_json": lambda t: save.flatten_episode_json(t.episode_json),
+    "insert_episodes": lambda t: save.insert_episodes(t, NOON),
+    "episode_spots": save.episode_spots,
+    "upsert_episode_map": save.upsert_episode_map,
+}
+
+PREPARE = {
+    "new_exec_requests": lambda t: prepare.new_exec_requests(t, NOON),
+    "linked_versions": lambda t: prepare.linked_versions(t, NOON),
+    "submitted_plans": lambda t: prepare.submitted_plans(t, NOON),
+    "measurement_window_projects": lambda t: prepare.measurement_window_projects(t, LAST_MEASURED),
+    "measurement_window_episodes": lambda t: prepare.measurement_window_episodes(t, LAST_MEASURED),
+    "backfill_projects": prepare.backfill_projects,
+    "backfill_episodes": prepare.backfill_episodes,
+    "mark_in_progress": prepare.mark_in_progress,
+    "expand_model_params": lambda t: prepare.expand_model_params(t, NOON),
+    "expand_model_params_forced": lambda t: prepare.expand_model_params(t, NOON, forced={27: 20}),
+    "project_week_caps": validate.project_week_caps,
+    "daily_cap_check": validate.daily_cap_check,
+    "daily_cap_check_episode": validate.daily_cap_check_episode,
+    "explode_capacity_json": lambda t: ingest.explode_capacity_json(t, AS_OF),
+}
+
+GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS, DAILY, DETAILS, EDITABLE, CHOICES, REACH, SAVE, PREPARE]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -26,17 +26,15 @@ def flight_profile(t, as_of: dt.date) -> DataFrame:
     Flights that ended before the current week leave. A project of another network has its
     segment looked up again by bit mask.
     """
-    now = periods(t.cal_period, "W").where(F.lit(as_of).between(F.col("start_date"), F.col("end_date")))
-    # The current week is one calendar row; carried as a column by a join on the week's own type.
-    cur = now.select(F.col("start_date").alias("cur_week_start"), F.lit("W").alias("_w"))
+    week = periods(t.cal_period, "W").where(F.lit(as_of).between(F.col("start_date"), F.col("end_date")))
+    current_week_start = week.select("start_date").scalar()
     project = t.project.select("project_id", F.col("media_outlet_id").alias("project_outlet_id"), "target_segment")
     by_mask = t.segment.groupBy(F.col("mask").alias("wanted_segment")).agg(F.min("segment_id").alias("masked_segment_id"))
     days = F.datediff("flight_end", "flight_start") + 1
     return (
         t.reach_request.withColumnRenamed("segment_id", "asked_segment").join(project, "project_id")
         .withColumn("wanted_segment", F.coalesce("asked_segment", "target_segment").cast("bigint"))
-        .join(by_mask, "wanted_segment", "left").withColumn("_w", F.lit("W")).join(cur, "_w")
-        .where(F.col("flight_end") >= F.col("cur_week_start"))
+        .join(by_mask, "wanted_segment", "left").where(F.col("flight_end") >= current_week_start)
         .withColumns({
             "segment_id": F.when(F.col("project_outlet_id") != F.col("media_outlet_id"), F.col("masked_segment_id"))
             .otherwise(F.col("wanted_segment").cast("int")),
