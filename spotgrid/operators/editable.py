@@ -13,6 +13,7 @@ from spotgrid.operators.grids import LONG_CLOCK, map_plans
 from spotgrid.operators.inventory import by_week
 from spotgrid.plans.calendar import MAP_WEEKS, map_days, quarter_weeks, week_number
 from spotgrid.plans.context import LIVE_VERSION, default_demo, latest_model_version, latest_version, plan_context, with_last_opt_label
+from spotgrid.sources.shared import stage
 
 # Status codes and the last quarter id whose spots ignore project status.
 OPTIMISED_STATUS = (9, 10)
@@ -27,6 +28,19 @@ def map_week_labels(t, max_weeks: int | None) -> DataFrame:
     return map_plans(t).join(weeks, F.col("map_period_id") == F.col("period_id")).drop("period_id")
 
 
+def with_daily_spots(t):
+    """The same tables with both schedules summed per day and written once.
+
+    The editable map asks the schedules seven different questions; each then reads day sums, not spots.
+    """
+    keys = ["plan_id", "plan_version_id", "media_outlet_id", "project_id", "campaign_goal_id", "start_date"]
+    sums = [F.sum("planned_units").alias("planned_units"), F.sum("planned_grp").alias("planned_grp")]
+    return t.replace(
+        schedule=stage(t.spark, t.schedule.groupBy(*keys).agg(*sums), "launch_days"),
+        schedule_episode=stage(t.spark, t.schedule_episode.groupBy(*keys, "episode_id").agg(*sums), "episode_days"),
+    )
+
+
 def live(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("plan_version_id") == LIVE_VERSION)
 
@@ -117,6 +131,7 @@ def episode_output(grid: DataFrame) -> DataFrame:
 
 def episodes_optimised(t, output_type: int = UNITS, last_unchecked: int = LAST_UNCHECKED_PERIOD) -> DataFrame:
     """Episode by week: optimised episodes from the schedule, the others from manual entries."""
+    t = with_daily_spots(t)
     keys, label = ["project_id", "episode_id"], "episode_week_label"
     newest = t.plan_project_episode.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
     checked = status_checked(newest, t, last_unchecked).select("plan_id", *keys).distinct()
@@ -131,6 +146,7 @@ def episodes_optimised(t, output_type: int = UNITS, last_unchecked: int = LAST_U
 
 def episodes_saved(t, output_type: int = UNITS) -> DataFrame:
     """Episode by week from the saved entries of the newest version, and other plans' schedule."""
+    t = with_daily_spots(t)
     keys, label = ["project_id", "episode_id"], "episode_week_label"
     saved = t.plan_project_spots_episode_map.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
     manual = manual_amounts(saved, t, None, keys, label)
@@ -210,7 +226,12 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, last_unc
 
     ``network_target`` is the client variant: show the project's audience, or the outlet's ``default`` one.
     """
-    members = with_last_opt_label(edit_members(t), t.plan_project, t.plan_project_episode, t.model_exec)
+    t = with_daily_spots(t)
+    slim = stage(t.spark, edit_members(t).join(
+        t.plan_project.select("plan_id", "plan_version_id", "project_id", "campaign_goal_id"), ["plan_id", "plan_version_id", "project_id"]
+    ).join(t.plan.select(F.col("plan_id").alias("map_plan_id"), F.coalesce("plan_status_id", F.lit(0)).alias("plan_status_id")), "map_plan_id"),
+        "edit_members")
+    members = with_last_opt_label(slim.drop("campaign_goal_id", "plan_status_id"), t.plan_project, t.plan_project_episode, t.model_exec)
     pp = t.plan_project.select(
         "plan_id", "plan_version_id", "project_id", "campaign_goal_id", "status_cd", "optimize_yn", "is_dirty", "display_seq", "priority",
         "episode_priority", "no_of_episode", "phase_type", "cluster_id", "segment_id", "demo_id", "frequency",
@@ -278,6 +299,13 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, last_unc
             "last_opt_version_ts", "network_target_demo_id", "network_target_demo_name", "network_display_seq", "cluster_id", "cluster_name")
     )
     for_complete, for_open = weekly_amounts(t, output_type, last_unchecked)
-    complete = match_right_null(rows.where(plan_status == COMPLETE_PLAN), for_complete, "campaign_goal_id", "project_id", ["map_plan_id"])
-    still_open = rows.where(plan_status != COMPLETE_PLAN).join(for_open, ["map_plan_id", "project_id"], "left")
-    return complete.unionByName(still_open).withColumnRenamed("week_label", "week").distinct()
+    # Weeks are matched on slim keys; the wide rows join once, at the end.
+    by_row = ["map_plan_id", "plan_id", "project_id"]
+    done = slim.where(plan_status == COMPLETE_PLAN).select(*by_row, "campaign_goal_id")
+    still_open = slim.where(plan_status != COMPLETE_PLAN).select(*by_row)
+    weeks = ["week_start", "week_label", "units"]
+    cells = (
+        match_right_null(done, for_complete, "campaign_goal_id", "project_id", ["map_plan_id"]).select(*by_row, *weeks)
+        .unionByName(still_open.join(for_open, ["map_plan_id", "project_id"], "left").select(*by_row, *weeks)).distinct()
+    )
+    return rows.join(cells, by_row).withColumnRenamed("week_label", "week")

@@ -22,6 +22,7 @@ from spotgrid.plans.context import (
     star_enrich,
     with_last_opt_label,
 )
+from spotgrid.sources.shared import stage
 
 LONG_CLOCK = "MM/dd/yyyy hh:mm:ss a"
 
@@ -135,8 +136,19 @@ def weekly_episode_units(t, output_type: int = UNITS) -> DataFrame:
     return episode_rows(t, "D", output_type).withColumnRenamed("slice_start", "week_date")
 
 
+def with_daily_spots(t):
+    """The same tables with both schedules summed per day and written once; the weekly map reads them seven times."""
+    keys = ["plan_id", "plan_version_id", "active_yn", "media_outlet_id", "project_id", "start_date", "end_date"]
+    sums = [F.sum("planned_units").alias("planned_units"), F.sum("planned_grp").alias("planned_grp")]
+    return t.replace(
+        schedule=stage(t.spark, t.schedule.groupBy(*keys, "campaign_goal_id").agg(*sums), "launch_days"),
+        schedule_episode=stage(t.spark, t.schedule_episode.groupBy(*keys).agg(*sums), "episode_days"),
+    )
+
+
 def weekly_projects(t, output_type: int = UNITS) -> DataFrame:
     """Projects of every map and week: own launch spots, own episode-only projects, and earlier plans' projects."""
+    t = with_daily_spots(t)
     week_of = day_map(t.cal_period, "W").select(F.col("day").alias("start_date"), F.col("period_start").alias("week_start"))
     info = project_info(t.plan_project)
     planned = info.where(F.col("status_cd") != IN_PROGRESS_STATUS)

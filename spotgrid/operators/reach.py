@@ -87,19 +87,22 @@ def build_reach_guide(t, wanted: DataFrame | None = None) -> DataFrame:
     universe = t.demo.select(F.col("demo_id").alias("target_demo_id"), F.col("universe").alias("audience"))
     parts = t.segment_component.select("segment_id", F.col("component_segment_id").alias("part_id"))
     detail = t.reach_detail.withColumnRenamed("segment_id", "part_id")
+    on = ["part_id"]
     if wanted is not None:
         parts = wanted.select("reach_id", "segment_id").distinct().join(parts, "segment_id")
-        detail = detail.join(parts, ["reach_id", "part_id"])
-    else:
-        detail = detail.join(parts, "part_id")
+        on = ["reach_id", "part_id"]
     key = ["reach_id", "segment_id", "week_count", "unit_count"]
-    per_window = detail.where(F.col("frequency") == 1).groupBy(*key, "start_date").agg(F.sum("impressions").alias("imps"))
-    rating = (F.round(F.col("imps").cast("decimal(20,0)"), 0) * 100).cast("decimal(23,0)") / F.col("audience").cast("decimal(14,0)")
+    # Windows are summed per component first, so the spread over segments sees one row per curve point.
+    per_part = detail.groupBy("reach_id", "part_id", "week_count", "unit_count", "frequency").agg(
+        F.sum("reach").alias("reach"), F.sum("universe").alias("universe"), F.sum("cov_grp").alias("cov"), F.count(F.lit(1)).alias("n"))
+    share = (F.sum("reach") * 100).cast("decimal(23,0)") / F.sum("universe").cast("decimal(14,0)")
+    coverage = F.sum("cov").cast("decimal(23,2)") / F.sum("n").cast("decimal(12,0)")
+    curve = per_part.join(parts, on).groupBy(*key, "frequency").agg(
+        F.round(share, 2).cast(NUM).alias("reach_pct"), F.round(coverage, 0).cast(NUM).alias("cov_grp"))
+    per_window = detail.where(F.col("frequency") == 1).join(parts, on).groupBy(*key, "start_date").agg(F.sum("impressions").alias("imps"))
+    rating = (F.col("imps") * 100).cast("decimal(23,0)") / F.col("audience").cast("decimal(14,0)")
     points = per_window.join(header, "reach_id").join(universe, "target_demo_id").groupBy(*key).agg(
         F.max(F.round(rating, 2)).cast(NUM).alias("grp"))
-    share = (F.sum("reach") * 100).cast("decimal(23,0)") / F.sum("universe").cast("decimal(14,0)")
-    curve = detail.groupBy(*key, "frequency").agg(
-        F.round(share, 2).cast(NUM).alias("reach_pct"), F.round(F.avg("cov_grp"), 0).cast(NUM).alias("cov_grp"))
     return curve.join(points, key).select("reach_id", "segment_id", "week_count", "frequency", "unit_count", "reach_pct", "cov_grp", "grp")
 
 

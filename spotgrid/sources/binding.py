@@ -398,7 +398,7 @@ VIEWS: dict[str, str] = {
                CAST(project_id % 2 + 1 AS INT) AS frequency, CAST(project_id % 5 + 1 AS INT) AS demo_id,
                first_date AS on_map_start, last_date AS on_map_end, CAST(project_id % 3 + 1 AS INT) AS phase_type,
                CAST(project_id % 5 AS INT) AS episode_priority
-        FROM {plan_project_key} WHERE first_date < last_date""",
+        FROM {plan_project_key} WHERE day(first_date) <= 24""",
     "stg_spots": """
         SELECT plan_id AS uid, project_id, CAST(date_trunc('week', start_date) AS DATE) AS week_date,
                CAST(sum(planned_units) AS BIGINT) AS unit_count

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
@@ -30,3 +30,16 @@ def shared_folder(spark: SparkSession) -> str | None:
 def new_table_path(spark: SparkSession, name: str) -> str | None:
     root = shared_folder(spark)
     return None if root is None else f"{root}/spotgrid/{spark.sparkContext.applicationId}/{uuid.uuid4().hex[:8]}/{name}"
+
+
+def stage(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several steps read to the shared folder, and read it back.
+
+    A written table cuts the lineage and outlives lost executors. Without a shared folder the
+    frame stays lazy and is computed where it is used.
+    """
+    path = new_table_path(spark, name)
+    if path is None:
+        return frame
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
