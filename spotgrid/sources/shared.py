@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str | None:
     Where it is unset, a local-mode session (tests, one machine) gets its own temporary
     folder; on a cluster there is none, and callers keep their frames lazy.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
