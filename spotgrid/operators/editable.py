@@ -11,8 +11,16 @@ from spotgrid.functions.columns import UNITS, flight_weeks, measure, own_network
 from spotgrid.functions.joins import match_left_null, match_right_null
 from spotgrid.operators.grids import LONG_CLOCK, map_plans
 from spotgrid.operators.inventory import by_week
-from spotgrid.plans.calendar import MAP_WEEKS, map_days, quarter_weeks, week_number
-from spotgrid.plans.context import LIVE_VERSION, default_demo, latest_model_version, latest_version, plan_context, with_last_opt_label
+from spotgrid.plans.calendar import MAP_WEEKS, quarter_weeks, week_number
+from spotgrid.plans.context import (
+    LIVE_VERSION,
+    default_demo,
+    latest_model_version,
+    latest_version,
+    on_map_periods,
+    plan_context,
+    with_last_opt_label,
+)
 from spotgrid.sources.shared import stage
 
 # Status codes and the last quarter id whose spots ignore project status.
@@ -23,7 +31,7 @@ NO_COLOUR_CHANGE = dt.datetime(1990, 1, 1)
 
 
 def map_week_labels(t, max_weeks: int | None) -> DataFrame:
-    """(map plan, week) with both labels."""
+    """(map plan, week) with both labels: a few dozen rows per plan."""
     weeks = week_number(quarter_weeks(t.cal_period, max_weeks=max_weeks)).drop("fiscal_qtr", "week_end", "week_no")
     return map_plans(t).join(weeks, F.col("map_period_id") == F.col("period_id")).drop("period_id")
 
@@ -45,30 +53,31 @@ def live(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("plan_version_id") == LIVE_VERSION)
 
 
-def shown_on(rows: DataFrame, t, n_quarters: int) -> DataFrame:
-    """Match dated rows with (media_outlet_id, plan_type) to every map of that outlet and type that shows the day."""
-    days = map_days(t.cal_period, n_quarters).select(F.col("day").alias("start_date"), F.col("period_id").alias("map_period_id"))
+def to_maps(rows: DataFrame, t) -> DataFrame:
+    """Turn (plan_id, map_period_id) rows into rows of the map of that quarter, for the plan's outlet and type."""
     target = map_plans(t).select("map_plan_id", F.col("map_outlet_id").alias("media_outlet_id"),
                                  F.col("map_plan_type").alias("plan_type"), "map_period_id")
-    return rows.join(days, "start_date").join(target, ["media_outlet_id", "plan_type", "map_period_id"]).drop("map_period_id")
-
-
-def outlet_and_type(t) -> DataFrame:
-    return t.plan.select("plan_id", "media_outlet_id", "plan_type")
+    owner = t.plan.select("plan_id", "media_outlet_id", "plan_type")
+    return rows.join(owner, "plan_id").join(target, ["media_outlet_id", "plan_type", "map_period_id"]).drop(
+        "media_outlet_id", "plan_type", "map_period_id")
 
 
 def scheduled_goals(facts: DataFrame, goals: DataFrame, t, n_quarters: int, more: list[str]) -> DataFrame:
     """Goals of any plan version that have spots inside a map's window."""
-    days = facts.select("campaign_goal_id", *more, "start_date").distinct()
+    seen = on_map_periods(facts, t.cal_period, n_quarters, ["campaign_goal_id", *more])
     owners = goals.where(F.col("campaign_goal_id").isNotNull()).select("plan_id", "campaign_goal_id", *more).distinct()
-    dated = days.join(owners, ["campaign_goal_id", *more]).join(outlet_and_type(t), "plan_id")
-    return shown_on(dated, t, n_quarters).select("map_plan_id", "campaign_goal_id").distinct()
+    return to_maps(seen.join(owners, ["campaign_goal_id", *more]), t).select("map_plan_id", "campaign_goal_id").distinct()
+
+
+def weekly_live(facts: DataFrame, t, output_type: int, keys: list[str]) -> DataFrame:
+    """Live week sums. Every caller groups alike, so one shuffle serves them all."""
+    return by_week(live(facts).withColumn("units", measure(output_type)), t.cal_period, ["units"], "plan_id", "media_outlet_id", *keys)
 
 
 def other_plan_amounts(facts: DataFrame, t, output_type: int, max_weeks: int | None, keys: list[str],
                        label: str, starts_by_quarter_end: bool = False) -> DataFrame:
     """Weekly live spots of all other plans of the outlet, for projects of the map's type."""
-    weekly = by_week(live(facts).withColumn("units", measure(output_type)), t.cal_period, ["units"], "plan_id", "media_outlet_id", *keys)
+    weekly = weekly_live(facts, t, output_type, keys)
     typed = t.project.select("project_id", F.col("project_type").alias("plan_type"), F.col("start_date").alias("project_start"))
     maps = map_week_labels(t, max_weeks).select(
         "map_plan_id", F.col("map_outlet_id").alias("media_outlet_id"), F.col("map_plan_type").alias("plan_type"), "map_period_id",
@@ -82,11 +91,10 @@ def other_plan_amounts(facts: DataFrame, t, output_type: int, max_weeks: int | N
 
 def own_amounts(facts: DataFrame, members: DataFrame, t, output_type: int, max_weeks: int | None, keys: list[str], label: str) -> DataFrame:
     """Weekly live spots of the map's own plan, for the given member rows."""
-    weekly = by_week(live(facts).withColumn("units", measure(output_type)), t.cal_period, ["units"], "plan_id", *keys)
-    member_keys = [c for c in members.columns if c != "plan_id"]
+    weekly = weekly_live(facts, t, output_type, keys)
     weeks = map_week_labels(t, max_weeks).select(F.col("map_plan_id").alias("plan_id"), "week_start", label)
-    return weekly.join(members, ["plan_id", *member_keys], "left_semi").join(weeks, ["plan_id", "week_start"]).select(
-        F.col("plan_id").alias("map_plan_id"), *keys, "week_start", label, "units")
+    return weekly.join(members, members.columns, "left_semi").join(weeks, ["plan_id", "week_start"]).groupBy(
+        F.col("plan_id").alias("map_plan_id"), *keys, "week_start", label).agg(F.sum("units").alias("units"))
 
 
 def manual_amounts(spots: DataFrame, t, max_weeks: int | None, keys: list[str], label: str) -> DataFrame:
@@ -110,8 +118,8 @@ def episode_members(t) -> DataFrame:
     cols = ["episode_id", "project_id", "campaign_goal_id", "plan_id", "episode_start_ts", "on_map_start", "on_map_end"]
     own = t.plan_project_episode.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi").select(
         F.col("plan_id").alias("map_plan_id"), *cols)
-    on_air = shown_on(live(t.schedule_episode).select("plan_id", "project_id", "episode_id", "start_date").distinct().join(outlet_and_type(t), "plan_id"), t, 2)
-    on_air = on_air.where(F.col("plan_id") != F.col("map_plan_id")).select("map_plan_id", "plan_id", "project_id", "episode_id").distinct()
+    on_air = to_maps(on_map_periods(live(t.schedule_episode), t.cal_period, 2, ["plan_id", "project_id", "episode_id"]), t).where(
+        F.col("plan_id") != F.col("map_plan_id"))
     goals = scheduled_goals(t.schedule_episode, t.plan_project_episode, t, 2, ["episode_id"])
     run = t.plan_project_episode.join(latest_model_version(t.plan, t.model_exec), ["plan_id", "plan_version_id"], "left_semi")
     other = (
@@ -167,15 +175,15 @@ def edit_members(t) -> DataFrame:
     run_projects = t.plan_project.join(run, ["plan_id", "plan_version_id"], "left_semi").select(
         "plan_id", "plan_version_id", "project_id", "campaign_goal_id")
 
-    on_air = shown_on(live(t.schedule).select("plan_id", "project_id", "start_date").distinct().join(outlet_and_type(t), "plan_id"), t, 1)
-    on_air = on_air.where(F.col("plan_id") != F.col("map_plan_id")).select("map_plan_id", "plan_id", "project_id").distinct()
+    on_air = to_maps(on_map_periods(live(t.schedule), t.cal_period, 1, ["plan_id", "project_id"]), t).where(F.col("plan_id") != F.col("map_plan_id"))
     launch_goals = scheduled_goals(t.schedule, t.plan_project, t, 1, [])
     past_launch = on_air.join(run_projects, ["plan_id", "project_id"]).join(
         launch_goals, ["map_plan_id", "campaign_goal_id"], "left_semi").select(*keys)
 
-    scheduled = shown_on(
-        t.schedule.select("plan_id", "project_id", "media_outlet_id", "start_date").distinct()
-        .join(outlet_and_type(t), ["plan_id", "media_outlet_id"]), t, 1).select("map_plan_id", "project_id").distinct()
+    own_outlet = t.plan.select("plan_id", "media_outlet_id")
+    scheduled = to_maps(
+        on_map_periods(t.schedule, t.cal_period, 1, ["plan_id", "project_id", "media_outlet_id"])
+        .join(own_outlet, ["plan_id", "media_outlet_id"], "left_semi").drop("media_outlet_id"), t).select("map_plan_id", "project_id").distinct()
     episode_goals = scheduled_goals(t.schedule_episode, t.plan_project_episode, t, 1, [])
     run_episodes = t.plan_project_episode.select("plan_id", "plan_version_id", "project_id", "campaign_goal_id").join(
         run_projects.drop("campaign_goal_id"), ["plan_id", "plan_version_id", "project_id"], "left_semi")

@@ -103,13 +103,11 @@ def quarterly_projects(t, output_type: int = UNITS) -> DataFrame:
 def episode_rows(t, period_type: str, output_type: int) -> DataFrame:
     """Live episode spots by calendar slice and plan, matched to the map of the slice's quarter."""
     live = t.schedule_episode.where(F.col("plan_version_id") == LIVE_VERSION)
-    daily = live.groupBy("plan_id", "media_outlet_id", "project_id", "episode_id", "start_date").agg(
-        F.sum(measure(output_type)).alias("planned_units"))
     slices = day_map(t.cal_period, period_type).select("day", "fiscal_qtr", F.col("period_start").alias("slice_start"))
     quarters = t.cal_period.where(F.col("period_type") == "Q").select(F.col("name").alias("fiscal_qtr"), F.col("period_id").alias("map_period_id"))
-    summed = daily.join(slices, F.col("start_date") == F.col("day")).groupBy(
+    summed = live.join(slices, F.col("start_date") == F.col("day")).groupBy(
         "plan_id", "media_outlet_id", "project_id", "episode_id", "slice_start", "fiscal_qtr"
-    ).agg(F.sum("planned_units").alias("planned_units"))
+    ).agg(F.sum(measure(output_type)).alias("planned_units"))
     typed = t.plan.select("plan_id", F.col("plan_type").alias("map_plan_type"))
     versions = typed.select("plan_id").join(
         latest_version(t.plan_version).withColumnRenamed("plan_version_id", "own_version"), "plan_id", "left"

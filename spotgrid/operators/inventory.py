@@ -43,11 +43,12 @@ def plan_weeks(plan: DataFrame, cal: DataFrame, max_weeks: int | None) -> DataFr
 
 
 def by_week(df: DataFrame, cal: DataFrame, values: list[str], *keys: str) -> DataFrame:
-    """Sum a dated frame by calendar week. Days are summed first, so the week join sees few rows."""
-    sums = [F.sum(v).alias(v) for v in values]
-    daily = df.groupBy(*keys, "start_date").agg(*sums)
-    days = day_map(cal, "W").select("day", F.col("period_start").alias("week_start"))
-    return daily.join(days, F.col("start_date") == F.col("day")).groupBy(*keys, "week_start").agg(*sums)
+    """Sum a dated frame by calendar week.
+
+    The day lookup is bounded by the calendar and is joined first, so the facts shuffle once, as week sums.
+    """
+    days = day_map(cal, "W").select(F.col("day").alias("start_date"), F.col("period_start").alias("week_start"))
+    return df.join(days, "start_date").groupBy(*keys, "week_start").agg(*[F.sum(v).alias(v) for v in values])
 
 
 def quarterly_capacity(t, output_type: int = UNITS, max_weeks: int | None = None) -> DataFrame:

@@ -119,23 +119,29 @@ def last_opt_label(members: DataFrame, plan_project: DataFrame, episode: DataFra
     )
 
 
+def on_map_periods(facts: DataFrame, cal: DataFrame, n_quarters: int, keys: list[str]) -> DataFrame:
+    """Distinct keys of dated facts per map quarter that shows them.
+
+    Only the calendar is joined to the facts; what shuffles is one row per key and quarter.
+    """
+    days = map_days(cal, n_quarters).select(F.col("day").alias("start_date"), "week_start", F.col("period_id").alias("map_period_id"))
+    return facts.join(days, "start_date").select(*keys, "map_period_id").distinct()
+
+
 def carry_over_rows(facts: DataFrame, plan: DataFrame, cal: DataFrame, n_quarters: int, window: str) -> DataFrame:
     """Live schedule rows that fall inside the map of a later plan, one row per (map plan, source row key).
 
     ``window`` is the column that bounds one report: ``map_plan_id`` (quarter), ``week_start`` or ``day``.
     """
     live = facts.where((F.col("plan_version_id") == LIVE_VERSION) & (F.col("active_yn") == "Y"))
-    # One row per project and day before anything is joined: the facts shrink map-side.
-    daily = live.select("plan_id", "project_id", "start_date").distinct()
-    src = plan.select("plan_id", "media_outlet_id", "plan_type", F.col("period_id").alias("src_period"))
-    target = plan.select(F.col("plan_id").alias("map_plan_id"), "media_outlet_id", "plan_type", "period_id")
     extra = [] if window == "map_plan_id" else [window]
+    seen = on_map_periods(live, cal, n_quarters, ["plan_id", "project_id", *extra])
+    src = plan.select("plan_id", "media_outlet_id", "plan_type", F.col("period_id").alias("src_period"))
+    target = plan.select(F.col("plan_id").alias("map_plan_id"), "media_outlet_id", "plan_type", F.col("period_id").alias("map_period_id"))
     return (
-        daily.join(src, "plan_id")
-        .join(map_days(cal, n_quarters), F.col("start_date") == F.col("day"))
-        .where(F.col("period_id") > F.col("src_period"))
-        .join(target, ["media_outlet_id", "plan_type", "period_id"])
-        .select("map_plan_id", *extra, "plan_id", "project_id").distinct()
+        seen.join(src, "plan_id").where(F.col("map_period_id") > F.col("src_period"))
+        .join(target, ["media_outlet_id", "plan_type", "map_period_id"])
+        .select("map_plan_id", *extra, "plan_id", "project_id")
     )
 
 

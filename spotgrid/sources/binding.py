@@ -175,7 +175,7 @@ VIEWS: dict[str, str] = {
                      CAST(date_trunc('week', CAST(l_shipdate AS DATE) - CAST(l_orderkey % 100 AS INT)) AS DATE) AS monday,
                      CAST(l_shipdate AS DATE) AS start_date, l_linenumber, l_orderkey, l_partkey,
                      CAST(l_quantity AS BIGINT) AS planned_units,
-                     CAST(l_extendedprice AS DECIMAL(18,2)) AS planned_grp
+                     CAST(l_extendedprice AS DECIMAL(8,2)) AS planned_grp
               FROM {lineitem}) x""",
     "schedule": """
         SELECT plan_id, CASE WHEN l_orderkey % 30 = 1 THEN 1 ELSE 0 END AS plan_version_id, project_id,
