@@ -109,7 +109,7 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
     goal = goal_columns(t.campaign_goal)
 
     own_launch = (
-        launch.groupBy(*key, "campaign_goal_id", "planned_grp").agg(*sums)
+        launch.groupBy(*key, "campaign_goal_id", "planned_grp").agg(*sums).drop("planned_grp").distinct()
         .join(version, ["plan_id", "media_outlet_id"]).join(goal, ["campaign_goal_id", "media_outlet_id"])
         .join(planned.drop(*from_pp), ["plan_id", "plan_version_id", "project_id"])
         .withColumns({"map_plan_id": F.col("plan_id"), "past_project": F.lit("N")})
@@ -155,7 +155,7 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
     slim = [*keep, *attributes, *flight]
     rows = (
         own_launch.select(*slim).unionByName(own_episode.select(*slim))
-        .unionByName(past_launch.select(*slim)).unionByName(past_episode.select(*slim)).distinct()
+        .unionByName(past_launch.select(*slim)).unionByName(past_episode.select(*slim))
         .join(map_plans(t), "map_plan_id")
         .join(dayparts(t).withColumnRenamed("media_outlet_id", "map_outlet_id"), ["daypart_id", "map_outlet_id"])
     )

@@ -194,5 +194,6 @@ def weekly_projects(t, output_type: int = UNITS) -> DataFrame:
     slim = [*keep, "status_cd", "demo_id", "segment_id", "frequency", "cluster_id", "phase_type", "priority", "no_of_episode",
             "target_grp", "project_display_seq", "target_reach", "proj_reach_percent", "proj_planned_grp", "episode_priority",
             "premiere_date", "proj_start_date", "proj_end_date", "no_of_weeks"]
-    rows = own_launch.select(*slim).unionByName(own_episode.select(*slim)).unionByName(past.select(*slim)).distinct()
+    # The branches cannot meet: episode-only rows exclude launch weeks, and earlier plans are marked.
+    rows = own_launch.select(*slim).unionByName(own_episode.select(*slim)).unionByName(past.select(*slim))
     return finish(rows.join(map_plans(t), "map_plan_id"), t, keep)

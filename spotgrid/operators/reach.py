@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spotgrid.functions.joins import day_map
 from spotgrid.plans.calendar import periods
+from spotgrid.sources.shared import stage
 
 # Clamp of flight weeks, the outlet whose guide quarter must end before the map
 # quarter starts, and what each mode measures.
@@ -69,7 +70,7 @@ def guide_limits(t) -> DataFrame:
 
 def guided_requests(t, as_of: dt.date) -> DataFrame:
     """Requests with their guide and the week count the guide can serve; per-week modes read week one."""
-    requests = flight_profile(t, as_of)
+    requests = stage(t.spark, flight_profile(t, as_of), "open_requests")
     return (
         requests.join(select_guide(requests, t), ["media_outlet_id", "demo_id", "qtr_start"], "left")
         .join(guide_limits(t), "reach_id", "left")
@@ -169,7 +170,7 @@ def interpolate(rows: DataFrame) -> DataFrame:
 
 
 def reach_brackets(t, as_of: dt.date) -> DataFrame:
-    requests = guided_requests(t, as_of)
+    requests = stage(t.spark, guided_requests(t, as_of), "guided_requests")
     guide = build_reach_guide(t, requests.where(F.col("reach_id").isNotNull() & F.col("segment_id").isNotNull()))
     return bracket(requests, guide)
 
