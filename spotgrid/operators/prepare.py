@@ -139,3 +139,35 @@ def expand_model_params(t, as_of: dt.datetime, forced: dict[int, int] | None = N
     taken = F.when(optimising, F.col("param_id").isin(*OPTIMISE_PARAMS)).otherwise(F.col("param_id").isin(*DISTRIBUTE_PARAMS))
     inherited = runs.join(defaults, "media_outlet_id").where(~taken).select("model_exec_id", "param_id", value.alias("param_value"))
     return given.unionByName(inherited)
+
+
+def with_windows(rows: DataFrame, windows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the measurement dates of ``windows`` where it has the row."""
+    key = ["plan_id", "plan_version_id", *keys]
+    dates = windows.select(*key, F.col("nielsen_start").alias("w_start"), F.col("nielsen_end").alias("w_end"), F.lit(True).alias("measured"))
+    return rows.join(dates, key, "left").withColumns({
+        "nielsen_start": F.when(F.col("measured"), F.col("w_start")).otherwise(F.col("nielsen_start")),
+        "nielsen_end": F.when(F.col("measured"), F.col("w_end")).otherwise(F.col("nielsen_end")),
+    }).select(*rows.columns)
+
+
+def prepare_requests(t, as_of: dt.datetime, last_measured: dt.date | None = None, forced: dict[int, int] | None = None) -> dict[str, DataFrame]:
+    """Every table a round of optimisation requests changes, as its new snapshot, and the rows to append.
+
+    Without ``last_measured`` the client variant sets no measurement dates.
+    """
+    projects, episodes = t.plan_project, t.plan_project_episode
+    if last_measured is not None:
+        projects = with_windows(projects, measurement_window_projects(t, last_measured), ["project_id"])
+        episodes = with_windows(episodes, measurement_window_episodes(t, last_measured), ["project_id", "episode_id"])
+    newest = latest_version(t.plan_version)
+    projects = backfill_campaign_ids(projects, newest, ["project_id"])
+    episodes = backfill_campaign_ids(episodes, newest, ["project_id", "episode_id"])
+    return {
+        "new_runs": new_exec_requests(t, as_of),
+        "run_params": expand_model_params(t, as_of, forced),
+        "plan_version": linked_versions(t, as_of),
+        "plan": submitted_plans(t, as_of),
+        "plan_project": mark_in_progress(t.replace(plan_project=projects, plan_project_episode=episodes)),
+        "plan_project_episode": episodes,
+    }

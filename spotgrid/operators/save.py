@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spotgrid.functions.columns import monday_of
 from spotgrid.functions.joins import assign_ids, replace_groups, snapshot_merge
 from spotgrid.plans.context import latest_version
+from spotgrid.sources.shared import stage
 
 # Status codes, the two full bit masks that use the total segment type, and event texts.
 DRAFT, FAILED = 0, 7
@@ -34,7 +35,12 @@ def resolve_plan(t) -> DataFrame:
 
 
 def decide_version(t) -> DataFrame:
-    """Version every request writes: first, the newest again, or the next one."""
+    """Version every request writes: first, the newest again, or the next one.
+
+    A decision already staged under ``save_decision`` is taken as it is.
+    """
+    if t.given("save_decision"):
+        return t.save_decision
     newest = latest_version(t.plan_version).withColumnRenamed("plan_version_id", "newest")
     reuse = F.col("plan_status_id").isin(DRAFT, FAILED)
     return (
@@ -258,3 +264,27 @@ def upsert_episode_map(t) -> DataFrame:
     keys = ["plan_id", "plan_version_id", "project_id", "episode_id", "week_date"]
     rows = t.stg_episode_map.where(F.col("unit_count") > 0).join(decided, "uid").select(*keys, "unit_count")
     return snapshot_merge(t.plan_project_spots_episode_map, rows, keys)
+
+
+def save_plans(t, as_of: dt.datetime, clean_schedule: bool = False) -> dict[str, DataFrame]:
+    """Every table a save changes, as its new snapshot, and the history rows to append.
+
+    The version decision is staged once. All snapshots read the tables as they were before the save,
+    so results are carried forward before the previous version loses rows.
+    """
+    t = t.replace(save_decision=stage(t.spark, decide_version(t), "save_decision"))
+    saved = t.save_decision.select("plan_id", "plan_version_id")
+    version = ["plan_id", "plan_version_id"]
+    return {
+        "plan": saved_plans(t, as_of),
+        "plan_version": saved_versions(t),
+        "plan_project": upsert_plan_projects(t, as_of),
+        "plan_project_spots": upsert_spots(t),
+        "project": propagate_targets(t),
+        "episode_json": store_episode_json(t),
+        "plan_project_episode": replace_groups(t.plan_project_episode, insert_episodes(t, as_of), saved, version),
+        "plan_project_spots_episode": replace_groups(t.plan_project_spots_episode, episode_spots(t), saved, version),
+        "plan_project_spots_episode_map": upsert_episode_map(t),
+        "history": audit_events(t, as_of),
+        **cascade_remove(t, clean_schedule),
+    }

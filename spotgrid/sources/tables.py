@@ -36,6 +36,10 @@ class Tables:
             return self.spark.table(f"{self._database}.{name}")
         raise KeyError(f"table {name!r} was not given")
 
+    def given(self, name: str) -> bool:
+        """Whether the table was handed in, rather than to be read from storage."""
+        return name in self._frames
+
     def replace(self, **frames: DataFrame) -> "Tables":
         """The same tables with some of them swapped, e.g. filtered to one plan."""
         return type(self)(self.spark, self._root, self._database, {**self._frames, **frames})
