@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotgrid.functions.columns import flight_weeks
-from spotgrid.functions.joins import day_map
+from spotgrid.functions.joins import day_map, join_on_period
 from spotgrid.plans.calendar import periods
 from spotgrid.plans.context import default_demo, latest_version
 
@@ -124,8 +124,7 @@ def project_eligibility(t, project_type: int, networks: str | None = None) -> Da
         projects = projects.join(t.subevent.where(F.col("optimization_type") == "O"), "subevent_id", "left_semi")
     quarters = periods(t.cal_period, "Q").select("period_id", F.col("name").alias("quarter_name"),
                                                  F.col("start_date").alias("quarter_start"), F.col("end_date").alias("quarter_end"))
-    days = day_map(t.cal_period, "Q").select(F.col("day").alias("start_date"), "period_id")
-    base = projects.drop("plan_id").join(days, "start_date")
+    base = join_on_period(projects.drop("plan_id"), "start_date", t.cal_period, "Q").drop("period_start", "period_end")
     plans = t.plan.where((F.col("active_yn") == "Y") & (F.col("plan_type") == project_type))
     home = plans.select(F.col("plan_id").alias("home_plan_id"), "media_outlet_id", "period_id", "plan_status_id")
     newest = latest_version(t.plan_version)

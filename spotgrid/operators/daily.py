@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotgrid.functions.columns import UNITS, flight_weeks, measure, own_network_first
-from spotgrid.operators.grids import LONG_CLOCK, completed_or_first_version, finish, map_plans
+from spotgrid.operators.grids import LONG_CLOCK, completed_or_first_version, finish, labelled_by_join, map_plans
 from spotgrid.plans.calendar import map_days
 from spotgrid.plans.context import (
     IN_PROGRESS_STATUS,
@@ -17,7 +17,6 @@ from spotgrid.plans.context import (
     plan_context,
     project_info,
     star_enrich,
-    with_last_opt_label,
 )
 
 # Fixed value: people per impression unit.
@@ -82,9 +81,8 @@ def daily_primary(t, output_type: int = UNITS) -> DataFrame:
         .withColumn("planned", measure(output_type, "sum_units", "proj_grp"))
         .withColumn("scatter_imps", (F.col("proj_grp") * F.col("universe") / IMPRESSION_BASE).cast("decimal(28,4)"))
     )
-    labelled = with_last_opt_label(rows, t.plan_project, t.plan_project_episode, t.model_exec)
     return (
-        labelled.join(t.demo.select("demo_id", F.col("name").alias("demo")), "demo_id")
+        labelled_by_join(rows, t, "daily_primary").join(t.demo.select("demo_id", F.col("name").alias("demo")), "demo_id")
         .join(t.segment.select("segment_id", F.col("segment_name").alias("segment")), "segment_id")
         .join(t.campaign_type.select("campaign_type_id", F.col("name").alias("type"), F.col("display_seq").alias("campaign_display_seq")), "campaign_type_id")
         .join(dayparts(t).select("daypart_id", "daypart"), "daypart_id")
@@ -159,7 +157,7 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
         .join(map_plans(t), "map_plan_id")
         .join(dayparts(t).withColumnRenamed("media_outlet_id", "map_outlet_id"), ["daypart_id", "map_outlet_id"])
     )
-    out = finish(rows, t, [*keep, "daypart"])
+    out = finish(labelled_by_join(rows, t, "daily_projects"), t, [*keep, "daypart"])
     return out.withColumnsRenamed({"planned_units_sum": "planned_units", "start_date": "selected_date"})
 
 

@@ -15,6 +15,7 @@ from spotgrid.plans.context import (
     REPORT_COLUMNS,
     carry_over_projects,
     current_projects,
+    last_opt_label,
     latest_completed_version,
     latest_model_version,
     latest_version,
@@ -43,9 +44,23 @@ def live_rows(facts: DataFrame) -> DataFrame:
     return facts.where((F.col("plan_version_id") == LIVE_VERSION) & (F.col("active_yn") == "Y"))
 
 
-def finish(rows: DataFrame, t, keep: list[str]) -> DataFrame:
-    """Label, dimension names, and the project-type check for rows holding a map plan."""
-    labelled = with_last_opt_label(rows, t.plan_project, t.plan_project_episode, t.model_exec)
+def labelled(rows: DataFrame, t) -> DataFrame:
+    """Rows with their optimisation label. One project has at most a row per map day here, so a window serves."""
+    return with_last_opt_label(rows, t.plan_project, t.plan_project_episode, t.model_exec)
+
+
+def labelled_by_join(rows: DataFrame, t, name: str) -> DataFrame:
+    """Rows with their optimisation label, for reports whose rows per project have no bound.
+
+    The rows are written once; the labels come from their distinct keys, so no project meets in one task.
+    """
+    written = stage(t.spark, rows, name)
+    labels = last_opt_label(written, t.plan_project, t.plan_project_episode, t.model_exec)
+    return written.join(labels, ["map_plan_id", "project_id"], "left")
+
+
+def finish(labelled: DataFrame, t, keep: list[str]) -> DataFrame:
+    """Dimension names and the report's columns for labelled rows holding a map plan."""
     named = star_enrich(labelled, t).withColumn(
         "network_display_seq", own_network_first(F.col("project_outlet_id"), F.col("map_outlet_id")))
     return named.select(*keep, *REPORT_COLUMNS, "last_opt_version_ts")
@@ -88,7 +103,7 @@ def quarterly_projects(t, output_type: int = UNITS) -> DataFrame:
         .join(t.project.select("project_id", F.col("project_type").alias("map_plan_type")), ["project_id", "map_plan_type"], "left_semi")
         .join(packed, ["plan_id", "campaign_goal_id"], "left")
     )
-    grid = finish(rows.join(weeks, "map_period_id"), t,
+    grid = finish(labelled(rows.join(weeks, "map_period_id"), t), t,
                   ["map_plan_id", "plan_id", "project_id", "demo_id", "past_project", "by_week", "weeks"])
     cell = F.try_element_at("by_week", "week_start_date")
     return (
@@ -196,4 +211,4 @@ def weekly_projects(t, output_type: int = UNITS) -> DataFrame:
             "premiere_date", "proj_start_date", "proj_end_date", "no_of_weeks"]
     # The branches cannot meet: episode-only rows exclude launch weeks, and earlier plans are marked.
     rows = own_launch.select(*slim).unionByName(own_episode.select(*slim)).unionByName(past.select(*slim))
-    return finish(rows.join(map_plans(t), "map_plan_id"), t, keep)
+    return finish(labelled(rows.join(map_plans(t), "map_plan_id"), t), t, keep)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spotgrid.functions import columns as col
-from spotgrid.operators import distribute, inventory, prepare, reach, save, validate
+from spotgrid.operators import choices, distribute, inventory, prepare, reach, save, validate
 from spotgrid.plans import calendar as cal
 from spotgrid.plans import context
 from spotgrid.sources.tables import Tables
@@ -238,3 +238,17 @@ def cap(spark, week, start, end, opens=21600, closes=108000):
 ])
 def test_weekly_cap(spark, week, start, end, want):
     assert cap(spark, week, start, end) == D(want)
+
+
+def test_missing_set_up_is_reported_per_outlet_and_quarter(spark, calendar):
+    outlet = "media_outlet_id int"
+    t = Tables(spark, overrides={
+        "cal_period": calendar,
+        "plan": spark.createDataFrame([(1, 100), (1, 101), (2, 100)], f"{outlet}, period_id int"),
+        "daypart": spark.createDataFrame([(1, "Y", 0), (2, "N", 0)], f"{outlet}, active_yn string, start_offset int"),
+        "spots_per_hour": spark.createDataFrame([(2,)], outlet),
+        "capacity": spark.createDataFrame([(1, 1, day("2024-01-05"), day("2024-01-05"))], f"{outlet}, plan_type int, start_date date, end_date date"),
+        "map_validation": spark.createDataFrame([(1, "dayparts"), (2, "capacity"), (3, "spots")], "validation_id int, validation_message string"),
+    })
+    got = sorted((r.media_outlet_id, r.period_id, r.validation_message) for r in choices.network_config_errors(t).collect())
+    assert got == [(1, 100, "spots"), (1, 101, "capacity"), (1, 101, "spots"), (2, 100, "capacity"), (2, 100, "dayparts")]
