@@ -108,8 +108,8 @@ VIEWS: dict[str, str] = {
               FROM {customer}) x""",
     "spots_per_hour": """
         SELECT media_outlet_id, air_hour, CAST(2 + media_outlet_id % 3 + air_hour % 2 AS DECIMAL(9,2)) AS spots
-        FROM (SELECT DISTINCT c_nationkey + 1 AS media_outlet_id, CAST(c_custkey % 24 AS INT) AS air_hour
-              FROM {customer}) x""",
+        FROM (SELECT DISTINCT s_nationkey + 1 AS media_outlet_id, CAST(s_suppkey % 24 AS INT) AS air_hour
+              FROM {supplier} WHERE s_acctbal > 5000) x""",
     "map_validation": """
         SELECT * FROM (VALUES (1, 'Dayparts are not set up'), (2, 'Capacity is not loaded'),
             (3, 'Spots per hour are not set up'), (4, 'Target metrics are missing'),
