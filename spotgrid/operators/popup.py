@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotgrid.functions.joins import day_map
 from spotgrid.operators.grids import completed_or_first_version
 from spotgrid.plans.context import LAUNCH_EPISODE
 
@@ -27,7 +28,9 @@ def flights(t) -> DataFrame:
 def project_popup_grid(t) -> DataFrame:
     """Detail rows (types 1 and 2), daypart totals (3) and day totals (4) from one pass over the detail."""
     parts = t.daypart.where(F.col("active_yn") == "Y").select("media_outlet_id", "daypart_id", F.col("name").alias("daypart"))
-    cells = flights(t).withColumn("broadcast_date", F.explode(F.sequence("start_date", "end_date"))).join(parts, "media_outlet_id")
+    known_days = day_map(t.cal_period, "D").select(F.col("day").alias("broadcast_date"))
+    dated = flights(t).withColumn("broadcast_date", F.explode(F.sequence("start_date", "end_date")))
+    cells = dated.join(known_days, "broadcast_date", "left_semi").join(parts, "media_outlet_id")
     values = ["planned_units", "planned_grp"]
     keys = ["plan_id", "project_id", "media_outlet_id", "demo_id", "daypart_id", F.col("start_date").alias("broadcast_date")]
     spots = (
