@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.llm import chat, mixing, secret_scan, url_filter
+from spotgrid.llm import bpe, chat, fingerprints, jaccard_join, language, licences, mixing, quality, secret_scan, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,20 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(spark, _table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(_table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(spark, docs, language.train(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 CONTROL_CHAT = r"\### Assistant: </turn> ok"
 
 
@@ -42,6 +57,22 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), sha(F.col("loss")).alias("loss_sha256"), "formatted_chars")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(spark, _table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(spark, _table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
