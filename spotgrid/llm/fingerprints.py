@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from spotgrid.sources.shared import stage
 
-WIDTH = 32
-SPAN = 64
-LEAST_VOTES = 16
+WIDTH = 24
+SPAN = 32
+LEAST_VOTES = 8
 FARTHEST = 256
 BITS = 2048
 HASHES = 5

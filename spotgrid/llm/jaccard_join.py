@@ -370,3 +370,13 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     linked = rows.where("n > 0").select("key", "n", "digest").join(known, "digest").select("key", "n", "component_id", "n_links")
     alone = rows.where("n = 0").select("key", "n", F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return linked.unionByName(alone).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id", "n_links")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that are the first of their component, with all their columns. Of rows with one key, one is kept."""
+    found = stage(spark, jaccard_join(spark, docs, key, text, k, percent).select(F.col(key).alias("key"), "component_id"), "jaccard_found")
+    gone = few(spark, stage(spark, found.where("key != component_id").select("key").distinct(), "jaccard_gone"))
+    left = docs.join(gone, F.col(key) == F.col("key"), "left_anti")
+    again = few(spark, stage(spark, found.groupBy("key").count().where("count > 1 and key is not null").select("key"), "jaccard_again"))
+    once = left.join(again, F.col(key) == F.col("key"), "left_anti")
+    return once.unionByName(left.join(again, F.col(key) == F.col("key"), "left_semi").dropDuplicates([key]))

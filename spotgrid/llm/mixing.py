@@ -98,18 +98,40 @@ def thresholds(spark: SparkSession, sized: DataFrame, plan: DataFrame) -> DataFr
             return edges.select("source", "prefix", F.lit(bits).alias("bits"), "left", F.col("bucket_size").alias("edge_size"))
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
-                share_percent=SHARE_PERCENT, most=MOST_REPEATS) -> DataFrame:
-    """One row per document: key, size, source_size, target (its source's) and taken, the words the mix takes from it."""
-    sized = stage(spark, docs.select(
-        F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), point_of(F.col(key)).alias("point"),
-    ), "mix_sizes")
+def cuts(spark: SparkSession, sized: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCENT, most=MOST_REPEATS) -> DataFrame:
+    """One row per source with all that decides on a document: of, source_size, target, whole, prefix, bits, left, edge_size."""
     plan = stage(spark, targets(spark, sized, weights, share_percent, most), "mix_targets")
     edges = thresholds(spark, sized, plan).withColumnRenamed("source", "edge_source")
-    cut = plan.join(edges, F.col("source").eqNullSafe(F.col("edge_source")), "left").select(
+    return plan.join(edges, F.col("source").eqNullSafe(F.col("edge_source")), "left").select(
         F.col("source").alias("of"), "source_size", "target", "whole", "prefix", "bits", "left", "edge_size")
+
+
+def taken_words() -> Column:
+    """The words taken from a document with columns ``size`` and ``point`` beside its source's cut."""
     place = F.expr(f"shiftright(point, {POINT_BITS} - bits)")
     share = (F.col("left").cast("decimal(20,0)") * F.col("size") / F.col("edge_size")).cast("decimal(38,6)")
     part = F.when(place < F.col("prefix"), F.col("size")).when(place == F.col("prefix"), F.floor(share).cast("long")).otherwise(F.lit(0))
+    return (F.col("whole") * F.col("size") + F.coalesce(part, F.lit(0))).cast("long")
+
+
+def sizes(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
+    return docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), point_of(F.col(key)).alias("point"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
+                share_percent=SHARE_PERCENT, most=MOST_REPEATS) -> DataFrame:
+    """One row per document: key, size, source_size, target (its source's) and taken, the words the mix takes from it."""
+    sized = stage(spark, sizes(docs, key, text, source), "mix_sizes")
+    cut = cuts(spark, sized, weights, share_percent, most)
     return sized.join(cut, F.col("source").eqNullSafe(F.col("of"))).select(
-        F.col("key").alias(key), "size", "source_size", "target", (F.col("whole") * F.col("size") + F.coalesce(part, F.lit(0))).cast("long").alias("taken"))
+        F.col("key").alias(key), "size", "source_size", "target", taken_words().alias("taken"))
+
+
+def mixed_documents(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
+                    share_percent=SHARE_PERCENT, most=MOST_REPEATS) -> DataFrame:
+    """The documents of the mix, whole: none, one or two rows of each, by the nearest to the words taken. Half counts as whole."""
+    cut = cuts(spark, stage(spark, sizes(docs, key, text, source), "mix_sizes"), weights, share_percent, most)
+    rows = docs.select(F.struct("*").alias("row"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), point_of(F.col(key)).alias("point"))
+    times = F.when(F.col("size") > 0, F.floor((2 * taken_words() + F.col("size")) / (2 * F.col("size")))).otherwise(0).cast("int")
+    dealt = rows.join(cut, F.col("source").eqNullSafe(F.col("of"))).select("row", F.explode(F.array_repeat(F.lit(0), times)).alias("_"))
+    return dealt.select("row.*")

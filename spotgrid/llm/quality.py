@@ -14,12 +14,14 @@ an empty table gives none; columns other than key and text are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from spotgrid.llm.batches import Field, map_text
+from spotgrid.llm.batches import Field, chunks, map_text
 
 LEAST_WORDS = 10
 MOST_REPEAT_PERCENT = 20
@@ -96,3 +98,16 @@ def judge_quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         return lambda t: measure(t, compressor)
 
     return map_text(docs, key, text, FIELDS, make)
+
+
+def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text is kept, with all their columns."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=LEVEL)
+        for batch in batches:
+            kept = [measure(t, compressor)[6] for texts in chunks(batch.column(at)) for t in texts]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

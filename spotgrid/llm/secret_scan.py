@@ -17,9 +17,11 @@ on its id and text alone, and repeated rows give repeated results, as many as th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spotgrid.sources.shared import stage
+
 _VALUE = r"""["']?\x20*[:=]\x20*["']?"""
 #: (kind, pattern, role). The order is the order of kinds that start at one place.
 KINDS = (
@@ -34,6 +36,8 @@ KINDS = (
 BASE = ("assign", "access", "hex")
 LEAST_ASSIGNED = 6
 REACH = 200
+#: Spans are sent to all tasks for at most so many documents; beyond, the join shuffles.
+BROADCAST_DOCUMENTS = 200_000
 _ORDER = {kind: i for i, (kind, _, _) in enumerate(KINDS)}
 
 
@@ -49,10 +53,15 @@ def _found(text: Column, kind: str, pattern: str) -> Column:
     return F.when(F.regexp_like(text, F.lit(pattern)), rows)
 
 
+def print_of(text: Column) -> Column:
+    """Tells texts of one id apart."""
+    body = F.coalesce(text, F.lit(""))
+    return F.xxhash64(body, F.length(body))
+
+
 def parts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(rows, parts): (key, print) of every row, and its parts as (key, print, kind, start, stop), each once."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    tagged = docs.select(F.col(key).alias("key"), F.xxhash64(body, F.length(body)).alias("print"), body.alias("body"))
+    tagged = docs.select(F.col(key).alias("key"), print_of(F.col(text)).alias("print"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     found = F.concat(*[F.coalesce(_found(F.col("body"), k, p), F.array().cast("array<struct<kind:int,at:int,gap:bigint,length:bigint,counts:boolean>>")) for k, p, _ in KINDS])
     hits = tagged.select("key", "print", F.explode(found).alias("hit")).select("key", "print", "hit.*")
     # One exchange by document serves all that follows: taking out repeated rows, places, scopes and digests.
@@ -88,17 +97,33 @@ def link(placed: DataFrame, reach: int = REACH) -> DataFrame:
     return rows.where(F.col("kind") < len(BASE)).select(*columns).unionByName(kept.select(*columns))
 
 
+def _spans(linked: DataFrame) -> DataFrame:
+    return linked.select("key", "print", F.struct("start", F.col("kind").cast("int").alias("kind"), "stop").alias("span"))
+
+
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
     """One row per document: key and spans, its reported spans as a sorted array of (start, kind, stop); kind is an index of KINDS."""
     rows, placed = parts(docs, key, text)
     none = F.lit(None).cast("struct<start:bigint,kind:int,stop:bigint>")
-    spans = link(placed, reach).select("key", "print", F.struct("start", F.col("kind").cast("int").alias("kind"), "stop").alias("span"))
-    every = rows.select("key", "print", F.lit(1).alias("row"), none.alias("span")).unionByName(spans.select("key", "print", F.lit(0).alias("row"), "span"))
+    every = rows.select("key", "print", F.lit(1).alias("row"), none.alias("span")).unionByName(
+        _spans(link(placed, reach)).select("key", "print", F.lit(0).alias("row"), "span"))
     grouped = every.groupBy("key", "print").agg(F.sum("row").alias("rows"), F.array_sort(F.collect_list("span")).alias("spans"))
     # Repeated rows were counted; give each its result back.
     return grouped.select(F.col("key").alias(key), "print", "spans", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))).alias("_")).drop("_")
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
+    """All documents with all their columns; every reported span of the text is replaced by ``[secret]``."""
+    _, placed = parts(docs, key, text)
+    found = stage(spark, _spans(link(placed, reach)).groupBy(F.col("key").alias("_key"), F.col("print").alias("_print")).agg(
+        F.array_sort(F.collect_list("span")).alias("_spans")), "secret_spans")
+    if found.limit(BROADCAST_DOCUMENTS + 1).count() <= BROADCAST_DOCUMENTS:
+        found = F.broadcast(found)
+    same = F.col(key).eqNullSafe(F.col("_key")) & (print_of(F.col(text)) == F.col("_print"))
+    new = F.when(F.col("_spans").isNotNull(), redact(F.col(text), F.col("_spans"))).otherwise(F.col(text))
+    return docs.join(found, same, "left").select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns])
+
+
 def listed(spans: Column, base_only: bool = False) -> Column:
     """kind:start:end of the spans, comma-joined."""
     name = F.array(*[F.lit(k) for k, _, _ in KINDS])
