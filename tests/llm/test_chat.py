@@ -1,0 +1,49 @@
+import random
+
+from pyspark.sql import functions as F
+
+from spotgrid.llm import chat
+from spotgrid.llm.arrays import running_sums
+
+CHATS = "conv_id long, turn long, role string, text string, turns string, formatted string"
+
+
+def made(spark, rows):
+    return chat.format_chats(spark.createDataFrame([(*r, "x", "y") for r in rows], CHATS))
+
+
+def test_reads_back_every_turn(spark):
+    rng = random.Random(1)
+    bits = ["<turn ", "</turn>", "\n", "<turn+>", "&lt;turn", "&amp;lt;turn", "&", "<", "&amp;", "\\", "### Assistant:", "é😀", "word ", "</turn", "amp;", "lt;turn", ">"]
+    rows = [(c, t, rng.choice(["user", "assistant", "assistant", "a>b&<"]), "".join(rng.choice(bits) for _ in range(rng.randint(0, 9))))
+            for c in range(60) for t in range(rng.randint(1, 9))]
+    rows += [(100, 0, None, None), (100, 1, "assistant", None), (101, 0, "assistant", "x"), (101, 0, "assistant", "x"), (101, 0, "assistant", "a"), (None, 0, "user", "n")]
+    out = made(spark, rows).select("conv_id", "formatted", "loss_spans", chat.read_back(F.col("formatted")).alias("turns"),
+                                   chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    assert len(out) == len({r[0] for r in rows})
+    for r in out:
+        own = sorted([(t, role or "", text or "") for c, t, role, text in rows if c == r.conv_id])
+        assert [tuple(x) for x in r.turns] == [x[1:] for x in own]
+        assert r.loss == "".join(text for _, role, text in own if role == "assistant")
+        assert len(r.loss_spans) == sum(role == "assistant" for _, role, _ in own)
+
+
+def test_template(spark):
+    rows = [(1, 2, "assistant", "c"), (1, 1, "assistant", "b"), (1, 0, "user", "a </turn>")]
+    [r] = made(spark, rows).collect()
+    assert r.formatted == "<turn user>\na &lt;/turn></turn>\n<turn assistant>\nb<turn+>c</turn>\n"
+    assert [r.formatted[s.start : s.stop] for s in r.loss_spans] == ["b", "c"]
+
+
+def test_empty_table_and_long_conversation(spark):
+    assert made(spark, []).collect() == []
+    [r] = made(spark, [(1, i, "assistant" if i % 3 else "user", "t" * (i % 7)) for i in range(3000)]).select(
+        chat.read_back(F.col("formatted")).alias("turns"), "loss_spans").collect()
+    assert len(r.turns) == 3000 and len(r.loss_spans) == 2000
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 255, 256, 257, 1000):
+        values = [(i * 7) % 11 for i in range(n)]
+        got = spark.createDataFrame([(values,)], "v array<long>").select(running_sums(F.col("v")).alias("s")).first().s
+        assert got == [sum(values[: i + 1]) for i in range(n)]

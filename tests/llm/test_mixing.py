@@ -1,0 +1,87 @@
+import math
+import random
+import re
+from fractions import Fraction
+
+from pyspark.sql import functions as F
+
+from spotgrid.llm import mixing
+from spotgrid.llm.ranks import with_rank
+
+
+def size(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def plain_targets(totals):
+    """Share, cut, and reshare the excess until nothing is above its cap."""
+    order = sorted(totals, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    left, free, out = Fraction(3, 2) * sum(totals.values()), set(order), {}
+    while free:
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = [s for s in free if share[s] >= 2 * totals[s]]
+        if not over:
+            return out | share
+        for s in over:
+            out[s] = Fraction(2 * totals[s])
+            left -= out[s]
+            free.discard(s)
+    return out
+
+
+def check(spark, rows, got):
+    sizes = {(i, t, s): size(t) for i, t, s in rows}
+    totals = {}
+    for (_, _, s) in rows:
+        totals[s] = sum(size(t) for _, t, x in rows if x == s)
+    want = plain_targets(totals)
+    by_id = {i: s for i, _, s in rows}
+    given = {}
+    for r in got:
+        assert r.taken <= 2 * r.size and r.taken >= 0
+        assert r.source_size == totals[by_id[r.doc_id]]
+        assert math.isclose(r.target, want[by_id[r.doc_id]], rel_tol=1e-12, abs_tol=1e-9)
+        given[by_id[r.doc_id]] = given.get(by_id[r.doc_id], 0) + r.taken
+    for s, n in given.items():
+        assert abs(n - want[s]) <= 1 + len(sizes), s
+
+
+def test_targets_and_words_taken(spark, documents):
+    rng = random.Random(4)
+    rows = [(i, "w " * int(rng.expovariate(0.02)), rng.choice(["a", "a", "a", "b", "c", "é", "Z", None, "\U0001F600"])) for i in range(400)]
+    rows += [(1000, None, "a"), (1001, "", "b"), (1002, "one", "only"), (1003, None, "none")]
+    first = mixing.mix_sources(spark, documents(rows)).collect()
+    assert len(first) == len(rows)
+    check(spark, rows, first)
+    again = mixing.mix_sources(spark, documents(rows[::-1]).repartition(3)).collect()
+    assert sorted(first) == sorted(again)
+
+
+def test_repeated_rows_share_the_edge(spark, documents):
+    rows = [(7, "w " * 10, "a")] * 30 + [(8, "w " * 300, "b")]
+    got = mixing.mix_sources(spark, documents(rows)).collect()
+    taken = [r.taken for r in got if r.doc_id == 7]
+    assert len(set(taken)) == 1 and abs(sum(taken) - got[0].target if got[0].doc_id == 7 else sum(taken) - next(r.target for r in got if r.doc_id == 7)) <= 30
+
+
+def test_only_wordless_and_empty(spark, documents):
+    got = mixing.mix_sources(spark, documents([(1, None, "a"), (2, " \n", None)])).collect()
+    assert [(r.size, r.target, r.taken) for r in got] == [(0, 0.0, 0)] * 2
+    assert mixing.mix_sources(spark, documents([])).collect() == []
+
+
+def test_whole_documents(spark, documents):
+    rows = [(i, "w " * 10, "a" if i % 2 else "b") for i in range(200)]
+    docs = documents(rows)
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(spark, docs).collect()}
+    out = mixing.mixed_documents(spark, docs)
+    assert out.columns == docs.columns
+    got = [r.doc_id for r in out.collect()]
+    assert all(got.count(i) == (2 * n + 10) // 20 for i, n in taken.items())
+
+
+def test_ranks(spark):
+    rows = spark.range(1000).selectExpr("id * 37 % 1000 AS v")
+    got = with_rank(spark, rows, F.col("v").desc(), "place").collect()
+    assert sorted((r.place, r.v) for r in got) == [(i, 999 - i) for i in range(1000)]

@@ -1,0 +1,89 @@
+import hashlib
+import re
+
+import pytest
+
+from spotgrid.llm import queries, secret_scan
+
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def listed(spans):
+    return ",".join(f"{secret_scan.KINDS[k][0]}:{s}:{e}" for s, k, e in spans)
+
+
+KEY, HEX = "AKIA" + "B2" * 8, "0123456789abcdef01234567"
+CASES = [
+    (1, f'é {KEY} and password="hunter22" é'), (2, "secret: token: abcdefgh"), (3, f"{HEX}{HEX} {KEY}Z9 AKIA12"), (4, None), (5, ""),
+    (6, "PASSWD = abc; Api_Key:'longer.value' apikey=x secret=ABCdef"), (7, "x" * 50_000 + " token=abcdefg " + "y " * 30_000), (8, "password='" + "a" * 5),
+    (9, "😀 secret = 'pässword' tokentoken:abcdef="), (9, "😀 secret = 'pässword' tokentoken:abcdef="), (10, f"{KEY}{KEY}"),
+    (11, "ſecret=abcdefgh toKen=abcdefgh"), (12, "token=\n token = abcdef\ttoken:=abcdef"), (None, "secret=abcdef1"),
+]
+
+
+def run(documents, rows):
+    return [(r.doc_id, [tuple(s) for s in r.spans]) for r in secret_scan.scan_secrets(documents(rows)).collect()]
+
+
+def test_base_spans_match_plain_matching(documents):
+    got = run(documents, CASES)
+    assert len(got) == len(CASES)
+    for key, spans in got:
+        text = next(t for i, t in CASES if i == key)
+        assert [s for s in spans if s[1] < 3] == base(text), key
+
+
+def test_weak_parts_are_reported_only_together(documents):
+    secret = "kQ8vZr3LmN0pXy7TbWc2"
+    rows = [
+        (1, f"user: alice {secret}"), (2, secret), (3, "user: alice"), (4, f"user: alice {'.' * 300} {secret}"), (5, f"{KEY} {secret} https://db.example.com/x"),
+        (6, f"https://db.example.com/x {secret}"), (7, "login=bob password=abcdef1"), (8, "https://db.example.com/x"),
+    ]
+    got = {key: {secret_scan.KINDS[k][0] for _, k, _ in spans} for key, spans in run(documents, rows)}
+    assert got == {1: {"account", "opaque"}, 2: set(), 3: set(), 4: set(), 5: {"access", "opaque", "endpoint"}, 6: set(), 7: {"account", "assign"}, 8: set()}
+
+
+def test_nearness_does_not_depend_on_scope_borders(documents):
+    """The interval join finds what a comparison of all pairs finds."""
+    rows = []
+    for gap in (1, 150, 198, 199, 200, 201, 250):
+        for shift in (0, 57, 130, 199):
+            rows.append((gap * 1000 + shift, " " * shift + "user: alice" + " " * gap + "kQ8vZr3LmN0pXy7TbWc2"))
+    for key, spans in run(documents, rows):
+        assert len(spans) == (2 if key // 1000 < secret_scan.REACH else 0), key
+
+
+def test_redaction(spark, documents):
+    rows = [(1, f"é {KEY}{HEX} b"), (2, "nothing here"), (3, None), (4, f'a token = "{HEX}" {KEY} z'), (5, "secret=abcdef"), (5, "secret=abcdef")]
+    got = sorted(((r.doc_id, r.text) for r in secret_scan.redact_secrets(spark, documents(rows)).collect()), key=str)
+    assert got == sorted([(1, "é [secret] b"), (2, "nothing here"), (3, None), (4, 'a [secret]" [secret] z'), (5, "[secret]"), (5, "[secret]")], key=str)
+
+
+def test_empty_table(documents):
+    assert run(documents, []) == []
+
+
+def test_query_against_plain_matching(spark, sf, sf_docs):
+    texts = {r.doc_id: r.text for r in sf_docs.collect()}
+    rows = queries.op1_secret_scan(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = base(texts[r.doc_id])
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in want) for i in range(3))
+        assert r.base_sha256 == hashlib.sha256(listed(want).encode()).hexdigest()
+        assert set(filter(None, listed(want).split(","))) <= set(r.spans.split(","))
+
+
+@pytest.mark.parametrize("n", [3, 700])
+def test_many_parts_in_one_text(documents, n):
+    text = " ".join(f"token=abcdef{i}" for i in range(n))
+    [(_, spans)] = run(documents, [(1, text)])
+    assert spans == base(text) and len(spans) == n
