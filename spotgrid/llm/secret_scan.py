@@ -69,7 +69,8 @@ def parts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     upto = Window.partitionBy("key", "print", "kind").orderBy("at")
     stop = F.sum(F.col("gap") + F.col("length")).over(upto)
     placed = hits.withColumn("stop", stop).where("counts").select("key", "print", "kind", (F.col("stop") - F.col("length")).alias("start"), "stop")
-    return tagged.select("key", "print"), placed
+    # Three steps read the parts; the texts are scanned once.
+    return tagged.select("key", "print"), stage(docs.sparkSession, placed, "secret_parts")
 
 
 def link(placed: DataFrame, reach: int = REACH) -> DataFrame:
