@@ -8,9 +8,9 @@ WEEKS = """
 
 SQL = {
     "periods": "SELECT * FROM {cal_period} WHERE period_type = 'Q'",
-    "quarter_weeks": f"SELECT * FROM ({WEEKS}) WHERE week_no <= 26",
+    "quarter_weeks": WEEKS,
     "week_number": f"""SELECT *, 'WEEK' || week_no AS week_label, 'EP_Wek' || week_no AS episode_week_label
-        FROM ({WEEKS}) WHERE week_no <= 26""",
+        FROM ({WEEKS})""",
     "adjacent_quarter": """
         SELECT a.period_id, a.name, b.period_id AS other_period_id, b.name AS other_name, b.start_date AS other_start, b.end_date AS other_end
         FROM {cal_period} a JOIN {cal_period} b ON b.period_id = a.period_id + 1

@@ -26,10 +26,10 @@ SQL = {
         LEFT JOIN {sec_user} u ON u.user_id = p.update_user
         LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY plan_id ORDER BY lock_id DESC) AS rn FROM {plan_lock}) l ON l.plan_id = p.plan_id AND l.rn = 1
         LEFT JOIN {sec_user} lu ON lu.user_id = l.lock_user
-        WHERE p.period_id > 7990
+        WHERE p.checked_yn = 'Y'
         UNION ALL
         SELECT p.media_outlet_id, q.name, p.plan_type, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
-        FROM {plan} p JOIN {cal_period} q ON q.period_type = 'Q' AND q.period_id = p.period_id WHERE p.period_id <= 7990""",
+        FROM {plan} p JOIN {cal_period} q ON q.period_type = 'Q' AND q.period_id = p.period_id WHERE p.checked_yn = 'N'""",
     "episode_rules_json": f"""WITH {DONE_OR_ZERO}
         SELECT j.plan_id, j.project_id, j.episode_dtl_json FROM {{episode_json}} j JOIN ver v ON v.plan_id = j.plan_id AND v.v = j.plan_version_id""",
     "saved_episode_rules_json": """
@@ -37,7 +37,7 @@ SQL = {
           ON e.plan_id = j.plan_id AND e.plan_version_id = j.plan_version_id AND e.project_id = j.project_id
         WHERE j.plan_version_id = (SELECT max(v.plan_version_id) FROM {plan_version} v WHERE v.plan_id = j.plan_id)""",
     "multi_net_flag": """
-        SELECT DISTINCT x.request_id, x.project_id, CASE WHEN g.project_id IS NULL THEN 'Prophet' ELSE 'MultiNet' END AS planned_on, g.geo_plan_name
+        SELECT DISTINCT x.request_id, x.project_id, CASE WHEN g.project_id IS NULL THEN 'single' ELSE 'multi' END AS planned_on, g.geo_plan_name
         FROM (SELECT request_id, media_outlet_id, CAST(unnest(CAST(project_ids_json AS JSON)::BIGINT[]) AS BIGINT) AS project_id FROM {project_list}) x
         LEFT JOIN {geo_project} g ON g.project_id = x.project_id AND g.media_outlet_id = x.media_outlet_id""",
     "episode_details": f"""

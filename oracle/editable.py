@@ -7,9 +7,8 @@ MAPS = """maps AS (SELECT p.*, q.start_date AS qs, q.end_date AS qe, n.end_date
     LEFT JOIN {cal_period} n ON n.period_type = 'Q' AND n.period_id = p.period_id + 1)"""
 
 
-def map_weeks(limit: str) -> str:
-    return f"""mw AS (SELECT p.plan_id AS map_plan_id, p.media_outlet_id, p.plan_type, p.period_id, w.week_start, w.week_end, 'WEEK' || w.week_no AS wk, 'EP_Wek' || w.week_no AS ewk
-        FROM {{plan}} p JOIN ({WEEKS}) w ON w.period_id = p.period_id {limit})"""
+MAP_WEEKS = f"""mw AS (SELECT p.plan_id AS map_plan_id, p.media_outlet_id, p.plan_type, p.checked_yn, w.week_start, w.week_end, 'WEEK' || w.week_no AS wk, 'EP_Wek' || w.week_no AS ewk
+        FROM {{plan}} p JOIN ({WEEKS}) w ON w.period_id = p.period_id)"""
 
 
 EPISODE_MEMBERS = """cpf AS (
@@ -46,13 +45,13 @@ EKEYS = "s.project_id, s.episode_id"
 SUM_UNITS = "CAST(sum(s.planned_units) AS BIGINT)"
 STARTED = "JOIN maps mq ON mq.plan_id = w.map_plan_id AND pr.start_date <= mq.qe"
 
-EPISODES_OPTIMISED = f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {map_weeks('')}, {GOALS2} {EPISODE_MEMBERS}
+EPISODES_OPTIMISED = f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {MAP_WEEKS}, {GOALS2} {EPISODE_MEMBERS}
     fi AS (
         SELECT w.map_plan_id, s.campaign_goal_id, s.project_id, s.episode_id, w.week_start, w.ewk, {SUM_UNITS} AS units
         FROM {{schedule_episode}} s JOIN mw w ON w.map_plan_id = s.plan_id AND s.start_date BETWEEN w.week_start AND w.week_end
         JOIN newest n ON n.plan_id = s.plan_id
         JOIN {{plan_project_episode}} e ON e.plan_id = s.plan_id AND e.plan_version_id = n.v AND e.project_id = s.project_id AND e.episode_id = s.episode_id
-        WHERE s.plan_version_id = 0 AND (w.period_id <= 7990 OR e.status_cd IN (9, 10)) GROUP BY ALL
+        WHERE s.plan_version_id = 0 AND (w.checked_yn = 'N' OR e.status_cd IN (9, 10)) GROUP BY ALL
         UNION
         {other_rows('{schedule_episode}', SUM_UNITS, EKEYS, 'ewk')}
         UNION
@@ -65,7 +64,7 @@ EPISODES_OPTIMISED = f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {map_weeks('')},
     UNION ALL
     {EPISODE_OUT} LEFT JOIN fi f ON f.map_plan_id = c.map_plan_id AND f.campaign_goal_id = c.campaign_goal_id WHERE c.campaign_goal_id IS NOT NULL"""
 
-EPISODES_SAVED = f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {map_weeks('')}, {GOALS2} {EPISODE_MEMBERS}
+EPISODES_SAVED = f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {MAP_WEEKS}, {GOALS2} {EPISODE_MEMBERS}
     fi AS (
         SELECT w.map_plan_id, CAST(NULL AS BIGINT) AS campaign_goal_id, s.project_id, s.episode_id, w.week_start, w.ewk, s.unit_count AS units
         FROM {{plan_project_spots_episode_map}} s JOIN newest n ON n.plan_id = s.plan_id AND n.v = s.plan_version_id
@@ -78,7 +77,7 @@ EPISODES_SAVED = f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {map_weeks('')}, {GOA
 def plan_grid(grp: bool, target: str) -> str:
     value = "sum(s.planned_grp)" if grp else SUM_UNITS
     kind = "DECIMAL(38,2)" if grp else "BIGINT"
-    status = "e.status_cd IN (9, 10)" if grp else "(w.period_id <= 7990 OR e.status_cd IN (9, 10))"
+    status = "e.status_cd IN (9, 10)" if grp else "(w.checked_yn = 'N' OR e.status_cd IN (9, 10))"
     demo = ("pp.demo_id", "rd.name") if target == "project" else ("od.demo_id", "odn.name")
     cols = f"""b.map_plan_id, b.plan_id, b.project_id, b.past_project, pp.campaign_goal_id, pp.display_seq, pr.name AS project_name, pp.phase_type,
         ph.description AS ph_description, pr.is_episodic, pr.media_outlet_id AS project_outlet_id, mo.short_name AS network_name, pp.status_cd,
@@ -94,7 +93,7 @@ def plan_grid(grp: bool, target: str) -> str:
         coalesce(lr.run_ts, m.update_ts) AS exec_end_ts, pp.is_dirty, pr.user_comment, ol.last_opt_version_ts, {demo[0]} AS network_target_demo_id,
         {demo[1]} AS network_target_demo_name, CASE WHEN pr.media_outlet_id = m.media_outlet_id THEN 1 ELSE 99 END AS network_display_seq,
         pp.cluster_id, rc.cluster_name"""
-    return f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {map_weeks('WHERE w.week_no <= 26')},
+    return f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {MAP_WEEKS},
     goals AS (
         SELECT DISTINCT m.plan_id AS map_plan_id, s.campaign_goal_id FROM {{schedule}} s
         JOIN (SELECT DISTINCT plan_id, campaign_goal_id FROM {{plan_project}}) e ON e.campaign_goal_id = s.campaign_goal_id JOIN {{plan}} p ON p.plan_id = e.plan_id

@@ -6,7 +6,7 @@ FUTURE = "nxt AS (SELECT a.plan_id, b.plan_id AS future_plan_id FROM {plan} a JO
 SPOTS = "spots AS (SELECT plan_id, start_date, daypart_id, planned_units, planned_grp FROM {schedule} UNION ALL SELECT plan_id, start_date, daypart_id, planned_units, planned_grp FROM {schedule_episode})"
 
 
-def capacity(limit: str, grp: bool) -> str:
+def capacity(grp: bool) -> str:
     value = "sum(g.grp_capacity)" if grp else "CAST(sum(c.capacity_per_hour) AS BIGINT)"
     join = """LEFT JOIN {capacity_grp} g ON g.capacity_id = c.capacity_id
         AND g.demo_id = (SELECT min(demo_id) FROM {outlet_demo} o WHERE o.media_outlet_id = grid.media_outlet_id AND o.default_yn = 'Y')""" if grp else ""
@@ -14,7 +14,7 @@ def capacity(limit: str, grp: bool) -> str:
         SELECT grid.plan_id, grid.week_no, grid.week_start, {value} AS capacity
         FROM grid LEFT JOIN {{capacity}} c ON c.media_outlet_id = grid.media_outlet_id AND c.plan_type = 1
              AND c.start_date BETWEEN grid.week_start AND grid.week_end {join}
-        WHERE grid.plan_type = 1 {limit} GROUP BY ALL"""
+        WHERE grid.plan_type = 1 GROUP BY ALL"""
 
 
 def use(ahead: bool, grp: bool, where: str) -> str:
@@ -24,7 +24,7 @@ def use(ahead: bool, grp: bool, where: str) -> str:
     return f"""WITH {GRID}, {FUTURE}, {SPOTS}
         SELECT grid.plan_id, grid.week_no, grid.week_start, {value} AS units
         FROM grid {join} LEFT JOIN spots s ON s.plan_id = {source} AND s.start_date BETWEEN grid.week_start AND grid.week_end
-        WHERE grid.week_no <= 26 {where} GROUP BY ALL"""
+        {where} GROUP BY ALL"""
 
 
 def future_days(table: str, value: str) -> str:
@@ -41,8 +41,8 @@ def future_daypart(table: str, value: str) -> str:
 UNITS0 = "CAST(coalesce(sum(s.planned_units), 0) AS BIGINT)"
 
 SQL = {
-    "quarterly_capacity": capacity("", False),
-    "quarterly_capacity_grp": capacity("", True),
+    "quarterly_capacity": capacity(False),
+    "quarterly_capacity_grp": capacity(True),
     "quarterly_future_units": use(True, False, ""),
     "weekly_day_capacity": f"""WITH {DAYS}
         SELECT days.plan_id, days.day, CAST(sum(c.capacity_per_hour) AS BIGINT) AS capacity
@@ -70,7 +70,7 @@ SQL = {
         UNION ALL
         SELECT plan_id, project_id, CAST(sum(planned_units) AS BIGINT), 'episode'
         FROM {schedule_episode} WHERE start_date <= DATE '1998-06-17' GROUP BY ALL""",
-    "inventory_capacity": capacity("AND grid.week_no <= 26", False),
-    "utilized_inventory": use(False, True, "AND grid.plan_type = 1"),
-    "future_quarter_spots": use(True, False, "AND grid.plan_type = 1"),
+    "inventory_capacity": capacity(False),
+    "utilized_inventory": use(False, True, "WHERE grid.plan_type = 1"),
+    "future_quarter_spots": use(True, False, "WHERE grid.plan_type = 1"),
 }

@@ -15,9 +15,9 @@ def window(table: str, keys: list[str]) -> str:
     return f"""WITH {NEWEST},
         inherited AS (
             SELECT x.plan_id, x.plan_version_id, {', '.join('x.' + k for k in keys)}, x.on_map_start, x.on_map_end, x.cluster_id, x.status_cd, b.plan_id IS NOT NULL AND x.on_map_start <= {n} AS inh,
-                   b.on_map_start AS bs, b.on_map_end AS be, b.nielsen_start AS bns, b.nielsen_end AS bne,
-                   CASE WHEN b.plan_id IS NOT NULL AND x.on_map_start <= {n} THEN b.nielsen_start ELSE x.nielsen_start END AS ns,
-                   CASE WHEN b.plan_id IS NOT NULL AND x.on_map_start <= {n} THEN b.nielsen_end ELSE x.nielsen_end END AS ne
+                   b.on_map_start AS bs, b.on_map_end AS be, b.measured_start AS bns, b.measured_end AS bne,
+                   CASE WHEN b.plan_id IS NOT NULL AND x.on_map_start <= {n} THEN b.measured_start ELSE x.measured_start END AS ns,
+                   CASE WHEN b.plan_id IS NOT NULL AND x.on_map_start <= {n} THEN b.measured_end ELSE x.measured_end END AS ne
             FROM {{{table}}} x JOIN newest n ON n.plan_id = x.plan_id AND n.v = x.plan_version_id
             LEFT JOIN {{{table}}} b ON b.plan_id = x.plan_id AND b.plan_version_id = x.plan_version_id - 1 AND {same}),
         reset AS (
@@ -29,7 +29,7 @@ def window(table: str, keys: list[str]) -> str:
                 WHEN {wd} < isodow({n}) - 1 THEN CAST(date_trunc('week', {n}) AS DATE) + CAST({wd} AS INT)
                 ELSE CAST(date_trunc('week', {n}) AS DATE) - 7 + CAST({wd} AS INT) END AS ne) FROM reset)
         SELECT plan_id, plan_version_id, {shown}, on_map_start, on_map_end,
-               CASE WHEN ns IS NULL THEN ne - CAST(datediff('day', on_map_start, on_map_end) AS INT) ELSE ns END AS nielsen_start, ne AS nielsen_end FROM ended"""
+               CASE WHEN ns IS NULL THEN ne - CAST(datediff('day', on_map_start, on_map_end) AS INT) ELSE ns END AS measured_start, ne AS measured_end FROM ended"""
 
 
 def backfill(table: str, keys: list[str]) -> str:

@@ -15,9 +15,9 @@ PROFILE = """prof AS (
             CASE WHEN p.media_outlet_id <> r.media_outlet_id THEN (SELECT min(s.segment_id) FROM {segment} s WHERE s.mask = coalesce(r.segment_id, p.target_segment))
                  ELSE coalesce(r.segment_id, p.target_segment) END AS segment_id,
             r.frequency, r.calc_based_on, r.target_reach_pct, r.target_grps, r.planned_spot, r.flight_start, r.flight_end, r.qtr_start,
-            CAST(least(greatest(round((datediff('day', r.flight_start, r.flight_end) + 1) / 7, 0), 1), 26) AS INT) AS flight_week_count
+            CAST(greatest(round((datediff('day', r.flight_start, r.flight_end) + 1) / 7, 0), 1) AS INT) AS flight_week_count
         FROM {reach_request} r JOIN {project} p ON p.project_id = r.project_id)
-    WHERE flight_end >= (SELECT start_date FROM {cal_period} WHERE period_type = 'W' AND DATE '1998-06-17' BETWEEN start_date AND end_date))"""
+    WHERE NOT coalesce(flight_end < (SELECT start_date FROM {cal_period} WHERE period_type = 'W' AND DATE '1998-06-17' BETWEEN start_date AND end_date), FALSE))"""
 
 PICK = """pick AS (
     SELECT k.media_outlet_id, k.demo_id, k.qtr_start, coalesce(
@@ -38,7 +38,7 @@ GUIDE = f"""part AS (
     SELECT d.*, c.segment_id AS whole_id FROM {{reach_detail}} d JOIN {{segment_component}} c ON c.component_segment_id = d.segment_id),
     point AS (
         SELECT reach_id, whole_id, week_count, unit_count, max(grp) AS grp FROM (
-            SELECT p.reach_id, p.whole_id, p.week_count, p.unit_count, p.start_date, {rounded('CAST(sum(p.impressions) AS HUGEINT) * 100', 'max(u.universe)::HUGEINT', 2)} AS grp
+            SELECT p.reach_id, p.whole_id, p.week_count, p.unit_count, p.start_date, p.end_date, {rounded('CAST(sum(p.impressions) AS HUGEINT) * 100', 'max(u.universe)::HUGEINT', 2)} AS grp
             FROM part p JOIN {{reach_header}} h ON h.reach_id = p.reach_id JOIN {{demo}} u ON u.demo_id = h.target_demo_id WHERE p.frequency = 1 GROUP BY ALL) GROUP BY ALL),
     guide AS (
         SELECT p.reach_id, p.whole_id AS segment_id, p.week_count, p.frequency, p.unit_count, {rounded('CAST(sum(p.reach) AS HUGEINT) * 100', 'CAST(sum(p.universe) AS HUGEINT)', 2)} AS reach_pct,
@@ -78,7 +78,7 @@ def by_mode(a: str, b: str) -> str:
 
 
 ESTIMATES = f"""estimates AS (
-    SELECT call_id, project_id, media_outlet_id, calc_based_on, flight_start, flight_end, qtr_start,
+    SELECT call_id, project_id, media_outlet_id, calc_based_on, flight_start, flight_end, qtr_start, flight_week_count AS asked_weeks, week_count,
         CAST(CASE WHEN calc_based_on = 'ES' THEN NULL WHEN upper_unit_count = 0 THEN top_unit_count WHEN calc_based_on = 'S' THEN planned_spot
              WHEN lower_unit_count = upper_unit_count THEN lower_unit_count WHEN lower_unit_count > upper_unit_count THEN upper_unit_count
              ELSE lower_unit_count + {rise('lower_unit_count', 'upper_unit_count', 0)} END AS BIGINT) AS spot_result,

@@ -63,7 +63,7 @@ SQL = {
         SELECT p.* REPLACE ({NAMED} AS name, d.user_id AS update_user, {NOW} AS update_ts, 0 AS plan_status_id, NULL AS comments)
         FROM {{plan}} p JOIN decided d ON d.plan_id = p.plan_id
         UNION ALL BY NAME
-        SELECT d.plan_id, d.media_outlet_id, d.period_id, d.plan_type, {NAMED} AS name, 0 AS plan_status_id, 'Y' AS active_yn, NULL AS comments,
+        SELECT d.plan_id, d.media_outlet_id, d.period_id, d.plan_type, {NAMED} AS name, 0 AS plan_status_id, 'Y' AS active_yn, 'Y' AS checked_yn, NULL AS comments,
                {NOW} AS create_ts, {NOW} AS update_ts, d.user_id AS update_user FROM decided d WHERE d.is_new""",
     "saved_versions": f"""WITH {DECIDED}
         SELECT v.* FROM {{plan_version}} v WHERE {others('v')}

@@ -93,7 +93,7 @@ COUNTED = ("plan", "campaign_goal", "campaign_goal_episode", "schedule", "schedu
            "plan_project_spots", "plan_project_spots_episode", "plan_project_spots_episode_map", "plan_version", "model_exec")
 
 DETAILS = {
-    "plan_header": lambda t: details.plan_header(t, last_legacy_period=7990),
+    "plan_header": details.plan_header,
     "episode_rules_json": details.episode_rules_json,
     "saved_episode_rules_json": details.saved_episode_rules_json,
     "multi_net_flag": details.multi_net_flag,
@@ -108,9 +108,9 @@ DETAILS = {
 }
 
 EDITABLE = {
-    "plan_grid_for_edit": lambda t: editable.plan_grid_for_edit(t, NOON, UNITS, last_unchecked=7990),
+    "plan_grid_for_edit": lambda t: editable.plan_grid_for_edit(t, NOON, UNITS),
     "plan_grid_for_edit_default_demo": lambda t: editable.plan_grid_for_edit(t, NOON, GRP, network_target="default"),
-    "episodes_optimised": lambda t: editable.episodes_optimised(t, UNITS, last_unchecked=7990),
+    "episodes_optimised": lambda t: editable.episodes_optimised(t, UNITS),
     "episodes_saved": lambda t: editable.episodes_saved(t, UNITS),
 }
 

@@ -102,12 +102,14 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
     version, run = completed_or_first_version(t), latest_model_version(t.plan, t.model_exec)
     sums = [F.sum(measure(output_type)).alias("planned_units_sum"), F.sum("planned_grp").alias("proj_grp")]
     key = ["plan_id", "project_id", "media_outlet_id", "daypart_id", "start_date"]
+    # Own launch rows keep the point value in their grain; everything else is asked of the kept day sums.
+    spots, t = t.schedule.where(F.col("active_yn") == "Y"), t.with_day_sums()
     launch = t.schedule.where(F.col("active_yn") == "Y")
     episode = t.schedule_episode.where(F.col("active_yn") == "Y")
     goal = goal_columns(t.campaign_goal)
 
     own_launch = (
-        launch.groupBy(*key, "campaign_goal_id", "planned_grp").agg(*sums).drop("planned_grp").distinct()
+        spots.groupBy(*key, "campaign_goal_id", "planned_grp").agg(*sums).drop("planned_grp").distinct()
         .join(version, ["plan_id", "media_outlet_id"]).join(goal, ["campaign_goal_id", "media_outlet_id"])
         .join(planned.drop(*from_pp), ["plan_id", "plan_version_id", "project_id"])
         .withColumns({"map_plan_id": F.col("plan_id"), "past_project": F.lit("N")})

@@ -12,15 +12,17 @@ from spotgrid.operators.grids import completed_or_first_version
 from spotgrid.plans.calendar import periods
 from spotgrid.plans.context import latest_version
 
-# First quarter id with maps, run kinds, constraint kind, log status and their labels.
-LAST_LEGACY_PERIOD = 312
+# Run kinds, constraint kind, log status and their labels.
 LOG_MODEL_TYPES = (2, 4)
 TIMEBAND_CONSTRAINT = 4
 RETIMING_STATUS = 15
 
 
-def plan_header(t, last_legacy_period: int = LAST_LEGACY_PERIOD) -> DataFrame:
-    """Plan, status, editors and newest lock of every outlet, quarter and type; legacy quarters show no values."""
+def plan_header(t) -> DataFrame:
+    """Plan, status, editors and newest lock of every outlet, quarter and type.
+
+    Plans from before maps were checked (``checked_yn`` is N) show no values.
+    """
     lock = t.plan_lock.groupBy("plan_id").agg(F.max(F.struct("lock_id", "flag", "lock_user", "lock_ts")).alias("lock"))
     editor = t.sec_user.select(F.col("user_id").alias("update_user"), "first_name", "last_name")
     locker = t.sec_user.select(F.col("user_id").alias("locked_by_id"),
@@ -38,7 +40,7 @@ def plan_header(t, last_legacy_period: int = LAST_LEGACY_PERIOD) -> DataFrame:
         "first_name": F.coalesce("first_name", F.lit("0")), "last_name": F.coalesce("last_name", F.lit("0")), "status_comment": F.col("comments"),
         "locked_ts": F.when(F.col("lock.flag") == "Y", F.col("lock.lock_ts")), "locked_by": F.col("locked_by"), "locked_by_id": F.col("locked_by_id"),
     }
-    current = F.col("period_id") > last_legacy_period
+    current = F.col("checked_yn") == "Y"
     return rows.select("media_outlet_id", "qtr_name", "plan_type", *[F.when(current, c).alias(n) for n, c in shown.items()])
 
 
@@ -65,7 +67,7 @@ def multi_net_flag(t) -> DataFrame:
         "request_id", "media_outlet_id", F.explode(F.from_json("project_ids_json", "array<bigint>")).alias("project_id"))
     geo = t.geo_project.select("project_id", "media_outlet_id", "geo_plan_name", F.lit(True).alias("hit"))
     return listed.join(geo, ["project_id", "media_outlet_id"], "left").select(
-        "request_id", "project_id", F.when(F.col("hit"), F.lit("MultiNet")).otherwise(F.lit("Prophet")).alias("planned_on"), "geo_plan_name"
+        "request_id", "project_id", F.when(F.col("hit"), F.lit("multi")).otherwise(F.lit("single")).alias("planned_on"), "geo_plan_name"
     ).distinct()
 
 

@@ -11,7 +11,7 @@ from spotgrid.functions.columns import UNITS, flight_weeks, measure, own_network
 from spotgrid.functions.joins import match_left_null, match_right_null
 from spotgrid.operators.grids import LONG_CLOCK, map_plans
 from spotgrid.operators.inventory import by_week
-from spotgrid.plans.calendar import MAP_WEEKS, quarter_weeks, week_number
+from spotgrid.plans.calendar import quarter_weeks, week_number
 from spotgrid.plans.context import (
     LIVE_VERSION,
     default_demo,
@@ -23,32 +23,18 @@ from spotgrid.plans.context import (
 )
 from spotgrid.sources.shared import stage
 
-# Status codes and the last quarter id whose spots ignore project status.
+# Status codes, and the time that stands for no colour change.
 OPTIMISED_STATUS = (9, 10)
 COMPLETE_PLAN, RUNNING_PLAN = 3, 2
-LAST_UNCHECKED_PERIOD = 316
 NO_COLOUR_CHANGE = dt.datetime(1990, 1, 1)
 
 
-def map_week_labels(t, max_weeks: int | None) -> DataFrame:
+def map_week_labels(t) -> DataFrame:
     """(map plan, week) with both labels: a few dozen rows per plan."""
-    weeks = week_number(quarter_weeks(t.cal_period, max_weeks=max_weeks)).drop("fiscal_qtr", "week_end", "week_no")
+    weeks = week_number(quarter_weeks(t.cal_period)).drop("fiscal_qtr", "week_end", "week_no")
     return map_plans(t).join(weeks, F.col("map_period_id") == F.col("period_id")).drop("period_id")
 
 
-def with_daily_spots(t):
-    """The same tables with both schedules summed per day and written once.
-
-    The editable map asks the schedules seven different questions; each then reads day sums, not spots.
-    """
-    keys = ["plan_id", "plan_version_id", "media_outlet_id", "project_id", "campaign_goal_id", "start_date"]
-    sums = [F.sum("planned_units").alias("planned_units"), F.sum("planned_grp").alias("planned_grp")]
-    return t.replace(
-        schedule=stage(t.spark, t.schedule.groupBy(*keys).agg(*sums), "launch_days"),
-        schedule_episode=stage(t.spark, t.schedule_episode.groupBy(*keys, "episode_id").agg(*sums), "episode_days"),
-    )
-
-
 def live(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("plan_version_id") == LIVE_VERSION)
 
@@ -74,12 +60,12 @@ def weekly_live(facts: DataFrame, t, output_type: int, keys: list[str]) -> DataF
     return by_week(live(facts).withColumn("units", measure(output_type)), t.cal_period, ["units"], "plan_id", "media_outlet_id", *keys)
 
 
-def other_plan_amounts(facts: DataFrame, t, output_type: int, max_weeks: int | None, keys: list[str],
+def other_plan_amounts(facts: DataFrame, t, output_type: int, keys: list[str],
                        label: str, starts_by_quarter_end: bool = False) -> DataFrame:
     """Weekly live spots of all other plans of the outlet, for projects of the map's type."""
     weekly = weekly_live(facts, t, output_type, keys)
     typed = t.project.select("project_id", F.col("project_type").alias("plan_type"), F.col("start_date").alias("project_start"))
-    maps = map_week_labels(t, max_weeks).select(
+    maps = map_week_labels(t).select(
         "map_plan_id", F.col("map_outlet_id").alias("media_outlet_id"), F.col("map_plan_type").alias("plan_type"), "map_period_id",
         "week_start", label)
     rows = weekly.join(typed, "project_id").join(maps, ["media_outlet_id", "plan_type", "week_start"]).where(F.col("plan_id") != F.col("map_plan_id"))
@@ -89,26 +75,26 @@ def other_plan_amounts(facts: DataFrame, t, output_type: int, max_weeks: int | N
     return rows.groupBy("map_plan_id", *keys, "week_start", label).agg(F.sum("units").alias("units"))
 
 
-def own_amounts(facts: DataFrame, members: DataFrame, t, output_type: int, max_weeks: int | None, keys: list[str], label: str) -> DataFrame:
+def own_amounts(facts: DataFrame, members: DataFrame, t, output_type: int, keys: list[str], label: str) -> DataFrame:
     """Weekly live spots of the map's own plan, for the given member rows."""
     weekly = weekly_live(facts, t, output_type, keys)
-    weeks = map_week_labels(t, max_weeks).select(F.col("map_plan_id").alias("plan_id"), "week_start", label)
+    weeks = map_week_labels(t).select(F.col("map_plan_id").alias("plan_id"), "week_start", label)
     return weekly.join(members, members.columns, "left_semi").join(weeks, ["plan_id", "week_start"]).groupBy(
         F.col("plan_id").alias("map_plan_id"), *keys, "week_start", label).agg(F.sum("units").alias("units"))
 
 
-def manual_amounts(spots: DataFrame, t, max_weeks: int | None, keys: list[str], label: str) -> DataFrame:
+def manual_amounts(spots: DataFrame, t, keys: list[str], label: str) -> DataFrame:
     """Weekly counts typed in for a plan version; they carry no goal."""
-    weeks = map_week_labels(t, max_weeks).select(F.col("map_plan_id").alias("plan_id"), F.col("week_start").alias("week_date"), label)
+    weeks = map_week_labels(t).select(F.col("map_plan_id").alias("plan_id"), F.col("week_start").alias("week_date"), label)
     return spots.join(weeks, ["plan_id", "week_date"]).select(
         F.col("plan_id").alias("map_plan_id"), *keys, F.lit(None).cast("bigint").alias("campaign_goal_id"),
         F.col("week_date").alias("week_start"), label, F.col("unit_count").alias("units"))
 
 
-def status_checked(df: DataFrame, t, last_unchecked: int) -> DataFrame:
-    """Rows whose status is optimised; plans up to ``last_unchecked`` pass whatever the status."""
-    return df.join(t.plan.select("plan_id", "period_id"), "plan_id").where(
-        F.col("status_cd").isin(*OPTIMISED_STATUS) | (F.col("period_id") <= last_unchecked)).drop("period_id")
+def status_checked(df: DataFrame, t) -> DataFrame:
+    """Rows whose status is optimised; plans that were never checked pass whatever the status."""
+    return df.join(t.plan.select("plan_id", "checked_yn"), "plan_id").where(
+        F.col("status_cd").isin(*OPTIMISED_STATUS) | (F.col("checked_yn") == "N")).drop("checked_yn")
 
 
 # --- episode grids -------------------------------------------------------------------
@@ -137,28 +123,28 @@ def episode_output(grid: DataFrame) -> DataFrame:
         "week_start", F.col("episode_week_label").alias("week"), "units")
 
 
-def episodes_optimised(t, output_type: int = UNITS, last_unchecked: int = LAST_UNCHECKED_PERIOD) -> DataFrame:
+def episodes_optimised(t, output_type: int = UNITS) -> DataFrame:
     """Episode by week: optimised episodes from the schedule, the others from manual entries."""
-    t = with_daily_spots(t)
+    t = t.with_day_sums()
     keys, label = ["project_id", "episode_id"], "episode_week_label"
     newest = t.plan_project_episode.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
-    checked = status_checked(newest, t, last_unchecked).select("plan_id", *keys).distinct()
+    checked = status_checked(newest, t).select("plan_id", *keys).distinct()
     unchecked = newest.where(~F.col("status_cd").isin(*OPTIMISED_STATUS)).select("plan_id", "plan_version_id", *keys).distinct()
-    own = own_amounts(t.schedule_episode, checked, t, output_type, None, [*keys, "campaign_goal_id"], label)
-    other = other_plan_amounts(t.schedule_episode, t, output_type, None, [*keys, "campaign_goal_id"], label)
+    own = own_amounts(t.schedule_episode, checked, t, output_type, [*keys, "campaign_goal_id"], label)
+    other = other_plan_amounts(t.schedule_episode, t, output_type, [*keys, "campaign_goal_id"], label)
     manual = manual_amounts(
-        t.plan_project_spots_episode.join(unchecked, ["plan_id", "plan_version_id", *keys], "left_semi"), t, None, keys, label)
+        t.plan_project_spots_episode.join(unchecked, ["plan_id", "plan_version_id", *keys], "left_semi"), t, keys, label)
     amounts = own.unionByName(other).unionByName(manual.withColumn("units", F.col("units").cast(own.schema["units"].dataType))).distinct()
     return episode_output(match_left_null(episode_members(t), amounts, "campaign_goal_id", keys, ["map_plan_id"]))
 
 
 def episodes_saved(t, output_type: int = UNITS) -> DataFrame:
     """Episode by week from the saved entries of the newest version, and other plans' schedule."""
-    t = with_daily_spots(t)
+    t = t.with_day_sums()
     keys, label = ["project_id", "episode_id"], "episode_week_label"
     saved = t.plan_project_spots_episode_map.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
-    manual = manual_amounts(saved, t, None, keys, label)
-    other = other_plan_amounts(t.schedule_episode, t, output_type, None, [*keys, "campaign_goal_id"], label, starts_by_quarter_end=True)
+    manual = manual_amounts(saved, t, keys, label)
+    other = other_plan_amounts(t.schedule_episode, t, output_type, [*keys, "campaign_goal_id"], label, starts_by_quarter_end=True)
     amounts = other.unionByName(manual.withColumn("units", F.col("units").cast(other.schema["units"].dataType))).distinct()
     return episode_output(episode_members(t).join(
         amounts.withColumnRenamed("campaign_goal_id", "amount_goal_id"), ["map_plan_id", *keys], "left"))
@@ -204,37 +190,36 @@ def colour_flags(t, as_of: dt.datetime) -> DataFrame:
         "plan_id", "project_id", F.when(over, "N").when(changed, "Y").otherwise("N").alias("flag"))
 
 
-def weekly_amounts(t, output_type: int, last_unchecked: int) -> tuple[DataFrame, DataFrame]:
+def weekly_amounts(t, output_type: int) -> tuple[DataFrame, DataFrame]:
     """Weekly spots for complete plans (matched by goal or project) and for all other plans (matched by project)."""
     keys, label = ["project_id"], "week_label"
     newest = t.plan_project.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
     only_optimised = newest.where(F.col("status_cd").isin(*OPTIMISED_STATUS))
     # Rating points always come from optimised projects; spots of old quarters come from all of them.
-    checked = status_checked(newest, t, last_unchecked) if output_type == UNITS else only_optimised
+    checked = status_checked(newest, t) if output_type == UNITS else only_optimised
     unchecked = newest.where(~F.col("status_cd").isin(*OPTIMISED_STATUS)).select("plan_id", "plan_version_id", "project_id")
     is_complete = t.plan.where(F.coalesce("plan_status_id", F.lit(0)) == COMPLETE_PLAN).select(F.col("plan_id").alias("map_plan_id"))
 
-    own = own_amounts(t.schedule, checked.select("plan_id", "project_id").distinct(), t, output_type, MAP_WEEKS, [*keys, "campaign_goal_id"], label)
-    other = other_plan_amounts(t.schedule, t, output_type, MAP_WEEKS, [*keys, "campaign_goal_id"], label)
+    own = own_amounts(t.schedule, checked.select("plan_id", "project_id").distinct(), t, output_type, [*keys, "campaign_goal_id"], label)
+    other = other_plan_amounts(t.schedule, t, output_type, [*keys, "campaign_goal_id"], label)
     spots = t.plan_project_spots.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
     kind = own.schema["units"].dataType
-    manual = manual_amounts(spots, t, MAP_WEEKS, keys, label).withColumn("units", F.col("units").cast(kind))
+    manual = manual_amounts(spots, t, keys, label).withColumn("units", F.col("units").cast(kind))
     manual_unchecked = manual_amounts(spots.join(unchecked, ["plan_id", "plan_version_id", "project_id"], "left_semi"),
-                                      t, MAP_WEEKS, keys, label).withColumn("units", F.col("units").cast(kind))
-    started = other_plan_amounts(t.schedule, t, output_type, MAP_WEEKS, [*keys, "campaign_goal_id"], label, starts_by_quarter_end=True)
+                                      t, keys, label).withColumn("units", F.col("units").cast(kind))
+    started = other_plan_amounts(t.schedule, t, output_type, [*keys, "campaign_goal_id"], label, starts_by_quarter_end=True)
 
     for_complete = own.unionByName(other).unionByName(manual_unchecked).join(is_complete, "map_plan_id", "left_semi").distinct()
     for_open = started.drop("campaign_goal_id").unionByName(manual.drop("campaign_goal_id")).join(is_complete, "map_plan_id", "left_anti").distinct()
     return for_complete, for_open
 
 
-def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, last_unchecked: int = LAST_UNCHECKED_PERIOD,
-                       network_target: str = "project") -> DataFrame:
+def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_target: str = "project") -> DataFrame:
     """Editable map of every plan.
 
     ``network_target`` is the client variant: show the project's audience, or the outlet's ``default`` one.
     """
-    t = with_daily_spots(t)
+    t = t.with_day_sums()
     slim = stage(t.spark, edit_members(t).join(
         t.plan_project.select("plan_id", "plan_version_id", "project_id", "campaign_goal_id"), ["plan_id", "plan_version_id", "project_id"]
     ).join(t.plan.select(F.col("plan_id").alias("map_plan_id"), F.coalesce("plan_status_id", F.lit(0)).alias("plan_status_id")), "map_plan_id"),
@@ -306,7 +291,7 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, last_unc
             "no_of_episode", "colour_check_flag", "priority", "scatter_imps", "subevent_name", "exec_end_ts", "is_dirty", "user_comment",
             "last_opt_version_ts", "network_target_demo_id", "network_target_demo_name", "network_display_seq", "cluster_id", "cluster_name")
     )
-    for_complete, for_open = weekly_amounts(t, output_type, last_unchecked)
+    for_complete, for_open = weekly_amounts(t, output_type)
     # Weeks are matched on slim keys; the wide rows join once, at the end.
     by_row = ["map_plan_id", "plan_id", "project_id"]
     done = slim.where(plan_status == COMPLETE_PLAN).select(*by_row, "campaign_goal_id")

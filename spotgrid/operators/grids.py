@@ -92,10 +92,11 @@ def quarterly_projects(t, output_type: int = UNITS) -> DataFrame:
     Weekly sums are packed per goal (a few dozen weeks at most) and the weeks unfold last,
     so the wide project rows are never shuffled once per week.
     """
+    t = t.with_day_sums()
     weekly = by_week(live_rows(t.schedule), t.cal_period, ["planned_units", "planned_grp"], "plan_id", "campaign_goal_id")
     packed = weekly.groupBy("plan_id", "campaign_goal_id").agg(
         F.map_from_entries(F.collect_list(F.struct("week_start", F.struct("planned_units", "planned_grp")))).alias("by_week"))
-    weeks = quarter_weeks(t.cal_period, max_weeks=None).groupBy(F.col("period_id").alias("map_period_id")).agg(
+    weeks = quarter_weeks(t.cal_period).groupBy(F.col("period_id").alias("map_period_id")).agg(
         F.sort_array(F.collect_list("week_start")).alias("weeks"))
     rows = (
         quarterly_members(t).join(project_info(t.plan_project), ["plan_id", "plan_version_id", "project_id"])
@@ -117,6 +118,7 @@ def quarterly_projects(t, output_type: int = UNITS) -> DataFrame:
 
 def episode_rows(t, period_type: str, output_type: int) -> DataFrame:
     """Live episode spots by calendar slice and plan, matched to the map of the slice's quarter."""
+    t = t.with_day_sums()
     live = t.schedule_episode.where(F.col("plan_version_id") == LIVE_VERSION)
     slices = day_map(t.cal_period, period_type).select("day", "fiscal_qtr", F.col("period_start").alias("slice_start"))
     quarters = t.cal_period.where(F.col("period_type") == "Q").select(F.col("name").alias("fiscal_qtr"), F.col("period_id").alias("map_period_id"))
@@ -149,19 +151,9 @@ def weekly_episode_units(t, output_type: int = UNITS) -> DataFrame:
     return episode_rows(t, "D", output_type).withColumnRenamed("slice_start", "week_date")
 
 
-def with_daily_spots(t):
-    """The same tables with both schedules summed per day and written once; the weekly map reads them seven times."""
-    keys = ["plan_id", "plan_version_id", "active_yn", "media_outlet_id", "project_id", "start_date", "end_date"]
-    sums = [F.sum("planned_units").alias("planned_units"), F.sum("planned_grp").alias("planned_grp")]
-    return t.replace(
-        schedule=stage(t.spark, t.schedule.groupBy(*keys, "campaign_goal_id").agg(*sums), "launch_days"),
-        schedule_episode=stage(t.spark, t.schedule_episode.groupBy(*keys).agg(*sums), "episode_days"),
-    )
-
-
 def weekly_projects(t, output_type: int = UNITS) -> DataFrame:
     """Projects of every map and week: own launch spots, own episode-only projects, and earlier plans' projects."""
-    t = with_daily_spots(t)
+    t = t.with_day_sums()
     week_of = day_map(t.cal_period, "W").select(F.col("day").alias("start_date"), F.col("period_start").alias("week_start"))
     info = project_info(t.plan_project)
     planned = info.where(F.col("status_cd") != IN_PROGRESS_STATUS)

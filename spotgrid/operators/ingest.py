@@ -14,7 +14,7 @@ CAPACITY_JSON = "map<string,array<struct<DAY_OF_WEEK:string,DAYPART_ID:string,ME
 
 def explode_capacity_json(t, as_of: dt.date) -> DataFrame:
     """One row per future day and daypart named by the uploaded weeks, weekdays counted from Monday = 1."""
-    weeks = quarter_weeks(t.cal_period, n_quarters=1, max_weeks=None).select("period_id", "week_no", F.col("week_start").alias("from"), F.col("week_end").alias("to"))
+    weeks = quarter_weeks(t.cal_period, n_quarters=1).select("period_id", "week_no", F.col("week_start").alias("from"), F.col("week_end").alias("to"))
     days = weeks.select("period_id", "week_no", F.explode(F.sequence("from", "to")).alias("start_date"))
     days = days.where(F.col("start_date") > F.lit(as_of)).withColumn("day_of_week", F.weekday("start_date") + 1)
     quarter = periods(t.cal_period, "Q").select("period_id", F.col("name").alias("fiscal_qtr"))

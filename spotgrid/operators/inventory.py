@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spotgrid.functions.columns import UNITS, measure
 from spotgrid.functions.joins import day_map
-from spotgrid.plans.calendar import MAP_WEEKS, map_days, quarter_weeks
+from spotgrid.plans.calendar import map_days, quarter_weeks
 from spotgrid.plans.context import default_demo, future_plan
 
 PRIMARY_PLAN_TYPE = 1
@@ -36,9 +36,9 @@ def capacity_rows(t, output_type: int) -> DataFrame:
     )
 
 
-def plan_weeks(plan: DataFrame, cal: DataFrame, max_weeks: int | None) -> DataFrame:
+def plan_weeks(plan: DataFrame, cal: DataFrame) -> DataFrame:
     return plan.select("plan_id", "media_outlet_id", "plan_type", "period_id").join(
-        quarter_weeks(cal, max_weeks=max_weeks).drop("fiscal_qtr"), "period_id"
+        quarter_weeks(cal).drop("fiscal_qtr"), "period_id"
     )
 
 
@@ -51,21 +51,21 @@ def by_week(df: DataFrame, cal: DataFrame, values: list[str], *keys: str) -> Dat
     return df.join(days, "start_date").groupBy(*keys, "week_start").agg(*[F.sum(v).alias(v) for v in values])
 
 
-def quarterly_capacity(t, output_type: int = UNITS, max_weeks: int | None = None) -> DataFrame:
+def quarterly_capacity(t, output_type: int = UNITS) -> DataFrame:
     """Capacity of every week on the map of every primary plan; weeks without capacity stay, empty."""
     cap = capacity_rows(t, output_type).where(F.col("plan_type") == PRIMARY_PLAN_TYPE)
     weekly = by_week(cap, t.cal_period, ["capacity"], "media_outlet_id")
-    grid = plan_weeks(t.plan.where(F.col("plan_type") == PRIMARY_PLAN_TYPE), t.cal_period, max_weeks)
+    grid = plan_weeks(t.plan.where(F.col("plan_type") == PRIMARY_PLAN_TYPE), t.cal_period)
     return grid.join(weekly, ["media_outlet_id", "week_start"], "left").select(
         "plan_id", "week_no", "week_start", "capacity"
     )
 
 
-def weekly_use(t, output_type: int = UNITS, quarters_ahead: int = 0, max_weeks: int | None = MAP_WEEKS) -> DataFrame:
+def weekly_use(t, output_type: int = UNITS, quarters_ahead: int = 0) -> DataFrame:
     """Launch and episode spots per map week, of the plan itself (0) or of the next quarter's plan (1), zero-filled."""
     facts = both_phases(t, "plan_id", "start_date", "planned_units", "planned_grp").withColumn("units", measure(output_type))
     weekly = by_week(facts, t.cal_period, ["units"], "plan_id").withColumnRenamed("plan_id", "source_plan_id")
-    grid = plan_weeks(t.plan, t.cal_period, max_weeks)
+    grid = plan_weeks(t.plan, t.cal_period)
     if quarters_ahead:
         source = future_plan(t.plan).withColumnRenamed("future_plan_id", "source_plan_id")
         grid = grid.join(source, "plan_id", "left")
@@ -82,7 +82,7 @@ def quarterly_future_units(t, output_type: int = UNITS) -> DataFrame:
 
 
 def inventory_capacity(t, output_type: int = UNITS) -> DataFrame:
-    return quarterly_capacity(t, output_type, max_weeks=MAP_WEEKS)
+    return quarterly_capacity(t, output_type)
 
 
 def primary_plans(t):

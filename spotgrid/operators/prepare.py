@@ -54,21 +54,21 @@ def measurement_window(rows: DataFrame, versions: DataFrame, last_measured: dt.d
     """
     newest = rows.join(versions, ["plan_id", "plan_version_id"], "left_semi")
     before = rows.select("plan_id", (F.col("plan_version_id") + 1).alias("plan_version_id"), *keys,
-                         F.col("nielsen_start").alias("b_start"), F.col("nielsen_end").alias("b_end"),
+                         F.col("measured_start").alias("b_start"), F.col("measured_end").alias("b_end"),
                          F.col("on_map_start").alias("b_from"), F.col("on_map_end").alias("b_to"), F.lit(True).alias("had"))
     measured = F.lit(last_measured)
     inherits = F.coalesce("had", F.lit(False)) & (F.col("on_map_start") <= measured)
     moved = (F.col("cluster_id") > CLUSTER_FLOOR) & (F.col("status_cd") == CHANGED_STATUS) & ~(
         (F.col("on_map_start") == F.col("b_from")) & (F.col("on_map_end") == F.col("b_to")))
     moved = F.coalesce(moved, F.lit(False))
-    start = F.when(inherits & moved, F.lit(None)).when(inherits, F.col("b_start")).otherwise(F.col("nielsen_start"))
-    end = F.when(inherits & moved, F.lit(None)).when(inherits, F.col("b_end")).otherwise(F.col("nielsen_end"))
+    start = F.when(inherits & moved, F.lit(None)).when(inherits, F.col("b_start")).otherwise(F.col("measured_start"))
+    end = F.when(inherits & moved, F.lit(None)).when(inherits, F.col("b_end")).otherwise(F.col("measured_end"))
     same_weekday = F.date_sub(measured, F.pmod(F.weekday(measured) - F.weekday("on_map_end"), F.lit(7)))
     return (
         newest.join(before, ["plan_id", "plan_version_id", *keys], "left")
-        .withColumn("new_start", start).withColumn("nielsen_end", F.coalesce(end, same_weekday))
-        .withColumn("nielsen_start", F.coalesce("new_start", F.date_sub("nielsen_end", F.datediff("on_map_end", "on_map_start"))))
-        .select("plan_id", "plan_version_id", *keys, "on_map_start", "on_map_end", "nielsen_start", "nielsen_end")
+        .withColumn("new_start", start).withColumn("measured_end", F.coalesce(end, same_weekday))
+        .withColumn("measured_start", F.coalesce("new_start", F.date_sub("measured_end", F.datediff("on_map_end", "on_map_start"))))
+        .select("plan_id", "plan_version_id", *keys, "on_map_start", "on_map_end", "measured_start", "measured_end")
     )
 
 
@@ -144,10 +144,10 @@ def expand_model_params(t, as_of: dt.datetime, forced: dict[int, int] | None = N
 def with_windows(rows: DataFrame, windows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the measurement dates of ``windows`` where it has the row."""
     key = ["plan_id", "plan_version_id", *keys]
-    dates = windows.select(*key, F.col("nielsen_start").alias("w_start"), F.col("nielsen_end").alias("w_end"), F.lit(True).alias("measured"))
+    dates = windows.select(*key, F.col("measured_start").alias("w_start"), F.col("measured_end").alias("w_end"), F.lit(True).alias("measured"))
     return rows.join(dates, key, "left").withColumns({
-        "nielsen_start": F.when(F.col("measured"), F.col("w_start")).otherwise(F.col("nielsen_start")),
-        "nielsen_end": F.when(F.col("measured"), F.col("w_end")).otherwise(F.col("nielsen_end")),
+        "measured_start": F.when(F.col("measured"), F.col("w_start")).otherwise(F.col("measured_start")),
+        "measured_end": F.when(F.col("measured"), F.col("w_end")).otherwise(F.col("measured_end")),
     }).select(*rows.columns)
 
 

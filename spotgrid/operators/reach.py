@@ -11,9 +11,8 @@ from spotgrid.functions.joins import day_map
 from spotgrid.plans.calendar import periods
 from spotgrid.sources.shared import stage
 
-# Clamp of flight weeks, the outlet whose guide quarter must end before the map
+# The outlet whose guide quarter must end before the map
 # quarter starts, and what each mode measures.
-MIN_WEEKS, MAX_WEEKS = 1, 26
 EARLY_GUIDE_OUTLET = 1
 ONE_WEEK_MODES = ("ER", "EG")
 REACH_MODES, GRP_MODES, SPOT_MODE = ("R", "ER"), ("G", "EG"), "S"
@@ -24,7 +23,8 @@ NUM = "decimal(18,2)"
 def flight_profile(t, as_of: dt.date) -> DataFrame:
     """Open requests with their segment and week count.
 
-    Flights that ended before the current week leave. A project of another network has its
+    Flights that ended before the current week leave; where the calendar has no current week, or a flight no end,
+    nothing is known to have ended. A project of another network has its
     segment looked up again by bit mask.
     """
     week = periods(t.cal_period, "W").where(F.lit(as_of).between(F.col("start_date"), F.col("end_date")))
@@ -35,11 +35,11 @@ def flight_profile(t, as_of: dt.date) -> DataFrame:
     return (
         t.reach_request.withColumnRenamed("segment_id", "asked_segment").join(project, "project_id")
         .withColumn("wanted_segment", F.coalesce("asked_segment", "target_segment").cast("bigint"))
-        .join(by_mask, "wanted_segment", "left").where(F.col("flight_end") >= current_week_start)
+        .join(by_mask, "wanted_segment", "left").where(~F.coalesce(F.col("flight_end") < current_week_start, F.lit(False)))
         .withColumns({
             "segment_id": F.when(F.col("project_outlet_id") != F.col("media_outlet_id"), F.col("masked_segment_id"))
             .otherwise(F.col("wanted_segment").cast("int")),
-            "flight_week_count": F.least(F.greatest(F.round(days / 7).cast("int"), F.lit(MIN_WEEKS)), F.lit(MAX_WEEKS)),
+            "flight_week_count": F.greatest(F.round(days / 7).cast("int"), F.lit(1)),
         })
         .select("call_id", "project_id", "media_outlet_id", "demo_id", "segment_id", "frequency", "calc_based_on", "target_reach_pct",
                 "target_grps", "planned_spot", "flight_start", "flight_end", "qtr_start", "flight_week_count")
@@ -69,7 +69,7 @@ def guide_limits(t) -> DataFrame:
 
 
 def guided_requests(t, as_of: dt.date) -> DataFrame:
-    """Requests with their guide and the week count the guide can serve; per-week modes read week one."""
+    """Requests with their guide and the week count the guide can serve, beside the weeks asked for; per-week modes read week one."""
     requests = stage(t.spark, flight_profile(t, as_of), "open_requests")
     return (
         requests.join(select_guide(requests, t), ["media_outlet_id", "demo_id", "qtr_start"], "left")
@@ -100,7 +100,7 @@ def build_reach_guide(t, wanted: DataFrame | None = None) -> DataFrame:
     coverage = F.sum("cov").cast("decimal(23,2)") / F.sum("n").cast("decimal(12,0)")
     curve = per_part.join(parts, on).groupBy(*key, "frequency").agg(
         F.round(share, 2).cast(NUM).alias("reach_pct"), F.round(coverage, 0).cast(NUM).alias("cov_grp"))
-    per_window = detail.where(F.col("frequency") == 1).join(parts, on).groupBy(*key, "start_date").agg(F.sum("impressions").alias("imps"))
+    per_window = detail.where(F.col("frequency") == 1).join(parts, on).groupBy(*key, "start_date", "end_date").agg(F.sum("impressions").alias("imps"))
     rating = (F.col("imps") * 100).cast("decimal(23,0)") / F.col("audience").cast("decimal(14,0)")
     points = per_window.join(header, "reach_id").join(universe, "target_demo_id").groupBy(*key).agg(
         F.max(F.round(rating, 2)).cast(NUM).alias("grp"))
@@ -163,6 +163,7 @@ def interpolate(rows: DataFrame) -> DataFrame:
     known = by_reach | by_grp | by_spot
     return rows.select(
         "call_id", "project_id", "media_outlet_id", "calc_based_on", "flight_start", "flight_end", "qtr_start",
+        F.col("flight_week_count").alias("asked_weeks"), "week_count",
         F.when(known, F.when(no_upper, F.col("top_unit_count")).otherwise(spots)).cast("bigint").alias("spot_result"),
         F.when(known, F.when(no_upper, F.col("top_reach_pct")).otherwise(reach)).cast(NUM).alias("reach_pct_result"),
         F.when(known, F.round(F.when(no_upper, F.col("top_grp")).otherwise(points), 1)).cast("decimal(18,1)").alias("grps_result"),

@@ -68,7 +68,7 @@ def saved_plans(t, as_of: dt.datetime) -> DataFrame:
         "comments": F.lit(None).cast("string")}).drop("new_name", "new_user")
     added = saved.where("is_new").select(
         "plan_id", "media_outlet_id", "period_id", "plan_type", F.col("new_name").alias("name"), F.lit(DRAFT).alias("plan_status_id"),
-        F.lit("Y").alias("active_yn"), F.lit(None).cast("string").alias("comments"), F.lit(as_of).alias("create_ts"), F.lit(as_of).alias("update_ts"),
+        F.lit("Y").alias("active_yn"), F.lit("Y").alias("checked_yn"), F.lit(None).cast("string").alias("comments"), F.lit(as_of).alias("create_ts"), F.lit(as_of).alias("update_ts"),
         F.col("new_user").alias("update_user"))
     return snapshot_merge(t.plan, touched.unionByName(added), ["plan_id"])
 

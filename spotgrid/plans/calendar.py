@@ -7,8 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Weeks and quarters on one map, and the reach of the quarter list.
-MAP_WEEKS = 26
+# Quarters on one map, and the reach of the quarter list.
 MAP_QUARTERS = 2
 QUARTER_LIST_BACK_DAYS = 95
 QUARTER_LIST_AHEAD = 4
@@ -18,8 +17,8 @@ def periods(cal: DataFrame, period_type: str) -> DataFrame:
     return cal.where(F.col("period_type") == period_type)
 
 
-def quarter_weeks(cal: DataFrame, n_quarters: int = MAP_QUARTERS, max_weeks: int | None = MAP_WEEKS) -> DataFrame:
-    """Weeks shown on the map of every quarter: its own and the following quarters' weeks.
+def quarter_weeks(cal: DataFrame, n_quarters: int = MAP_QUARTERS) -> DataFrame:
+    """Weeks shown on the map of every quarter: all its own and the following quarters' weeks.
 
     A quarter hands its weeks to its own map and to the maps of the quarters before it.
     """
@@ -32,8 +31,6 @@ def quarter_weeks(cal: DataFrame, n_quarters: int = MAP_QUARTERS, max_weeks: int
     )
     by_map = Window.partitionBy("period_id").orderBy("week_end")
     numbered = shown.join(weeks, "fiscal_qtr").withColumn("week_no", F.row_number().over(by_map))
-    if max_weeks is not None:
-        numbered = numbered.where(F.col("week_no") <= max_weeks)
     return numbered.select("period_id", "fiscal_qtr", "week_no", "week_start", "week_end")
 
 
@@ -47,7 +44,7 @@ def week_number(weeks: DataFrame) -> DataFrame:
 
 def map_days(cal: DataFrame, n_quarters: int = MAP_QUARTERS) -> DataFrame:
     """One row per (map quarter, day) with the week that holds the day."""
-    return quarter_weeks(cal, n_quarters, max_weeks=None).select(
+    return quarter_weeks(cal, n_quarters).select(
         "period_id", "week_start", F.explode(F.sequence("week_start", "week_end")).alias("day")
     )
 

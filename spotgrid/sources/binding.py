@@ -208,6 +208,7 @@ VIEWS: dict[str, str] = {
                'Map ' || CAST(plan_id AS STRING) || CASE WHEN media_outlet_id % 2 = 0 THEN '-v1' ELSE '' END AS name,
                CASE CAST((media_outlet_id + period_id) % 5 AS INT) WHEN 0 THEN 0 WHEN 1 THEN 3 WHEN 2 THEN 7 WHEN 3 THEN 3 ELSE 2 END AS plan_status_id,
                CASE WHEN (media_outlet_id + period_id) % 23 = 0 THEN 'N' ELSE 'Y' END AS active_yn,
+               CASE WHEN period_id <= 7990 THEN 'N' ELSE 'Y' END AS checked_yn,
                CASE WHEN period_id % 2 = 0 THEN 'reviewed' ELSE NULL END AS comments,
                min(o_orderdate) AS create_ts, max(o_orderdate) AS update_ts, CAST(max(o_custkey) + 1 AS BIGINT) AS update_user
         FROM {run_line} GROUP BY plan_id, media_outlet_id, period_id, plan_type""",
@@ -257,8 +258,8 @@ VIEWS: dict[str, str] = {
                k.last_date AS on_map_premiere,
                CASE WHEN (k.project_id + v.plan_version_id) % 4 = 0 THEN NULL ELSE k.plan_id * 10000000000 + k.project_id END AS campaign_id,
                CASE WHEN (k.project_id + v.plan_version_id) % 4 = 0 THEN NULL ELSE k.plan_id * 100000000000 + k.project_id * 10 + 1 END AS campaign_goal_id,
-               CASE WHEN (k.project_id + v.plan_version_id) % 3 = 1 THEN NULL ELSE k.first_date - 35 END AS nielsen_start,
-               CASE WHEN (k.project_id + v.plan_version_id) % 3 = 1 THEN NULL ELSE k.last_date - 35 END AS nielsen_end,
+               CASE WHEN (k.project_id + v.plan_version_id) % 3 = 1 THEN NULL ELSE k.first_date - 35 END AS measured_start,
+               CASE WHEN (k.project_id + v.plan_version_id) % 3 = 1 THEN NULL ELSE k.last_date - 35 END AS measured_end,
                CAST(k.first_date AS TIMESTAMP) AS update_ts, 'pp ' || CAST(k.project_id AS STRING) AS user_comment
         FROM {plan_project_key} k JOIN {plan_version} v ON k.plan_id = v.plan_id
         WHERE day(k.first_date) > v.plan_version_id * 2""",
@@ -281,8 +282,8 @@ VIEWS: dict[str, str] = {
                CASE WHEN (k.project_id + v.plan_version_id) % 5 = 0 THEN NULL ELSE k.plan_id * 10000000000 + k.project_id END AS campaign_id,
                CASE WHEN (k.project_id + v.plan_version_id) % 5 = 0 THEN NULL
                     ELSE k.plan_id * 100000000000 + k.project_id * 10 + k.episode_id END AS campaign_goal_id,
-               CASE WHEN (k.project_id + k.episode_id) % 3 = 1 THEN NULL ELSE k.first_date - 35 END AS nielsen_start,
-               CASE WHEN (k.project_id + k.episode_id) % 3 = 1 THEN NULL ELSE k.last_date - 35 END AS nielsen_end
+               CASE WHEN (k.project_id + k.episode_id) % 3 = 1 THEN NULL ELSE k.first_date - 35 END AS measured_start,
+               CASE WHEN (k.project_id + k.episode_id) % 3 = 1 THEN NULL ELSE k.last_date - 35 END AS measured_end
         FROM {episode_key} k JOIN {plan_version} v ON k.plan_id = v.plan_id
         WHERE day(k.first_date) > v.plan_version_id * 2""",
     "plan_project_spots": """
@@ -356,7 +357,7 @@ VIEWS: dict[str, str] = {
                      year(monday) * 4 + 4 AS period_id FROM {run_line}) h
         JOIN {cal_period} c ON c.period_type = 'Q' AND c.period_id = h.period_id""",
     "reach_detail": """
-        SELECT reach_id, segment_id, week_count, frequency, unit_count, start_date,
+        SELECT reach_id, segment_id, week_count, frequency, unit_count, start_date, end_date,
                CAST(10 * unit_count * (10 - frequency) + 37 * segment_id + 100 * week_count AS BIGINT) AS reach,
                CAST(100000 AS BIGINT) AS universe,
                CAST(1000 * unit_count + 11 * segment_id + 7 * week_count AS BIGINT) AS impressions,
@@ -364,7 +365,8 @@ VIEWS: dict[str, str] = {
         FROM (SELECT DISTINCT CAST(media_outlet_id AS BIGINT) * 10000 + year(start_date) AS reach_id, CAST(l_partkey % 9 + 1 AS INT) AS segment_id,
                      CAST(l_orderkey % 4 + 1 AS INT) AS week_count, CAST(l_partkey % 2 + 1 AS INT) AS frequency,
                      CAST(10 * ceil(planned_units / 5) AS INT) AS unit_count,
-                     CASE WHEN l_linenumber % 2 = 0 THEN DATE '1995-01-02' ELSE DATE '1995-02-06' END AS start_date
+                     CASE WHEN l_linenumber % 2 = 0 THEN DATE '1995-01-02' ELSE DATE '1995-02-06' END AS start_date,
+                     DATE '1995-02-12' + CAST(l_linenumber % 3 * 7 AS INT) AS end_date
               FROM {spot_line}) x""",
     "reach_request": """
         SELECT k.plan_id AS call_id, k.project_id,

@@ -22,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local["):
+    if not (spark.sparkContext.master + "[").startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:

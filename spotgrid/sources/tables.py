@@ -8,9 +8,14 @@ DataFrames lazily by attribute, so a report only touches what it uses.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spotgrid.sources.binding import BASE_TABLES, referenced, takes_shuffle, view_sql
-from spotgrid.sources.shared import new_table_path
+from spotgrid.sources.shared import new_table_path, stage
+
+DAY_KEYS = ("plan_id", "plan_version_id", "active_yn", "media_outlet_id", "project_id", "campaign_goal_id", "daypart_id", "start_date", "end_date")
+#: Spot schedules, and what their day sums are kept by.
+SCHEDULES = {"schedule": DAY_KEYS, "schedule_episode": (*DAY_KEYS, "episode_id")}
 
 
 class Tables:
@@ -42,7 +47,28 @@ class Tables:
 
     def replace(self, **frames: DataFrame) -> "Tables":
         """The same tables with some of them swapped, e.g. filtered to one plan."""
-        return type(self)(self.spark, self._root, self._database, {**self._frames, **frames})
+        kept = {name: frame for name, frame in self._frames.items() if name.removesuffix("_days") not in frames}
+        return type(self)(self.spark, self._root, self._database, {**kept, **frames})
+
+    def _kept(self, name: str) -> dict[str, DataFrame]:
+        """Where the day sums of a schedule are remembered."""
+        return self._frames
+
+    def with_day_sums(self) -> "Tables":
+        """The same tables with both schedules summed per day, goal and daypart.
+
+        The sums are written once for these tables and serve every grid that needs weeks or days of spots.
+        """
+        sums = {}
+        for name, keys in SCHEDULES.items():
+            kept = self._kept(name)
+            if f"{name}_days" not in kept:
+                facts = getattr(self, name)
+                present = [k for k in keys if k in facts.columns]
+                kept[f"{name}_days"] = stage(self.spark, facts.groupBy(*present).agg(
+                    F.sum("planned_units").alias("planned_units"), F.sum("planned_grp").alias("planned_grp")), f"{name}_days")
+            sums[name] = kept[f"{name}_days"]
+        return self.replace(**sums)
 
 
 class BoundTables(Tables):
@@ -61,6 +87,9 @@ class BoundTables(Tables):
         # Opened tables are kept per application, so a table is listed and written once.
         self._opened = self._frames_of.setdefault((spark.sparkContext.applicationId, str(root)), {})
 
+    def _kept(self, name: str) -> dict[str, DataFrame]:
+        return self._frames if name in self._frames else self._opened
+
     def _load(self, name: str) -> DataFrame:
         if name not in self._opened:
             self._opened[name] = self._open(name)

@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import oracle
+from spotgrid import catalog
 from spotgrid.sources.binding import BASE_TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQLS = entry.queries(), entry.oracle_sql()
+QUERIES, SQLS = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -10,6 +10,7 @@ from spotgrid.functions import columns as col
 from spotgrid.operators import choices, distribute, inventory, prepare, reach, save, validate
 from spotgrid.plans import calendar as cal
 from spotgrid.plans import context
+from spotgrid.plans.calendar import quarter_weeks
 from spotgrid.sources.tables import Tables
 from tests.conftest import day
 
@@ -77,14 +78,14 @@ def test_quarter_window_goes_back_and_ahead(calendar):
 # --- reach guide -------------------------------------------------------------------------
 
 REQUEST = ("call_id bigint, project_id bigint, media_outlet_id int, calc_based_on string, target_reach_pct decimal(18,2), target_grps decimal(18,2), "
-           "planned_spot int, flight_start date, flight_end date, qtr_start date, reach_id bigint, segment_id int, frequency int, week_count int, available_units int")
+           "planned_spot int, flight_start date, flight_end date, qtr_start date, reach_id bigint, segment_id int, frequency int, flight_week_count int, week_count int, available_units int")
 GUIDE = "reach_id bigint, segment_id int, week_count int, frequency int, unit_count int, reach_pct decimal(18,2), cov_grp decimal(18,2), grp decimal(18,2)"
 
 
 def estimate(spark, mode, reach_pct=None, grps=None, spots=None, curve=((10, 30, 100), (20, 50, 180))):
     d = day("2024-01-01")
     asked = spark.createDataFrame([(1, 7, 3, mode, D(reach_pct) if reach_pct is not None else None, D(grps) if grps is not None else None, spots,
-                                    d, d, d, 9, 1, 1, 1, 20)], REQUEST)
+                                    d, d, d, 9, 1, 1, 1, 1, 20)], REQUEST)
     guide = spark.createDataFrame([(9, 1, 1, 1, u, D(r), D(0), D(g)) for u, r, g in curve], GUIDE)
     return reach.interpolate(reach.bracket(asked, guide)).select("spot_result", "reach_pct_result", "grps_result").first()
 
@@ -129,14 +130,14 @@ def test_saved_episode_spots_mode_has_no_estimate(spark):
 # --- preparation -----------------------------------------------------------------------------
 
 WINDOW = ("plan_id bigint, plan_version_id bigint, project_id bigint, status_cd int, cluster_id int, on_map_start date, on_map_end date, "
-          "nielsen_start date, nielsen_end date")
+          "measured_start date, measured_end date")
 
 
 def window(spark, rows, measured="2024-05-15"):
     frame = spark.createDataFrame(rows, WINDOW)
     versions = frame.groupBy("plan_id").agg(F.max("plan_version_id").alias("plan_version_id"))
     r = prepare.measurement_window(frame, versions, day(measured), ["project_id"]).first()
-    return r.nielsen_start, r.nielsen_end
+    return r.measured_start, r.measured_end
 
 
 def test_measurement_end_is_the_last_same_weekday(spark):
@@ -163,10 +164,10 @@ def test_changed_cluster_flight_loses_the_inherited_window(spark):
 # --- save -------------------------------------------------------------------------------------
 
 def save_tables(spark, status, versions):
-    plans = [(101, 3, 100, 1, "Map-v1", status, "Y", "c", None, None, 5)] if status is not None else [(77, 9, 100, 1, "x", 0, "Y", None, None, None, 5)]
+    plans = [(101, 3, 100, 1, "Map-v1", status, "Y", "Y", "c", None, None, 5)] if status is not None else [(77, 9, 100, 1, "x", 0, "Y", "Y", None, None, None, 5)]
     return Tables(spark, overrides={
         "plan": spark.createDataFrame(plans, "plan_id bigint, media_outlet_id int, period_id int, plan_type int, name string, plan_status_id int, "
-                                             "active_yn string, comments string, create_ts timestamp, update_ts timestamp, update_user bigint"),
+                                             "active_yn string, checked_yn string, comments string, create_ts timestamp, update_ts timestamp, update_user bigint"),
         "plan_version": spark.createDataFrame([(101, v, 1, 50 + v) for v in versions],
                                               "plan_id bigint, plan_version_id bigint, optimization_type int, model_exec_id bigint"),
         "save_request": spark.createDataFrame([(1, 3, 100, 1, "Map-v9", 8, 0)], "uid bigint, media_outlet_id int, period_id int, plan_type int, "
@@ -252,3 +253,50 @@ def test_missing_set_up_is_reported_per_outlet_and_quarter(spark, calendar):
     })
     got = sorted((r.media_outlet_id, r.period_id, r.validation_message) for r in choices.network_config_errors(t).collect())
     assert got == [(1, 100, "spots"), (1, 101, "capacity"), (1, 101, "spots"), (2, 100, "capacity"), (2, 100, "dayparts")]
+
+
+# --- calendar, reach requests and guide windows ---------------------------------------------------
+
+def test_a_map_of_27_weeks_keeps_its_last_week(spark):
+    """A quarter of 14 weeks followed by one of 13: nothing is cut off."""
+    monday, rows = day("2024-01-01"), []
+    for q, (first, n) in enumerate(((0, 14), (14, 13))):
+        start = monday + dt.timedelta(days=7 * first)
+        rows.append((100 + q, "Q", f"{q + 1}Q24", f"{q + 1}Q24", start, start + dt.timedelta(days=7 * n - 1)))
+        rows += [(1000 + first + w, "W", "w", f"{q + 1}Q24", start + dt.timedelta(days=7 * w), start + dt.timedelta(days=7 * w + 6)) for w in range(n)]
+    cal = spark.createDataFrame(rows, "period_id int, period_type string, name string, fiscal_qtr string, start_date date, end_date date")
+    assert quarter_weeks(cal).where("period_id = 100").agg({"week_no": "max"}).first()[0] == 27
+
+
+def requests(spark, calendar, ends):
+    rows = [(i, 7, 3, 1, 4, 1, "R", D(5), None, None, day("2024-01-01"), end, day("2024-01-01")) for i, end in enumerate(ends)]
+    return Tables(spark, overrides={
+        "cal_period": calendar,
+        "project": spark.createDataFrame([(7, 3, 4)], "project_id bigint, media_outlet_id int, target_segment int"),
+        "segment": spark.createDataFrame([(4, 8)], "segment_id int, mask bigint"),
+        "reach_request": spark.createDataFrame(rows, "call_id bigint, project_id bigint, media_outlet_id int, demo_id int, segment_id int, frequency int, "
+                                               "calc_based_on string, target_reach_pct decimal(18,2), target_grps decimal(18,2), planned_spot int, "
+                                               "flight_start date, flight_end date, qtr_start date")})
+
+
+@pytest.mark.parametrize("as_of, want", [("2024-06-05", [1, 2]), ("1990-01-01", [0, 1, 2])])
+def test_only_flights_that_have_ended_leave(spark, calendar, as_of, want):
+    """Outside the calendar there is no current week, and a flight without an end hasn't ended."""
+    t = requests(spark, calendar, [day("2024-06-02"), day("2024-06-03"), None])
+    assert sorted(r.call_id for r in reach.flight_profile(t, day(as_of)).collect()) == want
+
+
+def test_long_flights_keep_their_weeks(spark, calendar):
+    t = requests(spark, calendar, [day("2024-12-29")])
+    assert reach.flight_profile(t, day("2024-06-05")).first().flight_week_count == 52
+
+
+def test_windows_of_one_start_are_not_summed_together(spark):
+    detail = [(9, 1, 1, 1, 10, day("2024-01-01"), day(end), 10, 100, 500, D(1)) for end in ("2024-01-07", "2024-01-14")]
+    t = Tables(spark, overrides={
+        "reach_header": spark.createDataFrame([(9, 2)], "reach_id bigint, target_demo_id int"),
+        "demo": spark.createDataFrame([(2, 1000)], "demo_id int, universe bigint"),
+        "segment_component": spark.createDataFrame([(1, 1)], "segment_id int, component_segment_id int"),
+        "reach_detail": spark.createDataFrame(detail, "reach_id bigint, segment_id int, week_count int, frequency int, unit_count int, start_date date, "
+                                              "end_date date, reach bigint, universe bigint, impressions bigint, cov_grp decimal(18,2)")})
+    assert reach.build_reach_guide(t).first().grp == D("50.00")

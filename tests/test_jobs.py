@@ -49,7 +49,7 @@ def test_prepared_rows_have_windows_and_no_open_goals(spark):
     assert out["plan_project"].count() == t.plan_project.count()
     newest = t.plan_version.groupBy("plan_id").agg(F.max("plan_version_id").alias("plan_version_id"))
     rows = out["plan_project"].join(newest, ["plan_id", "plan_version_id"], "left_semi")
-    assert rows.where("nielsen_start is null or nielsen_end is null").count() == 0
+    assert rows.where("measured_start is null or measured_end is null").count() == 0
     assert rows.where("optimize_yn = 'N' and campaign_goal_id is null").count() == 0
     assert rows.where("optimize_yn = 'Y' and status_cd <> 2").count() == 0
     ids = out["new_runs"].select("model_exec_id")

@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from spotgrid import catalog
 from spotgrid.sources.tables import BoundTables
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = catalog.queries()
 
 
 def physical(df):

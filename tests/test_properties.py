@@ -4,6 +4,8 @@ import datetime as dt
 import random
 from types import SimpleNamespace
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from spotgrid import catalog
@@ -148,9 +150,11 @@ def test_shared_folder_is_the_one_the_session_names():
     assert shared_folder(session_like("local[2]", **named)) == "hdfs://shared/work"
 
 
-def test_cluster_without_shared_folder_gets_none():
-    assert shared_folder(session_like("yarn")) is None
-    assert shared_folder(session_like("local[2]"))
+def test_cluster_without_shared_folder_is_refused():
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session_like(master))
+    assert shared_folder(session_like("local[2]")) == shared_folder(session_like("local[2]"))
 
 
 def test_staged_frame_reads_back_equal(spark):
