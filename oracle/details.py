@@ -39,7 +39,7 @@ SQL = {
     "multi_net_flag": """
         SELECT DISTINCT x.request_id, x.project_id, CASE WHEN g.project_id IS NULL THEN 'single' ELSE 'multi' END AS planned_on, g.geo_plan_name
         FROM (SELECT request_id, media_outlet_id, CAST(unnest(CAST(project_ids_json AS JSON)::BIGINT[]) AS BIGINT) AS project_id FROM {project_list}) x
-        LEFT JOIN {geo_project} g ON g.project_id = x.project_id AND g.media_outlet_id = x.media_outlet_id""",
+        LEFT JOIN {geo_project} g ON g.project_id = x.project_id AND g.media_outlet_id = x.media_outlet_id AND g.active_yn = 'Y'""",
     "episode_details": f"""
         SELECT d.project_id, d.episode_id, d.broadcast_date, {clock('d.air_offset')} AS start_time, {clock('d.air_offset + d.duration')} AS end_time, d.dow,
                d.pl_start, d.pl_end, CAST(datediff('day', d.pl_start, d.pl_end) + 1 AS INT) AS planning_days, coalesce(d.tgt_spot, 0) AS tgt_spot, d.tgt_grp,
@@ -51,9 +51,10 @@ SQL = {
         WHERE c.constraint_type_id = 4""",
     "episode_header": f"""
         SELECT project_id, episode_start_date, episode_end_date, {clock('start_offset')} AS episode_start_time, {clock('end_offset')} AS episode_end_time,
-               tgt_spots, tgt_grp, dow_mask FROM {{episode_header}}""",
-    "blackouts": "SELECT * FROM {blackout}",
-    "recurring_exclusions": "SELECT * FROM {recurring_exclusion}",
+               tgt_spots, tgt_grp, dow_mask FROM {{episode_header}} WHERE active_yn = 'Y'""",
+    "blackouts": "SELECT project_id, start_date, end_date FROM {blackout} WHERE kind = 'blackout'",
+    "recurring_exclusions": f"""
+        SELECT project_id, {hms('start_offset')} AS start_time, {hms('end_offset')} AS end_time, days_mask FROM {{recurring_exclusion}} WHERE active_yn = 'Y'""",
     "clock_offsets": f"""
         SELECT campaign_goal_id, {seconds('start_time')} AS start_offset, {seconds('end_time')} AS end_offset,
                {hms(seconds('start_time') + ' + ' + seconds('end_time'))} AS sum_time FROM {{campaign_goal}}""",

@@ -92,7 +92,9 @@ def plan_grid(grp: bool, target: str) -> str:
         CASE WHEN b.past_project = 'Y' THEN 'N' ELSE coalesce(cf.flag, 'N') END AS colour_check_flag, pp.priority, pr.scatter_imps, se.subevent_name,
         coalesce(lr.run_ts, m.update_ts) AS exec_end_ts, pp.is_dirty, pr.user_comment, ol.last_opt_version_ts, {demo[0]} AS network_target_demo_id,
         {demo[1]} AS network_target_demo_name, CASE WHEN pr.media_outlet_id = m.media_outlet_id THEN 1 ELSE 99 END AS network_display_seq,
-        pp.cluster_id, rc.cluster_name"""
+        pp.cluster_id, rc.cluster_name, pp.guide_reach_pct, pp.guide_grp, pp.guide_spots, pp.segment_type_id, pp.segment_mask,
+        pr.target_segment AS project_segment_id, pr.target_demo_id AS project_demo_id, pr.campaign_type_id, cf.map_colour_updated_ts, pp.on_map_start_ts,
+        pp.on_map_end_ts"""
     return f"""WITH {RUN_VERSION}, {NEWEST}, {MAPS}, {MAP_WEEKS},
     goals AS (
         SELECT DISTINCT m.plan_id AS map_plan_id, s.campaign_goal_id FROM {{schedule}} s
@@ -124,8 +126,8 @@ def plan_grid(grp: bool, target: str) -> str:
     {label('members')},
     colour AS (
         SELECT pp.plan_id, pp.project_id, CASE WHEN h.episode_end_date < TIMESTAMP '1998-06-17 12:00:00' THEN 'N'
-               WHEN coalesce(h.map_colour_updated_ts, TIMESTAMP '1990-01-01') > pp.update_ts THEN 'Y' ELSE 'N' END AS flag
-        FROM {{plan_project}} pp JOIN newest n ON n.plan_id = pp.plan_id AND n.v = pp.plan_version_id LEFT JOIN {{episode_header}} h ON h.project_id = pp.project_id),
+               WHEN coalesce(h.map_colour_updated_ts, TIMESTAMP '1990-01-01') > pp.update_ts THEN 'Y' ELSE 'N' END AS flag, h.map_colour_updated_ts
+        FROM {{plan_project}} pp JOIN newest n ON n.plan_id = pp.plan_id AND n.v = pp.plan_version_id LEFT JOIN {{episode_header}} h ON h.project_id = pp.project_id AND h.active_yn = 'Y'),
     last_run AS (SELECT x.plan_id, max(x.exec_end_ts) AS run_ts FROM {{model_exec}} x JOIN newest n ON n.plan_id = x.plan_id AND n.v = x.plan_version_id GROUP BY 1),
     rows_ AS (
         SELECT {cols} FROM members b JOIN {{plan}} m ON m.plan_id = b.map_plan_id

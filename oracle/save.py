@@ -20,7 +20,9 @@ STAGED = f"""staged AS (
         s.optimize_yn, s.is_dirty, 'Y' AS is_active, s.display_seq, s.priority, s.episode_priority, s.target_reach AS target_reach_pct, s.target_grp,
         CASE WHEN s.cluster_id >= 1 AND s.segment_id IS NULL THEN (SELECT min(g.segment_id) FROM {{segment}} g WHERE g.mask = s.segment_mask
              AND g.segment_type_id = CASE WHEN s.segment_mask IN (31, 480) THEN 3 ELSE s.segment_type_id END) ELSE s.segment_id END AS segment_id,
-        s.frequency, s.demo_id, s.cluster_id, s.phase_type, s.on_map_start, s.on_map_end, s.on_map_end AS on_map_premiere,
+        s.frequency, s.demo_id, s.cluster_id, s.phase_type, s.on_map_start, s.on_map_end, s.on_map_premiere, s.on_map_start_ts, s.on_map_end_ts,
+        s.planned_spots, s.guide_reach_pct, s.guide_grp, s.guide_spots, s.network_target_demo_id, s.segment_type_id, s.segment_mask, s.no_of_episode,
+        s.user_comment, d.user_id AS create_user, {NOW} AS create_ts, d.user_id AS update_user,
         CASE WHEN s.optimize_yn = 'Y' THEN {NOW} ELSE coalesce(b.update_ts, {NOW}) END AS update_ts, b.proj_grp, b.proj_reach_pct
     FROM {{stg_plan_project}} s JOIN decided d ON d.uid = s.uid
     LEFT JOIN {{plan_project}} b ON b.plan_id = d.plan_id AND b.plan_version_id = d.plan_version_id - 1 AND b.project_id = s.project_id)"""
@@ -68,9 +70,10 @@ SQL = {
     "saved_versions": f"""WITH {DECIDED}
         SELECT v.* FROM {{plan_version}} v WHERE {others('v')}
         UNION ALL BY NAME
-        SELECT v.* REPLACE (d.optimization_type AS optimization_type) FROM {{plan_version}} v JOIN decided d ON d.plan_id = v.plan_id AND d.plan_version_id = v.plan_version_id
+        SELECT v.* REPLACE (d.optimization_type AS optimization_type, {NOW} AS update_ts) FROM {{plan_version}} v JOIN decided d ON d.plan_id = v.plan_id AND d.plan_version_id = v.plan_version_id
         UNION ALL BY NAME
-        SELECT d.plan_id, d.plan_version_id, d.optimization_type, CAST(NULL AS BIGINT) AS model_exec_id FROM decided d WHERE d.version_action <> 'reuse'""",
+        SELECT d.plan_id, d.plan_version_id, d.map_name AS version_name, d.optimization_type, CAST(NULL AS BIGINT) AS model_exec_id, 'Y' AS active_yn,
+               d.user_id AS create_user, {NOW} AS create_ts, d.user_id AS update_user, {NOW} AS update_ts FROM decided d WHERE d.version_action <> 'reuse'""",
     "carry_forward_results": f"WITH {DECIDED}, {STAGED} SELECT * FROM staged",
     "freeze_optimize_flag": f"WITH {DECIDED}, {STAGED}, {FROZEN} SELECT * EXCLUDE (proj_grp, proj_reach_pct) FROM frozen",
     "upsert_plan_projects": f"""WITH {DECIDED}, {STAGED}, {FROZEN}, {REMOVED}
@@ -98,13 +101,15 @@ SQL = {
     "removed_episode_projects": f"WITH {DECIDED}, {REMOVED} SELECT * FROM removed_episode",
     "cascade_schedule_episode": without("schedule_episode", "removed_episode"),
     "cascade_project_reach": without("project_reach", "removed", "AND x.reach_type = 'PLANNED'"),
+    "cascade_project_reach_episode": without("project_reach_episode", "removed", "AND x.reach_type = 'PLANNED'"),
     "cascade_campaign_goal": without("campaign_goal", "removed"),
     "cascade_campaign_goal_episode": without("campaign_goal_episode", "removed"),
-    "audit_events": f"""WITH {DECIDED}, {REMOVED}
+    "audit_events": f"""WITH {DECIDED}, {REMOVED}, events AS (
         SELECT plan_id, CAST(NULL AS BIGINT) AS plan_version_id, CAST(NULL AS BIGINT) AS project_id, 'NEW PLAN CREATED' AS description, {NOW} AS event_ts FROM decided WHERE is_new
         UNION ALL SELECT plan_id, plan_version_id, NULL, 'NEW PLAN VERSION CREATED', {NOW} FROM decided WHERE version_action <> 'reuse'
         UNION ALL SELECT plan_id, saved_version, project_id, 'SPOTS REMOVED FOR DELETED PROJECT FROM A PLAN', {NOW} FROM removed
-        UNION ALL SELECT plan_id, saved_version, project_id, 'REACH DATA REMOVED FOR DELETED PROJECT FROM A PLAN', {NOW} FROM removed""",
+        UNION ALL SELECT plan_id, saved_version, project_id, 'REACH DATA REMOVED FOR DELETED PROJECT FROM A PLAN', {NOW} FROM removed)
+        SELECT *, CAST(NULL AS BIGINT) AS model_exec_id, CAST(NULL AS BIGINT) AS episode_id, 'SAVE PLANS' AS step_name FROM events""",
     "store_episode_json": f"""WITH {DECIDED}
         SELECT j.* FROM {{episode_json}} j WHERE {others('j')}
         UNION ALL SELECT d.plan_id, d.plan_version_id, s.project_id, s.episode_dtl_json FROM {{stg_episode_json}} s JOIN decided d ON d.uid = s.uid""",
@@ -118,7 +123,8 @@ SQL = {
         SELECT plan_id, plan_version_id, project_id, episode_id, CAST(date_trunc('week', start_date) AS DATE) AS week_date,
                CAST(CASE WHEN target_grp IS NULL THEN target_spots ELSE target_grp END AS DECIMAL(18,2)) AS unit_count FROM e""",
     "upsert_episode_map": f"""WITH {DECIDED}, s AS (
-            SELECT d.plan_id, d.plan_version_id, m.project_id, m.episode_id, m.week_date, m.unit_count FROM {{stg_episode_map}} m JOIN decided d ON d.uid = m.uid WHERE m.unit_count > 0)
+            SELECT d.plan_id, d.plan_version_id, m.project_id, m.episode_id, m.week_date, m.unit_count, m.episode_start_date, m.episode_end_date,
+                   m.broadcast_date, m.episode_start_ts FROM {{stg_episode_map}} m JOIN decided d ON d.uid = m.uid WHERE m.unit_count > 0)
         SELECT x.* FROM {{plan_project_spots_episode_map}} x WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.plan_id = x.plan_id AND s.plan_version_id = x.plan_version_id
             AND s.project_id = x.project_id AND s.episode_id = x.episode_id AND s.week_date = x.week_date)
         UNION ALL SELECT * FROM s""",

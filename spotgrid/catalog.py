@@ -147,7 +147,7 @@ SAVE = {
     "resolve_plan": save.resolve_plan,
     "decide_version": save.decide_version,
     "saved_plans": lambda t: save.saved_plans(t, NOON),
-    "saved_versions": save.saved_versions,
+    "saved_versions": lambda t: save.saved_versions(t, NOON),
     "carry_forward_results": lambda t: save.carry_forward_results(save.staged_projects(t, NOON), t),
     "freeze_optimize_flag": lambda t: save.freeze_optimize_flag(save.staged_projects(t, NOON), NOON),
     "upsert_plan_projects": lambda t: save.upsert_plan_projects(t, NOON),
@@ -157,6 +157,7 @@ SAVE = {
     "removed_episode_projects": save.removed_episode_projects,
     "cascade_schedule_episode": lambda t: save.cascade_remove(t)["schedule_episode"],
     "cascade_project_reach": lambda t: save.cascade_remove(t)["project_reach"],
+    "cascade_project_reach_episode": lambda t: save.cascade_remove(t)["project_reach_episode"],
     "cascade_campaign_goal": lambda t: save.cascade_remove(t)["campaign_goal"],
     "cascade_campaign_goal_episode": lambda t: save.cascade_remove(t)["campaign_goal_episode"],
     "audit_events": lambda t: save.audit_events(t, NOON),

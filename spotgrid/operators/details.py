@@ -16,6 +16,7 @@ from spotgrid.plans.context import latest_version
 LOG_MODEL_TYPES = (2, 4)
 TIMEBAND_CONSTRAINT = 4
 RETIMING_STATUS = 15
+BLACKOUT = "blackout"
 
 
 def plan_header(t) -> DataFrame:
@@ -65,7 +66,7 @@ def multi_net_flag(t) -> DataFrame:
     """Classify every project of a JSON id list as planned on several networks or on one."""
     listed = t.project_list.select(
         "request_id", "media_outlet_id", F.explode(F.from_json("project_ids_json", "array<bigint>")).alias("project_id"))
-    geo = t.geo_project.select("project_id", "media_outlet_id", "geo_plan_name", F.lit(True).alias("hit"))
+    geo = t.geo_project.where(F.col("active_yn") == "Y").select("project_id", "media_outlet_id", "geo_plan_name", F.lit(True).alias("hit"))
     return listed.join(geo, ["project_id", "media_outlet_id"], "left").select(
         "request_id", "project_id", F.when(F.col("hit"), F.lit("multi")).otherwise(F.lit("single")).alias("planned_on"), "geo_plan_name"
     ).distinct()
@@ -88,17 +89,21 @@ def episode_timebands(t) -> DataFrame:
 
 
 def episode_header(t) -> DataFrame:
-    return t.episode_header.select(
+    """Episode set-up of the projects that are still set up."""
+    return t.episode_header.where(F.col("active_yn") == "Y").select(
         "project_id", "episode_start_date", "episode_end_date", clock12(F.col("start_offset")).alias("episode_start_time"),
         clock12(F.col("end_offset")).alias("episode_end_time"), "tgt_spots", "tgt_grp", "dow_mask")
 
 
 def blackouts(t) -> DataFrame:
-    return t.blackout.select("project_id", "start_date", "end_date")
+    """Date ranges in which a project must not air."""
+    return t.blackout.where(F.col("kind") == BLACKOUT).select("project_id", "start_date", "end_date")
 
 
 def recurring_exclusions(t) -> DataFrame:
-    return t.recurring_exclusion
+    """Weekly hours in which a project must not air, as clock times."""
+    return t.recurring_exclusion.where(F.col("active_yn") == "Y").select(
+        "project_id", offset_to_time(F.col("start_offset")).alias("start_time"), offset_to_time(F.col("end_offset")).alias("end_time"), "days_mask")
 
 
 def clock_offsets(t) -> DataFrame:

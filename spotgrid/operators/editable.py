@@ -182,12 +182,12 @@ def edit_members(t) -> DataFrame:
 
 def colour_flags(t, as_of: dt.datetime) -> DataFrame:
     """Whether a project's map colour changed after its plan rows were last updated; over episodes never show."""
-    header = t.episode_header.select("project_id", "episode_end_date", "map_colour_updated_ts")
+    header = t.episode_header.where(F.col("active_yn") == "Y").select("project_id", "episode_end_date", "map_colour_updated_ts")
     newest = t.plan_project.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
     changed = F.coalesce("map_colour_updated_ts", F.lit(NO_COLOUR_CHANGE)) > F.col("update_ts")
     over = F.coalesce(F.col("episode_end_date").cast("timestamp") < F.lit(as_of), F.lit(False))
     return newest.join(header, "project_id", "left").select(
-        "plan_id", "project_id", F.when(over, "N").when(changed, "Y").otherwise("N").alias("flag"))
+        "plan_id", "project_id", "map_colour_updated_ts", F.when(over, "N").when(changed, "Y").otherwise("N").alias("flag"))
 
 
 def weekly_amounts(t, output_type: int) -> tuple[DataFrame, DataFrame]:
@@ -229,7 +229,8 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_
         "plan_id", "plan_version_id", "project_id", "campaign_goal_id", "status_cd", "optimize_yn", "is_dirty", "display_seq", "priority",
         "episode_priority", "no_of_episode", "phase_type", "cluster_id", "segment_id", "demo_id", "frequency",
         F.col("target_reach_pct").alias("target_reach"), "target_grp", F.col("proj_reach_pct").alias("proj_reach_percent"), "proj_grp",
-        "on_map_start", "on_map_end", "on_map_premiere")
+        "on_map_start", "on_map_end", "on_map_premiere", "on_map_start_ts", "on_map_end_ts", "guide_reach_pct", "guide_grp", "guide_spots",
+        "segment_type_id", "segment_mask")
     maps = t.plan.select(
         F.col("plan_id").alias("map_plan_id"), F.col("media_outlet_id").alias("map_outlet_id"), F.col("name").alias("plan_name"),
         F.coalesce("plan_status_id", F.lit(0)).alias("plan_status_id"), F.col("comments").alias("status_comment"), F.col("update_ts").alias("plan_update_ts"))
@@ -289,7 +290,9 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_
             "project_segment", "project_demo", "campaign_type", "demo_id", "demo", "segment_id", "segment_selected", "segment_name", "plan_name",
             "msg_plan_name", "plan_status_id", "plan_status", "status_comment", "frequency", "target_reach", "target_grp", "episode_priority",
             "no_of_episode", "colour_check_flag", "priority", "scatter_imps", "subevent_name", "exec_end_ts", "is_dirty", "user_comment",
-            "last_opt_version_ts", "network_target_demo_id", "network_target_demo_name", "network_display_seq", "cluster_id", "cluster_name")
+            "last_opt_version_ts", "network_target_demo_id", "network_target_demo_name", "network_display_seq", "cluster_id", "cluster_name",
+            "guide_reach_pct", "guide_grp", "guide_spots", "segment_type_id", "segment_mask", "project_segment_id", "project_demo_id", "campaign_type_id",
+            "map_colour_updated_ts", "on_map_start_ts", "on_map_end_ts")
     )
     for_complete, for_open = weekly_amounts(t, output_type)
     # Weeks are matched on slim keys; the wide rows join once, at the end.

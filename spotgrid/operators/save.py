@@ -20,6 +20,7 @@ EPISODES_ONLY_PHASE, LAUNCH_PHASES = 2, (1, 3)
 PLAN_CREATED, VERSION_CREATED = "NEW PLAN CREATED", "NEW PLAN VERSION CREATED"
 SPOTS_REMOVED = "SPOTS REMOVED FOR DELETED PROJECT FROM A PLAN"
 REACH_REMOVED = "REACH DATA REMOVED FOR DELETED PROJECT FROM A PLAN"
+SAVE_STEP = "SAVE PLANS"
 
 EPISODE_JSON = ("array<struct<PROJECT_ID:bigint,EPISODE_NUM:int,TARGET_GRP:double,TARGET_SPOT:int,START_TS:timestamp,"
                 "END_TS:timestamp,EPISODE_START_TS:timestamp,chkSelectRow:boolean>>")
@@ -73,19 +74,21 @@ def saved_plans(t, as_of: dt.datetime) -> DataFrame:
     return snapshot_merge(t.plan, touched.unionByName(added), ["plan_id"])
 
 
-def saved_versions(t) -> DataFrame:
-    """Version table after the save: reused versions take the new optimisation type, others are added."""
-    decided = decide_version(t).select("plan_id", "plan_version_id", F.col("optimization_type").alias("new_type"), "version_action")
+def saved_versions(t, as_of: dt.datetime) -> DataFrame:
+    """Version table after the save: reused versions take the new optimisation type, others are added with name and editor."""
+    decided = decide_version(t).select("plan_id", "plan_version_id", F.col("optimization_type").alias("new_type"), "version_action", "map_name", "user_id")
     keys = ["plan_id", "plan_version_id"]
-    reused = t.plan_version.join(decided.where(F.col("version_action") == "reuse").drop("version_action"), keys).withColumn(
-        "optimization_type", F.col("new_type")).drop("new_type")
-    added = decided.where(F.col("version_action") != "reuse").select(*keys, F.col("new_type").alias("optimization_type"))
+    reused = t.plan_version.join(decided.where(F.col("version_action") == "reuse").select(*keys, "new_type"), keys).withColumns({
+        "optimization_type": F.col("new_type"), "update_ts": F.lit(as_of)}).drop("new_type")
+    added = decided.where(F.col("version_action") != "reuse").select(
+        *keys, F.col("new_type").alias("optimization_type"), F.col("map_name").alias("version_name"), F.lit("Y").alias("active_yn"),
+        F.col("user_id").alias("create_user"), F.lit(as_of).alias("create_ts"), F.col("user_id").alias("update_user"), F.lit(as_of).alias("update_ts"))
     return snapshot_merge(t.plan_version, reused.unionByName(added, allowMissingColumns=True), keys)
 
 
 def staged_projects(t, as_of: dt.datetime) -> DataFrame:
     """Project rows a save writes, before results are carried forward."""
-    decided = decide_version(t).select("uid", "plan_id", "plan_version_id")
+    decided = decide_version(t).select("uid", "plan_id", "plan_version_id", "user_id")
     before = t.plan_project.select("plan_id", (F.col("plan_version_id") + 1).alias("plan_version_id"), "project_id",
                                    F.col("update_ts").alias("previous_ts"))
     by_mask = t.segment.groupBy(F.col("mask").alias("segment_mask"), F.col("segment_type_id").alias("wanted_type")).agg(
@@ -102,7 +105,9 @@ def staged_projects(t, as_of: dt.datetime) -> DataFrame:
             "optimize_yn", "is_dirty", F.lit("Y").alias("is_active"), "display_seq", "priority", "episode_priority",
             F.col("target_reach").alias("target_reach_pct"), "target_grp",
             F.when((F.col("cluster_id") >= 1) & F.col("segment_id").isNull(), F.col("masked_segment")).otherwise(F.col("segment_id")).alias("segment_id"),
-            "frequency", "demo_id", "cluster_id", "phase_type", "on_map_start", "on_map_end", F.col("on_map_end").alias("on_map_premiere"),
+            "frequency", "demo_id", "cluster_id", "phase_type", "on_map_start", "on_map_end", "on_map_premiere", "on_map_start_ts", "on_map_end_ts",
+            "planned_spots", "guide_reach_pct", "guide_grp", "guide_spots", "network_target_demo_id", "segment_type_id", "segment_mask",
+            "no_of_episode", "user_comment", F.col("user_id").alias("create_user"), now.alias("create_ts"), F.col("user_id").alias("update_user"),
             F.when(optimise, now).otherwise(F.coalesce("previous_ts", now)).alias("update_ts"))
     )
 
@@ -192,10 +197,14 @@ def cascade_remove(t, clean_schedule: bool = False) -> dict[str, DataFrame]:
     episode = removed_episode_projects(t).select("project_id", "media_outlet_id").distinct()
     key = ["project_id", "media_outlet_id"]
     planned = F.col("reach_type") == "PLANNED"
-    reach_left = t.project_reach.where(planned).join(launch, key, "left_anti").unionByName(t.project_reach.where(~planned))
+
+    def without_planned(table: DataFrame) -> DataFrame:
+        return table.where(planned).join(launch, key, "left_anti").unionByName(table.where(~planned))
+
     out = {
         "schedule_episode": t.schedule_episode.join(episode, key, "left_anti"),
-        "project_reach": reach_left,
+        "project_reach": without_planned(t.project_reach),
+        "project_reach_episode": without_planned(t.project_reach_episode),
         "campaign_goal": t.campaign_goal.join(launch, key, "left_anti"),
         "campaign_goal_episode": t.campaign_goal_episode.join(launch, key, "left_anti"),
     }
@@ -214,7 +223,8 @@ def audit_events(t, as_of: dt.datetime) -> DataFrame:
         removed_projects(t).select("plan_id", F.col("saved_version").alias("plan_version_id"), "project_id",
                                    F.explode(F.array(F.lit(SPOTS_REMOVED), F.lit(REACH_REMOVED))).alias("description")),
     ]
-    return events[0].unionByName(events[1]).unionByName(events[2]).withColumn("event_ts", F.lit(as_of))
+    return events[0].unionByName(events[1]).unionByName(events[2]).withColumns({
+        "model_exec_id": none, "episode_id": none, "step_name": F.lit(SAVE_STEP), "event_ts": F.lit(as_of)})
 
 
 def store_episode_json(t) -> DataFrame:
@@ -262,7 +272,8 @@ def upsert_episode_map(t) -> DataFrame:
     """Saved episode weeks merged with staged ones that have units."""
     decided = decide_version(t).select("uid", "plan_id", "plan_version_id")
     keys = ["plan_id", "plan_version_id", "project_id", "episode_id", "week_date"]
-    rows = t.stg_episode_map.where(F.col("unit_count") > 0).join(decided, "uid").select(*keys, "unit_count")
+    rows = t.stg_episode_map.where(F.col("unit_count") > 0).join(decided, "uid").select(
+        *keys, "unit_count", "episode_start_date", "episode_end_date", "broadcast_date", "episode_start_ts")
     return snapshot_merge(t.plan_project_spots_episode_map, rows, keys)
 
 
@@ -277,7 +288,7 @@ def save_plans(t, as_of: dt.datetime, clean_schedule: bool = False) -> dict[str,
     version = ["plan_id", "plan_version_id"]
     return {
         "plan": saved_plans(t, as_of),
-        "plan_version": saved_versions(t),
+        "plan_version": saved_versions(t, as_of),
         "plan_project": upsert_plan_projects(t, as_of),
         "plan_project_spots": upsert_spots(t),
         "project": propagate_targets(t),

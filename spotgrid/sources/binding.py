@@ -155,8 +155,8 @@ VIEWS: dict[str, str] = {
         FROM {supplier}""",
     "geo_project": """
         SELECT s_suppkey + 1 AS project_id, CAST(s_suppkey % 25 + 1 AS INT) AS media_outlet_id,
-               'Geo ' || CAST(s_nationkey AS STRING) AS geo_plan_name
-        FROM {supplier} WHERE s_acctbal > 5000""",
+               'Geo ' || CAST(s_nationkey AS STRING) AS geo_plan_name, CASE WHEN s_acctbal > 5000 THEN 'Y' ELSE 'N' END AS active_yn
+        FROM {supplier}""",
     "project_list": """
         SELECT o_orderkey AS request_id, CAST(o_custkey % 25 + 1 AS INT) AS media_outlet_id,
                '[' || CAST(o_custkey % 25 + 1 AS STRING) || ', ' || CAST(o_custkey % 25 + 26 AS STRING)
@@ -220,8 +220,9 @@ VIEWS: dict[str, str] = {
                CAST(o_custkey + 1 AS BIGINT) AS user_id, 'K' || CAST(o_orderkey AS STRING) AS opt_process_key
         FROM {run_line}""",
     "plan_version": """
-        SELECT plan_id, plan_version_id, CAST((plan_id + plan_version_id) % 2 AS INT) AS optimization_type,
-               max(model_exec_id) AS model_exec_id
+        SELECT plan_id, plan_version_id, 'Version ' || CAST(plan_version_id AS STRING) AS version_name,
+               CAST((plan_id + plan_version_id) % 2 AS INT) AS optimization_type, max(model_exec_id) AS model_exec_id, 'Y' AS active_yn,
+               min(user_id) AS create_user, min(exec_end_ts) AS create_ts, max(user_id) AS update_user, max(exec_end_ts) AS update_ts
         FROM {model_exec} GROUP BY plan_id, plan_version_id""",
     "log_version": """
         SELECT o_orderkey AS log_version_id, o_orderkey AS log_id, CASE WHEN o_orderkey % 3 = 0 THEN 15 ELSE 10 END AS status,
@@ -260,9 +261,14 @@ VIEWS: dict[str, str] = {
                CASE WHEN (k.project_id + v.plan_version_id) % 4 = 0 THEN NULL ELSE k.plan_id * 100000000000 + k.project_id * 10 + 1 END AS campaign_goal_id,
                CASE WHEN (k.project_id + v.plan_version_id) % 3 = 1 THEN NULL ELSE k.first_date - 35 END AS measured_start,
                CASE WHEN (k.project_id + v.plan_version_id) % 3 = 1 THEN NULL ELSE k.last_date - 35 END AS measured_end,
-               CAST(k.first_date AS TIMESTAMP) AS update_ts, 'pp ' || CAST(k.project_id AS STRING) AS user_comment
-        FROM {plan_project_key} k JOIN {plan_version} v ON k.plan_id = v.plan_id
-        WHERE day(k.first_date) > v.plan_version_id * 2""",
+               CAST(k.project_id % 37 AS INT) AS planned_spots, CAST(k.project_id % 46 AS DECIMAL(18,2)) AS guide_reach_pct,
+               CAST(k.project_id % 210 AS DECIMAL(18,2)) AS guide_grp, CAST(k.project_id % 39 AS INT) AS guide_spots,
+               CAST(k.project_id % 5 + 1 AS INT) AS network_target_demo_id, 4 AS segment_type_id, CAST(k.project_id % 512 AS BIGINT) AS segment_mask,
+               CAST(k.first_date AS TIMESTAMP) + INTERVAL '6' HOUR AS on_map_start_ts, CAST(k.last_date AS TIMESTAMP) + INTERVAL '23' HOUR AS on_map_end_ts,
+               CAST(k.media_outlet_id AS BIGINT) AS create_user, CAST(k.first_date AS TIMESTAMP) AS create_ts,
+               CAST(k.media_outlet_id + 1 AS BIGINT) AS update_user, CAST(k.first_date AS TIMESTAMP) AS update_ts,
+               'pp ' || CAST(k.project_id AS STRING) AS user_comment
+        FROM {plan_project_key} k JOIN {plan_version} v ON k.plan_id = v.plan_id""",
     "episode_key": """
         SELECT plan_id, project_id, media_outlet_id, l_linenumber - 3 AS episode_id,
                min(start_date) AS first_date, max(start_date) AS last_date
@@ -284,8 +290,7 @@ VIEWS: dict[str, str] = {
                     ELSE k.plan_id * 100000000000 + k.project_id * 10 + k.episode_id END AS campaign_goal_id,
                CASE WHEN (k.project_id + k.episode_id) % 3 = 1 THEN NULL ELSE k.first_date - 35 END AS measured_start,
                CASE WHEN (k.project_id + k.episode_id) % 3 = 1 THEN NULL ELSE k.last_date - 35 END AS measured_end
-        FROM {episode_key} k JOIN {plan_version} v ON k.plan_id = v.plan_id
-        WHERE day(k.first_date) > v.plan_version_id * 2""",
+        FROM {episode_key} k JOIN {plan_version} v ON k.plan_id = v.plan_id""",
     "plan_project_spots": """
         SELECT w.plan_id, v.plan_version_id, w.project_id, w.week_date, w.units + v.plan_version_id AS unit_count
         FROM (SELECT plan_id, project_id, CAST(date_trunc('week', start_date) AS DATE) AS week_date,
@@ -301,7 +306,8 @@ VIEWS: dict[str, str] = {
               GROUP BY plan_id, project_id, l_linenumber, CAST(date_trunc('week', start_date) AS DATE)) w
         JOIN {plan_version} v ON w.plan_id = v.plan_id""",
     "plan_project_spots_episode_map": """
-        SELECT plan_id, plan_version_id, project_id, episode_id, week_date, unit_count + 1 AS unit_count
+        SELECT plan_id, plan_version_id, project_id, episode_id, week_date, unit_count + 1 AS unit_count, week_date AS episode_start_date,
+               week_date + 6 AS episode_end_date, week_date + 2 AS broadcast_date, CAST(week_date AS TIMESTAMP) + INTERVAL '19' HOUR AS episode_start_ts
         FROM {plan_project_spots_episode}""",
     "campaign": """
         SELECT plan_id * 10000000000 + project_id AS campaign_id, project_id, 'Campaign ' || CAST(project_id AS STRING) AS name, plan_id
@@ -402,8 +408,12 @@ VIEWS: dict[str, str] = {
                CAST(CASE project_id % 4 WHEN 0 THEN 31 WHEN 1 THEN 480 WHEN 2 THEN 4 ELSE 8 END AS BIGINT) AS segment_mask,
                CAST(project_id % 2 + 1 AS INT) AS frequency, CAST(project_id % 5 + 1 AS INT) AS demo_id,
                first_date AS on_map_start, last_date AS on_map_end, CAST(project_id % 3 + 1 AS INT) AS phase_type,
-               CAST(project_id % 5 AS INT) AS episode_priority
-        FROM {plan_project_key} WHERE day(first_date) <= 24""",
+               CAST(project_id % 5 AS INT) AS episode_priority, CAST(project_id % 6 AS INT) AS no_of_episode,
+               CASE WHEN project_id % 8 = 0 THEN NULL ELSE 'saved ' || CAST(project_id AS STRING) END AS user_comment,
+               first_date + 1 AS on_map_premiere, CAST(project_id % 180 AS DECIMAL(18,2)) AS guide_grp, CAST(project_id % 27 AS INT) AS guide_spots,
+               CAST(project_id % 4 + 1 AS INT) AS network_target_demo_id, CAST(first_date AS TIMESTAMP) + INTERVAL '5' HOUR AS on_map_start_ts,
+               CAST(last_date AS TIMESTAMP) + INTERVAL '22' HOUR AS on_map_end_ts
+        FROM {plan_project_key} WHERE project_id % 7 <> 0""",
     "stg_spots": """
         SELECT plan_id AS uid, project_id, CAST(date_trunc('week', start_date) AS DATE) AS week_date,
                CAST(sum(planned_units) AS BIGINT) AS unit_count
@@ -411,12 +421,16 @@ VIEWS: dict[str, str] = {
         GROUP BY plan_id, project_id, CAST(date_trunc('week', start_date) AS DATE)""",
     "stg_episode_map": """
         SELECT plan_id AS uid, project_id, l_linenumber - 3 AS episode_id, CAST(date_trunc('week', start_date) AS DATE) AS week_date,
-               CAST(sum(planned_units) AS BIGINT) - 20 AS unit_count, max(start_date) AS broadcast_date
+               CAST(sum(planned_units) AS BIGINT) - 20 AS unit_count, min(start_date) AS episode_start_date, max(start_date) AS episode_end_date,
+               max(start_date) AS broadcast_date, CAST(max(start_date) AS TIMESTAMP) + INTERVAL '20' HOUR AS episode_start_ts
         FROM {spot_line} WHERE l_linenumber > 4
         GROUP BY plan_id, project_id, l_linenumber, CAST(date_trunc('week', start_date) AS DATE)""",
     "project_reach": """
         SELECT s_suppkey + 1 AS project_id, CAST(s_suppkey % 25 + 1 AS INT) AS media_outlet_id,
                CASE WHEN s_suppkey % 2 = 0 THEN 'PLANNED' ELSE 'ACTUAL' END AS reach_type FROM {supplier}""",
+    "project_reach_episode": """
+        SELECT project_id, media_outlet_id, episode_id, CASE WHEN (project_id + episode_id) % 2 = 0 THEN 'PLANNED' ELSE 'ACTUAL' END AS reach_type
+        FROM {episode_key} GROUP BY project_id, media_outlet_id, episode_id""",
     "model_param": """
         SELECT DISTINCT c_nationkey + 1 AS media_outlet_id, 1 AS model_type_id, CAST(c_custkey % 30 + 1 AS INT) AS param_id,
                CAST((c_custkey % 30 + 1) * 10 + c_nationkey AS INT) AS param_value
@@ -447,15 +461,18 @@ VIEWS: dict[str, str] = {
                CAST(s_suppkey % 24 * 3600 + 1800 AS INT) AS end_offset, CAST(s_suppkey % 30 AS INT) AS tgt_spots,
                CAST(s_suppkey % 90 AS DECIMAL(18,2)) AS tgt_grp, CAST(s_suppkey % 128 AS INT) AS dow_mask,
                CASE WHEN s_suppkey % 3 = 0 THEN NULL
-                    ELSE CAST(DATE '1995-01-02' + CAST(s_suppkey * 41 % 2400 AS INT) AS TIMESTAMP) END AS map_colour_updated_ts
-        FROM {supplier} WHERE s_acctbal < 6000""",
+                    ELSE CAST(DATE '1995-01-02' + CAST(s_suppkey * 41 % 2400 AS INT) AS TIMESTAMP) END AS map_colour_updated_ts,
+               CASE WHEN s_acctbal < 6000 THEN 'Y' ELSE 'N' END AS active_yn
+        FROM {supplier}""",
     "blackout": """
-        SELECT l_suppkey + 1 AS project_id, min(CAST(l_shipdate AS DATE)) AS start_date, max(CAST(l_shipdate AS DATE)) AS end_date
-        FROM {lineitem} WHERE l_returnflag = 'R' GROUP BY l_suppkey, l_linenumber""",
+        SELECT l_suppkey + 1 AS project_id, CASE l_returnflag WHEN 'R' THEN 'blackout' WHEN 'A' THEN 'preferred' ELSE 'open' END AS kind,
+               min(CAST(l_shipdate AS DATE)) AS start_date, max(CAST(l_shipdate AS DATE)) AS end_date
+        FROM {lineitem} GROUP BY l_suppkey, l_linenumber, l_returnflag""",
     "recurring_exclusion": """
         SELECT s_suppkey + 1 AS project_id, CAST(s_suppkey % 20 * 3600 AS INT) AS start_offset,
-               CAST(s_suppkey % 20 * 3600 + 3600 AS INT) AS end_offset, CAST(s_suppkey % 128 AS INT) AS days_mask
-        FROM {supplier} WHERE s_acctbal > 2000""",
+               CAST(s_suppkey % 20 * 3600 + 3600 AS INT) AS end_offset, CAST(s_suppkey % 128 AS INT) AS days_mask,
+               CASE WHEN s_acctbal > 2000 THEN 'Y' ELSE 'N' END AS active_yn
+        FROM {supplier}""",
 }
 
 

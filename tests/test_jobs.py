@@ -64,3 +64,21 @@ def test_replace_partitions_touches_only_its_partitions(spark, tmp_path):
     snapshot.replace_partitions(spark, changed, path, ("p",))
     snapshot.append_rows(spark.createDataFrame([(3, "c")], "p int, v string"), path, ("p",))
     assert sorted((r.p, r.v) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_no_staged_column_is_lost(saved):
+    """What is staged for a project or an episode week is in the saved rows, under the same name or its table's."""
+    t, out = saved
+    renamed = {"uid": "plan_id", "target_reach": "target_reach_pct"}
+    for staged, table in ((t.stg_plan_project, "plan_project"), (t.stg_episode_map, "plan_project_spots_episode_map"), (t.stg_spots, "plan_project_spots")):
+        assert {renamed.get(c, c) for c in staged.columns} <= set(out[table].columns)
+    rows = save.decide_version(t).select("uid", "plan_id", "plan_version_id").join(t.stg_plan_project, "uid")
+    kept = ["user_comment", "no_of_episode", "on_map_premiere", "planned_spots", "guide_reach_pct", "guide_grp", "guide_spots", "on_map_start_ts", "segment_mask"]
+    key = ["plan_id", "plan_version_id", "project_id"]
+    assert rows.select(*key, *kept).exceptAll(out["plan_project"].select(*key, *kept)).count() == 0
+
+
+def test_cascade_keeps_most_rows(saved):
+    t, out = saved
+    for name in ("schedule_episode", "campaign_goal", "campaign_goal_episode", "project_reach", "project_reach_episode"):
+        assert 2 * out[name].count() > getattr(t, name).count(), name
