@@ -13,6 +13,17 @@ Field = tuple[str, str, pa.DataType]
 
 #: Characters of text that are worked on at a time.
 CHUNK = 1 << 20
+#: Rows of text that Spark hands to Python at a time; its default of 10,000 takes much memory where texts are long.
+ROWS = 1000
+ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def map_batches(rows: DataFrame, run: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``ROWS`` rows; the session's setting is lowered if it is higher."""
+    conf = rows.sparkSession.conf
+    if int(conf.get(ROWS_SETTING)) > ROWS:
+        conf.set(ROWS_SETTING, str(ROWS))
+    return rows.mapInArrow(run, schema)
 
 
 def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[list[str]]:
@@ -49,4 +60,4 @@ def map_texts(docs: DataFrame, key: str, text: str, fields: list[Field], make: C
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, *(n for n, _, _ in fields)])
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, ", ".join([f"`{key}` {kind}", *(f"`{n}` {t}" for n, t, _ in fields)]))
+    return map_batches(rows, run, ", ".join([f"`{key}` {kind}", *(f"`{n}` {t}" for n, t, _ in fields)]))

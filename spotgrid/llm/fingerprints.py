@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spotgrid.llm.batches import map_batches
 from spotgrid.sources.shared import stage
 
 WIDTH = 24
@@ -192,4 +193,4 @@ def compare_neighbours(spark: SparkSession, docs: DataFrame, key: str = "doc_id"
             yield pa.RecordBatch.from_arrays(columns, names=[key, *(n for n, _, _ in _RESULT)])
 
     kind = docs.schema[key].dataType.simpleString()
-    return with_neighbours(spark, docs, key, text).mapInArrow(run, ", ".join([f"`{key}` {kind}", *(f"{n} {t}" for n, t, _ in _RESULT)]))
+    return map_batches(with_neighbours(spark, docs, key, text), run, ", ".join([f"`{key}` {kind}", *(f"{n} {t}" for n, t, _ in _RESULT)]))

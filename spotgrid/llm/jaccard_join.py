@@ -5,16 +5,19 @@ if they are within ``r = 1 - threshold``. The join cuts the space into regions t
 of what lies across their border, and compares inside regions only.
 
 1. Texts with equal sets are one class; the join is over classes.
-2. Distances to pivots say nothing about unrelated texts, which are all about 1 away from everything. So the first
-   regions come from projections: the shingle universe is cut by hash into ``m`` parts, more than two linked sets can
+2. Distances to pivots say nothing about unrelated texts, which are all about 1 away from everything. So texts first
+   meet through projections: the shingle universe is cut by hash into ``m`` parts, more than two linked sets can
    differ in, so on one part at least their projections coincide, at radius 0. Classes that coincide on a part are
-   tied, and a region is a connected set of ties. Parts in which a set has no element tie nothing, as long as the set
-   has no more such parts than were added for that.
-3. Regions of more than ``LEAF`` classes are cut again, with other parts, and without the shingles that many of the
-   region share (a common passage says little about likeness; leaving elements out only brings sets nearer).
-4. Regions that are still large get pivots. A class belongs to the Voronoi region of its nearest pivot, and is copied
-   to that of an earlier pivot if that is at most 2 r farther, since by the triangle inequality no class beyond can
-   link to one whose nearest pivot that is. This is done again on regions that are still large.
+   tied. Parts in which a set has no element tie nothing, as long as the set has no more such parts than were added
+   for that. All classes tied to the same smallest class form a star.
+3. In a star, pivots are chosen one after another. A class within ``k`` of a pivot belongs to its Voronoi region, and
+   is a window's copy in the region of every pivot within ``2 k``; a class with no pivot within ``k`` is the next
+   pivot. The distance is the Hamming distance of hashed bitmaps, a metric that is never above the number ``k`` of
+   shingles in which linked sets can differ; so by the triangle inequality a linked pair shares a pivot. Classes
+   connected through pivots form a region.
+4. Regions of more than ``LEAF`` classes are cut again by pivots and Jaccard distances themselves: a class belongs to
+   its nearest pivot, and is copied to an earlier pivot that is at most 2 r farther. This is done again on regions
+   that are still large.
 5. In a ball so dense that windows copy nearly everything nearly everywhere, pivots can't help; such a region is dealt
    into pairs of blocks, each compared once.
 6. Every region is one task of bounded size: it counts links and returns its linked classes with one root each, no
@@ -39,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spotgrid.llm.batches import chunks
+from spotgrid.llm.batches import chunks, map_batches
 from spotgrid.llm.components import components
 from spotgrid.llm.shingles import mix, shingle_set
 from spotgrid.sources.shared import stage
@@ -49,8 +52,11 @@ LEAF = 512
 LEAF_ITEMS = 1 << 20
 #: Sizes of sets are cut into bands, each this much larger than the last.
 BAND = 1.5
-#: A shingle that so many classes of a large region have is left out of its parts.
-COMMON = 24
+#: Bits of a set's bitmap: for each shingle up to this many while the bitmap has at most ``WIDE`` bits, half as many beyond.
+BITS = 8
+WIDE = 4096
+#: Pivots of a star, beyond which classes join the first one unseen.
+STAR_PIVOTS = 512
 MOST_PIVOTS = 64
 VORONOI_ROUNDS = 2
 #: A Voronoi cut is kept if it makes at most so many copies per class.
@@ -68,7 +74,7 @@ def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     link with nothing but their equals.
     """
     edges, parts, spare = [max(1, math.ceil(percent / (100 - percent)))], [], []
-    while edges[-1] < 1 << 40:
+    while len(parts) < 63:
         low = edges[-1]
         high = max(math.ceil(low * BAND), low * 100 // percent + 1)
         differ = 2 * (high - 1) * (100 - percent) // (100 + percent)
@@ -79,16 +85,17 @@ def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(edges), np.array(parts), np.array(spare)
 
 
-def ties(items: np.ndarray, size: int, percent: int, seed: int, region: int = 0) -> np.ndarray:
+def ties(items: np.ndarray, percent: int) -> np.ndarray:
     """What a set ties to: one number for each part of its band, and of the next band if a partner may be there.
 
-    ``items`` may lack shingles of the set that its whole region leaves out; ``size`` is that of the whole set.
+    The band stands in the lowest six bits.
     """
     edges, parts, spare = bands(percent)
+    size = len(items)
     if size < edges[0]:
         return np.zeros(0, np.uint64)
     band = int(np.searchsorted(edges, size, "right")) - 1
-    spread = mix(items ^ np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+    spread = mix(items)
     found = []
     for b in (band, band + 1):
         if b > band and size * 100 < percent * int(edges[b]):
@@ -97,16 +104,31 @@ def ties(items: np.ndarray, size: int, percent: int, seed: int, region: int = 0)
         part = ((spread >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         there, first = np.unique(part[order], return_index=True)
-        content = np.add.reduceat(mix(spread[order] + np.uint64(1)), first) if len(first) else np.zeros(0, np.uint64)
+        content = np.add.reduceat(mix(spread[order] + np.uint64(1)), first)
         if m - len(there) > spare[b]:
             whole = np.zeros(m, np.uint64)
             whole[there] = content
             there, content = np.arange(m), whole
-        tag = np.uint64((b * 0xD1B54A32D192ED03 + region * 0x8CB92BA72F3D8DD7) & (1 << 64) - 1)
-        found.append(mix(content ^ mix(there.astype(np.uint64) + tag)))
+        tie = mix(content ^ mix(there.astype(np.uint64) + np.uint64(b * 0xD1B54A32D192ED03 & (1 << 64) - 1)))
+        found.append(tie & np.uint64((1 << 64) - 64) | np.uint64(b))
     return np.concatenate(found)
 
 
+def _bits(size: int) -> int:
+    return 1 << max(3, max(BITS * size // 2, min(BITS * size, WIDE)).bit_length() - 1)
+
+
+def bitmap(items: np.ndarray) -> np.ndarray:
+    """The set's elements hashed into a power of two of bits, packed. Neighbouring bits fold into one for a smaller map."""
+    bits = np.zeros(_bits(len(items)), np.uint8)
+    bits[(mix(items ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(65 - len(bits).bit_length())).astype(np.int64)] = 1
+    return np.packbits(bits)
+
+
+def _fold(packed: np.ndarray, size: int) -> np.ndarray:
+    return packed if 8 * len(packed) == size else np.packbits(np.unpackbits(packed).reshape(size, -1).max(1))
+
+
 def digest(items: np.ndarray) -> bytes:
     return blake2b(items.tobytes(), digest_size=16).digest()
 
@@ -116,39 +138,93 @@ def _node(name: bytes) -> int:
 
 
 def describe(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """(key, n, digest, node, ties) of every row. A task gives the ties of equal sets once."""
+    """(key, n, digest, node, bitmap) of every row. A task gives the bitmap of equal sets once, and none of sets too small to link."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    least = int(bands(percent)[0][0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
         for batch in batches:
-            n, names, nodes, tied, ends = [], [], [], [], [0]
+            n, names, maps = [], [], []
             for texts in chunks(batch.column(1)):
                 for t in texts:
                     items = shingle_set(t, k)
                     name = digest(items)
-                    if name not in met:
-                        met.add(name)
-                        tied.append(ties(items, len(items), percent, 0).view(np.int64))
-                        ends.append(ends[-1] + len(tied[-1]))
-                    else:
-                        ends.append(ends[-1])
                     n.append(len(items))
                     names.append(name)
-                    nodes.append(_node(name))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tied) if tied else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(nodes, pa.int64()), lists],
-                                             names=["key", "n", "digest", "node", "ties"])
+                    maps.append(bitmap(items).tobytes() if len(items) >= least and name not in met else None)
+                    met.add(name)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(map(_node, names), pa.int64()),
+                                              pa.array(maps, pa.binary())], names=["key", "n", "digest", "node", "bitmap"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, n long, digest binary, node long, ties array<long>")
+    return map_batches(rows, run, f"key {kind}, n long, digest binary, node long, bitmap binary")
 
 
-def tied_regions(spark: SparkSession, tied: DataFrame) -> DataFrame:
-    """(node, root) from rows (node, ties): nodes that share a tie are in one region. Nodes tied to no other are left out."""
-    rows = tied.select("node", F.explode("ties").alias("tie"))
-    centre = rows.withColumn("centre", F.min("node").over(Window.partitionBy("tie")))
-    return components(spark, centre.where("node != centre").select(F.col("node").alias("u"), F.col("centre").alias("v")))
+def tie_rows(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+    """(node, tie): the ties of every set, those of equal sets once a task. They are too many to be kept, so texts are read again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        for batch in batches:
+            for texts in chunks(batch.column(0)):
+                nodes, tied = [], []
+                for t in texts:
+                    items = shingle_set(t, k)
+                    node = _node(digest(items))
+                    if node not in met:
+                        met.add(node)
+                        tied.append(ties(items, percent))
+                        nodes.append(np.full(len(tied[-1]), node, np.int64))
+                if tied:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(tied).view(np.int64))], names=["node", "tie"])
+
+    return map_batches(docs.select(text), run, "node long, tie long")
+
+
+def regions(spark: SparkSession, tied: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of every node that shares a pivot with another, from rows (node, tie) and (node, bitmap)."""
+    tied = tied.withColumn("centre", F.min("node").over(Window.partitionBy("tie")))
+    band = F.col("tie").bitwiseAND(F.lit(63).cast("long"))
+    stars = stage(spark, tied.where("node != centre").select("centre", band.alias("band"), "node").distinct(), "jaccard_stars")
+    whole = stars.unionByName(stars.select("centre", "band", F.col("centre").alias("node")).distinct())
+    maps = maps.where("bitmap is not null").select(F.col("node").alias("of"), "bitmap").dropDuplicates(["of"])
+    dealt = whole.join(maps, F.col("node") == F.col("of")).select("centre", "band", "node", "bitmap").repartition("centre", "band").sortWithinPartitions(
+        "centre", "band", "node")
+    edges, _, _ = bands(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, size, near, nodes, pivots, group = None, 0, 0, [], np.zeros((0, 0), np.uint8), np.zeros(0, np.int64)
+        for batch in batches:
+            u, v = [], []
+            for centre, band, node, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if at != (centre, band):
+                    at, nodes = (centre, band), []
+                    size = _bits(-(-percent * int(edges[band]) // 100))
+                    near = 2 * (int(edges[band + 1]) - 1) * (100 - percent) // (100 + percent)
+                    pivots, group = np.zeros((8, size // 8), np.uint8), np.zeros(0, np.int64)
+                own = _fold(np.frombuffer(packed, np.uint8), size)
+                apart = np.bitwise_count(pivots[: len(nodes)] ^ own).sum(1, dtype=np.int64)
+                window = np.flatnonzero(apart <= 2 * near)
+                # Pivots that share a class are connected; one edge to each group of them says all there is to say.
+                met, first = np.unique(group[window], return_index=True)
+                u += [node] * len(met)
+                v += [nodes[i] for i in window[first]]
+                if len(met) > 1:
+                    group[np.isin(group, met)] = met[0]
+                if len(apart) and apart.min() <= near:
+                    continue
+                if len(nodes) == STAR_PIVOTS:
+                    u.append(node)
+                    v.append(nodes[0])
+                    continue
+                if len(nodes) == len(pivots):
+                    pivots = np.concatenate([pivots, np.zeros_like(pivots)])
+                pivots[len(nodes)] = own
+                group = np.append(group, met[0] if len(met) else len(nodes))
+                nodes.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return components(spark, map_batches(dealt, run, "u long, v long"))
 
 
 def few(spark: SparkSession, frame: DataFrame) -> DataFrame:
@@ -157,54 +233,35 @@ def few(spark: SparkSession, frame: DataFrame) -> DataFrame:
 
 
 def sets_of(spark: SparkSession, docs: DataFrame, members: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """members (digest, rep, ...) with the items of their sets, read again from the text of the row ``rep``."""
-    reps = few(spark, stage(spark, members.select("rep").distinct(), "jaccard_reps"))
+    """members (digest, rep, ...) with the items of their sets, read again from the text of the row ``rep``, and an empty mask.
+
+    A member comes more than once if its row is repeated.
+    """
+    reps = few(spark, members.select("rep").distinct())
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = rows.join(reps, F.col("key").eqNullSafe(F.col("rep")), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[bytes] = set()
         for batch in batches:
             for texts in chunks(batch.column(0)):
-                found = {name: items for t in texts if (name := digest(items := shingle_set(t, k))) not in met}
-                met.update(found)
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array([i.view(np.int64) for i in found.values()], pa.list_(pa.int64()))],
+                items = [shingle_set(t, k) for t in texts]
+                yield pa.RecordBatch.from_arrays([pa.array(map(digest, items), pa.binary()), pa.array([i.view(np.int64) for i in items], pa.list_(pa.int64()))],
                                                  names=["digest", "items"])
 
-    return rows.mapInArrow(run, "digest binary, items array<long>").dropDuplicates(["digest"]).join(members, "digest")
+    found = map_batches(rows, run, "digest binary, items array<long>")
+    return found.join(few(spark, members), "digest").withColumn("mask", F.lit(0).cast("long"))
 
 
-def sizes(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("region").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
-
-
-def split_by_size(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of regions that fit a task, and those of the others with their region's classes and shingles."""
-    large = stage(spark, sizes(rows).where((F.col("classes") > LEAF) | (F.col("shingles") > LEAF_ITEMS)), "jaccard_large")
+def split_by_size(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of regions that fit a task, and those of the others (or None) with their region's classes and shingles."""
+    sizes = rows.groupBy("region").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
+    large = stage(spark, sizes.where((F.col("classes") > LEAF) | (F.col("shingles") > LEAF_ITEMS)), "jaccard_large")
+    if not large.count():
+        return rows, None
+    large = few(spark, large)
     return rows.join(large, "region", "left_anti"), rows.join(large, "region")
 
 
-def retie(spark: SparkSession, rows: DataFrame, percent: int) -> DataFrame:
-    """Cut large regions by other parts, leaving out the shingles that many of a region share."""
-    base = [c for c in rows.columns if c not in ("classes", "shingles")]
-    items = rows.select("region", "digest", F.explode("items").alias("item"))
-    common = items.groupBy("region", "item").count().where(F.col("count") >= COMMON).drop("count")
-    rest = items.join(common, ["region", "item"], "left_anti").groupBy("region", "digest").agg(F.collect_list("item").alias("rest"))
-    rare = rows.join(rest, ["region", "digest"], "left").select("region", "digest", "n", "rest")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, tied = [], []
-            for region, name, n, rest in zip(*batch.columns, strict=True):
-                left = np.array(rest.as_py() or [], np.int64).view(np.uint64)
-                names.append(name.as_py())
-                tied.append(ties(left, n.as_py(), percent, 1, _node(blake2b(region.as_py().encode(), digest_size=8).digest())).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(tied, pa.list_(pa.int64()))], names=["node", "ties"])
-
-    cut = tied_regions(spark, rare.mapInArrow(run, "node binary, ties array<long>"))
-    return rows.select(*base).join(cut, F.col("digest") == F.col("node")).withColumn("region", F.hex("root")).select(*base)
-
-
 def _distances(pivots: list[np.ndarray], items: np.ndarray) -> np.ndarray:
     flat = np.concatenate(pivots)
     at = np.searchsorted(items, flat).clip(max=len(items) - 1)
@@ -254,7 +311,7 @@ def voronoi(rows: DataFrame, percent: int, level: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array([r.rpartition("/")[0] for r in regions], pa.string())], names=[*base, "parent"])
 
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in base)
-    return dealt.mapInArrow(run, f"{schema}, parent string")
+    return map_batches(dealt, run, f"{schema}, parent string")
 
 
 def block_pairs(rows: DataFrame) -> DataFrame:
@@ -315,38 +372,41 @@ def compare(rows: DataFrame, percent: int) -> DataFrame:
                 if held and held[0][0] != region:
                     found += judge(held)
                     held = []
+                if held and held[-1][1] == name:
+                    continue
                 held.append((region, name, copies, mask, batch.column(4)[row].values.to_numpy().view(np.uint64)))
             yield out(found)
         if held:
             yield out(judge(held))
 
-    dealt = rows.select("region", "digest", "copies", "mask", "items").repartition("region").sortWithinPartitions("region", "digest")
-    return dealt.mapInArrow(run, "digest binary, root binary, links long")
+    dealt = rows.repartition("region").sortWithinPartitions("region", "digest")
+    return map_batches(dealt, run, "digest binary, root binary, links long")
 
 
-def link_classes(spark: SparkSession, sets: DataFrame, percent: int) -> DataFrame:
+def link_classes(spark: SparkSession, docs: DataFrame, members: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
     """(digest, root, links) from all regions, each pair of classes compared once."""
-    leaves, large = split_by_size(spark, sets)
-    found = [compare(leaves, percent)]
-    if large.limit(1).count():
-        sets = stage(spark, retie(spark, large, percent), "jaccard_retied")
-        leaves, large = split_by_size(spark, sets)
-        found.append(compare(leaves, percent))
-        for level in range(VORONOI_ROUNDS):
-            if not large.limit(1).count():
-                break
-            cut = stage(spark, voronoi(large, percent, level), "jaccard_voronoi")
-            before = large.groupBy("region").agg(F.first("classes").alias("classes")).withColumnRenamed("region", "parent")
-            good = stage(spark, cut.groupBy("parent").agg(F.count("*").alias("now"), F.countDistinct("region").alias("regions")).join(before, "parent").where(
-                (F.col("now") <= MOST_COPIES * F.col("classes")) & (F.col("regions") > 1)).select("parent"), "jaccard_cut")
-            found.append(compare(block_pairs(large.join(good, F.col("region") == F.col("parent"), "left_anti")), percent))
-            leaves, large = split_by_size(spark, cut.join(good, "parent", "left_semi").drop("parent"))
-            found.append(compare(leaves, percent))
-        found.append(compare(block_pairs(large), percent))
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionByName(more)
-    return stage(spark, whole, "jaccard_links")
+    leaves, large = split_by_size(spark, members)
+    ready = [sets_of(spark, docs, leaves, key, text, k)]
+    if large is not None:
+        large = stage(spark, sets_of(spark, docs, large, key, text, k).dropDuplicates(["digest"]), "jaccard_sets")
+    for level in range(VORONOI_ROUNDS):
+        if large is None:
+            break
+        cut = stage(spark, voronoi(large, percent, level), "jaccard_voronoi")
+        before = large.select(F.col("region").alias("parent"), "classes").distinct()
+        now = cut.groupBy("parent", "region").agg(F.count("*").alias("now")).groupBy("parent").agg(F.sum("now").alias("now"), F.count("*").alias("regions"))
+        good = few(spark, stage(spark, now.join(before, "parent").where((F.col("now") <= MOST_COPIES * F.col("classes")) & (F.col("regions") > 1)).select(
+            "parent"), "jaccard_cut"))
+        ready.append(block_pairs(large.join(good, F.col("region") == F.col("parent"), "left_anti")))
+        leaves, large = split_by_size(spark, cut.join(good, "parent", "left_semi").drop("parent"))
+        ready.append(leaves)
+    if large is not None:
+        ready.append(block_pairs(large))
+    columns = ("region", "digest", "copies", "mask", "items")
+    whole = ready[0].select(*columns)
+    for more in ready[1:]:
+        whole = whole.unionByName(more.select(*columns))
+    return stage(spark, compare(whole, percent), "jaccard_links")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -356,10 +416,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     """
     rows = stage(spark, describe(docs, key, text, k, percent), "jaccard_rows")
     classes = stage(spark, rows.where("n > 0").groupBy("digest", "node", "n").agg(F.min("key").alias("rep"), F.count("*").alias("copies")), "jaccard_classes")
-    regions = tied_regions(spark, rows.where(F.size("ties") > 0).select("node", "ties"))
-    members = stage(spark, classes.join(regions, "node").select("digest", "n", "rep", "copies", F.col("root").cast("string").alias("region")), "jaccard_members")
-    sets = stage(spark, sets_of(spark, docs, members, key, text, k).withColumn("mask", F.lit(0).cast("long")), "jaccard_sets")
-    links = link_classes(spark, sets, percent)
+    found = regions(spark, tie_rows(docs, text, k, percent), rows.select("node", "bitmap"), percent)
+    members = stage(spark, classes.join(found, "node").select("digest", "n", "rep", "copies", F.col("root").cast("string").alias("region")), "jaccard_members")
+    links = link_classes(spark, docs, members, key, text, k, percent)
     roots = components(spark, links.select(F.col("digest").alias("u"), F.col("root").alias("v")))
     named = roots.join(members.select(F.col("digest").alias("node"), "rep"), "node")
     least = named.groupBy("root").agg(F.min("rep").alias("least"))
@@ -374,9 +433,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
 
 def keep_one(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The documents that are the first of their component, with all their columns. Of rows with one key, one is kept."""
-    found = stage(spark, jaccard_join(spark, docs, key, text, k, percent).select(F.col(key).alias("key"), "component_id"), "jaccard_found")
-    gone = few(spark, stage(spark, found.where("key != component_id").select("key").distinct(), "jaccard_gone"))
-    left = docs.join(gone, F.col(key) == F.col("key"), "left_anti")
-    again = few(spark, stage(spark, found.groupBy("key").count().where("count > 1 and key is not null").select("key"), "jaccard_again"))
-    once = left.join(again, F.col(key) == F.col("key"), "left_anti")
-    return once.unionByName(left.join(again, F.col(key) == F.col("key"), "left_semi").dropDuplicates([key]))
+    found = stage(spark, jaccard_join(spark, docs, key, text, k, percent).select(F.col(key).alias("_key"), "component_id"), "jaccard_found")
+    gone = few(spark, stage(spark, found.where("_key != component_id").select("_key").distinct(), "jaccard_gone"))
+    left = docs.join(gone, F.col(key) == F.col("_key"), "left_anti")
+    again = few(spark, stage(spark, found.groupBy("_key").count().where("count > 1 and _key is not null").select("_key"), "jaccard_again"))
+    once = left.join(again, F.col(key) == F.col("_key"), "left_anti")
+    return once.unionByName(left.join(again, F.col(key) == F.col("_key"), "left_semi").dropDuplicates([key]))

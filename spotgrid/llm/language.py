@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.llm.batches import Field, map_text
+from spotgrid.llm.batches import Field, map_batches, map_text
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
@@ -114,7 +114,7 @@ def sample(labelled: DataFrame, key: str, text: str, lang: str, size: int) -> li
                 zip(*found, strict=True), ("<u4", "<u4"), strict=True)] if found else [pa.array([], pa.binary())] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), *columns], names=["key", "lang", "buckets", "counts"])
 
-    rows = chosen.mapInArrow(count, "key string, lang string, buckets binary, counts binary").collect()
+    rows = map_batches(chosen, count, "key string, lang string, buckets binary, counts binary").collect()
     out = []
     for r in sorted(rows, key=lambda r: (r.key, r.lang, bytes(r.buckets), bytes(r.counts))):
         counted = np.frombuffer(r.counts, "<u4").astype(np.float32)

@@ -21,7 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from spotgrid.llm.batches import Field, chunks, map_text
+from spotgrid.llm.batches import Field, chunks, map_batches, map_text
 
 LEAST_WORDS = 10
 MOST_REPEAT_PERCENT = 20
@@ -110,4 +110,4 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
             kept = [measure(t, compressor)[6] for texts in chunks(batch.column(at)) for t in texts]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
