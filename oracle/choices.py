@@ -5,20 +5,21 @@ NETWORK = """media_outlet_id, name, external_short_name, short_name, cable_netwo
          WHEN rated_yn = 'N' AND streaming_yn = 'Y' THEN 'STREAMING' ELSE 'RATED' END AS media_outlet_type"""
 
 
-def eligibility(kind: int) -> str:
+def eligibility(kind: int, views: str = "(SELECT media_outlet_id AS home_outlet_id, media_outlet_id FROM {media_outlet})") -> str:
     targets = "p.target_demo_id IS NULL" if kind == 2 else "p.target_demo_id IS NULL OR p.target_segment IS NULL OR p.target_frequency IS NULL"
     event = "AND p.subevent_id IN (SELECT subevent_id FROM {subevent} WHERE optimization_type = 'O')" if kind == 2 else ""
     return f"""WITH newest AS (SELECT plan_id, max(plan_version_id) AS v FROM {{plan_version}} GROUP BY 1),
-    base AS (SELECT p.* EXCLUDE (plan_id), q.period_id, q.name AS quarter_name, q.start_date AS quarter_start, q.end_date AS quarter_end, h.plan_id AS home, h.plan_status_id AS home_status
+    base AS (SELECT p.* EXCLUDE (plan_id), w.home_outlet_id, q.period_id, q.name AS quarter_name, q.start_date AS quarter_start, q.end_date AS quarter_end, h.plan_id AS home, h.plan_status_id AS home_status
         FROM {{project}} p JOIN {{cal_period}} q ON q.period_type = 'Q' AND p.start_date BETWEEN q.start_date AND q.end_date
-        LEFT JOIN {{plan}} h ON h.media_outlet_id = p.media_outlet_id AND h.period_id = q.period_id AND h.plan_type = {kind} AND h.active_yn = 'Y'
+        JOIN {views} w ON w.media_outlet_id = p.media_outlet_id
+        LEFT JOIN {{plan}} h ON h.media_outlet_id = w.home_outlet_id AND h.period_id = q.period_id AND h.plan_type = {kind} AND h.active_yn = 'Y'
         WHERE p.is_active = 'Y' AND p.project_type = {kind} {event}),
     elsewhere AS (
-        SELECT DISTINCT b.project_id, o.name AS plan_name FROM base b
-        JOIN {{plan}} o ON o.media_outlet_id = b.media_outlet_id AND o.plan_type = {kind} AND o.active_yn = 'Y' AND o.plan_id <> b.home
+        SELECT DISTINCT b.project_id, b.home_outlet_id, o.name AS plan_name FROM base b
+        JOIN {{plan}} o ON o.media_outlet_id = b.home_outlet_id AND o.plan_type = {kind} AND o.active_yn = 'Y' AND o.plan_id <> b.home
         JOIN newest n ON n.plan_id = o.plan_id JOIN {{plan_project}} pp ON pp.plan_id = o.plan_id AND pp.plan_version_id = n.v AND pp.project_id = b.project_id),
     opt AS (
-        SELECT b.project_id, pv.optimization_type FROM base b
+        SELECT b.project_id, b.home_outlet_id, pv.optimization_type FROM base b
         JOIN (SELECT plan_id, project_id, max(plan_version_id) AS v FROM {{plan_project}} WHERE optimize_yn = 'Y' GROUP BY 1, 2) s ON s.plan_id = b.home AND s.project_id = b.project_id
         JOIN {{plan_version}} pv ON pv.plan_id = s.plan_id AND pv.plan_version_id = s.v JOIN newest n ON n.plan_id = b.home
         JOIN {{plan_project}} x ON x.plan_id = b.home AND x.project_id = b.project_id AND x.plan_version_id = CASE WHEN b.home_status <> 3 THEN n.v - 1 ELSE n.v END)
@@ -28,8 +29,9 @@ def eligibility(kind: int) -> str:
         se.subevent_name, p.is_episodic, p.quarter_name, p.quarter_start, p.quarter_end, e.plan_name, CASE WHEN {targets} THEN 4 ELSE 0 END AS target_metrics_chk,
         CASE WHEN p.premiere_date <> p.end_date THEN 5 ELSE 0 END AS premiere_date_chk, CASE WHEN e.plan_name IS NOT NULL THEN 7 ELSE 0 END AS cross_qtr_chk,
         coalesce(o.optimization_type, -1) AS optimization_type_chk, v1.validation_message AS target_metrics_chk_msg, v2.validation_message AS premiere_date_chk_msg,
-        replace(v4.validation_message, '<>', e.plan_name) AS cross_qtr_chk_msg, od.demo_id AS network_default_demo_id, nd.name AS network_default_demo
-    FROM base p LEFT JOIN elsewhere e ON e.project_id = p.project_id LEFT JOIN opt o ON o.project_id = p.project_id
+        replace(v4.validation_message, '<>', e.plan_name) AS cross_qtr_chk_msg, od.demo_id AS network_default_demo_id, nd.name AS network_default_demo, p.home_outlet_id
+    FROM base p LEFT JOIN elsewhere e ON e.project_id = p.project_id AND e.home_outlet_id = p.home_outlet_id
+    LEFT JOIN opt o ON o.project_id = p.project_id AND o.home_outlet_id = p.home_outlet_id
     JOIN {{outlet_demo}} od ON od.media_outlet_id = p.media_outlet_id AND od.default_yn = 'Y' JOIN {{demo}} nd ON nd.demo_id = od.demo_id
     LEFT JOIN {{map_validation}} v1 ON v1.validation_id = CASE WHEN {targets} THEN 4 ELSE 0 END
     LEFT JOIN {{map_validation}} v2 ON v2.validation_id = CASE WHEN p.premiere_date <> p.end_date THEN 5 ELSE 0 END
@@ -75,4 +77,5 @@ SQL = {
             GROUP BY a.media_outlet_id, a.period_id) x JOIN {map_validation} v ON v.validation_id = x.err""",
     "project_eligibility": eligibility(1),
     "project_eligibility_events": eligibility(2),
+    "project_eligibility_from_network": eligibility(1, "{network_view}"),
 }

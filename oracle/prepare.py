@@ -58,6 +58,8 @@ CAP = """CAST(CASE
         CASE WHEN datediff('day', on_map_start, on_map_end) = 0 THEN (eo - so) / 3600.0 * ph
              WHEN datediff('day', on_map_start, on_map_end) = 1 THEN ((86400 - so) + eo) / 3600.0 * ph
              ELSE ((86400 - so) + eo) / 3600.0 * ph + datediff('day', on_map_start - 1, on_map_end) * ds END
+    WHEN datediff('day', on_map_start, week_date) <= 0 AND datediff('day', on_map_end, week_date + 6) >= 0 THEN
+        ((86400 - so) + eo) / 3600.0 * ph + (datediff('day', on_map_start, on_map_end) - 1) * ds
     WHEN datediff('day', on_map_start, week_date) <= 0 AND datediff('day', on_map_end, week_date + 6) < 0 THEN
         CASE WHEN datediff('day', on_map_start, on_map_end) = 1 THEN (86400 - so) / 3600.0 * ph
              ELSE (86400 - so) / 3600.0 * ph + datediff('day', on_map_start, week_date + 6) * ds END
@@ -103,7 +105,7 @@ SQL = {
         FROM {{plan_project}} p LEFT JOIN newest n ON n.plan_id = p.plan_id AND n.v = p.plan_version_id""",
     "expand_model_params": params(False),
     "expand_model_params_forced": params(True),
-    "project_week_caps": f"WITH {PROJECT_CAPS} SELECT *, weekly_cap < unit_count AS violates FROM caps",
+    "project_week_caps": f"WITH {PROJECT_CAPS} SELECT *, coalesce(weekly_cap < unit_count, FALSE) AS violates FROM caps",
     "daily_cap_check": f"""WITH {PROJECT_CAPS} SELECT plan_id, plan_version_id, project_id, project_name,
         string_agg(CAST(week_date AS VARCHAR), ',' ORDER BY week_date) AS weeks FROM caps GROUP BY ALL""",
     "daily_cap_check_episode": f"""WITH {EPISODE_CAPS} SELECT plan_id, plan_version_id, project_id, episode_id, project_name,

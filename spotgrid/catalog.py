@@ -124,6 +124,7 @@ CHOICES = {
     "network_config_errors": choices.network_config_errors,
     "project_eligibility": lambda t: choices.project_eligibility(t, project_type=1),
     "project_eligibility_events": lambda t: choices.project_eligibility(t, project_type=2),
+    "project_eligibility_from_network": lambda t: choices.project_eligibility(t, project_type=1, views=t.network_view),
 }
 
 

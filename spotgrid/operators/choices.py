@@ -112,10 +112,12 @@ def network_config_errors(t) -> DataFrame:
     return errors.join(t.map_validation, "validation_id").select("media_outlet_id", "period_id", "validation_id", "validation_message")
 
 
-def project_eligibility(t, project_type: int, networks: str | None = None) -> DataFrame:
-    """Active projects by start quarter with their checks, seen from the plan of their own outlet and quarter.
+def project_eligibility(t, project_type: int, networks: str | None = None, views: DataFrame | None = None) -> DataFrame:
+    """Active projects by start quarter with their checks, seen from the plan of a home outlet in that quarter.
 
-    ``networks`` is an optional comma list of outlet ids.
+    ``networks`` is an optional comma list of outlet ids. ``views`` (home_outlet_id, media_outlet_id) says which outlets'
+    projects each home outlet looks at; without it, an outlet looks at its own. The home plan and the check for other
+    quarters belong to the home outlet.
     """
     projects = t.project.where((F.col("is_active") == "Y") & (F.col("project_type") == project_type))
     if networks is not None:
@@ -125,16 +127,17 @@ def project_eligibility(t, project_type: int, networks: str | None = None) -> Da
     quarters = periods(t.cal_period, "Q").select("period_id", F.col("name").alias("quarter_name"),
                                                  F.col("start_date").alias("quarter_start"), F.col("end_date").alias("quarter_end"))
     base = join_on_period(projects.drop("plan_id"), "start_date", t.cal_period, "Q").drop("period_start", "period_end")
-    plans = t.plan.where((F.col("active_yn") == "Y") & (F.col("plan_type") == project_type))
-    home = plans.select(F.col("plan_id").alias("home_plan_id"), "media_outlet_id", "period_id", "plan_status_id")
+    base = base.withColumn("home_outlet_id", F.col("media_outlet_id")) if views is None else base.join(views, "media_outlet_id")
+    plans = t.plan.where((F.col("active_yn") == "Y") & (F.col("plan_type") == project_type)).withColumnRenamed("media_outlet_id", "home_outlet_id")
+    home = plans.select(F.col("plan_id").alias("home_plan_id"), "home_outlet_id", "period_id", "plan_status_id")
     newest = latest_version(t.plan_version)
 
-    keyed = base.select("project_id", "media_outlet_id", "period_id").join(home, ["media_outlet_id", "period_id"])
+    keyed = base.select("project_id", "home_outlet_id", "period_id").join(home, ["home_outlet_id", "period_id"])
     in_plan = t.plan_project.join(newest, ["plan_id", "plan_version_id"], "left_semi").select("plan_id", "project_id")
     elsewhere = (
-        keyed.select("project_id", "media_outlet_id", "home_plan_id").join(in_plan, "project_id")
-        .join(plans.select("plan_id", "media_outlet_id", F.col("name").alias("plan_name")), ["plan_id", "media_outlet_id"])
-        .where(F.col("plan_id") != F.col("home_plan_id")).select("project_id", "plan_name").distinct()
+        keyed.select("project_id", "home_outlet_id", "home_plan_id").join(in_plan, "project_id")
+        .join(plans.select("plan_id", "home_outlet_id", F.col("name").alias("plan_name")), ["plan_id", "home_outlet_id"])
+        .where(F.col("plan_id") != F.col("home_plan_id")).select("project_id", "home_outlet_id", "plan_name").distinct()
     )
     # The version to compare with: the newest one of a complete plan, the one before it otherwise.
     reference = home.join(newest.withColumnRenamed("plan_id", "home_plan_id"), "home_plan_id").select(
@@ -145,8 +148,8 @@ def project_eligibility(t, project_type: int, networks: str | None = None) -> Da
         t.plan_project.where(F.col("optimize_yn") == "Y").groupBy("plan_id", "project_id").agg(F.max("plan_version_id").alias("plan_version_id"))
         .join(compared, ["plan_id", "project_id"], "left_semi")
         .join(t.plan_version.select("plan_id", "plan_version_id", "optimization_type"), ["plan_id", "plan_version_id"])
-        .join(keyed.select(F.col("home_plan_id").alias("plan_id"), "project_id"), ["plan_id", "project_id"])
-        .select("project_id", "optimization_type")
+        .join(keyed.select(F.col("home_plan_id").alias("plan_id"), "project_id", "home_outlet_id"), ["plan_id", "project_id"])
+        .select("project_id", "home_outlet_id", "optimization_type")
     )
     no_targets = F.col("target_demo_id").isNull()
     if project_type != EVENT_PROJECT_TYPE:
@@ -158,7 +161,7 @@ def project_eligibility(t, project_type: int, networks: str | None = None) -> Da
     demo = default_demo(t.outlet_demo).join(t.demo, "demo_id").select(
         "media_outlet_id", F.col("demo_id").alias("network_default_demo_id"), F.col("name").alias("network_default_demo"))
     return (
-        base.join(quarters, "period_id").join(elsewhere, "project_id", "left").join(optimised, "project_id", "left")
+        base.join(quarters, "period_id").join(elsewhere, ["project_id", "home_outlet_id"], "left").join(optimised, ["project_id", "home_outlet_id"], "left")
         .withColumns({
             "target_metrics_chk": F.when(no_targets, MISSING_TARGETS).otherwise(0),
             "premiere_date_chk": F.when(F.col("premiere_date") != F.col("end_date"), PREMIERE_DIFFERS).otherwise(0),
@@ -180,5 +183,5 @@ def project_eligibility(t, project_type: int, networks: str | None = None) -> Da
                 "media_outlet_id", "media_outlet_name", "campaign_type", "display_seq", "no_of_weeks", "user_comment", "scatter_imps", "event_type_name",
                 "subevent_name", "is_episodic", "quarter_name", "quarter_start", "quarter_end", "plan_name", "target_metrics_chk", "premiere_date_chk",
                 "cross_qtr_chk", "optimization_type_chk", "target_metrics_chk_msg", "premiere_date_chk_msg", "cross_qtr_chk_msg",
-                "network_default_demo_id", "network_default_demo")
+                "network_default_demo_id", "network_default_demo", "home_outlet_id")
     )

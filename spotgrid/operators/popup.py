@@ -25,19 +25,26 @@ def flights(t) -> DataFrame:
     return launch.unionByName(episodes)
 
 
-def project_popup_grid(t) -> DataFrame:
-    """Detail rows (types 1 and 2), daypart totals (3) and day totals (4) from one pass over the detail."""
+def project_popup_grid(t, demo_id: int | None = None) -> DataFrame:
+    """Detail rows (types 1 and 2), daypart totals (3) and day totals (4) from one pass over the detail.
+
+    Spots count for ``demo_id``, or for each goal's own audience if none is asked for.
+    """
     parts = t.daypart.where(F.col("active_yn") == "Y").select("media_outlet_id", "daypart_id", F.col("name").alias("daypart"))
     known_days = day_map(t.cal_period, "D").select(F.col("day").alias("broadcast_date"))
     dated = flights(t).withColumn("broadcast_date", F.explode(F.sequence("start_date", "end_date")))
+    if demo_id is not None:
+        dated = dated.withColumn("demo_id", F.lit(demo_id))
     cells = dated.join(known_days, "broadcast_date", "left_semi").join(parts, "media_outlet_id")
     values = ["planned_units", "planned_grp"]
     keys = ["plan_id", "project_id", "media_outlet_id", "demo_id", "daypart_id", F.col("start_date").alias("broadcast_date")]
     spots = (
         t.schedule.select(*keys, F.lit(LAUNCH_EPISODE).alias("episode_id"), *values)
-        .unionByName(t.schedule_episode.select(*keys, "episode_id", *values)).distinct()
+        .unionByName(t.schedule_episode.select(*keys, "episode_id", *values))
     )
     on = ["plan_id", "project_id", "media_outlet_id", "demo_id", "daypart_id", "broadcast_date", "episode_id"]
+    # Dealt by the join's keys once: equal rows meet there too, so the distinct needs no shuffle of its own.
+    spots = spots.repartition(*on).distinct()
     detail = cells.join(spots, on, "left").select(
         "plan_id", "project_id", "episode_id", "broadcast_date", "daypart_id", "daypart", "airing_date",
         F.when(F.col("episode_id") == LAUNCH_EPISODE, F.lit("Launch")).otherwise(F.concat(F.lit("Episode"), F.col("episode_id"))).alias("phase"),

@@ -30,6 +30,7 @@ def weekly_cap() -> Column:
     cap = (
         F.when(starts_here & ends_soon,
                F.when(length == 0, (closes - opens) / HOUR * per_hour).when(length == 1, edges).otherwise(edges + (length + 1) * daily))
+        .when(starts_here & (week_end >= end), edges + (length - 1) * daily)
         .when(starts_here & (week_end < end),
               F.when(length == 1, first_day).otherwise(first_day + F.datediff(week_end, start) * daily))
         .when((week > start) & (week_end < end), 7 * daily)
@@ -67,7 +68,7 @@ def project_week_caps(t) -> DataFrame:
         .withColumn("start_offset", edge(F.col("p_start"), F.col("on_map_start"), F.col("start_offset"), DAY_START))
         .withColumn("end_offset", edge(F.col("p_end"), F.col("on_map_end"), F.col("end_offset"), DAY_END))
         .withColumn("weekly_cap", weekly_cap())
-        .select(*keys, "project_name", "week_date", "unit_count", "weekly_cap", (F.col("weekly_cap") < F.col("unit_count")).alias("violates"))
+        .select(*keys, "project_name", "week_date", "unit_count", "weekly_cap", F.coalesce(F.col("weekly_cap") < F.col("unit_count"), F.lit(False)).alias("violates"))
     )
 
 
@@ -96,7 +97,7 @@ def episode_week_caps(t) -> DataFrame:
         .withColumn("start_offset", edge(F.col("pl_start"), F.col("on_map_start"), F.col("pl_start_offset"), DAY_START))
         .withColumn("end_offset", edge(F.col("pl_end"), F.col("on_map_end"), F.col("pl_end_offset"), DAY_END))
         .withColumn("weekly_cap", weekly_cap())
-        .select(*keys, "episode_id", "project_name", "week_date", "unit_count", "weekly_cap", (F.col("weekly_cap") < F.col("unit_count")).alias("violates"))
+        .select(*keys, "episode_id", "project_name", "week_date", "unit_count", "weekly_cap", F.coalesce(F.col("weekly_cap") < F.col("unit_count"), F.lit(False)).alias("violates"))
     )
 
 

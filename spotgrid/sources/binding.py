@@ -70,6 +70,9 @@ VIEWS: dict[str, str] = {
         SELECT n_regionkey + 1 AS division_id, n_nationkey + 1 AS media_outlet_id,
                CASE WHEN n_nationkey % 7 = 6 THEN 'N' ELSE 'Y' END AS active_yn
         FROM {nation}""",
+    "network_view": """
+        SELECT n_nationkey + 1 AS home_outlet_id, n_nationkey + 1 AS media_outlet_id FROM {nation}
+        UNION ALL SELECT n_nationkey + 1, (n_nationkey + 1) % 25 + 1 FROM {nation}""",
     "cluster": """
         SELECT * FROM (VALUES (1, 'Own network'), (2, 'Same division'), (3, 'Other'))
         AS v(cluster_id, cluster_name)""",
@@ -109,7 +112,7 @@ VIEWS: dict[str, str] = {
     "spots_per_hour": """
         SELECT media_outlet_id, air_hour, CAST(2 + media_outlet_id % 3 + air_hour % 2 AS DECIMAL(9,2)) AS spots
         FROM (SELECT DISTINCT s_nationkey + 1 AS media_outlet_id, CAST(s_suppkey % 24 AS INT) AS air_hour
-              FROM {supplier} WHERE s_acctbal > 5000) x""",
+              FROM {supplier}) x""",
     "map_validation": """
         SELECT * FROM (VALUES (1, 'Dayparts are not set up'), (2, 'Capacity is not loaded'),
             (3, 'Spots per hour are not set up'), (4, 'Target metrics are missing'),
@@ -255,7 +258,8 @@ VIEWS: dict[str, str] = {
                CASE WHEN k.project_id % 4 = 0 THEN NULL ELSE CAST(k.project_id % 4 AS INT) END AS cluster_id,
                CAST(k.project_id % 3 + 1 AS INT) AS phase_type,
                k.first_date AS on_map_start,
-               k.last_date + CAST(CASE WHEN v.plan_version_id = 2 THEN k.project_id % 3 ELSE 0 END AS INT) AS on_map_end,
+               CASE WHEN k.project_id % 9 = 4 THEN least(k.first_date + 3, k.last_date)
+                    ELSE k.last_date + CAST(CASE WHEN v.plan_version_id = 2 THEN k.project_id % 3 ELSE 0 END AS INT) END AS on_map_end,
                k.last_date AS on_map_premiere,
                CASE WHEN (k.project_id + v.plan_version_id) % 4 = 0 THEN NULL ELSE k.plan_id * 10000000000 + k.project_id END AS campaign_id,
                CASE WHEN (k.project_id + v.plan_version_id) % 4 = 0 THEN NULL ELSE k.plan_id * 100000000000 + k.project_id * 10 + 1 END AS campaign_goal_id,

@@ -234,6 +234,7 @@ def cap(spark, week, start, end, opens=21600, closes=108000):
     ("2024-05-13", "2024-05-13", "2024-05-13", 48),                # one day: 24 hours of 2 spots
     ("2024-05-13", "2024-05-13", "2024-05-14", 96),                # two days: edges only
     ("2024-05-13", "2024-05-15", "2024-05-30", 36 + 4 * 48),       # starts inside: 18 hours, then days to week end
+    ("2024-05-13", "2024-05-14", "2024-05-17", 36 + 60 + 2 * 48),  # inside one week: edges and the days between
     ("2024-05-20", "2024-05-15", "2024-05-30", 7 * 48),            # whole week
     ("2024-05-27", "2024-05-15", "2024-05-30", 60 + 3 * 48),       # ends inside: 30 hours, then days since Monday
 ])
