@@ -87,5 +87,28 @@ SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN strict_terms
 FROM counted LEFT JOIN fitted USING (rn)"""
 
 
+def _jaccard(k: int, percent: int) -> str:
+    run = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+         ELSE [{run} for i in range(1, len(w) - {k - 2})] END)) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * shared >= {percent} * (p.n + q.n - shared)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.y, r.other FROM reached r JOIN links l ON l.x = r.doc_id
+)
+SELECT r.doc_id, coalesce(max(z.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id, coalesce(max(c.n_links), 0)::BIGINT AS n_links
+FROM reached r LEFT JOIN sizes z ON z.doc_id = r.doc_id LEFT JOIN (SELECT x, count(*) AS n_links FROM links GROUP BY 1) c ON c.x = r.doc_id
+GROUP BY r.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": _mix(), "op6_chat_format": _CHAT, "op10_url_filter": _urls()}
+    return {"op2_mix_sources": _mix(), "op6_chat_format": _CHAT, "op7_jaccard_join": _jaccard(3, 90), "op10_url_filter": _urls()}
