@@ -15,7 +15,8 @@ of what lies across their border, and compares inside regions only.
    pivot. The distance is the Hamming distance of hashed bitmaps, a metric that is never above the number ``k`` of
    shingles in which linked sets can differ; so by the triangle inequality a linked pair shares a pivot. Classes
    connected through pivots form a region.
-4. Regions of more than ``LEAF`` classes are cut again by pivots and Jaccard distances themselves: a class belongs to
+4. Regions of more than ``LEAF`` classes are cut again the same way, by other parts and larger bitmaps, and then by pivots
+   and Jaccard distances themselves: a class belongs to
    its nearest pivot, and is copied to an earlier pivot that is at most 2 r farther. This is done again on regions
    that are still large.
 5. In a ball so dense that windows copy nearly everything nearly everywhere, pivots can't help; such a region is dealt
@@ -48,13 +49,16 @@ from spotgrid.llm.shingles import mix, shingle_set
 from spotgrid.sources.shared import stage
 
 #: Classes, and shingles, of a region that is compared in one task.
-LEAF = 512
+LEAF = 1024
 LEAF_ITEMS = 1 << 20
 #: Sizes of sets are cut into bands, each this much larger than the last.
 BAND = 1.5
 #: Bits of a set's bitmap: for each shingle up to this many while the bitmap has at most ``WIDE`` bits, half as many beyond.
 BITS = 8
 WIDE = 4096
+#: The same for regions that are cut again, and how often they are.
+DETAIL_BITS = 32
+CUTS = 3
 #: Pivots of a star, beyond which classes join the first one unseen.
 STAR_PIVOTS = 512
 MOST_PIVOTS = 64
@@ -62,7 +66,7 @@ VORONOI_ROUNDS = 2
 #: A Voronoi cut is kept if it makes at most so many copies per class.
 MOST_COPIES = 1.6
 #: Ids are sent to all tasks only up to this many; beyond, the join shuffles.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 300_000
 COLUMNS = 8192
 
 
@@ -85,17 +89,17 @@ def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(edges), np.array(parts), np.array(spare)
 
 
-def ties(items: np.ndarray, percent: int) -> np.ndarray:
+def ties(items: np.ndarray, percent: int, seed: int = 0) -> np.ndarray:
     """What a set ties to: one number for each part of its band, and of the next band if a partner may be there.
 
-    The band stands in the lowest six bits.
+    The band stands in the lowest six bits. Another seed cuts the universe into other parts.
     """
     edges, parts, spare = bands(percent)
     size = len(items)
     if size < edges[0]:
         return np.zeros(0, np.uint64)
     band = int(np.searchsorted(edges, size, "right")) - 1
-    spread = mix(items)
+    spread = mix(items ^ np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
     found = []
     for b in (band, band + 1):
         if b > band and size * 100 < percent * int(edges[b]):
@@ -114,13 +118,13 @@ def ties(items: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _bits(size: int) -> int:
-    return 1 << max(3, max(BITS * size // 2, min(BITS * size, WIDE)).bit_length() - 1)
+def _bits(size: int, bits: int) -> int:
+    return 1 << max(3, max(bits * size // 2, min(bits * size, WIDE)).bit_length() - 1)
 
 
-def bitmap(items: np.ndarray) -> np.ndarray:
+def bitmap(items: np.ndarray, per_item: int = BITS) -> np.ndarray:
     """The set's elements hashed into a power of two of bits, packed. Neighbouring bits fold into one for a smaller map."""
-    bits = np.zeros(_bits(len(items)), np.uint8)
+    bits = np.zeros(_bits(len(items), per_item), np.uint8)
     bits[(mix(items ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(65 - len(bits).bit_length())).astype(np.int64)] = 1
     return np.packbits(bits)
 
@@ -137,7 +141,7 @@ def _node(name: bytes) -> int:
     return int.from_bytes(name[:8], "little", signed=True)
 
 
-def describe(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+def describe(docs: DataFrame, key: str, text: str, k: int, percent: int, bits: int = BITS) -> DataFrame:
     """(key, n, digest, node, bitmap) of every row. A task gives the bitmap of equal sets once, and none of sets too small to link."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     least = int(bands(percent)[0][0])
@@ -152,7 +156,7 @@ def describe(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Data
                     name = digest(items)
                     n.append(len(items))
                     names.append(name)
-                    maps.append(bitmap(items).tobytes() if len(items) >= least and name not in met else None)
+                    maps.append(bitmap(items, bits).tobytes() if len(items) >= least and name not in met else None)
                     met.add(name)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.binary()), pa.array(map(_node, names), pa.int64()),
                                               pa.array(maps, pa.binary())], names=["key", "n", "digest", "node", "bitmap"])
@@ -161,7 +165,7 @@ def describe(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Data
     return map_batches(rows, run, f"key {kind}, n long, digest binary, node long, bitmap binary")
 
 
-def tie_rows(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+def tie_rows(docs: DataFrame, text: str, k: int, percent: int, seed: int = 0) -> DataFrame:
     """(node, tie): the ties of every set, those of equal sets once a task. They are too many to be kept, so texts are read again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -173,7 +177,7 @@ def tie_rows(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
                     node = _node(digest(items))
                     if node not in met:
                         met.add(node)
-                        tied.append(ties(items, percent))
+                        tied.append(ties(items, percent, seed))
                         nodes.append(np.full(len(tied[-1]), node, np.int64))
                 if tied:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(tied).view(np.int64))], names=["node", "tie"])
@@ -181,7 +185,7 @@ def tie_rows(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     return map_batches(docs.select(text), run, "node long, tie long")
 
 
-def regions(spark: SparkSession, tied: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+def regions(spark: SparkSession, tied: DataFrame, maps: DataFrame, percent: int, bits: int = BITS) -> DataFrame:
     """(node, root) of every node that shares a pivot with another, from rows (node, tie) and (node, bitmap)."""
     tied = tied.withColumn("centre", F.min("node").over(Window.partitionBy("tie")))
     band = F.col("tie").bitwiseAND(F.lit(63).cast("long"))
@@ -199,7 +203,7 @@ def regions(spark: SparkSession, tied: DataFrame, maps: DataFrame, percent: int)
             for centre, band, node, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if at != (centre, band):
                     at, nodes = (centre, band), []
-                    size = _bits(-(-percent * int(edges[band]) // 100))
+                    size = _bits(-(-percent * int(edges[band]) // 100), bits)
                     near = 2 * (int(edges[band + 1]) - 1) * (100 - percent) // (100 + percent)
                     pivots, group = np.zeros((8, size // 8), np.uint8), np.zeros(0, np.int64)
                 own = _fold(np.frombuffer(packed, np.uint8), size)
@@ -232,24 +236,37 @@ def few(spark: SparkSession, frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else frame
 
 
+def texts_of(spark: SparkSession, docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text) of the rows that stand for the members' classes."""
+    reps = few(spark, members.select("rep").distinct())
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return rows.join(reps, F.col("key").eqNullSafe(F.col("rep")), "left_semi")
+
+
+def cut_again(spark: SparkSession, docs: DataFrame, members: DataFrame, key: str, text: str, k: int, percent: int, seed: int) -> DataFrame:
+    """Members of large regions in the regions that other parts and larger bitmaps leave of them."""
+    texts = texts_of(spark, docs, members, key, text)
+    found = regions(spark, tie_rows(texts, "text", k, percent, seed), describe(texts, "key", "text", k, percent, DETAIL_BITS), percent, DETAIL_BITS)
+    again = members.join(found, "node").withColumn("region", F.concat_ws(":", "region", "root"))
+    return stage(spark, again.select("digest", "node", "n", "rep", "copies", "region"), "jaccard_again")
+
+
 def sets_of(spark: SparkSession, docs: DataFrame, members: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """members (digest, rep, ...) with the items of their sets, read again from the text of the row ``rep``, and an empty mask.
 
     A member comes more than once if its row is repeated.
     """
-    reps = few(spark, members.select("rep").distinct())
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = rows.join(reps, F.col("key").eqNullSafe(F.col("rep")), "left_semi").select("text")
+    rows = texts_of(spark, docs, members, key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in chunks(batch.column(0)):
+            for texts in chunks(batch.column(1)):
                 items = [shingle_set(t, k) for t in texts]
                 yield pa.RecordBatch.from_arrays([pa.array(map(digest, items), pa.binary()), pa.array([i.view(np.int64) for i in items], pa.list_(pa.int64()))],
                                                  names=["digest", "items"])
 
     found = map_batches(rows, run, "digest binary, items array<long>")
-    return found.join(few(spark, members), "digest").withColumn("mask", F.lit(0).cast("long"))
+    return found.join(few(spark, members.drop("node")), "digest").withColumn("mask", F.lit(0).cast("long"))
 
 
 def split_by_size(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -386,6 +403,11 @@ def compare(rows: DataFrame, percent: int) -> DataFrame:
 def link_classes(spark: SparkSession, docs: DataFrame, members: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
     """(digest, root, links) from all regions, each pair of classes compared once."""
     leaves, large = split_by_size(spark, members)
+    for seed in range(1, CUTS + 1):
+        if large is None:
+            break
+        less, large = split_by_size(spark, cut_again(spark, docs, large, key, text, k, percent, seed))
+        leaves = leaves.unionByName(less.select(*leaves.columns))
     ready = [sets_of(spark, docs, leaves, key, text, k)]
     if large is not None:
         large = stage(spark, sets_of(spark, docs, large, key, text, k).dropDuplicates(["digest"]), "jaccard_sets")
@@ -417,7 +439,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     rows = stage(spark, describe(docs, key, text, k, percent), "jaccard_rows")
     classes = stage(spark, rows.where("n > 0").groupBy("digest", "node", "n").agg(F.min("key").alias("rep"), F.count("*").alias("copies")), "jaccard_classes")
     found = regions(spark, tie_rows(docs, text, k, percent), rows.select("node", "bitmap"), percent)
-    members = stage(spark, classes.join(found, "node").select("digest", "n", "rep", "copies", F.col("root").cast("string").alias("region")), "jaccard_members")
+    members = stage(spark, classes.join(found, "node").select("digest", "node", "n", "rep", "copies", F.col("root").cast("string").alias("region")), "jaccard_members")
     links = link_classes(spark, docs, members, key, text, k, percent)
     roots = components(spark, links.select(F.col("digest").alias("u"), F.col("root").alias("v")))
     named = roots.join(members.select(F.col("digest").alias("node"), "rep"), "node")

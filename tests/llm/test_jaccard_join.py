@@ -64,7 +64,7 @@ def corpus(seed, n=260):
 
 @pytest.mark.parametrize(("k", "percent", "leaf"), [(3, 90, 512), (5, 80, 512), (3, 90, 12), (2, 60, 8)])
 def test_all_links_and_components(spark, documents, monkeypatch, k, percent, leaf):
-    """Small leaves force pivots and block pairs."""
+    """Small leaves force second cuts, pivots and block pairs."""
     monkeypatch.setattr(jj, "LEAF", leaf)
     monkeypatch.setattr(jj, "STAR_PIVOTS", 512 if leaf > 8 else 3)
     rows = corpus(k + leaf)
@@ -116,7 +116,7 @@ def test_ties_meet_whenever_sets_link():
                 if change and 100 * both < percent * (len(a) + len(b) - both):
                     break
                 if change and len(b):
-                    assert np.intersect1d(jj.ties(a, percent), jj.ties(b, percent)).size
+                    assert all(np.intersect1d(jj.ties(a, percent, seed), jj.ties(b, percent, seed)).size for seed in (0, 1))
 
 
 def test_bitmaps_are_never_farther_apart_than_sets():
@@ -124,7 +124,7 @@ def test_bitmaps_are_never_farther_apart_than_sets():
     for n in (4, 30, 300):
         a = np.unique(rng.integers(1, 2**62, n, dtype=np.uint64))
         b = np.unique(np.concatenate([a[: n // 2], rng.integers(1, 2**62, n, dtype=np.uint64)]))
-        size = jj._bits(n // 2)
+        size = jj._bits(n // 2, jj.BITS)
         apart = int(np.bitwise_count(jj._fold(jj.bitmap(a), size) ^ jj._fold(jj.bitmap(b), size)).sum())
         assert 0 < apart <= len(np.setxor1d(a, b))
         assert (jj._fold(jj.bitmap(a), 8) == np.packbits(np.unpackbits(jj.bitmap(a)).reshape(8, -1).max(1))).all()
