@@ -49,8 +49,8 @@ from spotgrid.llm.shingles import mix, shingle_set
 from spotgrid.sources.shared import stage
 
 #: Classes, and shingles, of a region that is compared in one task.
-LEAF = 1024
-LEAF_ITEMS = 1 << 20
+LEAF = 512
+LEAF_ITEMS = 1 << 19
 #: Sizes of sets are cut into bands, each this much larger than the last.
 BAND = 1.5
 #: Bits of a set's bitmap: for each shingle up to this many while the bitmap has at most ``WIDE`` bits, half as many beyond.
@@ -67,7 +67,7 @@ VORONOI_ROUNDS = 2
 MOST_COPIES = 1.6
 #: Ids are sent to all tasks only up to this many; beyond, the join shuffles.
 BROADCAST_IDS = 300_000
-COLUMNS = 8192
+COLUMNS = 2048
 
 
 @cache
