@@ -23,14 +23,17 @@ from pyspark.sql import functions as F
 from spotgrid.sources.shared import stage
 
 _VALUE = r"""["']?\x20*[:=]\x20*["']?"""
-#: (kind, pattern, role). The order is the order of kinds that start at one place.
+_ACCOUNT = r"(?:[Cc]lient_?[Ii]d|[Uu]ser(?:_?[Nn]ame)?|[Ll]ogin|[Aa]ccount)"
+#: (kind, pattern, role). The order is the order of kinds that start at one place. An opaque string may follow '=' (KEY=value), but not the '=' of
+#: an account label, whose value is the account's name; or the '.' of a dotted token (SG.xxx.yyy), unless it goes on like a path (example.com/...).
 KINDS = (
     ("assign", r"(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
      + _VALUE + r"([A-Za-z0-9+/_.=-]+)", "secret"),
     ("access", r"AKIA[A-Z0-9]{16,}", "identifier"),
     ("hex", r"(?<![0-9a-f])[0-9a-f]{24,}", "secret"),
-    ("account", r"(?<![A-Za-z0-9])(?:[Cc]lient_?[Ii]d|[Uu]ser(?:_?[Nn]ame)?|[Ll]ogin|[Aa]ccount)" + _VALUE + r"([A-Za-z0-9@._-]{3,})", "identifier"),
-    ("opaque", r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}", "secret"),
+    ("account", r"(?<![A-Za-z0-9])" + _ACCOUNT + _VALUE + r"([A-Za-z0-9@._-]{3,})", "identifier"),
+    ("opaque", r"(?:(?<![A-Za-z0-9+/_.-])(?<!" + _ACCOUNT + r"=)|(?<=[A-Za-z0-9_-]\.)(?![a-z0-9]{1,24}/))"
+     r"(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}", "secret"),
     ("endpoint", r"(?:https?|ftp|jdbc:[a-z]+|postgres|mysql|redis|amqp)://[A-Za-z0-9][A-Za-z0-9.:/?&=%@_-]{3,}", "endpoint"),
 )
 BASE = ("assign", "access", "hex")
