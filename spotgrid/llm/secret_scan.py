@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from spotgrid.sources.shared import stage
 
 _VALUE = r"""["']?\x20*[:=]\x20*["']?"""
-_ACCOUNT = r"(?:[Cc]lient_?[Ii]d|[Uu]ser(?:_?[Nn]ame)?|[Ll]ogin|[Aa]ccount)"
+_ACCOUNT = r"(?:[Cc][Ll][Ii][Ee][Nn][Tt]_?[Ii][Dd]|[Uu][Ss][Ee][Rr](?:_?[Nn][Aa][Mm][Ee])?|[Ll][Oo][Gg][Ii][Nn]|[Aa][Cc][Cc][Oo][Uu][Nn][Tt])"
 #: (kind, pattern, role). The order is the order of kinds that start at one place. An opaque string may follow '=' (KEY=value), but not the '=' of
 #: an account label, whose value is the account's name; or the '.' of a dotted token (SG.xxx.yyy), unless it goes on like a path (example.com/...).
 KINDS = (

@@ -69,6 +69,13 @@ def test_env_file_pairs_are_reported_and_redacted(spark, documents):
     assert not any(PAIR_SECRET in t or PAIR_ID in t for t in redacted.values())
 
 
+def test_account_labels_match_in_any_case(documents):
+    labels = ["CLIENT_ID", "clientID", "DB_USER", "db_user", "USERNAME", "User_Name", "LOGIN", "aCCount"]
+    rows = [(i, f"{label}=root7\nKEY={PAIR_SECRET}\nURL=https://db.example.com/x") for i, label in enumerate(labels)] + [(99, "u\u017fer=root7 password=abcdef1")]
+    for key, spans in run(documents, rows):
+        assert [secret_scan.KINDS[k][0] for _, k, _ in spans] == (["account", "opaque", "endpoint"] if key < 99 else ["assign"]), key
+
+
 def test_lone_values_and_paths_are_not_opaque_pairs(documents):
     rows = [(1, f"AWS_SECRET_ACCESS_KEY={PAIR_SECRET}"), (2, "user=kQ8vZr3LmN0pXy7TbWc2"), (3, f"{PAIR_ID} see example.com/Docs/Chapter12/Overview")]
     assert {key: [secret_scan.KINDS[k][0] for _, k, _ in spans] for key, spans in run(documents, rows)} == {1: [], 2: [], 3: ["access"]}
