@@ -14,6 +14,7 @@ an empty table gives none; columns other than key and text are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,14 +31,24 @@ SYMBOLS = b"#*$%&|<>"
 LEVEL = 3
 CHUNK = 4096
 MOST_BAD_CHUNKS = 0.3
-#: (bytes from, lowest ratio, highest ratio) of compressed to plain size, for texts of at least so many bytes.
-BANDS = ((0, 0.0, 9.0), (128, 0.40, 1.15), (256, 0.35, 1.00), (512, 0.32, 0.95), (1024, 0.30, 0.90), (4096, 0.26, 0.85), (16384, 0.22, 0.80))
+#: (bytes, lowest ratio, highest ratio, highest ratio of ASCII) of compressed to plain size, straight in the logarithm of the bytes between two rows.
+#: The highest lie just above what translated messages in all scripts of /usr/share/locale reach (Chinese and Czech the most); text that is
+#: nearly all ASCII reaches less. Shorter texts have no band.
+BANDS = (
+    (128, 0.40, 1.10, 1.10), (192, 0.37, 1.07, 0.97), (256, 0.35, 1.02, 0.885), (384, 0.33, 0.97, 0.845), (512, 0.32, 0.91, 0.79), (1024, 0.30, 0.80, 0.72),
+    (2048, 0.30, 0.72, 0.65), (4096, 0.26, 0.66, 0.61), (8192, 0.26, 0.62, 0.58), (16384, 0.22, 0.59, 0.55), (32768, 0.22, 0.57, 0.52), (65536, 0.22, 0.55, 0.50),
+)
+#: Text counts as ASCII if so many percent of its bytes begin a code point.
+ASCII_PERCENT = 98
 
 FIELDS: list[Field] = [
     ("n_words", "long", pa.int64()), ("word_chars", "long", pa.int64()), ("n_symbols", "long", pa.int64()), ("n_dup_lines", "long", pa.int64()),
     ("n_repeat_words", "long", pa.int64()), ("base_failed", "boolean", pa.bool_()), ("kept", "boolean", pa.bool_()),
     ("ratio", "double", pa.float64()), ("bad_chunks", "double", pa.float64()),
 ]
+_CONTINUED = bytes(range(0x80, 0xC0))
+_BYTES, _LOWEST, _HIGHEST, _HIGHEST_ASCII = (np.array(x) for x in zip(*BANDS, strict=True))
+_LOGS = np.log2(_BYTES)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -62,21 +73,26 @@ def repeat_words(words: list[bytes]) -> int:
     return int(np.count_nonzero(np.cumsum(edges)))
 
 
-def band(n_bytes: int) -> tuple[float, float]:
-    return next((low, high) for least, low, high in reversed(BANDS) if n_bytes >= least)
+def in_band(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, bool]:
+    """Ratio of compressed to plain size, and whether it lies in the band of the length."""
+    n = len(data)
+    ratio = len(compressor.compress(data)) / n
+    if n < BANDS[0][0]:
+        return ratio, True
+    ascii = 100 * len(data.translate(None, _CONTINUED)) >= ASCII_PERCENT * n
+    low, high = (float(np.interp(math.log2(n), _LOGS, x)) for x in (_LOWEST, _HIGHEST_ASCII if ascii else _HIGHEST))
+    return ratio, low <= ratio <= high
 
 
 def compression(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
     """Ratio of the whole text, share of its full chunks that are outside their band, and the verdict."""
     if not data:
         return 1.0, 0.0, True
-    ratio = len(compressor.compress(data)) / len(data)
-    low, high = band(len(data))
-    chunk_low, chunk_high = band(CHUNK)
-    view, n = memoryview(data), len(data) // CHUNK
-    bad = sum(not chunk_low <= len(compressor.compress(view[i * CHUNK : (i + 1) * CHUNK])) / CHUNK <= chunk_high for i in range(n))
+    ratio, fine = in_band(data, compressor)
+    n = len(data) // CHUNK
+    bad = sum(not in_band(data[i * CHUNK : (i + 1) * CHUNK], compressor)[1] for i in range(n))
     share = bad / n if n else 0.0
-    return ratio, share, low <= ratio <= high and share <= MOST_BAD_CHUNKS
+    return ratio, share, fine and share <= MOST_BAD_CHUNKS
 
 
 def measure(text: str, compressor: zstandard.ZstdCompressor) -> tuple:

@@ -1,5 +1,6 @@
 import random
 import re
+import string
 from collections import Counter
 
 import zstandard
@@ -54,6 +55,19 @@ def test_bands(words):
     assert not fine(half + "\n" + "\n".join(f"{line} {i}" for i in range(1400)))
 
 
+def judged(text):
+    return quality.measure(text, zstandard.ZstdCompressor(level=quality.LEVEL))[6]
+
+
+def test_noise_of_letters_and_digits_is_rejected():
+    rng = random.Random(5)
+    alphabets = {"printable": "".join(map(chr, range(33, 127))), "alphanumeric": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/"}
+    for name, letters in alphabets.items():
+        for n in (300, 1500, 6000, 40_000, 1_000_000):
+            noise = "".join(rng.choice(letters) for _ in range(n))
+            assert not judged(" ".join(noise[i : i + 7] for i in range(0, n, 7))[:n]), (name, n)
+
+
 def test_clean_labelled_text_is_kept(spark, sf, sf_docs):
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()}
     rows = [r for r in quality.judge_quality(sf_docs).collect() if r.doc_id in good]
