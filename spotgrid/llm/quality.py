@@ -3,7 +3,7 @@ r"""Quality rules by compression bands.
 A text is compressed by zstandard as a whole and in fixed chunks. Repetitive text compresses too well and random text
 too badly; what is too well or too badly depends on the length, since short texts have no past to refer to. So the
 limits are bands by length. A text is rejected if its ratio lies outside its band, or if more than ``MOST_BAD_CHUNKS``
-of its full chunks lie outside the band of a chunk.
+of its chunks lie outside the band of a chunk. Short texts have smaller chunks; a last one that overlaps covers the rest.
 
 The counts that come with the verdict are plain: words are runs without ``\x20`` and ``\x09`` to ``\x0D``, lines are
 parted by ``\n``. Two words, or two windows of five words, are the same if their 64-bit hashes are.
@@ -29,7 +29,8 @@ MOST_REPEAT_PERCENT = 20
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 LEVEL = 3
-CHUNK = 4096
+#: (bytes from, chunk) of a text; shorter ones are judged as a whole only.
+CHUNKS = ((16384, 4096), (4096, 1024), (1024, 512), (512, 256))
 MOST_BAD_CHUNKS = 0.3
 #: (bytes, lowest ratio, highest ratio, highest ratio of ASCII) of compressed to plain size, straight in the logarithm of the bytes between two rows.
 #: The highest lie just above what translated messages in all scripts of /usr/share/locale reach (Chinese and Czech the most); text that is
@@ -85,12 +86,14 @@ def in_band(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, b
 
 
 def compression(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
-    """Ratio of the whole text, share of its full chunks that are outside their band, and the verdict."""
+    """Ratio of the whole text, share of its chunks that are outside their band, and the verdict."""
     if not data:
         return 1.0, 0.0, True
     ratio, fine = in_band(data, compressor)
-    n = len(data) // CHUNK
-    bad = sum(not in_band(data[i * CHUNK : (i + 1) * CHUNK], compressor)[1] for i in range(n))
+    size = next((size for least, size in CHUNKS if len(data) >= least), 0)
+    # What full chunks leave over is judged with bytes before it, as a chunk of the same size.
+    starts = [*range(0, len(data) - size + 1, size), *([len(data) - size] if len(data) % size else [])] if size else []
+    bad, n = sum(not in_band(data[i : i + size], compressor)[1] for i in starts), len(starts)
     share = bad / n if n else 0.0
     return ratio, share, fine and share <= MOST_BAD_CHUNKS
 

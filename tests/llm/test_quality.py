@@ -68,6 +68,16 @@ def test_noise_of_letters_and_digits_is_rejected():
             assert not judged(" ".join(noise[i : i + 7] for i in range(0, n, 7))[:n]), (name, n)
 
 
+def test_repetitive_tails_are_rejected(words):
+    rng = random.Random(6)
+    for good, tail in ((4096, 4000), (8192, 4000), (2000, 2000), (700, 700), (40_000, 20_000)):
+        prose = " ".join(rng.choice(words) + rng.choice(words) for _ in range(good)).encode()[:good].decode(errors="ignore")
+        lines = "".join(f"item of the list {i}\n" for i in range(tail))[:tail]
+        assert judged(prose), good
+        assert judged(prose + " " + prose[:50][::-1]), good  # a short rest
+        assert not judged(prose + "\n" + lines), (good, tail)
+
+
 def test_clean_labelled_text_is_kept(spark, sf, sf_docs):
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()}
     rows = [r for r in quality.judge_quality(sf_docs).collect() if r.doc_id in good]
