@@ -34,10 +34,11 @@ CHUNKS = ((16384, 4096), (4096, 1024), (1024, 512), (512, 256))
 MOST_BAD_CHUNKS = 0.3
 #: (bytes, lowest ratio, highest ratio, highest ratio of ASCII) of compressed to plain size, straight in the logarithm of the bytes between two rows.
 #: The highest lie just above what translated messages in all scripts of /usr/share/locale reach (Chinese and Czech the most); text that is
-#: nearly all ASCII reaches less. Shorter texts have no band.
+#: nearly all ASCII reaches less. The lowest lie below what scripts of three-byte letters (Burmese, Khmer, Dzongkha) reach. Shorter texts have no band.
 BANDS = (
     (128, 0.40, 1.10, 1.10), (192, 0.37, 1.07, 0.97), (256, 0.35, 1.02, 0.885), (384, 0.33, 0.97, 0.845), (512, 0.32, 0.91, 0.79), (1024, 0.30, 0.80, 0.72),
-    (2048, 0.30, 0.72, 0.65), (4096, 0.26, 0.66, 0.61), (8192, 0.26, 0.62, 0.58), (16384, 0.22, 0.59, 0.55), (32768, 0.22, 0.57, 0.52), (65536, 0.22, 0.55, 0.50),
+    (2048, 0.28, 0.72, 0.65), (4096, 0.255, 0.66, 0.61), (8192, 0.235, 0.62, 0.58), (16384, 0.21, 0.59, 0.55), (32768, 0.19, 0.57, 0.52), (65536, 0.18, 0.55, 0.50),
+    (131072, 0.17, 0.55, 0.50), (262144, 0.16, 0.55, 0.50), (1048576, 0.14, 0.55, 0.50),
 )
 #: Text counts as ASCII if so many percent of its bytes begin a code point.
 ASCII_PERCENT = 98
