@@ -454,10 +454,18 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that are the first of their component, with all their columns. Of rows with one key, one is kept."""
-    found = stage(spark, jaccard_join(spark, docs, key, text, k, percent).select(F.col(key).alias("_key"), "component_id"), "jaccard_found")
-    gone = few(spark, stage(spark, found.where("_key != component_id").select("_key").distinct(), "jaccard_gone"))
-    left = docs.join(gone, F.col(key) == F.col("_key"), "left_anti")
-    again = few(spark, stage(spark, found.groupBy("_key").count().where("count > 1 and _key is not null").select("_key"), "jaccard_again"))
-    once = left.join(again, F.col(key) == F.col("_key"), "left_anti")
-    return once.unionByName(left.join(again, F.col(key) == F.col("_key"), "left_semi").dropDuplicates([key]))
+    """The first row of every component, with all its columns: the one of the smallest id, null ids last, then of the smallest hash of the text.
+
+    Rows are told apart by id and text, so texts of one id stay or go each on its own, and so do rows of null ids. Of
+    rows with one id and one text, one is kept; texts without shingles and without ids link with nothing and all stay.
+    """
+    name = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("id"), F.xxhash64(F.col(text), F.col(text).isNull()).alias("print"))
+    rows = docs.withColumn("_row", name)
+    found = stage(spark, jaccard_join(spark, rows.select("_row", text), "_row", text, k, percent).select(
+        F.col("_row").alias("_name"), "component_id", "n_shingles"), "jaccard_found")
+    gone = few(spark, stage(spark, found.where("_name != component_id").select("_name").distinct(), "jaccard_gone"))
+    same = F.col("_row").eqNullSafe(F.col("_name"))
+    left = rows.join(gone, same, "left_anti")
+    again = few(spark, stage(spark, found.where("not _name.unknown or n_shingles > 0").groupBy("_name").count().where("count > 1").select("_name"), "jaccard_again"))
+    once = left.join(again, same, "left_anti")
+    return once.unionByName(left.join(again, same, "left_semi").dropDuplicates(["_row"])).drop("_row")

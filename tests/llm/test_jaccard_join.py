@@ -145,6 +145,22 @@ def test_keep_one(spark, documents):
     assert jj.jaccard_join(spark, documents([])).collect() == []
 
 
+def test_keep_one_tells_rows_apart_by_id_and_text(spark, documents):
+    text = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    near = lambda name: text(name, 59) + " end"
+    rows = [
+        (1, text("b")), (5, text("a")), (5, near("b")),  # 5's second text is linked to 1, its first one to no other
+        (None, near("a")), (None, text("c")), (None, near("c")), (None, text("c")),  # copies without ids
+        (7, text("d")), (7, text("e")), (7, text("e")), (8, "short"), (8, "brief"), (8, "brief"), (None, ""), (None, None),
+    ]
+    got = [(r.doc_id, r.text) for r in jj.keep_one(spark, documents(rows)).collect()]
+    c = [t for i, t in got if i is None and t and t.startswith("c")]
+    assert len(c) == 1 and c[0] in (text("c"), near("c"))
+    got.remove((None, c[0]))
+    want = [(1, text("b")), (5, text("a")), (7, text("d")), (7, text("e")), (8, "short"), (8, "brief"), (None, ""), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("small", [200_000, 10])
 def test_components(spark, monkeypatch, small):
     monkeypatch.setattr("spotgrid.llm.components.SMALL", small)
