@@ -1,0 +1,16 @@
+"""The entry module stands without the training-text operators."""
+
+import shutil
+import subprocess
+import sys
+
+from spotgrid import catalog
+from tests.conftest import ROOT
+
+
+def test_entry_without_text_operators(tmp_path):
+    shutil.copytree(ROOT, tmp_path / "copy", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", ".pytest_cache"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, check=True).stdout.split()
+    n = str(len(catalog.queries()))
+    assert said == [n, n, "False"]

@@ -52,7 +52,7 @@ def test_popup_totals_equal_their_detail(spark):
 
 def test_saving_twice_changes_nothing_more(spark):
     t = BoundTables(spark, SF_DIR)
-    once = t.replace(plan=stage(spark, save.saved_plans(t, NOON), "plan"), plan_version=stage(spark, save.saved_versions(t), "versions"),
+    once = t.replace(plan=stage(spark, save.saved_plans(t, NOON), "plan"), plan_version=stage(spark, save.saved_versions(t, NOON), "versions"),
                      plan_project_spots=stage(spark, save.upsert_spots(t), "spots"))
     # After the save every plan is a draft, so a second save reuses its version.
     again = save.decide_version(once).select("uid", "plan_id", "plan_version_id", "version_action").collect()
