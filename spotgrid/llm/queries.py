@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.llm import bpe, chat, fingerprints, jaccard_join, language, licences, mixing, quality, secret_scan, url_filter
+from spotgrid.llm import bpe, chat, fingerprints, jaccard_join, language, licences, mixing, prefix_trie, quality, secret_scan, url_filter
+from spotgrid.sources.shared import stage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,5 +78,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stage(spark, prefix_trie.placed_turns(spark, prefix_trie.slim_turns(_table(spark, sf_dir, "conversations"))), "trie_placed")
+    return prefix_trie.trie(spark, *prefix_trie.branched(spark, rows))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

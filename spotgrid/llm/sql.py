@@ -110,5 +110,37 @@ FROM reached r LEFT JOIN sizes z ON z.doc_id = r.doc_id LEFT JOIN (SELECT x, cou
 GROUP BY r.doc_id"""
 
 
+_TRIE = r"""
+WITH slim AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (
+  SELECT conv_id, list(name ORDER BY turn NULLS FIRST, name) AS names, list(chars ORDER BY turn NULLS FIRST, name) AS chars FROM slim GROUP BY conv_id
+), counted AS (  -- crc32 of the decimal id, bit by bit
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, _: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h
+  FROM lists
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.names, [])[1:c.h], c.names[c.h + 1:]) AS names, list_concat(coalesce(b.chars, [])[1:c.h], c.chars[c.h + 1:]) AS chars
+  FROM counted c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 100
+), paths AS (
+  SELECT conv_id, d AS depth, array_to_string(names[1:d], ',') AS node, array_to_string(names[1:d - 1], ',') AS above, coalesce(chars[d], 0) AS chars, d = len(names) AS ends
+  FROM (SELECT *, unnest(range(len(names) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT depth, node, min(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars, bool_and(ends) AS is_leaf,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM paths GROUP BY depth, node
+), below AS (  -- a node lies in the subtrees of all prefixes of its smallest member
+  SELECT p.depth, p.node, count(*) FILTER (WHERE b.is_leaf) AS n_leaves, sum((b.n_convs - 1) * b.chars) AS saved_tokens
+  FROM nodes b JOIN paths p ON p.conv_id = b.conv_id AND p.depth <= b.depth GROUP BY p.depth, p.node
+), children AS (
+  SELECT depth - 1 AS depth, above AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY depth, above
+)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, up.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(k.n_children, 0)::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b USING (depth, node) LEFT JOIN children k USING (depth, node)
+LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.node = n.above"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": _mix(), "op6_chat_format": _CHAT, "op7_jaccard_join": _jaccard(3, 90), "op10_url_filter": _urls()}
+    return {"op2_mix_sources": _mix(), "op6_chat_format": _CHAT, "op7_jaccard_join": _jaccard(3, 90), "op10_url_filter": _urls(), "op11_prefix_trie": _TRIE}
