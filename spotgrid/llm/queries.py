@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.llm import bpe, chat, fingerprints, jaccard_join, language, licences, mixing, prefix_trie, quality, secret_scan, url_filter
+from spotgrid.llm import bpe, chat, fingerprints, hard_negatives, jaccard_join, language, licences, mixing, prefix_trie, quality, secret_scan, url_filter
 from spotgrid.sources.shared import stage
 
 
@@ -83,5 +83,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark, *prefix_trie.branched(spark, rows))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(spark, _table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

@@ -142,5 +142,23 @@ FROM nodes n JOIN below b USING (depth, node) LEFT JOIN children k USING (depth,
 LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.node = n.above"""
 
 
+_NEGATIVES = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, id, score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id))::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": _mix(), "op6_chat_format": _CHAT, "op7_jaccard_join": _jaccard(3, 90), "op10_url_filter": _urls(), "op11_prefix_trie": _TRIE}
+    return {"op2_mix_sources": _mix(), "op6_chat_format": _CHAT, "op7_jaccard_join": _jaccard(3, 90), "op10_url_filter": _urls(), "op11_prefix_trie": _TRIE,
+            "op12_hard_negatives": _NEGATIVES}

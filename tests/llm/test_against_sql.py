@@ -12,7 +12,7 @@ def test_query_equals_sql(spark, sf, name):
     frame = queries.queries()[name](spark, sf)
     got = normal(frame.columns, frame.collect())
     with duckdb.connect() as db:
-        for table in ("documents", "conversations", "pages"):
+        for table in ("documents", "conversations", "pages", "embeddings"):
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
         cursor = db.execute(sql.oracle_sql()[name])
         assert got[1] and got == normal([c[0] for c in cursor.description], cursor.fetchall())
