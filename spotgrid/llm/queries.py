@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotgrid.llm import bpe, chat, fingerprints, hard_negatives, jaccard_join, language, licences, mixing, prefix_trie, quality, secret_scan, url_filter
+from spotgrid.llm import bpe, chat, fingerprints, hard_negatives, jaccard_join, language, licences, mixing, prefix_trie, quality, secret_scan, suffix_dedup, url_filter
 from spotgrid.sources.shared import stage
 
 
@@ -88,5 +88,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine_negatives(spark, _table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("id") % 100 == 0)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
