@@ -1,7 +1,10 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
+import regex
 
 from spotgrid.llm import queries, secret_scan
 
@@ -91,6 +94,56 @@ def test_nearness_does_not_depend_on_scope_borders(documents):
         assert len(spans) == (2 if key // 1000 < secret_scan.REACH else 0), key
 
 
+@pytest.mark.parametrize("label", ["client_id", "user", "login", "CLIENT_ID", "account"])
+def test_one_value_does_not_complete_itself(documents, label):
+    value = "A1b2C3d4E5f6G7h8I9j0"
+    forms = ['{}: "{}"', '{}="{}"', "{}: {}", "{}={}", "{} = '{}'", '"{}": "{}"', "{}=https://{}.example.com/x", "{}: https://example.com/{}"]
+    rows = [(i, form.format(label, value)) for i, form in enumerate(forms)] + [(90, f"https://{value}.example.com/x"), (91, f"https://example.com/{label}={value}")]
+    assert [(key, spans) for key, spans in run(documents, rows) if spans] == []
+
+
+def plain_links(text):
+    """Base spans, and weak ones beside a complement, by comparing all parts with all."""
+    parts = [(m.start(), k, m.end()) for k, (_, pattern, _) in enumerate(secret_scan.KINDS) if k >= 3 for m in regex.finditer(pattern, text)] + base(text)
+    role = lambda k: secret_scan.KINDS[k][2]
+    near = lambda a, r: any(role(k) == r and (s >= a[2] and s - a[2] < secret_scan.REACH or e <= a[0] and a[0] - e < secret_scan.REACH) for s, k, e in parts)
+    need = {"secret": ["identifier"], "identifier": ["secret"], "endpoint": ["identifier", "secret"]}
+    return sorted(a for a in parts if a[1] < 3 or all(near(a, r) for r in need[role(a[1])]))
+
+
+def test_links_equal_a_comparison_of_all_parts(spark, documents):
+    rng, rows = random.Random(5), []
+    pieces = ["user: alice", "login=bob7", "kQ8vZr3LmN0pXy7TbWc2", f"KEY={PAIR_SECRET}", "https://db.example.com/x", KEY, HEX, "password=abcdef1", 'client_id: "A1b2C3d4E5f6G7h8I9j0"', "é"]
+    for i in range(150):
+        rows.append((i, "".join(rng.choice(pieces) + " " * rng.choice([1, 2, 90, 197, 199, 200, 201, 380]) for _ in range(rng.randint(1, 8)))))
+    texts = dict(rows)
+    found = run(documents, rows)
+    assert sum(k >= 3 for _, spans in found for _, k, _ in spans) > 100
+    for key, spans in found:
+        assert spans == plain_links(texts[key]), texts[key]
+    for r in secret_scan.redact_secrets(spark, documents(rows)).collect():
+        text, at, out = texts[r.doc_id], 0, ""
+        for start, _, stop in plain_links(text):
+            if start > at or not out:
+                out += text[at:start] + "[secret]"
+            at = max(at, stop)
+        assert r.text == out + text[at:]
+
+
+def test_redaction_of_very_many_spans(spark, documents):
+    n = 50_000
+    rows = [(1, " é ".join(f"{HEX}{i:08x}" for i in range(n))), (2, f"{HEX}" * n)]
+    began = time.perf_counter()
+    got = {r.doc_id: r.text for r in secret_scan.redact_secrets(spark, documents(rows)).collect()}
+    assert got == {1: " é ".join(["[secret]"] * n), 2: "[secret]"} and time.perf_counter() - began < 60
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    frame = spark.createDataFrame([(1, f"a {HEX}", "p", "q", "r", 5)], "doc_id long, text string, _spans string, `key` string, `print` string, `cuts.x` int")
+    row = secret_scan.redact_secrets(spark, frame).first()
+    assert tuple(row) == (1, "a [secret]", "p", "q", "r", 5) and row.__fields__ == frame.columns
+
+
 def test_redaction(spark, documents):
     rows = [(1, f"é {KEY}{HEX} b"), (2, "nothing here"), (3, None), (4, f'a token = "{HEX}" {KEY} z'), (5, "secret=abcdef"), (5, "secret=abcdef")]
     got = sorted(((r.doc_id, r.text) for r in secret_scan.redact_secrets(spark, documents(rows)).collect()), key=str)
