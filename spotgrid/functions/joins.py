@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Asks of one key that one sorted sequence holds.
+AS_OF_ASKS = 100_000
+
 
 def day_map(cal: DataFrame, period_type: str) -> DataFrame:
     """One row per calendar day with the period that holds it.
@@ -25,34 +28,79 @@ def join_on_period(df: DataFrame, date_col: str, cal: DataFrame, period_type: st
     return df.join(days, df[date_col] == days["day"], how).drop("day")
 
 
+def _all_known(cols: list[str]) -> Column:
+    known = F.lit(True)
+    for c in cols:
+        known = known & F.col(c).isNotNull()
+    return known
+
+
+def as_of_lines(asks: DataFrame, points: DataFrame, keys: list[str], at: str, value: str, id_cols: list[str], split: int) -> DataFrame:
+    """Points (_asks 0) and asks (_asks 1) of every key in lines; a key with more than ``split`` asks has several, each with the key's points."""
+    known = _all_known([*keys, at])
+    deals = asks.where(known).groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / split).cast("int").alias("_deals"))
+    dealt_points = points.where(known).select(*keys, at, F.col(value).alias("_value")).join(deals, keys).withColumn(
+        "_deal", F.explode(F.sequence(F.lit(0), F.col("_deals") - 1))).withColumn("_asks", F.lit(0))
+    dealt_asks = asks.where(known).select(*id_cols, *keys, at).join(deals, keys).withColumn(
+        "_deal", F.pmod(F.xxhash64(*id_cols), F.col("_deals")).cast("int")).withColumn("_asks", F.lit(1))
+    return dealt_points.drop("_deals").unionByName(dealt_asks.drop("_deals"), allowMissingColumns=True)
+
+
+def as_of(asks: DataFrame, points: DataFrame, keys: list[str], at: str, value: str, id_cols: list[str], split: int = AS_OF_ASKS) -> DataFrame:
+    """(id_cols, lower, upper) of every ask: the largest ``value`` among points whose ``at`` is not above the ask's, and the smallest among those not below.
+
+    One sorted pass: points and asks lie in one line by ``at``, and a running maximum from below and a running minimum from
+    above meet each ask, so no ask meets the points of its key one by one, and ``value`` may rise and fall along ``at``.
+    Asks with a null key or place have no points.
+    """
+    lines, line = as_of_lines(asks, points, keys, at, value, id_cols, split), [*keys, "_deal"]
+    up = Window.partitionBy(*line).orderBy(F.col(at), "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*line).orderBy(F.col(at).desc(), "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    met = lines.withColumns({"lower": F.max("_value").over(up), "upper": F.min("_value").over(down)}).where(F.col("_asks") == 1)
+    none = [F.lit(None).cast(points.schema[value].dataType).alias(c) for c in ("lower", "upper")]
+    return met.select(*id_cols, "lower", "upper").unionByName(asks.where(~_all_known([*keys, at])).select(*id_cols, *none))
+
+
+def _tags(key: str, fallback: list[str]) -> tuple[Column, Column]:
+    """A row's tagged forms: (0, key, 0, ...) and (1, fallback ...), null where a part is."""
+    def form(kind: int, cols: list[str]) -> Column:
+        parts = [F.col(c).cast("bigint") for c in cols] + [F.lit(0).cast("bigint")] * (len(fallback) - len(cols))
+        whole = F.struct(F.lit(kind).alias("kind"), *[p.alias(f"k{i}") for i, p in enumerate(parts)])
+        return F.when(_all_known(cols), whole)
+
+    return form(0, [key]), form(1, fallback)
+
+
 def match_left_null(left: DataFrame, right: DataFrame, key: str, fallback: list[str], shared: list[str]) -> DataFrame:
     """Left join on ``shared`` and ``key``; left rows without a key join on ``fallback`` instead.
 
-    Split on the nullness of the left key, so each half is an equi join.
+    One equi join on a tagged key: a left row has one form, by the nullness of its key, and the right side unfolds once into
+    both. Keys are whole numbers.
     """
     extra = [c for c in right.columns if c not in {key, *fallback, *shared}]
-    out = [*left.columns, *extra]
-    by_key = left.where(F.col(key).isNotNull()).join(right.select(key, *shared, *extra), [key, *shared], "left")
-    by_fallback = left.where(F.col(key).isNull()).join(right.select(*fallback, *shared, *extra), [*fallback, *shared], "left")
-    return by_key.select(*out).unionByName(by_fallback.select(*out))
+    by_key, by_fallback = _tags(key, fallback)
+    tagged = right.withColumn("_tag", F.explode(F.array(by_key, by_fallback))).where(F.col("_tag").isNotNull()).select("_tag", *shared, *extra)
+    one = left.withColumn("_tag", F.when(F.col(key).isNotNull(), by_key).otherwise(by_fallback))
+    return one.join(tagged, ["_tag", *shared], "left").select(*left.columns, *extra)
 
 
 def match_right_null(left: DataFrame, right: DataFrame, key: str, fallback: str, shared: list[str]) -> DataFrame:
     """Left join on ``shared`` and ``key``; right rows without a key match on ``fallback`` instead.
 
-    Two equi joins for the matches, and two anti joins for the left rows with none.
+    One equi join on a tagged key: a right row has one form, and matches of a form are gathered before the join (the rows of
+    one key, bounded as a goal's weeks are); the left side unfolds into both forms and takes its matches together again.
+    Keys are whole numbers.
     """
     extra = [c for c in right.columns if c not in {key, fallback, *shared}]
-    out = [*left.columns, *extra]
-    keyed = right.where(F.col(key).isNotNull()).select(key, *shared, *extra)
-    loose = right.where(F.col(key).isNull()).select(fallback, *shared, *extra)
-    hits = left.join(keyed, [key, *shared]).select(*out).unionByName(left.join(loose, [fallback, *shared]).select(*out))
-    missing = (
-        left.join(keyed.select(key, *shared).distinct(), [key, *shared], "left_anti")
-        .join(loose.select(fallback, *shared).distinct(), [fallback, *shared], "left_anti")
-        .withColumns({c: F.lit(None).cast(right.schema[c].dataType) for c in extra})
-    )
-    return hits.unionByName(missing.select(*out))
+    by_key, by_fallback = _tags(key, [fallback])
+    own = F.when(F.col(key).isNotNull(), by_key).otherwise(by_fallback)
+    gathered = right.withColumn("_tag", own).where(F.col("_tag").isNotNull()).groupBy("_tag", *shared).agg(F.collect_list(F.struct(*extra)).alias("_hits"))
+    both = left.withColumn("_tag", F.explode(F.array(by_key, by_fallback)))
+    met = both.join(gathered, ["_tag", *shared], "left").groupBy(*left.columns).agg(
+        F.flatten(F.collect_list("_hits")).alias("_hits"), (F.count(F.lit(1)) / 2).cast("int").alias("_rows"))
+    none = F.array_repeat(F.lit(None).cast(gathered.schema["_hits"].dataType.elementType), F.col("_rows"))
+    hit = F.explode(F.when(F.size("_hits") > 0, F.col("_hits")).otherwise(none)).alias("_hit")
+    return met.select(*left.columns, hit).select(*left.columns, *[F.col("_hit")[c].alias(c) for c in extra])
 
 
 def snapshot_merge(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -30,9 +30,19 @@ NO_COLOUR_CHANGE = dt.datetime(1990, 1, 1)
 
 
 def map_week_labels(t) -> DataFrame:
-    """(map plan, week) with both labels: a few dozen rows per plan."""
-    weeks = week_number(quarter_weeks(t.cal_period)).drop("fiscal_qtr", "week_end", "week_no")
-    return map_plans(t).join(weeks, F.col("map_period_id") == F.col("period_id")).drop("period_id")
+    """(map plan, week) with both labels, the quarter's end and whether the map is complete: a few dozen rows per plan, written once."""
+    def build(t) -> DataFrame:
+        weeks = week_number(quarter_weeks(t.cal_period)).drop("fiscal_qtr", "week_end", "week_no")
+        ends = plan_context(t.plan, t.cal_period).select(F.col("plan_id").alias("map_plan_id"), "qtr_end")
+        state = t.plan.select(F.col("plan_id").alias("map_plan_id"), (F.coalesce("plan_status_id", F.lit(0)) == COMPLETE_PLAN).alias("is_complete"))
+        return map_plans(t).join(weeks, F.col("map_period_id") == F.col("period_id")).drop("period_id").join(
+            state, "map_plan_id").join(ends, "map_plan_id", "left")
+
+    return t.derived("map_weeks", ("plan", "cal_period"), build)
+
+
+def newest_versions(t) -> DataFrame:
+    return t.derived("newest_versions", ("plan_version",), lambda t: latest_version(t.plan_version))
 
 
 def live(facts: DataFrame) -> DataFrame:
@@ -56,39 +66,33 @@ def scheduled_goals(facts: DataFrame, goals: DataFrame, t, n_quarters: int, more
 
 
 def weekly_live(facts: DataFrame, t, output_type: int, keys: list[str]) -> DataFrame:
-    """Live week sums. Every caller groups alike, so one shuffle serves them all."""
-    return by_week(live(facts).withColumn("units", measure(output_type)), t.cal_period, ["units"], "plan_id", "media_outlet_id", *keys)
+    """Live week sums, written once: the map's own plan and all other plans read them."""
+    return stage(t.spark, by_week(live(facts).withColumn("units", measure(output_type)), t.cal_period, ["units"], "plan_id", "media_outlet_id", *keys), "live_weeks")
 
 
-def other_plan_amounts(facts: DataFrame, t, output_type: int, keys: list[str],
-                       label: str, starts_by_quarter_end: bool = False) -> DataFrame:
-    """Weekly live spots of all other plans of the outlet, for projects of the map's type."""
-    weekly = weekly_live(facts, t, output_type, keys)
+def other_plan_amounts(weekly: DataFrame, t, keys: list[str], label: str) -> DataFrame:
+    """Weekly live spots of all other plans of the outlet, for projects of the map's type, with whether the project starts by the quarter's end."""
     typed = t.project.select("project_id", F.col("project_type").alias("plan_type"), F.col("start_date").alias("project_start"))
     maps = map_week_labels(t).select(
-        "map_plan_id", F.col("map_outlet_id").alias("media_outlet_id"), F.col("map_plan_type").alias("plan_type"), "map_period_id",
-        "week_start", label)
+        "map_plan_id", F.col("map_outlet_id").alias("media_outlet_id"), F.col("map_plan_type").alias("plan_type"), "week_start", label, "is_complete", "qtr_end")
     rows = weekly.join(typed, "project_id").join(maps, ["media_outlet_id", "plan_type", "week_start"]).where(F.col("plan_id") != F.col("map_plan_id"))
-    if starts_by_quarter_end:
-        ends = plan_context(t.plan, t.cal_period).select(F.col("plan_id").alias("map_plan_id"), "qtr_end")
-        rows = rows.join(ends, "map_plan_id").where(F.col("project_start") <= F.col("qtr_end"))
-    return rows.groupBy("map_plan_id", *keys, "week_start", label).agg(F.sum("units").alias("units"))
+    started = F.coalesce(F.col("project_start") <= F.col("qtr_end"), F.lit(False)).alias("started")
+    return rows.groupBy("map_plan_id", "is_complete", started, *keys, "week_start", label).agg(F.sum("units").alias("units"))
 
 
-def own_amounts(facts: DataFrame, members: DataFrame, t, output_type: int, keys: list[str], label: str) -> DataFrame:
+def own_amounts(weekly: DataFrame, members: DataFrame, t, keys: list[str], label: str) -> DataFrame:
     """Weekly live spots of the map's own plan, for the given member rows."""
-    weekly = weekly_live(facts, t, output_type, keys)
-    weeks = map_week_labels(t).select(F.col("map_plan_id").alias("plan_id"), "week_start", label)
+    weeks = map_week_labels(t).select(F.col("map_plan_id").alias("plan_id"), "week_start", label, "is_complete")
     return weekly.join(members, members.columns, "left_semi").join(weeks, ["plan_id", "week_start"]).groupBy(
-        F.col("plan_id").alias("map_plan_id"), *keys, "week_start", label).agg(F.sum("units").alias("units"))
+        F.col("plan_id").alias("map_plan_id"), "is_complete", *keys, "week_start", label).agg(F.sum("units").alias("units"))
 
 
-def manual_amounts(spots: DataFrame, t, keys: list[str], label: str) -> DataFrame:
-    """Weekly counts typed in for a plan version; they carry no goal."""
-    weeks = map_week_labels(t).select(F.col("map_plan_id").alias("plan_id"), F.col("week_start").alias("week_date"), label)
+def manual_amounts(spots: DataFrame, t, keys: list[str], label: str, kind) -> DataFrame:
+    """Weekly counts typed in for a plan version, as sums of type ``kind``; they carry no goal."""
+    weeks = map_week_labels(t).select(F.col("map_plan_id").alias("plan_id"), F.col("week_start").alias("week_date"), label, "is_complete")
     return spots.join(weeks, ["plan_id", "week_date"]).select(
-        F.col("plan_id").alias("map_plan_id"), *keys, F.lit(None).cast("bigint").alias("campaign_goal_id"),
-        F.col("week_date").alias("week_start"), label, F.col("unit_count").alias("units"))
+        F.col("plan_id").alias("map_plan_id"), "is_complete", *keys, F.lit(None).cast("bigint").alias("campaign_goal_id"),
+        F.col("week_date").alias("week_start"), label, F.col("unit_count").cast(kind).alias("units"))
 
 
 def status_checked(df: DataFrame, t) -> DataFrame:
@@ -102,7 +106,7 @@ def status_checked(df: DataFrame, t) -> DataFrame:
 def episode_members(t) -> DataFrame:
     """Episodes on every map: the newest version's own, and other plans' episodes with spots in the map's two quarters."""
     cols = ["episode_id", "project_id", "campaign_goal_id", "plan_id", "episode_start_ts", "on_map_start", "on_map_end"]
-    own = t.plan_project_episode.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi").select(
+    own = t.plan_project_episode.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi").select(
         F.col("plan_id").alias("map_plan_id"), *cols)
     on_air = to_maps(on_map_periods(live(t.schedule_episode), t.cal_period, 2, ["plan_id", "project_id", "episode_id"]), t).where(
         F.col("plan_id") != F.col("map_plan_id"))
@@ -127,27 +131,31 @@ def episodes_optimised(t, output_type: int = UNITS) -> DataFrame:
     """Episode by week: optimised episodes from the schedule, the others from manual entries."""
     t = t.with_day_sums()
     keys, label = ["project_id", "episode_id"], "episode_week_label"
-    newest = t.plan_project_episode.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
+    shown = ["map_plan_id", *keys, "campaign_goal_id", "week_start", label, "units"]
+    newest = t.plan_project_episode.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi")
     checked = status_checked(newest, t).select("plan_id", *keys).distinct()
     unchecked = newest.where(~F.col("status_cd").isin(*OPTIMISED_STATUS)).select("plan_id", "plan_version_id", *keys).distinct()
-    own = own_amounts(t.schedule_episode, checked, t, output_type, [*keys, "campaign_goal_id"], label)
-    other = other_plan_amounts(t.schedule_episode, t, output_type, [*keys, "campaign_goal_id"], label)
-    manual = manual_amounts(
-        t.plan_project_spots_episode.join(unchecked, ["plan_id", "plan_version_id", *keys], "left_semi"), t, keys, label)
-    amounts = own.unionByName(other).unionByName(manual.withColumn("units", F.col("units").cast(own.schema["units"].dataType))).distinct()
-    return episode_output(match_left_null(episode_members(t), amounts, "campaign_goal_id", keys, ["map_plan_id"]))
+    weekly = weekly_live(t.schedule_episode, t, output_type, [*keys, "campaign_goal_id"])
+    own = own_amounts(weekly, checked, t, [*keys, "campaign_goal_id"], label)
+    other = other_plan_amounts(weekly, t, [*keys, "campaign_goal_id"], label)
+    typed_in = t.plan_project_spots_episode.join(unchecked, ["plan_id", "plan_version_id", *keys], "left_semi")
+    manual = manual_amounts(typed_in, t, keys, label, own.schema["units"].dataType)
+    amounts = stage(t.spark, own.select(*shown).unionByName(other.select(*shown)).unionByName(manual.select(*shown)).distinct(), "episode_amounts")
+    members = stage(t.spark, episode_members(t), "episode_members")
+    return episode_output(match_left_null(members, amounts, "campaign_goal_id", keys, ["map_plan_id"]))
 
 
 def episodes_saved(t, output_type: int = UNITS) -> DataFrame:
     """Episode by week from the saved entries of the newest version, and other plans' schedule."""
     t = t.with_day_sums()
     keys, label = ["project_id", "episode_id"], "episode_week_label"
-    saved = t.plan_project_spots_episode_map.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
-    manual = manual_amounts(saved, t, keys, label)
-    other = other_plan_amounts(t.schedule_episode, t, output_type, [*keys, "campaign_goal_id"], label, starts_by_quarter_end=True)
-    amounts = other.unionByName(manual.withColumn("units", F.col("units").cast(other.schema["units"].dataType))).distinct()
-    return episode_output(episode_members(t).join(
-        amounts.withColumnRenamed("campaign_goal_id", "amount_goal_id"), ["map_plan_id", *keys], "left"))
+    shown = ["map_plan_id", *keys, F.col("campaign_goal_id").alias("amount_goal_id"), "week_start", label, "units"]
+    saved = t.plan_project_spots_episode_map.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi")
+    other = other_plan_amounts(weekly_live(t.schedule_episode, t, output_type, [*keys, "campaign_goal_id"]), t, [*keys, "campaign_goal_id"], label).where("started")
+    manual = manual_amounts(saved, t, keys, label, other.schema["units"].dataType)
+    amounts = other.select(*shown).unionByName(manual.select(*shown)).distinct()
+    members = stage(t.spark, episode_members(t), "episode_members")
+    return episode_output(members.join(amounts, ["map_plan_id", *keys], "left"))
 
 
 # --- launch grid -----------------------------------------------------------------------
@@ -155,7 +163,7 @@ def episodes_saved(t, output_type: int = UNITS) -> DataFrame:
 def edit_members(t) -> DataFrame:
     """(map plan, source plan, version, project) rows of the editable map."""
     keys = ["map_plan_id", "plan_id", "plan_version_id", "project_id"]
-    current = t.plan_project.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi").select(
+    current = t.plan_project.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi").select(
         F.col("plan_id").alias("map_plan_id"), "plan_id", "plan_version_id", "project_id").withColumn("past_project", F.lit("N"))
     run = latest_model_version(t.plan, t.model_exec)
     run_projects = t.plan_project.join(run, ["plan_id", "plan_version_id"], "left_semi").select(
@@ -183,35 +191,31 @@ def edit_members(t) -> DataFrame:
 def colour_flags(t, as_of: dt.datetime) -> DataFrame:
     """Whether a project's map colour changed after its plan rows were last updated; over episodes never show."""
     header = t.episode_header.where(F.col("active_yn") == "Y").select("project_id", "episode_end_date", "map_colour_updated_ts")
-    newest = t.plan_project.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
+    newest = t.plan_project.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi")
     changed = F.coalesce("map_colour_updated_ts", F.lit(NO_COLOUR_CHANGE)) > F.col("update_ts")
     over = F.coalesce(F.col("episode_end_date").cast("timestamp") < F.lit(as_of), F.lit(False))
     return newest.join(header, "project_id", "left").select(
         "plan_id", "project_id", "map_colour_updated_ts", F.when(over, "N").when(changed, "Y").otherwise("N").alias("flag"))
 
 
-def weekly_amounts(t, output_type: int) -> tuple[DataFrame, DataFrame]:
-    """Weekly spots for complete plans (matched by goal or project) and for all other plans (matched by project)."""
+def weekly_amounts(t, output_type: int) -> DataFrame:
+    """Weekly spots of every map. Those of complete plans carry their goal, those of other plans none, as these are matched by project alone."""
     keys, label = ["project_id"], "week_label"
-    newest = t.plan_project.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
+    newest = t.plan_project.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi")
     only_optimised = newest.where(F.col("status_cd").isin(*OPTIMISED_STATUS))
     # Rating points always come from optimised projects; spots of old quarters come from all of them.
     checked = status_checked(newest, t) if output_type == UNITS else only_optimised
-    unchecked = newest.where(~F.col("status_cd").isin(*OPTIMISED_STATUS)).select("plan_id", "plan_version_id", "project_id")
-    is_complete = t.plan.where(F.coalesce("plan_status_id", F.lit(0)) == COMPLETE_PLAN).select(F.col("plan_id").alias("map_plan_id"))
-
-    own = own_amounts(t.schedule, checked.select("plan_id", "project_id").distinct(), t, output_type, [*keys, "campaign_goal_id"], label)
-    other = other_plan_amounts(t.schedule, t, output_type, [*keys, "campaign_goal_id"], label)
-    spots = t.plan_project_spots.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
-    kind = own.schema["units"].dataType
-    manual = manual_amounts(spots, t, keys, label).withColumn("units", F.col("units").cast(kind))
-    manual_unchecked = manual_amounts(spots.join(unchecked, ["plan_id", "plan_version_id", "project_id"], "left_semi"),
-                                      t, keys, label).withColumn("units", F.col("units").cast(kind))
-    started = other_plan_amounts(t.schedule, t, output_type, [*keys, "campaign_goal_id"], label, starts_by_quarter_end=True)
+    unchecked = newest.where(~F.col("status_cd").isin(*OPTIMISED_STATUS)).select(
+        "plan_id", "plan_version_id", "project_id", F.lit(True).alias("is_unchecked")).distinct()
 
-    for_complete = own.unionByName(other).unionByName(manual_unchecked).join(is_complete, "map_plan_id", "left_semi").distinct()
-    for_open = started.drop("campaign_goal_id").unionByName(manual.drop("campaign_goal_id")).join(is_complete, "map_plan_id", "left_anti").distinct()
-    return for_complete, for_open
+    weekly = weekly_live(t.schedule, t, output_type, [*keys, "campaign_goal_id"])
+    own = own_amounts(weekly, checked.select("plan_id", "project_id").distinct(), t, [*keys, "campaign_goal_id"], label).where("is_complete")
+    other = other_plan_amounts(weekly, t, [*keys, "campaign_goal_id"], label).where("is_complete or started").drop("started")
+    spots = t.plan_project_spots.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi").join(
+        unchecked, ["plan_id", "plan_version_id", "project_id"], "left")
+    manual = manual_amounts(spots, t, [*keys, "is_unchecked"], label, own.schema["units"].dataType).where("not is_complete or is_unchecked").drop("is_unchecked")
+    every = own.unionByName(other).unionByName(manual)
+    return every.withColumn("campaign_goal_id", F.when(F.col("is_complete"), F.col("campaign_goal_id"))).drop("is_complete").distinct()
 
 
 def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_target: str = "project") -> DataFrame:
@@ -235,7 +239,7 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_
         F.col("plan_id").alias("map_plan_id"), F.col("media_outlet_id").alias("map_outlet_id"), F.col("name").alias("plan_name"),
         F.coalesce("plan_status_id", F.lit(0)).alias("plan_status_id"), F.col("comments").alias("status_comment"), F.col("update_ts").alias("plan_update_ts"))
     last_run = (
-        t.model_exec.join(latest_version(t.plan_version), ["plan_id", "plan_version_id"], "left_semi")
+        t.model_exec.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi")
         .groupBy(F.col("plan_id").alias("map_plan_id")).agg(F.max("exec_end_ts").alias("run_ts"))
     )
     demo = default_demo(t.outlet_demo.where(F.col("active_yn") == "Y")).join(t.demo, "demo_id").select(
@@ -294,14 +298,8 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_
             "guide_reach_pct", "guide_grp", "guide_spots", "segment_type_id", "segment_mask", "project_segment_id", "project_demo_id", "campaign_type_id",
             "map_colour_updated_ts", "on_map_start_ts", "on_map_end_ts")
     )
-    for_complete, for_open = weekly_amounts(t, output_type)
     # Weeks are matched on slim keys; the wide rows join once, at the end.
-    by_row = ["map_plan_id", "plan_id", "project_id"]
-    done = slim.where(plan_status == COMPLETE_PLAN).select(*by_row, "campaign_goal_id")
-    still_open = slim.where(plan_status != COMPLETE_PLAN).select(*by_row)
-    weeks = ["week_start", "week_label", "units"]
-    cells = (
-        match_right_null(done, for_complete, "campaign_goal_id", "project_id", ["map_plan_id"]).select(*by_row, *weeks)
-        .unionByName(still_open.join(for_open, ["map_plan_id", "project_id"], "left").select(*by_row, *weeks)).distinct()
-    )
+    by_row, weeks = ["map_plan_id", "plan_id", "project_id"], ["week_start", "week_label", "units"]
+    amounts = stage(t.spark, weekly_amounts(t, output_type), "edit_amounts")
+    cells = match_right_null(slim.select(*by_row, "campaign_goal_id"), amounts, "campaign_goal_id", "project_id", ["map_plan_id"]).select(*by_row, *weeks).distinct()
     return rows.join(cells, by_row).withColumnRenamed("week_label", "week")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spotgrid.functions.joins import as_of as as_of_join
 from spotgrid.functions.joins import day_map
 from spotgrid.plans.calendar import periods
 from spotgrid.sources.shared import stage
@@ -107,32 +108,37 @@ def build_reach_guide(t, wanted: DataFrame | None = None) -> DataFrame:
     return curve.join(points, key).select("reach_id", "segment_id", "week_count", "frequency", "unit_count", "reach_pct", "cov_grp", "grp")
 
 
-def target_metric() -> tuple[Column, Column]:
-    """(curve metric, request target) of a request's mode."""
+def target_metric() -> Column:
+    """What a request aims at, in the measure of its mode."""
     mode = F.col("calc_based_on")
-    curve = F.when(mode.isin(*REACH_MODES), F.col("reach_pct")).when(mode.isin(*GRP_MODES), F.col("grp")) \
-        .when(mode == SPOT_MODE, F.col("unit_count").cast(NUM))
-    target = F.when(mode.isin(*REACH_MODES), F.col("target_reach_pct")).when(mode.isin(*GRP_MODES), F.col("target_grps")) \
+    return F.when(mode.isin(*REACH_MODES), F.col("target_reach_pct")).when(mode.isin(*GRP_MODES), F.col("target_grps")) \
         .when(mode == SPOT_MODE, F.col("planned_spot").cast(NUM))
-    return curve, target
+
+
+CURVE = ["reach_id", "segment_id", "week_count", "frequency"]
+#: Measures along which a curve is read, and the modes that read it so.
+MEASURES = (("reach_pct", REACH_MODES), ("grp", GRP_MODES), ("unit_count", (SPOT_MODE,)))
 
 
 def bracket(requests: DataFrame, guide: DataFrame) -> DataFrame:
-    """Nearest curve points below and above each target, and the guide's largest point: one join, one aggregation."""
-    curve, target = target_metric()
+    """Nearest curve points below and above each target, and the guide's largest point.
+
+    A curve unfolds into one line per measure, and each line is read in one sorted pass. A curve may fall: the lower point is
+    the one of most units that doesn't exceed the target, the upper one that of fewest units that reaches it.
+    """
+    ids = ["call_id", "project_id"]
     point = F.struct("unit_count", "reach_pct", "grp")
-    points = guide.select("reach_id", "segment_id", "week_count", "frequency", "unit_count", "reach_pct", "grp")
-    found = (
-        requests.join(points, ["reach_id", "segment_id", "week_count", "frequency"])
-        .groupBy("call_id", "project_id").agg(
-            F.max(F.when(curve <= target, point)).alias("lower"),
-            F.min(F.when(curve >= target, point)).alias("upper"),
-            F.max(F.when(F.col("unit_count") == F.col("available_units"), point)).alias("top"))
-    )
+    line = F.explode(F.array(*[F.struct(F.lit(i).alias("measure"), F.col(c).cast(NUM).alias("at")) for i, (c, _) in enumerate(MEASURES)]))
+    points = guide.select(*CURVE, point.alias("point"), line.alias("line")).select(*CURVE, "point", "line.*")
+    measure = F.coalesce(*[F.when(F.col("calc_based_on").isin(*modes), F.lit(i)) for i, (_, modes) in enumerate(MEASURES)])
+    asks = requests.select(*ids, *CURVE, measure.alias("measure"), target_metric().alias("at"))
+    found = as_of_join(asks, points, [*CURVE, "measure"], "at", "point", ids)
+    largest = guide.select(*CURVE, F.col("unit_count").alias("available_units"), point.alias("top"))
     zero = {"unit_count": F.lit(0), "reach_pct": F.lit(0).cast(NUM), "grp": F.lit(0).cast(NUM)}
     named = {f"{side}_{c}": F.coalesce(F.col(f"{side}.{c}"), z) for side in ("lower", "upper") for c, z in zero.items()}
     named |= {f"top_{c}": F.col(f"top.{c}") for c in zero}
-    return requests.join(found, ["call_id", "project_id"], "left").withColumns(named).drop("lower", "upper", "top")
+    return requests.join(largest, [*CURVE, "available_units"], "left").join(found, ids, "left").select(*requests.columns, "lower", "upper", "top").withColumns(
+        named).drop("lower", "upper", "top")
 
 
 def interpolate(rows: DataFrame) -> DataFrame:
@@ -146,7 +152,7 @@ def interpolate(rows: DataFrame) -> DataFrame:
     by_reach, by_grp, by_spot = mode.isin(*REACH_MODES), mode.isin(*GRP_MODES), mode == SPOT_MODE
     low = F.when(by_reach, lr).when(by_grp, lg).when(by_spot, lu)
     high = F.when(by_reach, ur).when(by_grp, ug).when(by_spot, uu)
-    target = target_metric()[1]
+    target = target_metric()
     whole = mode.isin(*ONE_WEEK_MODES)
 
     def step(a: Column, b: Column, digits: Column | int) -> Column:
@@ -172,7 +178,8 @@ def interpolate(rows: DataFrame) -> DataFrame:
 
 def reach_brackets(t, as_of: dt.date) -> DataFrame:
     requests = stage(t.spark, guided_requests(t, as_of), "guided_requests")
-    guide = build_reach_guide(t, requests.where(F.col("reach_id").isNotNull() & F.col("segment_id").isNotNull()))
+    # Both passes over the curves read one table.
+    guide = stage(t.spark, build_reach_guide(t, requests.where(F.col("reach_id").isNotNull() & F.col("segment_id").isNotNull())), "reach_curves")
     return bracket(requests, guide)
 
 

@@ -7,6 +7,8 @@ DataFrames lazily by attribute, so a report only touches what it uses.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,28 +49,35 @@ class Tables:
 
     def replace(self, **frames: DataFrame) -> "Tables":
         """The same tables with some of them swapped, e.g. filtered to one plan."""
-        kept = {name: frame for name, frame in self._frames.items() if name.removesuffix("_days") not in frames}
+        kept = {name: frame for name, frame in self._frames.items() if name not in frames and not set(self._made_of.get(name, ())) & set(frames)}
         return type(self)(self.spark, self._root, self._database, {**kept, **frames})
 
-    def _kept(self, name: str) -> dict[str, DataFrame]:
-        """Where the day sums of a schedule are remembered."""
+    #: Derived tables and the tables they are made of.
+    _made_of: dict[str, tuple[str, ...]] = {}
+
+    def _kept(self, made_of: tuple[str, ...]) -> dict[str, DataFrame]:
+        """Where what is made of these tables is remembered."""
         return self._frames
 
+    def derived(self, name: str, made_of: tuple[str, ...], build: Callable[[Tables], DataFrame]) -> DataFrame:
+        """A table that many reports read, written once for these tables; swapping one that it is made of makes it anew."""
+        self._made_of[name] = made_of
+        kept = self._kept(made_of)
+        if name not in kept:
+            kept[name] = stage(self.spark, build(self), name)
+        return kept[name]
+
     def with_day_sums(self) -> "Tables":
         """The same tables with both schedules summed per day, goal and daypart.
 
         The sums are written once for these tables and serve every grid that needs weeks or days of spots.
         """
-        sums = {}
-        for name, keys in SCHEDULES.items():
-            kept = self._kept(name)
-            if f"{name}_days" not in kept:
-                facts = getattr(self, name)
-                present = [k for k in keys if k in facts.columns]
-                kept[f"{name}_days"] = stage(self.spark, facts.groupBy(*present).agg(
-                    F.sum("planned_units").alias("planned_units"), F.sum("planned_grp").alias("planned_grp")), f"{name}_days")
-            sums[name] = kept[f"{name}_days"]
-        return self.replace(**sums)
+        def days(facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+            return facts.groupBy(*[k for k in keys if k in facts.columns]).agg(
+                F.sum("planned_units").alias("planned_units"), F.sum("planned_grp").alias("planned_grp"))
+
+        return self.replace(**{
+            name: self.derived(f"{name}_days", (name,), lambda t, name=name, keys=keys: days(getattr(t, name), keys)) for name, keys in SCHEDULES.items()})
 
 
 class BoundTables(Tables):
@@ -87,8 +96,8 @@ class BoundTables(Tables):
         # Opened tables are kept per application, so a table is listed and written once.
         self._opened = self._frames_of.setdefault((spark.sparkContext.applicationId, str(root)), {})
 
-    def _kept(self, name: str) -> dict[str, DataFrame]:
-        return self._frames if name in self._frames else self._opened
+    def _kept(self, made_of: tuple[str, ...]) -> dict[str, DataFrame]:
+        return self._frames if set(made_of) & set(self._frames) else self._opened
 
     def _load(self, name: str) -> DataFrame:
         if name not in self._opened:

@@ -114,6 +114,27 @@ def test_conditional_key_joins_equal_brute_force(spark):
     assert rows(joins.match_right_null(ldf, rdf, "g", "p", ["m"]), "a", "b") == by_right
 
 
+@pytest.mark.parametrize("split", [100_000, 3])
+def test_as_of_join_equals_all_points(spark, split):
+    rng = random.Random(7)
+    points = [(rng.choice([1, 2, None]), rng.choice([rng.randint(0, 12), None]), rng.randint(0, 50)) for _ in range(60)]
+    asks = [(i, rng.choice([1, 1, 1, 2, 3, None]), rng.choice([rng.randint(-2, 14), None])) for i in range(50)]
+    got = joins.as_of(spark.createDataFrame(asks, "i int, k int, at int"), spark.createDataFrame(points, "k int, at int, v int"), ["k"], "at", "v", ["i"], split)
+    expected = []
+    for i, k, at in asks:
+        same = [(a, v) for kk, a, v in points if None not in (k, at, a) and kk == k]
+        expected.append((i, max((v for a, v in same if a <= at), default=None), min((v for a, v in same if a >= at), default=None)))
+    assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+def test_as_of_join_never_meets_points_one_by_one(spark):
+    points = spark.range(500).select(F.lit(1).alias("k"), F.col("id").alias("at"), F.col("id").alias("v"))
+    asks = spark.range(400).select(F.col("id").alias("i"), F.lit(1).alias("k"), F.col("id").alias("at"))
+    assert joins.as_of_lines(asks, points, ["k"], "at", "v", ["i"], 1000).count() == 900
+    # A key with very many asks is dealt to lines of its own.
+    assert joins.as_of_lines(asks, points, ["k"], "at", "v", ["i"], 100).groupBy("_deal").count().count() == 4
+
+
 def test_period_join_equals_between(spark, calendar):
     days = spark.createDataFrame([(dt.date(2024, 1, 1) + dt.timedelta(days=5 * i),) for i in range(90)], "d date")
     got = joins.join_on_period(days, "d", calendar, "W").select("d", "period_start")
