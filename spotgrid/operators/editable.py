@@ -21,7 +21,6 @@ from spotgrid.plans.context import (
     plan_context,
     with_last_opt_label,
 )
-from spotgrid.sources.shared import stage
 
 # Status codes, and the time that stands for no colour change.
 OPTIMISED_STATUS = (9, 10)
@@ -65,9 +64,18 @@ def scheduled_goals(facts: DataFrame, goals: DataFrame, t, n_quarters: int, more
     return to_maps(seen.join(owners, ["campaign_goal_id", *more]), t).select("map_plan_id", "campaign_goal_id").distinct()
 
 
-def weekly_live(facts: DataFrame, t, output_type: int, keys: list[str]) -> DataFrame:
-    """Live week sums, written once: the map's own plan and all other plans read them."""
-    return stage(t.spark, by_week(live(facts).withColumn("units", measure(output_type)), t.cal_period, ["units"], "plan_id", "media_outlet_id", *keys), "live_weeks")
+#: What the rows and the weekly amounts of the editable grids are made of.
+MEMBERS_OF = ("plan", "plan_version", "plan_project", "plan_project_episode", "model_exec", "schedule", "schedule_episode", "cal_period")
+AMOUNTS_OF = (*MEMBERS_OF, "project", "plan_project_spots", "plan_project_spots_episode")
+
+
+def weekly_live(t, schedule: str, output_type: int, keys: list[str]) -> DataFrame:
+    """Live week sums, written once: the map's own plan and all other plans read them, in every report."""
+    def build(t) -> DataFrame:
+        facts = live(getattr(t.with_day_sums(), schedule)).withColumn("units", measure(output_type))
+        return by_week(facts, t.cal_period, ["units"], "plan_id", "media_outlet_id", *keys)
+
+    return t.derived(f"{schedule}_live_weeks_{output_type}", (schedule, "cal_period"), build)
 
 
 def other_plan_amounts(weekly: DataFrame, t, keys: list[str], label: str) -> DataFrame:
@@ -129,32 +137,35 @@ def episode_output(grid: DataFrame) -> DataFrame:
 
 def episodes_optimised(t, output_type: int = UNITS) -> DataFrame:
     """Episode by week: optimised episodes from the schedule, the others from manual entries."""
-    t = t.with_day_sums()
+    members = t.derived("episode_members", MEMBERS_OF, lambda t: episode_members(t.with_day_sums()))
+    amounts = t.derived(f"episode_amounts_{output_type}", AMOUNTS_OF, lambda t: episode_amounts(t, output_type))
+    return episode_output(match_left_null(members, amounts, "campaign_goal_id", ["project_id", "episode_id"], ["map_plan_id"]))
+
+
+def episode_amounts(t, output_type: int) -> DataFrame:
+    """Weekly spots of every map's episodes: the own plan's optimised ones, other plans', and entries for those not optimised."""
     keys, label = ["project_id", "episode_id"], "episode_week_label"
     shown = ["map_plan_id", *keys, "campaign_goal_id", "week_start", label, "units"]
     newest = t.plan_project_episode.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi")
     checked = status_checked(newest, t).select("plan_id", *keys).distinct()
     unchecked = newest.where(~F.col("status_cd").isin(*OPTIMISED_STATUS)).select("plan_id", "plan_version_id", *keys).distinct()
-    weekly = weekly_live(t.schedule_episode, t, output_type, [*keys, "campaign_goal_id"])
+    weekly = weekly_live(t, "schedule_episode", output_type, [*keys, "campaign_goal_id"])
     own = own_amounts(weekly, checked, t, [*keys, "campaign_goal_id"], label)
     other = other_plan_amounts(weekly, t, [*keys, "campaign_goal_id"], label)
     typed_in = t.plan_project_spots_episode.join(unchecked, ["plan_id", "plan_version_id", *keys], "left_semi")
     manual = manual_amounts(typed_in, t, keys, label, own.schema["units"].dataType)
-    amounts = stage(t.spark, own.select(*shown).unionByName(other.select(*shown)).unionByName(manual.select(*shown)).distinct(), "episode_amounts")
-    members = stage(t.spark, episode_members(t), "episode_members")
-    return episode_output(match_left_null(members, amounts, "campaign_goal_id", keys, ["map_plan_id"]))
+    return own.select(*shown).unionByName(other.select(*shown)).unionByName(manual.select(*shown)).distinct()
 
 
 def episodes_saved(t, output_type: int = UNITS) -> DataFrame:
     """Episode by week from the saved entries of the newest version, and other plans' schedule."""
-    t = t.with_day_sums()
     keys, label = ["project_id", "episode_id"], "episode_week_label"
     shown = ["map_plan_id", *keys, F.col("campaign_goal_id").alias("amount_goal_id"), "week_start", label, "units"]
     saved = t.plan_project_spots_episode_map.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi")
-    other = other_plan_amounts(weekly_live(t.schedule_episode, t, output_type, [*keys, "campaign_goal_id"]), t, [*keys, "campaign_goal_id"], label).where("started")
+    other = other_plan_amounts(weekly_live(t, "schedule_episode", output_type, [*keys, "campaign_goal_id"]), t, [*keys, "campaign_goal_id"], label).where("started")
     manual = manual_amounts(saved, t, keys, label, other.schema["units"].dataType)
     amounts = other.select(*shown).unionByName(manual.select(*shown)).distinct()
-    members = stage(t.spark, episode_members(t), "episode_members")
+    members = t.derived("episode_members", MEMBERS_OF, lambda t: episode_members(t.with_day_sums()))
     return episode_output(members.join(amounts, ["map_plan_id", *keys], "left"))
 
 
@@ -208,7 +219,7 @@ def weekly_amounts(t, output_type: int) -> DataFrame:
     unchecked = newest.where(~F.col("status_cd").isin(*OPTIMISED_STATUS)).select(
         "plan_id", "plan_version_id", "project_id", F.lit(True).alias("is_unchecked")).distinct()
 
-    weekly = weekly_live(t.schedule, t, output_type, [*keys, "campaign_goal_id"])
+    weekly = weekly_live(t, "schedule", output_type, [*keys, "campaign_goal_id"])
     own = own_amounts(weekly, checked.select("plan_id", "project_id").distinct(), t, [*keys, "campaign_goal_id"], label).where("is_complete")
     other = other_plan_amounts(weekly, t, [*keys, "campaign_goal_id"], label).where("is_complete or started").drop("started")
     spots = t.plan_project_spots.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi").join(
@@ -223,12 +234,9 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_
 
     ``network_target`` is the client variant: show the project's audience, or the outlet's ``default`` one.
     """
-    t = t.with_day_sums()
-    slim = stage(t.spark, edit_members(t).join(
-        t.plan_project.select("plan_id", "plan_version_id", "project_id", "campaign_goal_id"), ["plan_id", "plan_version_id", "project_id"]
-    ).join(t.plan.select(F.col("plan_id").alias("map_plan_id"), F.coalesce("plan_status_id", F.lit(0)).alias("plan_status_id")), "map_plan_id"),
-        "edit_members")
-    members = with_last_opt_label(slim.drop("campaign_goal_id", "plan_status_id"), t.plan_project, t.plan_project_episode, t.model_exec)
+    goals = ["plan_id", "plan_version_id", "project_id"]
+    slim = t.derived("edit_members", MEMBERS_OF, lambda t: edit_members(t.with_day_sums()).join(t.plan_project.select(*goals, "campaign_goal_id"), goals))
+    members = with_last_opt_label(slim.drop("campaign_goal_id"), t.plan_project, t.plan_project_episode, t.model_exec)
     pp = t.plan_project.select(
         "plan_id", "plan_version_id", "project_id", "campaign_goal_id", "status_cd", "optimize_yn", "is_dirty", "display_seq", "priority",
         "episode_priority", "no_of_episode", "phase_type", "cluster_id", "segment_id", "demo_id", "frequency",
@@ -300,6 +308,6 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_
     )
     # Weeks are matched on slim keys; the wide rows join once, at the end.
     by_row, weeks = ["map_plan_id", "plan_id", "project_id"], ["week_start", "week_label", "units"]
-    amounts = stage(t.spark, weekly_amounts(t, output_type), "edit_amounts")
+    amounts = t.derived(f"edit_amounts_{output_type}", AMOUNTS_OF, lambda t: weekly_amounts(t, output_type))
     cells = match_right_null(slim.select(*by_row, "campaign_goal_id"), amounts, "campaign_goal_id", "project_id", ["map_plan_id"]).select(*by_row, *weeks).distinct()
     return rows.join(cells, by_row).withColumnRenamed("week_label", "week")

@@ -27,7 +27,9 @@ class Tables:
                  overrides: dict[str, DataFrame] | None = None):
         self.spark = spark
         self._root, self._database = root, database
-        self._frames: dict[str, DataFrame] = dict(overrides or {})
+        self._given: dict[str, DataFrame] = dict(overrides or {})
+        self._frames: dict[str, DataFrame] = dict(self._given)
+        self._made: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -45,19 +47,21 @@ class Tables:
 
     def given(self, name: str) -> bool:
         """Whether the table was handed in, rather than to be read from storage."""
-        return name in self._frames
+        return name in self._given
 
     def replace(self, **frames: DataFrame) -> "Tables":
         """The same tables with some of them swapped, e.g. filtered to one plan."""
-        kept = {name: frame for name, frame in self._frames.items() if name not in frames and not set(self._made_of.get(name, ())) & set(frames)}
-        return type(self)(self.spark, self._root, self._database, {**kept, **frames})
+        other = type(self)(self.spark, self._root, self._database, {**self._given, **frames})
+        other._frames = {**self._frames, **other._given}
+        other._made = {name: frame for name, frame in self._made.items() if not set(self._made_of[name]) & set(frames)}
+        return other
 
     #: Derived tables and the tables they are made of.
     _made_of: dict[str, tuple[str, ...]] = {}
 
     def _kept(self, made_of: tuple[str, ...]) -> dict[str, DataFrame]:
         """Where what is made of these tables is remembered."""
-        return self._frames
+        return self._made
 
     def derived(self, name: str, made_of: tuple[str, ...], build: Callable[[Tables], DataFrame]) -> DataFrame:
         """A table that many reports read, written once for these tables; swapping one that it is made of makes it anew."""
@@ -97,7 +101,7 @@ class BoundTables(Tables):
         self._opened = self._frames_of.setdefault((spark.sparkContext.applicationId, str(root)), {})
 
     def _kept(self, made_of: tuple[str, ...]) -> dict[str, DataFrame]:
-        return self._frames if set(made_of) & set(self._frames) else self._opened
+        return self._made if set(made_of) & set(self._given) else self._opened
 
     def _load(self, name: str) -> DataFrame:
         if name not in self._opened:
