@@ -49,6 +49,15 @@ SQL = {
         SELECT c.project_id, c.episode_id, t.constraint_id, {hms('t.start_offset')} AS start_time, {hms('t.end_offset')} AS end_time, t.days_mask
         FROM {{episode_constraint}} c JOIN {{episode_timeband}} t ON t.constraint_type_id = c.constraint_type_id AND t.constraint_id = c.constraint_key
         WHERE c.constraint_type_id = 4""",
+    "episode_timeband_days": f"""
+        SELECT project_id, episode_id, constraint_id, band_weekday, CAST((band_weekday - 1 + later) % 7 + 1 AS INT) AS weekday, start_second, end_second,
+               {hms('start_second')} AS start_time, {hms('end_second')} AS end_time
+        FROM (SELECT c.project_id, c.episode_id, t.constraint_id, CAST(d.i + 1 AS INT) AS band_weekday, n.i AS later,
+                     CAST(CASE WHEN t.start_offset > n.i * 86400 THEN t.start_offset - n.i * 86400 ELSE 0 END AS INT) AS start_second,
+                     CAST(CASE WHEN t.end_offset < (n.i + 1) * 86400 THEN t.end_offset - n.i * 86400 ELSE 86400 END AS INT) AS end_second
+              FROM {{episode_constraint}} c JOIN {{episode_timeband}} t ON t.constraint_type_id = c.constraint_type_id AND t.constraint_id = c.constraint_key,
+                   range(7) d(i), range(3) n(i)
+              WHERE c.constraint_type_id = 4 AND (t.days_mask >> d.i) & 1 = 1 AND t.start_offset < (n.i + 1) * 86400 AND t.end_offset > n.i * 86400)""",
     "episode_header": f"""
         SELECT project_id, episode_start_date, episode_end_date, {clock('start_offset')} AS episode_start_time, {clock('end_offset')} AS episode_end_time,
                tgt_spots, tgt_grp, dow_mask FROM {{episode_header}} WHERE active_yn = 'Y'""",

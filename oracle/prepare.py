@@ -1,7 +1,7 @@
 NOW = "TIMESTAMP '1998-06-17 12:00:00'"
 NEWEST = "newest AS (SELECT plan_id, max(plan_version_id) AS v FROM {plan_version} GROUP BY 1)"
 RUNS = f"""runs AS (
-    SELECT (SELECT max(model_exec_id) FROM {{model_exec}}) + row_number() OVER (ORDER BY p.plan_id % 256, p.plan_id) AS model_exec_id,
+    SELECT (SELECT max(model_exec_id) FROM {{model_exec}}) + row_number() OVER (ORDER BY p.plan_id) AS model_exec_id,
            CASE p.plan_type WHEN 1 THEN 1 WHEN 2 THEN 3 END AS model_type_id, p.media_outlet_id, p.plan_id, n.v AS plan_version_id, pv.optimization_type,
            'P' AS exec_status_cd, {NOW} AS req_ts
     FROM {{plan}} p JOIN newest n ON n.plan_id = p.plan_id JOIN {{plan_version}} pv ON pv.plan_id = p.plan_id AND pv.plan_version_id = n.v)"""
@@ -110,10 +110,11 @@ SQL = {
         string_agg(CAST(week_date AS VARCHAR), ',' ORDER BY week_date) AS weeks FROM caps GROUP BY ALL""",
     "daily_cap_check_episode": f"""WITH {EPISODE_CAPS} SELECT plan_id, plan_version_id, project_id, episode_id, project_name,
         string_agg(CAST(week_date AS VARCHAR), ',' ORDER BY week_date) AS weeks FROM caps WHERE weekly_cap < unit_count GROUP BY ALL""",
+    "capacity_json_rejects": """SELECT plan_id, media_outlet_id, period_id, 'no JSON' AS reason, week_keys, capacity_json FROM {capacity_json} WHERE NOT json_valid(capacity_json)""",
     "explode_capacity_json": """
         WITH wk AS (SELECT q.period_id, q.name AS fiscal_qtr, w.start_date AS ws, w.end_date AS we, row_number() OVER (PARTITION BY q.period_id ORDER BY w.start_date) AS week_no
                     FROM {cal_period} q JOIN {cal_period} w ON w.period_type = 'W' AND w.fiscal_qtr = q.name WHERE q.period_type = 'Q'),
-        keyed AS (SELECT plan_id, media_outlet_id, period_id, capacity_json, unnest(CAST(CAST(week_keys AS JSON) AS INT[])) AS week_no FROM {capacity_json}),
+        keyed AS (SELECT plan_id, media_outlet_id, period_id, capacity_json, unnest(CAST(CAST(week_keys AS JSON) AS INT[])) AS week_no FROM {capacity_json} WHERE json_valid(capacity_json)),
         entry AS (SELECT plan_id, media_outlet_id, period_id, week_no, unnest(CAST(json_extract(capacity_json, '$."' || week_no || '"') AS JSON[])) AS e FROM keyed)
         SELECT DISTINCT x.plan_id, x.media_outlet_id, k.fiscal_qtr, CAST(x.e->>'DAYPART_ID' AS INT) AS daypart_id, CAST(x.e->>'CAPACITY' AS BIGINT) AS capacity_per_hour,
                d.start_date, d.start_date AS end_date, CAST(isodow(d.start_date) AS INT) AS day_of_week, 'D' AS period_type

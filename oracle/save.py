@@ -4,7 +4,7 @@ RESOLVED = """resolved AS (
     SELECT r.*, p.plan_id, p.plan_status_id, FALSE AS is_new FROM {save_request} r
     JOIN {plan} p ON p.media_outlet_id = r.media_outlet_id AND p.period_id = r.period_id AND p.plan_type = r.plan_type
     UNION ALL
-    SELECT r.*, (SELECT max(plan_id) FROM {plan}) + row_number() OVER (ORDER BY r.uid % 256, r.uid), NULL, TRUE FROM {save_request} r
+    SELECT r.*, (SELECT max(plan_id) FROM {plan}) + row_number() OVER (ORDER BY r.uid), NULL, TRUE FROM {save_request} r
     WHERE NOT EXISTS (SELECT 1 FROM {plan} p WHERE p.media_outlet_id = r.media_outlet_id AND p.period_id = r.period_id AND p.plan_type = r.plan_type))"""
 
 DECIDED = RESOLVED + """, decided AS (
@@ -39,7 +39,7 @@ REMOVED = """removed AS (
     WHERE p.is_active = 'Y' AND p.project_id NOT IN (SELECT s.project_id FROM {stg_plan_project} s WHERE s.uid = d.uid))"""
 
 EPISODES = """parsed AS (
-    SELECT d.plan_id, d.plan_version_id, unnest(CAST(CAST(j.episode_dtl_json AS JSON) AS JSON[])) AS o
+    SELECT d.plan_id, d.plan_version_id, unnest(CAST(CASE WHEN json_valid(j.episode_dtl_json) THEN CAST(j.episode_dtl_json AS JSON) END AS JSON[])) AS o
     FROM {stg_episode_json} j JOIN decided d ON d.uid = j.uid)"""
 
 EPISODE_COLS = """plan_id, plan_version_id, CAST(o->>'PROJECT_ID' AS BIGINT) AS project_id, CAST(o->>'EPISODE_NUM' AS INT) AS episode_id,
@@ -113,8 +113,11 @@ SQL = {
     "store_episode_json": f"""WITH {DECIDED}
         SELECT j.* FROM {{episode_json}} j WHERE {others('j')}
         UNION ALL SELECT d.plan_id, d.plan_version_id, s.project_id, s.episode_dtl_json FROM {{stg_episode_json}} s JOIN decided d ON d.uid = s.uid""",
-    "flatten_episode_json": f"""WITH parsed AS (SELECT plan_id, plan_version_id, unnest(CAST(CAST(episode_dtl_json AS JSON) AS JSON[])) AS o FROM {{episode_json}})
+    "flatten_episode_json": f"""WITH parsed AS (SELECT plan_id, plan_version_id, unnest(CAST(CASE WHEN json_valid(episode_dtl_json) THEN CAST(episode_dtl_json AS JSON) END AS JSON[])) AS o FROM {{episode_json}})
         SELECT {EPISODE_COLS} FROM parsed WHERE CAST(o->>'chkSelectRow' AS BOOLEAN)""",
+    "episode_json_rejects": """SELECT plan_id, plan_version_id, project_id, episode_dtl_json,
+        CASE WHEN episode_dtl_json IS NULL THEN 'no text' WHEN NOT json_valid(episode_dtl_json) THEN 'no JSON' ELSE 'no array' END AS reason
+        FROM {episode_json} WHERE NOT coalesce(json_valid(episode_dtl_json), false) OR CASE WHEN json_valid(episode_dtl_json) THEN json_type(episode_dtl_json) END <> 'ARRAY'""",
     "insert_episodes": f"""WITH {DECIDED}, {STAGED}, {EPISODES}, e AS (SELECT {EPISODE_COLS} FROM parsed WHERE CAST(o->>'chkSelectRow' AS BOOLEAN))
         SELECT e.plan_id, e.plan_version_id, e.project_id, e.episode_id, e.target_spots AS tgt_spots, e.target_grp, e.episode_start_ts, 10 AS status_cd, s.optimize_yn,
                s.is_dirty, s.is_active, s.episode_priority AS priority, s.cluster_id, s.segment_id, s.frequency, s.demo_id, e.start_date AS on_map_start, e.end_date AS on_map_end

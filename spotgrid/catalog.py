@@ -45,8 +45,8 @@ CONTEXT = {
     "latest_completed_version": lambda t: context.latest_completed_version(
         t.model_exec, ("plan_id", "media_outlet_id", "model_type_id")),
     "latest_version": lambda t: context.latest_version(t.plan_version),
-    "past_plan": lambda t: context.past_plan(t.plan),
-    "future_plan": lambda t: context.future_plan(t.plan),
+    "past_plan": lambda t: context.past_plan(t.plan, t.cal_period),
+    "future_plan": lambda t: context.future_plan(t.plan, t.cal_period),
     "default_demo": lambda t: context.default_demo(t.outlet_demo),
     "last_opt_label": lambda t: context.last_opt_label(
         t.plan_project.select(F.col("plan_id").alias("map_plan_id"), "plan_id", "project_id"),
@@ -99,6 +99,7 @@ DETAILS = {
     "multi_net_flag": details.multi_net_flag,
     "episode_details": details.episode_details,
     "episode_timebands": details.episode_timebands,
+    "episode_timeband_days": details.episode_timeband_days,
     "episode_header": details.episode_header,
     "blackouts": details.blackouts,
     "recurring_exclusions": details.recurring_exclusions,
@@ -164,6 +165,7 @@ SAVE = {
     "audit_events": lambda t: save.audit_events(t, NOON),
     "store_episode_json": save.store_episode_json,
     "flatten_episode_json": lambda t: save.flatten_episode_json(t.episode_json),
+    "episode_json_rejects": lambda t: save.episode_json_rejects(t.episode_json),
     "insert_episodes": lambda t: save.insert_episodes(t, NOON),
     "episode_spots": save.episode_spots,
     "upsert_episode_map": save.upsert_episode_map,
@@ -184,6 +186,7 @@ PREPARE = {
     "daily_cap_check": validate.daily_cap_check,
     "daily_cap_check_episode": validate.daily_cap_check_episode,
     "explode_capacity_json": lambda t: ingest.explode_capacity_json(t, AS_OF),
+    "capacity_json_rejects": ingest.capacity_json_rejects,
 }
 
 GROUPS = [CALENDAR, CONTEXT, INVENTORY, GRIDS, DAILY, DETAILS, EDITABLE, CHOICES, REACH, SAVE, PREPARE]

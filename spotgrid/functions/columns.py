@@ -20,6 +20,23 @@ def model_type(plan_type: Column) -> Column:
     return F.coalesce(*pairs)
 
 
+def greatest_known(*cols: str) -> Column:
+    """The greatest of the columns, null if one of them is; Spark's own leaves nulls out."""
+    known = F.lit(True)
+    for c in cols:
+        known = known & F.col(c).isNotNull()
+    return F.when(known, F.greatest(*cols))
+
+
+def json_fault(text: str, root: str, other: Column, sound: Column) -> Column:
+    """Why a JSON text can't be loaded: it is null, no JSON, no ``root`` (ARRAY or OBJECT), or, with reason ``other``, not ``sound``; else null."""
+    parsed = F.try_parse_json(text)
+    return (
+        F.when(F.col(text).isNull(), "no text").when(parsed.isNull(), "no JSON")
+        .when(~F.startswith(F.schema_of_variant(parsed), F.lit(root)), F.lit(f"no {root.lower()}")).when(~F.coalesce(sound, F.lit(False)), other)
+    )
+
+
 def flight_weeks(start: Column, end: Column) -> Column:
     """Weeks a flight covers, counting a same-day flight as one day."""
     days = F.datediff(end, start)

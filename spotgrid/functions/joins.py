@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotgrid.sources.shared import stage
+
 #: Asks of one key that one sorted sequence holds.
 AS_OF_ASKS = 100_000
 
@@ -113,23 +115,15 @@ def replace_groups(old: DataFrame, new: DataFrame, touched: DataFrame, group: li
     return old.join(touched.select(*group).distinct(), group, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def assign_ids(df: DataFrame, id_col: str, key: str, existing: DataFrame, buckets: int = 256) -> DataFrame:
-    """Number rows after the largest id in ``existing``, without sorting them in one task.
+def assign_ids(df: DataFrame, id_col: str, key: str, existing: DataFrame) -> DataFrame:
+    """Number rows after the largest id in ``existing``, in order of ``key``, without sorting them in one task.
 
-    Rows are spread over ``key mod buckets``; each bucket is numbered on its own and shifted
-    by the rows before it. Only the bucket counts (at most ``buckets`` + 1 rows) meet in one window.
+    Rows are dealt to ranges of the key and written; each range is numbered on its own and shifted by the rows before
+    it. Only the ranges' counts, one row each, meet in one window.
     """
-    tagged = df.withColumn("_bucket", F.pmod(F.col(key), F.lit(buckets)))
-    sizes = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    start = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("_n")).select(F.lit(-1).cast("bigint").alias("_bucket"), "_n")
-    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        start.unionByName(sizes.select(F.col("_bucket").cast("bigint").alias("_bucket"), "_n"))
-        .select("_bucket", F.sum("_n").over(before).alias("_shift"))
-    )
-    within = Window.partitionBy("_bucket").orderBy(key)
-    return (
-        tagged.withColumn("_bucket", F.col("_bucket").cast("bigint")).join(shifts, "_bucket")
-        .withColumn(id_col, (F.col("_shift") + F.row_number().over(within)).cast("bigint"))
-        .drop("_bucket", "_shift")
-    )
+    parts = stage(df.sparkSession, df.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "id_ranges")
+    start = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("_n")).select(F.lit(-1).alias("_part"), "_n")
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = start.unionByName(parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))).select("_part", F.sum("_n").over(before).alias("_shift"))
+    within = Window.partitionBy("_part").orderBy(key)
+    return parts.join(shifts, "_part").withColumn(id_col, (F.col("_shift") + F.row_number().over(within)).cast("bigint")).drop("_part", "_shift")

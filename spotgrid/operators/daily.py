@@ -70,7 +70,7 @@ def daily_primary(t, output_type: int = UNITS) -> DataFrame:
         daily.join(plans, ["plan_id", "media_outlet_id"]).where(F.col("selected_date") <= F.col("map_end"))
         .join(goal, ["campaign_goal_id", "media_outlet_id"]).join(campaign, "campaign_id")
         .join(project, ["project_id", "media_outlet_id"])
-        .where(F.col("selected_date").between(F.greatest("p_start", "selected_date"), F.least("p_end", "selected_date")))
+        .where(F.col("selected_date").between(F.col("p_start"), F.col("p_end")))
         .join(version, "plan_id").join(pp, ["plan_id", "plan_version_id", "project_id"])
         .join(audience, "media_outlet_id").withColumn("map_plan_id", F.col("plan_id"))
         .groupBy("map_plan_id", "plan_id", "media_outlet_id", "plan_name", "create_ts", "campaign_id", "campaign", "project_id", "project_name",

@@ -17,6 +17,7 @@ LOG_MODEL_TYPES = (2, 4)
 TIMEBAND_CONSTRAINT = 4
 RETIMING_STATUS = 15
 BLACKOUT = "blackout"
+DAY = 86400
 
 
 def plan_header(t) -> DataFrame:
@@ -88,6 +89,29 @@ def episode_timebands(t) -> DataFrame:
         offset_to_time(F.col("end_offset")).alias("end_time"), "days_mask")
 
 
+def episode_timeband_days(t) -> DataFrame:
+    """Time bands by weekday (1 is Monday, the mask's lowest bit), in seconds of that day.
+
+    Offsets pass 24 hours on the broadcast clock; such a band is cut at midnight and goes on on the next weekday.
+    """
+    constraint = t.episode_constraint.where(F.col("constraint_type_id") == TIMEBAND_CONSTRAINT).select(
+        "project_id", "episode_id", "constraint_type_id", F.col("constraint_key").alias("constraint_id"))
+    first, last = F.floor(F.col("start_offset") / DAY), F.floor((F.col("end_offset") - 1) / DAY)
+    chosen = F.col("days_mask").bitwiseAND(F.expr("shiftleft(1, band_weekday - 1)").cast("int")) > 0
+    days = (
+        t.episode_timeband.where(F.col("end_offset") > F.col("start_offset"))
+        .withColumn("band_weekday", F.explode(F.sequence(F.lit(1), F.lit(7)))).where(chosen)
+        .withColumn("later", F.explode(F.sequence(first, last)))
+    )
+    start = F.greatest(F.col("start_offset") - F.col("later") * DAY, F.lit(0)).cast("int")
+    end = F.least(F.col("end_offset") - F.col("later") * DAY, F.lit(DAY)).cast("int")
+    bands = days.select("constraint_type_id", "constraint_id", "band_weekday", ((F.col("band_weekday") - 1 + F.col("later")) % 7 + 1).cast("int").alias("weekday"),
+                        start.alias("start_second"), end.alias("end_second"))
+    return constraint.join(bands, ["constraint_type_id", "constraint_id"]).select(
+        "project_id", "episode_id", "constraint_id", "band_weekday", "weekday", "start_second", "end_second",
+        offset_to_time(F.col("start_second")).alias("start_time"), offset_to_time(F.col("end_second")).alias("end_time"))
+
+
 def episode_header(t) -> DataFrame:
     """Episode set-up of the projects that are still set up."""
     return t.episode_header.where(F.col("active_yn") == "Y").select(

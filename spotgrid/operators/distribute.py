@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotgrid.functions.columns import week_label
+from spotgrid.functions.columns import greatest_known, week_label
 from spotgrid.functions.joins import day_map
 
 # Modes whose spots are already weekly, and modes that repeat the full count each week.
@@ -19,7 +19,7 @@ def week_overlap(results: DataFrame, cal: DataFrame) -> DataFrame:
     A flight unfolds into one day per seven plus its last day, which meets every week once;
     the week lookup is then an equi join on the day.
     """
-    first = F.greatest("flight_start", "qtr_start")
+    first = greatest_known("flight_start", "qtr_start")
     weeks = day_map(cal, "W").select("day", F.col("period_start").alias("week_date"), F.col("period_end").alias("week_end"))
     touched = (
         results.where(~F.col("calc_based_on").isin(*PLANNED_MODES)).where(first <= F.col("flight_end"))

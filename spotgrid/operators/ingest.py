@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spotgrid.functions.columns import json_fault
 from spotgrid.plans.calendar import periods, quarter_weeks
 
 CAPACITY_JSON = "map<string,array<struct<DAY_OF_WEEK:string,DAYPART_ID:string,MEDIA_OUTLET_ID:string,CAPACITY:bigint>>>"
@@ -25,9 +26,21 @@ def explode_capacity_json(t, as_of: dt.date) -> DataFrame:
     )
 
 
+def capacity_json_fault() -> Column:
+    """Why an upload can't be loaded, null if it can."""
+    weeks = json_fault("week_keys", "ARRAY", F.lit("week that is no number"), F.forall(F.from_json("week_keys", "array<int>"), lambda w: w.isNotNull()))
+    return F.coalesce(json_fault("capacity_json", "OBJECT", F.lit("no weeks"), F.from_json("capacity_json", CAPACITY_JSON).isNotNull()), F.concat(F.lit("week keys: "), weeks))
+
+
+def capacity_json_rejects(t) -> DataFrame:
+    """Uploads that give no capacity, and why. An upload is loaded as a whole or not at all."""
+    return t.capacity_json.withColumn("reason", capacity_json_fault()).where("reason is not null").select(
+        "plan_id", "media_outlet_id", "period_id", "reason", "week_keys", "capacity_json")
+
+
 def capacity_entries(t) -> DataFrame:
     """Capacity entries of the named weeks that belong to the uploading outlet."""
-    parsed = t.capacity_json.select(
+    parsed = t.capacity_json.where(capacity_json_fault().isNull()).select(
         "plan_id", "media_outlet_id", "period_id", F.explode(F.from_json("week_keys", "array<int>")).alias("week_no"),
         F.from_json("capacity_json", CAPACITY_JSON).alias("weeks"))
     entry = parsed.select("plan_id", "media_outlet_id", "period_id", "week_no",

@@ -67,7 +67,7 @@ def weekly_use(t, output_type: int = UNITS, quarters_ahead: int = 0) -> DataFram
     weekly = by_week(facts, t.cal_period, ["units"], "plan_id").withColumnRenamed("plan_id", "source_plan_id")
     grid = plan_weeks(t.plan, t.cal_period)
     if quarters_ahead:
-        source = future_plan(t.plan).withColumnRenamed("future_plan_id", "source_plan_id")
+        source = future_plan(t.plan, t.cal_period).withColumnRenamed("future_plan_id", "source_plan_id")
         grid = grid.join(source, "plan_id", "left")
     else:
         grid = grid.withColumn("source_plan_id", F.col("plan_id"))
@@ -117,7 +117,7 @@ def _future_days(t, facts: DataFrame, output_type: int) -> DataFrame:
         F.col("plan_id").alias("future_plan_id"), F.col("start_date").alias("day"), "units"
     )
     zero = F.lit(0).cast(daily.schema["units"].dataType)
-    grid = plan_days(t.plan, t.cal_period).join(future_plan(t.plan), "plan_id", "left")
+    grid = plan_days(t.plan, t.cal_period).join(future_plan(t.plan, t.cal_period), "plan_id", "left")
     return grid.join(daily, ["future_plan_id", "day"], "left").select("plan_id", "day", F.coalesce("units", zero).alias("units"))
 
 
@@ -148,7 +148,7 @@ def daily_daypart_capacity(t, output_type: int = UNITS) -> DataFrame:
 
 def _future_dayparts(t, facts: DataFrame, output_type: int) -> DataFrame:
     sums = spot_sums(facts, output_type, "plan_id", "start_date", "daypart_id").withColumnRenamed("plan_id", "future_plan_id")
-    return sums.join(future_plan(t.plan), "future_plan_id").join(active_dayparts(t), "daypart_id").select(
+    return sums.join(future_plan(t.plan, t.cal_period), "future_plan_id").join(active_dayparts(t), "daypart_id").select(
         "plan_id", F.col("start_date").alias("day"), "daypart_id", "daypart", "units"
     )
 

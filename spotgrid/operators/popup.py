@@ -26,7 +26,7 @@ def flights(t) -> DataFrame:
 
 
 def project_popup_grid(t, demo_id: int | None = None) -> DataFrame:
-    """Detail rows (types 1 and 2), daypart totals (3) and day totals (4) from one pass over the detail.
+    """Detail rows (types 1 and 2), daypart totals (3) and day totals (4).
 
     Spots count for ``demo_id``, or for each goal's own audience if none is asked for.
     """
@@ -49,27 +49,20 @@ def project_popup_grid(t, demo_id: int | None = None) -> DataFrame:
         "plan_id", "project_id", "episode_id", "broadcast_date", "daypart_id", "daypart", "airing_date",
         F.when(F.col("episode_id") == LAUNCH_EPISODE, F.lit("Launch")).otherwise(F.concat(F.lit("Episode"), F.col("episode_id"))).alias("phase"),
         *[F.coalesce(F.col(v), F.lit(0)).cast(spots.schema[v].dataType).alias(v) for v in values])
-    sets = detail.groupingSets(
-        [[F.col("plan_id"), F.col("project_id"), F.col("broadcast_date"), F.col("episode_id"), F.col("daypart_id"), F.col("phase"), F.col("airing_date"),
-          F.col("planned_units"), F.col("planned_grp")],
-         [F.col("plan_id"), F.col("project_id"), F.col("daypart_id")],
-         [F.col("plan_id"), F.col("project_id"), F.col("broadcast_date"), F.col("episode_id")]],
-        "plan_id", "project_id", "broadcast_date", "episode_id", "daypart_id", "phase", "airing_date", "planned_units", "planned_grp",
-    ).agg(
-        F.max("daypart").alias("daypart"), F.sum("planned_units").alias("sum_units"), F.sum("planned_grp").alias("sum_grp"),
-        F.grouping("broadcast_date").alias("no_date"), F.grouping("daypart_id").alias("no_daypart"),
-    )
-    is_day, is_part = F.col("no_daypart") == 1, F.col("no_date") == 1
-    detail_units = F.when(is_day | is_part, F.col("sum_units")).otherwise(F.col("planned_units"))
-    detail_grp = F.when(is_day | is_part, F.col("sum_grp")).otherwise(F.col("planned_grp"))
-    return sets.select(
-        "plan_id", "project_id",
-        F.when(is_part, F.lit("TOTAL")).otherwise(F.col("broadcast_date").cast("string")).alias("broadcast_date"),
-        "daypart_id", F.when(~is_day, F.col("daypart")).alias("daypart"), "episode_id", "phase", "airing_date",
-        detail_units.cast("bigint").alias("planned_units"), detail_grp.cast("decimal(28,2)").alias("planned_grp"),
-        F.when(is_part, F.lit(DAYPART_TOTAL)).when(is_day, F.lit(DAY_TOTAL))
-        .when(F.col("episode_id") == LAUNCH_EPISODE, F.lit(LAUNCH_ROW)).otherwise(F.lit(EPISODE_ROW)).alias("data_type"),
-    )
+    # One row per shown cell, with the sums of the rows it stands for; totals roll up from these partial sums.
+    cell = ["plan_id", "project_id", "broadcast_date", "episode_id", "daypart_id", "phase", "airing_date", "planned_units", "planned_grp"]
+    shown = detail.groupBy(*cell).agg(F.max("daypart").alias("daypart"), F.sum("planned_units").alias("sum_units"), F.sum("planned_grp").alias("sum_grp"))
+    sums = [F.sum("sum_units").alias("planned_units"), F.sum("sum_grp").alias("planned_grp")]
+    by_part = shown.groupBy("plan_id", "project_id", "daypart_id").agg(F.max("daypart").alias("daypart"), *sums).withColumns({
+        "broadcast_date": F.lit("TOTAL"), "data_type": F.lit(DAYPART_TOTAL)})
+    by_day = shown.groupBy("plan_id", "project_id", "broadcast_date", "episode_id").agg(*sums).withColumns({
+        "broadcast_date": F.col("broadcast_date").cast("string"), "data_type": F.lit(DAY_TOTAL)})
+    cells = shown.drop("sum_units", "sum_grp").withColumns({
+        "broadcast_date": F.col("broadcast_date").cast("string"),
+        "data_type": F.when(F.col("episode_id") == LAUNCH_EPISODE, F.lit(LAUNCH_ROW)).otherwise(F.lit(EPISODE_ROW))})
+    typed = lambda rows: rows.withColumns({"planned_units": F.col("planned_units").cast("bigint"), "planned_grp": F.col("planned_grp").cast("decimal(28,2)")})
+    every = typed(cells).unionByName(typed(by_part), allowMissingColumns=True).unionByName(typed(by_day), allowMissingColumns=True)
+    return every.select("plan_id", "project_id", "broadcast_date", "daypart_id", "daypart", "episode_id", "phase", "airing_date", "planned_units", "planned_grp", "data_type")
 
 
 def daypart_order(t) -> DataFrame:

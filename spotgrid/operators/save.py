@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spotgrid.functions.columns import monday_of
+from spotgrid.functions.columns import json_fault, monday_of
 from spotgrid.functions.joins import assign_ids, replace_groups, snapshot_merge
 from spotgrid.plans.context import latest_version
 from spotgrid.sources.shared import stage
@@ -199,7 +199,8 @@ def cascade_remove(t, clean_schedule: bool = False) -> dict[str, DataFrame]:
     planned = F.col("reach_type") == "PLANNED"
 
     def without_planned(table: DataFrame) -> DataFrame:
-        return table.where(planned).join(launch, key, "left_anti").unionByName(table.where(~planned))
+        # Rows without a reach type aren't planned ones; they stay.
+        return table.where(planned).join(launch, key, "left_anti").unionByName(table.where(~F.coalesce(planned, F.lit(False))))
 
     out = {
         "schedule_episode": t.schedule_episode.join(episode, key, "left_anti"),
@@ -234,9 +235,22 @@ def store_episode_json(t) -> DataFrame:
     return replace_groups(t.episode_json, rows, decided, ["plan_id", "plan_version_id"])
 
 
+def episode_json_fault(text: str) -> Column:
+    """Why an episode text can't be loaded, null if it can."""
+    known = lambda e: e["PROJECT_ID"].isNotNull() & e["EPISODE_NUM"].isNotNull()
+    return json_fault(text, "ARRAY", F.lit("episode without ids"), F.forall(F.from_json(text, EPISODE_JSON), known))
+
+
+def episode_json_rejects(episode_json: DataFrame) -> DataFrame:
+    """Texts that flatten to nothing, and why. A text is loaded as a whole or not at all."""
+    return episode_json.withColumn("reason", episode_json_fault("episode_dtl_json")).where("reason is not null").select(
+        "plan_id", "plan_version_id", "project_id", "reason", "episode_dtl_json")
+
+
 def flatten_episode_json(episode_json: DataFrame, only_selected: bool = True) -> DataFrame:
-    """One typed row per episode object of the JSON texts."""
-    rows = episode_json.select("plan_id", "plan_version_id", F.inline(F.from_json("episode_dtl_json", EPISODE_JSON)))
+    """One typed row per episode object of the JSON texts; ``episode_json_rejects`` has the texts that give none."""
+    sound = episode_json.where(episode_json_fault("episode_dtl_json").isNull())
+    rows = sound.select("plan_id", "plan_version_id", F.inline(F.from_json("episode_dtl_json", EPISODE_JSON)))
     if only_selected:
         rows = rows.where("chkSelectRow")
     return rows.select(

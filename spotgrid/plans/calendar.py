@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Quarters on one map, and the reach of the quarter list.
@@ -49,9 +49,16 @@ def map_days(cal: DataFrame, n_quarters: int = MAP_QUARTERS) -> DataFrame:
     )
 
 
+def ids_are_dense(cal: DataFrame) -> Column:
+    """True, as a condition for jobs that step from quarter to quarter by id; where ids have a hole the job fails and names what is missing."""
+    missing = F.array_except(F.sequence(F.min("period_id"), F.max("period_id")), F.collect_set("period_id"))
+    fault = F.raise_error(F.concat(F.lit("no quarter with id "), F.array_join(missing, ", "))).cast("boolean")
+    return periods(cal, "Q").agg(F.when(F.size(missing) > 0, fault).otherwise(F.lit(True)).alias("dense")).scalar()
+
+
 def adjacent_quarter(cal: DataFrame, step: int) -> DataFrame:
-    """Quarter pairs by id: ``period_id`` and the quarter ``step`` places on."""
-    q = periods(cal, "Q")
+    """Quarter pairs by id: ``period_id`` and the quarter ``step`` places on. Ids must be dense."""
+    q = periods(cal, "Q").where(ids_are_dense(cal))
     other = q.select(
         (F.col("period_id") - step).alias("period_id"), F.col("period_id").alias("other_period_id"),
         F.col("name").alias("other_name"), F.col("start_date").alias("other_start"), F.col("end_date").alias("other_end"),

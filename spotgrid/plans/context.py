@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotgrid.functions.columns import flight_weeks, model_type
-from spotgrid.plans.calendar import map_days, next_quarter_by_date, periods
+from spotgrid.plans.calendar import ids_are_dense, map_days, next_quarter_by_date, periods
 
 COMPLETED = "C"
 IN_PROGRESS_STATUS = 2
@@ -46,24 +46,24 @@ def latest_version(plan_version: DataFrame) -> DataFrame:
     return plan_version.groupBy("plan_id").agg(F.max("plan_version_id").alias("plan_version_id"))
 
 
-def neighbour_plan(plan: DataFrame, step: int, active_only: bool) -> DataFrame:
-    """Plan of the same outlet and type ``step`` quarters on."""
+def neighbour_plan(plan: DataFrame, cal: DataFrame, step: int, active_only: bool) -> DataFrame:
+    """Plan of the same outlet and type ``step`` quarters on, by id; the calendar's ids must be dense."""
     other = plan.where(F.col("active_yn") == "Y") if active_only else plan
     other = other.select("media_outlet_id", "plan_type", (F.col("period_id") - step).alias("period_id"),
                          F.col("plan_id").alias("other_plan_id"))
     return (
-        plan.select("plan_id", "media_outlet_id", "plan_type", "period_id")
+        plan.where(ids_are_dense(cal)).select("plan_id", "media_outlet_id", "plan_type", "period_id")
         .join(other, ["media_outlet_id", "plan_type", "period_id"])
         .select("plan_id", "other_plan_id")
     )
 
 
-def past_plan(plan: DataFrame) -> DataFrame:
-    return neighbour_plan(plan, -1, active_only=True).withColumnRenamed("other_plan_id", "past_plan_id")
+def past_plan(plan: DataFrame, cal: DataFrame) -> DataFrame:
+    return neighbour_plan(plan, cal, -1, active_only=True).withColumnRenamed("other_plan_id", "past_plan_id")
 
 
-def future_plan(plan: DataFrame) -> DataFrame:
-    return neighbour_plan(plan, 1, active_only=False).withColumnRenamed("other_plan_id", "future_plan_id")
+def future_plan(plan: DataFrame, cal: DataFrame) -> DataFrame:
+    return neighbour_plan(plan, cal, 1, active_only=False).withColumnRenamed("other_plan_id", "future_plan_id")
 
 
 def default_demo(outlet_demo: DataFrame) -> DataFrame:

@@ -336,7 +336,8 @@ VIEWS: dict[str, str] = {
                || '{{"PROJECT_ID":' || CAST(k.project_id AS STRING) || ',"EPISODE_NUM":3,"TARGET_GRP":null,"TARGET_SPOT":'
                || CAST(k.project_id % 70 AS STRING) || ',"START_TS":"' || CAST(k.first_date + 3 AS STRING)
                || '","END_TS":"' || CAST(k.last_date + 3 AS STRING) || '","EPISODE_START_TS":"' || CAST(k.last_date AS STRING) || ' 21:30:00","chkSelectRow":'
-               || CASE WHEN k.project_id % 2 = 0 THEN 'true' ELSE 'false' END || '}}]' AS episode_dtl_json
+               || CASE WHEN k.project_id % 2 = 0 THEN 'true' ELSE 'false' END
+               || CASE WHEN k.first_date = k.last_date THEN '}}' ELSE '}}]' END AS episode_dtl_json
         FROM {plan_project_key} k""",
     "episode_json": """
         SELECT s.uid AS plan_id, v.plan_version_id, s.project_id, s.episode_dtl_json
@@ -358,7 +359,7 @@ VIEWS: dict[str, str] = {
                || '","MEDIA_OUTLET_ID":"' || CAST(media_outlet_id AS STRING) || '","CAPACITY":7}}],'
                || '"5":[{{"DAY_OF_WEEK":"3","DAYPART_ID":"' || CAST(media_outlet_id * 10 + 3 AS STRING) || '","MEDIA_OUTLET_ID":"99","CAPACITY":4}},'
                || '{{"DAY_OF_WEEK":"3","DAYPART_ID":"' || CAST(media_outlet_id * 10 + 3 AS STRING) || '","MEDIA_OUTLET_ID":"' || CAST(media_outlet_id AS STRING)
-               || '","CAPACITY":5}}],"6":[]}}' AS capacity_json
+               || '","CAPACITY":5}}],"6":[]' || CASE WHEN active_yn = 'N' THEN '' ELSE '}}' END AS capacity_json
         FROM {plan}""",
     # --- reach guides --------------------------------------------------------------
     "reach_header": """
@@ -417,7 +418,7 @@ VIEWS: dict[str, str] = {
                first_date + 1 AS on_map_premiere, CAST(project_id % 180 AS DECIMAL(18,2)) AS guide_grp, CAST(project_id % 27 AS INT) AS guide_spots,
                CAST(project_id % 4 + 1 AS INT) AS network_target_demo_id, CAST(first_date AS TIMESTAMP) + INTERVAL '5' HOUR AS on_map_start_ts,
                CAST(last_date AS TIMESTAMP) + INTERVAL '22' HOUR AS on_map_end_ts
-        FROM {plan_project_key} WHERE project_id % 7 <> 0""",
+        FROM {plan_project_key} WHERE project_id IN (SELECT project_id FROM {project} WHERE is_active = 'Y')""",
     "stg_spots": """
         SELECT plan_id AS uid, project_id, CAST(date_trunc('week', start_date) AS DATE) AS week_date,
                CAST(sum(planned_units) AS BIGINT) AS unit_count
@@ -431,7 +432,7 @@ VIEWS: dict[str, str] = {
         GROUP BY plan_id, project_id, l_linenumber, CAST(date_trunc('week', start_date) AS DATE)""",
     "project_reach": """
         SELECT s_suppkey + 1 AS project_id, CAST(s_suppkey % 25 + 1 AS INT) AS media_outlet_id,
-               CASE WHEN s_suppkey % 2 = 0 THEN 'PLANNED' ELSE 'ACTUAL' END AS reach_type FROM {supplier}""",
+               CASE WHEN s_acctbal < 0 THEN NULL WHEN s_suppkey % 2 = 0 THEN 'PLANNED' ELSE 'ACTUAL' END AS reach_type FROM {supplier}""",
     "project_reach_episode": """
         SELECT project_id, media_outlet_id, episode_id, CASE WHEN (project_id + episode_id) % 2 = 0 THEN 'PLANNED' ELSE 'ACTUAL' END AS reach_type
         FROM {episode_key} GROUP BY project_id, media_outlet_id, episode_id""",
@@ -456,8 +457,8 @@ VIEWS: dict[str, str] = {
         SELECT project_id, episode_id, CAST(project_id % 3 + 3 AS INT) AS constraint_type_id, project_id AS constraint_key
         FROM {episode_key} GROUP BY project_id, episode_id""",
     "episode_timeband": """
-        SELECT s_suppkey + 1 AS constraint_id, 4 AS constraint_type_id, CAST(s_suppkey % 20 * 3600 AS INT) AS start_offset,
-               CAST(s_suppkey % 20 * 3600 + 18000 AS INT) AS end_offset, CAST(s_suppkey % 128 AS INT) AS days_mask
+        SELECT s_suppkey + 1 AS constraint_id, 4 AS constraint_type_id, CAST(s_suppkey % 29 * 3600 AS INT) AS start_offset,
+               CAST(s_suppkey % 29 * 3600 + 18000 AS INT) AS end_offset, CAST(s_suppkey % 128 AS INT) AS days_mask
         FROM {supplier}""",
     "episode_header": """
         SELECT s_suppkey + 1 AS project_id, DATE '1995-01-02' + CAST(s_suppkey * 37 % 2400 AS INT) AS episode_start_date,

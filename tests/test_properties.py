@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from spotgrid import catalog
-from spotgrid.functions import joins
-from spotgrid.operators import distribute, popup, reach, save
+from spotgrid.functions import columns, joins
+from spotgrid.operators import details, distribute, popup, reach, save
 from spotgrid.sources.shared import shared_folder, stage
 from spotgrid.sources.tables import BoundTables, Tables
 
@@ -88,12 +88,51 @@ def test_snapshot_merge_keeps_replaces_and_adds(spark):
 def test_assigned_ids_are_dense_and_follow_the_largest(spark):
     keys = random.Random(3).sample(range(10_000), 500)
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    got = joins.assign_ids(df, "id", "k", spark.createDataFrame([(41,)], "id bigint"), buckets=16)
+    got = joins.assign_ids(df, "id", "k", spark.createDataFrame([(41,)], "id bigint"))
     assert sorted(r.id for r in got.collect()) == list(range(42, 542))
-    want = {k: 42 + i for i, k in enumerate(sorted(keys, key=lambda k: (k % 16, k)))}
+    want = {k: 42 + i for i, k in enumerate(sorted(keys))}
     assert {r.k: r.id for r in got.collect()} == want
 
 
+def test_a_hole_in_the_quarters_fails_and_is_named(spark, calendar):
+    from spotgrid.plans import calendar as plans_calendar, context
+
+    plan = spark.createDataFrame([(7, 1, 1, 101, "Y"), (8, 1, 1, 102, "Y")], "plan_id int, media_outlet_id int, plan_type int, period_id int, active_yn string")
+    assert plans_calendar.adjacent_quarter(calendar, 1).count() == 3
+    assert [tuple(r) for r in context.past_plan(plan, calendar).collect()] == [(8, 7)]
+    holed = calendar.where("period_id not in (101, 102)")
+    for frame in (plans_calendar.adjacent_quarter(holed, 1), context.past_plan(plan, holed), context.future_plan(plan, holed)):
+        with pytest.raises(Exception, match="no quarter with id 101, 102"):
+            frame.collect()
+
+
+def test_time_bands_by_weekday_keep_their_seconds(spark):
+    rng = random.Random(9)
+    bands = [(i, 4, s, s + rng.randint(-100, 100_000), rng.randint(0, 127)) for i in range(40) for s in [rng.randint(0, 100_000)]]
+    t = BoundTables(spark, SF_DIR).replace(
+        episode_timeband=spark.createDataFrame(bands, "constraint_id long, constraint_type_id int, start_offset int, end_offset int, days_mask int"),
+        episode_constraint=spark.createDataFrame([(i, 1, 4, i) for i in range(40)], "project_id long, episode_id int, constraint_type_id int, constraint_key long"))
+    found = details.episode_timeband_days(t).collect()
+    assert all(0 <= r.start_second < r.end_second <= 86400 and 1 <= r.weekday <= 7 for r in found)
+    for i, _, start, end, mask in bands:
+        pieces = [r for r in found if r.constraint_id == i]
+        assert {r.band_weekday for r in pieces} == ({d + 1 for d in range(7) if mask >> d & 1} if end > start else set())
+        for day in {r.band_weekday for r in pieces}:
+            own = [r for r in pieces if r.band_weekday == day]
+            assert sum(r.end_second - r.start_second for r in own) == end - start
+            assert sorted((r.weekday - day) % 7 * 86400 + r.start_second for r in own)[0] == start
+
+
+def test_greatest_of_an_unknown_date_is_unknown(spark):
+    row = spark.sql("SELECT 1 AS a, CAST(NULL AS INT) AS b, 3 AS c").select(columns.greatest_known("a", "b").alias("x"), columns.greatest_known("a", "c").alias("y")).first()
+    assert tuple(row) == (None, 3)
+
+
+def test_popup_totals_need_no_expand(spark):
+    plan = popup.project_popup_grid(BoundTables(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+
+
 def test_conditional_key_joins_equal_brute_force(spark):
     rng = random.Random(5)
     left = [(rng.choice([1, 2]), rng.randint(1, 4), rng.choice([None, 10, 11, 12]), i) for i in range(30)]
