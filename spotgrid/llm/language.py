@@ -32,6 +32,7 @@ DIMENSIONS = 16
 SAMPLE = 3000
 EPOCHS = 5
 RATE = 0.5
+HASH_BITS = 62
 SEED = 7
 FOLDS = 5
 PRECISION = 0.995
@@ -77,7 +78,8 @@ class LanguageModel:
     def logits(self, text: str) -> np.ndarray:
         total, n = np.zeros(len(self.languages)), 0
         for buckets in subwords(text):
-            total += self.scores[buckets].sum(0, dtype=np.float64)
+            # Many places are counted first, so that no more than the table itself is gathered, however many languages there are.
+            total += self.scores[buckets].sum(0, dtype=np.float64) if len(buckets) < BUCKETS else np.bincount(buckets, minlength=BUCKETS) @ self.scores.astype(np.float64)
             n += len(buckets)
         return total / max(n, 1) + self.bias
 
@@ -94,6 +96,11 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
+def sampling_bound(quota: float, rows: int) -> int:
+    """Hashes of ``HASH_BITS`` bits below this are about ``quota`` of ``rows`` rows; exact for any number of rows."""
+    return min(1 << HASH_BITS, max(1, round(quota * (1 << HASH_BITS)) // max(rows, 1)))
+
+
 def sample(labelled: DataFrame, key: str, text: str, lang: str, size: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(language, buckets, weights) of about ``size`` documents, chosen by a hash of the key, evenly over the languages."""
     known = labelled.where(F.col(lang).isNotNull() & F.col(key).isNotNull())
@@ -101,8 +108,8 @@ def sample(labelled: DataFrame, key: str, text: str, lang: str, size: int) -> li
     if not counts:
         return []
     quota = size / len(counts)
-    bound = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, quota / n) * 1_000_000))]), F.col(lang))
-    chosen = known.where(F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1_000_000)) < bound).select(F.col(key), F.col(lang), F.col(text))
+    bound = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, sampling_bound(quota, n))]), F.col(lang))
+    chosen = known.where(F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(1 << HASH_BITS)) < bound).select(F.col(key), F.col(lang), F.col(text))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -29,6 +29,20 @@ def test_learns_from_its_folds_only(spark, documents):
     assert a.languages == b.languages == ("en", "fr") and np.array_equal(a.scores, b.scores)
 
 
+def test_the_sample_of_a_large_language_is_no_smaller():
+    for rows in (10, 3_000, 10**6, 10**10, 10**13):
+        share = language.sampling_bound(750, rows) / 2**language.HASH_BITS
+        assert abs(share * rows - min(750, rows)) < 1e-3 * min(750, rows)
+
+
+def test_scores_of_long_texts_are_sums_over_their_subwords():
+    rng = np.random.default_rng(1)
+    model = language.LanguageModel(("a", "b", "c"), rng.normal(size=(language.BUCKETS, 3)).astype(np.float32), rng.normal(size=3), 1.0, 0.5)
+    for text in ("short text", "longer words here " * 20_000):
+        buckets = np.concatenate(list(language.subwords(text)))
+        assert np.allclose(model.logits(text), model.scores[buckets].astype(np.float64).mean(0) + model.bias)
+
+
 def test_cases(spark, documents):
     model = language.LanguageModel(("de", "en"), np.zeros((language.BUCKETS, 2), np.float32), np.zeros(2), 1.0, 0.9)
     rows = [(1, None), (2, ""), (3, "12 34 !"), (4, "é"), (5, "word " * 300_000), (4, "é")]
