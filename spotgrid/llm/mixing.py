@@ -27,6 +27,8 @@ SHARE_PERCENT = 150
 MOST_REPEATS = 2
 POINT_BITS = 60
 STEP_BITS = 12
+#: Cuts of at most so many sources are sent to the documents; beyond, documents are shuffled to the cuts.
+BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -130,7 +132,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
 def mixed_documents(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS,
                     share_percent=SHARE_PERCENT, most=MOST_REPEATS) -> DataFrame:
     """The documents of the mix, whole: none, one or two rows of each, by the nearest to the words taken. Half counts as whole."""
-    cut = cuts(spark, stage(spark, sizes(docs, key, text, source), "mix_sizes"), weights, share_percent, most)
+    cut = stage(spark, cuts(spark, stage(spark, sizes(docs, key, text, source), "mix_sizes"), weights, share_percent, most), "mix_cuts")
+    if cut.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        cut = F.broadcast(cut)
     rows = docs.select(F.struct("*").alias("row"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), point_of(F.col(key)).alias("point"))
     times = F.when(F.col("size") > 0, F.floor((2 * taken_words() + F.col("size")) / (2 * F.col("size")))).otherwise(0).cast("int")
     dealt = rows.join(cut, F.col("source").eqNullSafe(F.col("of"))).select("row", F.explode(F.array_repeat(F.lit(0), times)).alias("_"))
