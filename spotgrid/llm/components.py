@@ -14,27 +14,41 @@ from spotgrid.sources.shared import stage
 SMALL = 200_000
 
 
+class Forest:
+    """Trees of what has been joined so far, by their smallest node. It starts anew beyond ``most`` nodes, which only costs repeated edges."""
+
+    def __init__(self, most: int | None = 1 << 20):
+        self.parent: dict = {}
+        self.most = most
+
+    def root(self, x):
+        parent = self.parent
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def join(self, u, v) -> bool:
+        """Whether u and v were apart; they no longer are."""
+        if self.most and len(self.parent) > self.most:
+            self.parent.clear()
+        a, b = self.root(u), self.root(v)
+        if a != b:
+            self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
 def _forest(edges: DataFrame) -> DataFrame:
     """The edges of every part, replaced by an edge to the smallest node of each tree they form."""
     schema = edges.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parent: dict = {}
-
-        def root(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        kind = None
+        trees, kind = Forest(None), None
         for batch in batches:
             kind = batch.schema
             for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                a, b = root(u), root(v)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
+                trees.join(u, v)
         if kind is not None:
-            pairs = [(x, r) for x in parent if (r := root(x)) != x]
+            pairs = [(x, r) for x in trees.parent if (r := trees.root(x)) != x]
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], kind.field(i).type) for i in range(2)], schema=kind)
 
     return edges.mapInArrow(run, schema)

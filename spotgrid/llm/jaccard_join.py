@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spotgrid.llm.batches import chunks, map_batches
-from spotgrid.llm.components import components
+from spotgrid.llm.components import Forest, components
 from spotgrid.llm.shingles import mix, shingle_set
 from spotgrid.sources.shared import stage
 
@@ -191,13 +191,16 @@ def regions(spark: SparkSession, tied: DataFrame, maps: DataFrame, percent: int,
     band = F.col("tie").bitwiseAND(F.lit(63).cast("long"))
     stars = stage(spark, tied.where("node != centre").select("centre", band.alias("band"), "node").distinct(), "jaccard_stars")
     whole = stars.unionByName(stars.select("centre", "band", F.col("centre").alias("node")).distinct())
-    maps = maps.where("bitmap is not null").select(F.col("node").alias("of"), "bitmap").dropDuplicates(["of"])
+    # Most texts are tied to no other; their bitmaps stay where they are.
+    tied_nodes = few(spark, stage(spark, whole.select(F.col("node").alias("of")).distinct(), "jaccard_tied"))
+    maps = maps.where("bitmap is not null").select(F.col("node").alias("of"), "bitmap").join(tied_nodes, "of", "left_semi").dropDuplicates(["of"])
     dealt = whole.join(maps, F.col("node") == F.col("of")).select("centre", "band", "node", "bitmap").repartition("centre", "band").sortWithinPartitions(
         "centre", "band", "node")
     edges, _, _ = bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, size, near, nodes, pivots, group = None, 0, 0, [], np.zeros((0, 0), np.uint8), np.zeros(0, np.int64)
+        at, size, near, nodes, pivots = None, 0, 0, [], np.zeros((0, 0), np.uint8)
+        joined = Forest()
         for batch in batches:
             u, v = [], []
             for centre, band, node, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -205,26 +208,24 @@ def regions(spark: SparkSession, tied: DataFrame, maps: DataFrame, percent: int,
                     at, nodes = (centre, band), []
                     size = _bits(-(-percent * int(edges[band]) // 100), bits)
                     near = 2 * (int(edges[band + 1]) - 1) * (100 - percent) // (100 + percent)
-                    pivots, group = np.zeros((8, size // 8), np.uint8), np.zeros(0, np.int64)
+                    pivots = np.zeros((8, size // 8), np.uint8)
                 own = _fold(np.frombuffer(packed, np.uint8), size)
                 apart = np.bitwise_count(pivots[: len(nodes)] ^ own).sum(1, dtype=np.int64)
                 window = np.flatnonzero(apart <= 2 * near)
-                # Pivots that share a class are connected; one edge to each group of them says all there is to say.
-                met, first = np.unique(group[window], return_index=True)
-                u += [node] * len(met)
-                v += [nodes[i] for i in window[first]]
-                if len(met) > 1:
-                    group[np.isin(group, met)] = met[0]
+                # A class meets the same ones in star after star; an edge is given out only if it joins what the task hasn't joined yet.
+                news = [nodes[i] for i in window if joined.join(node, nodes[i])]
+                u += [node] * len(news)
+                v += news
                 if len(apart) and apart.min() <= near:
                     continue
                 if len(nodes) == STAR_PIVOTS:
-                    u.append(node)
-                    v.append(nodes[0])
+                    if joined.join(node, nodes[0]):
+                        u.append(node)
+                        v.append(nodes[0])
                     continue
                 if len(nodes) == len(pivots):
                     pivots = np.concatenate([pivots, np.zeros_like(pivots)])
                 pivots[len(nodes)] = own
-                group = np.append(group, met[0] if len(met) else len(nodes))
                 nodes.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
