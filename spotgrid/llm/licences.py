@@ -3,7 +3,8 @@ r"""Licence scan by a generalised suffix automaton.
 The automaton is built over the words of all licence templates. A text's words stream through it and give, at every
 word, the longest run ending there that stands in some template (matching statistics). Matches that can't be extended
 are chained per template: a match joins a chain if it goes on where the chain ended, in the text and in the template,
-with small gaps. A chain that covers enough of its template is a span with the template's label.
+with small gaps that hold no word which tells licences apart. A chain that covers enough of its template, and all of its
+telling words if it is a short one, is a span with the template's label, unless it lies in a span that covers more words.
 
 Short fixed phrases are templates too, and every place where one stands is counted: a phrase ends at a word if it is a
 suffix of the match there, which the automaton's links tell.
@@ -47,16 +48,32 @@ TEMPLATES = (
             "are met"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by-nd", "licensed under cc by nd 4 0"),
-    ("cc-by", "licensed under cc by 4 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("lgpl-2.1", "licensed under the gnu lesser general public license version 2 1"),
+    ("lgpl-3.0", "licensed under the gnu lesser general public license version 3"),
+    ("agpl-3.0", "licensed under the gnu affero general public license version 3"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as "
+             "published by the free software foundation"),
     ("cc0", "no rights reserved"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("boost", "distributed under the boost software license version 1 0"),
 )
-#: A match that shorter than this doesn't enter a chain; a chain may skip so many words, in the text or in the template.
+#: Creative Commons licences: the short name, and the long one in its two spellings.
+CREATIVE_COMMONS = (
+    ("by", "attribution", "attribution"), ("by nc", "attribution noncommercial", "attribution non commercial"),
+    ("by sa", "attribution sharealike", "attribution share alike"), ("by nd", "attribution noderivatives", "attribution no derivatives"),
+    ("by nc sa", "attribution noncommercial sharealike", "attribution non commercial share alike"),
+    ("by nc nd", "attribution noncommercial noderivatives", "attribution non commercial no derivatives"),
+)
+TEMPLATES += tuple((f"cc {name}".replace(" ", "-"), words) for name, *spellings in CREATIVE_COMMONS for words in (
+    f"licensed under cc {name} 4 0", f"spdx license identifier cc {name} 4 0",
+    *dict.fromkeys(f"this work is licensed under a creative commons {spelling} 4 0 international license" for spelling in spellings)))
+#: Identifiers on a line of their own, as label and words.
+TEMPLATES = tuple((label, f"spdx license identifier {words}") for label, words in (
+    ("mit", "mit"), ("apache-2.0", "apache 2 0"), ("gpl-2.0", "gpl 2 0"), ("gpl-3.0", "gpl 3 0"), ("lgpl-2.1", "lgpl 2 1"), ("lgpl-3.0", "lgpl 3 0"),
+    ("agpl-3.0", "agpl 3 0"), ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("isc", "isc"), ("mpl-2.0", "mpl 2 0"), ("unlicense", "unlicense"), ("boost", "bsl 1 0"))) + TEMPLATES
+#: Words that tell licences apart, as numbers do. A chain skips none of them, in the text or in the template.
+TELLING = ("affero", "alike", "commercial", "derivatives", "lesser", "library", "nc", "nd", "no", "noderivatives", "non", "noncommercial", "sa", "share", "sharealike")
+#: A match that is shorter than this doesn't enter a chain; a chain may skip so many words, in the text or in the template.
 LEAST_MATCH = 3
 GAP = 4
 #: A chain counts if it covers this share of its template, or so many words of it.
@@ -70,6 +87,23 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(_TABLE).split()
 
 
+def _tells(word: bytes) -> bool:
+    return word.isdigit() or word.decode() in TELLING
+
+
+def _outermost(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Spans (template, first, end, covered) that don't lie inside one that covers more words."""
+    kept: list[tuple[int, int, int, int]] = []
+    end = covered = -1  # of the span so far that reaches farthest
+    for span in sorted(spans, key=lambda s: (s[1], -s[2], -s[3])):
+        if span[2] <= end and span[3] < covered:
+            continue
+        kept.append(span)
+        if span[2] > end or span[3] > covered:
+            end, covered = span[2], span[3]
+    return kept
+
+
 class SuffixAutomaton:
     """All runs of words of several sequences. State 0 is the empty run."""
 
@@ -129,6 +163,7 @@ class LicenceScanner:
         self.labels, sequences, self.vocabulary = [label for _, label in texts], [], {}
         for words, _ in texts:
             sequences.append([self.vocabulary.setdefault(w.encode(), len(self.vocabulary)) for w in words.split()])
+        self.telling = [[_tells(w.encode()) for w in words.split()] for words, _ in texts]
         self.sizes, self.n_phrases = [len(s) for s in sequences], len(phrases)
         self.automaton = SuffixAutomaton(sequences)
         # Of each state: the phrases that end where it ends, with the words that must have been matched.
@@ -165,10 +200,10 @@ class LicenceScanner:
                         places.append((at + 1 - size, phrase))
             if matched >= LEAST_MATCH:
                 matches.append((high - matched, high, state))
-        return len(words), places, self._chain(matches)
+        return len(words), places, self._chain(matches, words)
 
-    def _chain(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """matches: (start, end, state) in order. The open chain of a template is [first, end, template end, covered]."""
+    def _chain(self, matches: list[tuple[int, int, int]], words: list[bytes]) -> list[tuple[int, int, int, int]]:
+        """matches: (start, end, state) in order. The open chain of a template is [first, end, template end, covered, last match's start, skipped a telling word]."""
         chains: dict[int, list[int]] = {}
         done = []
         for start, end, state in matches:
@@ -177,15 +212,22 @@ class LicenceScanner:
                 chain = chains.get(number)
                 if chain and (start, end) == (chain[4], chain[1]):
                     continue  # the same words elsewhere in the template
-                if chain and chain[1] - end < 0 and -GAP <= start - chain[1] <= GAP and 0 <= to - chain[2] and from_ - chain[2] <= GAP:
+                tells = self.telling[number]
+                if (chain and chain[1] - end < 0 and -GAP <= start - chain[1] <= GAP and 0 <= to - chain[2] and from_ - chain[2] <= GAP
+                        and not any(_tells(w) for w in words[chain[1] : start])):
                     chain[3] += min(end - max(start, chain[1]), to - max(from_, chain[2]))
+                    chain[5] |= any(tells[chain[2] : from_])
                     chain[1], chain[2], chain[4] = end, to, start
                 else:
                     if chain:
-                        done.append((number, *chain[:2], chain[3]))
-                    chains[number] = [start, end, to, end - start, start]
-        done += [(number, *chain[:2], chain[3]) for number, chain in chains.items()]
-        return [d for d in done if d[3] >= min(LEAST_WORDS, LEAST_COVER * self.sizes[d[0]])]
+                        done.append((number, chain))
+                    chains[number] = [start, end, to, end - start, start, any(tells[:from_])]
+        done += chains.items()
+        return _outermost([(number, *chain[:2], chain[3]) for number, chain in done if self._counts(number, chain)])
+
+    def _counts(self, number: int, chain: list[int]) -> bool:
+        skipped = chain[5] or any(self.telling[number][chain[2] :])
+        return chain[3] >= min(LEAST_WORDS, LEAST_COVER * self.sizes[number]) and not (skipped and self.sizes[number] <= LEAST_WORDS)
 
     def judge(self, text: str) -> tuple:
         n_words, places, spans = self.scan(text)

@@ -64,6 +64,37 @@ def test_templates_are_found_with_gaps_and_edits():
     assert [(s["first"], s["end"], s["label"]) for s in spans] == [(1, 6, "mit")]
 
 
+def test_neighbours_are_told_apart():
+    judge = licences.LicenceScanner().judge
+    cc = "This work is licensed under a Creative Commons {} 4.0 International License."
+    cases = {
+        cc.format("Attribution"): "cc-by", cc.format("Attribution-NonCommercial"): "cc-by-nc", cc.format("Attribution-ShareAlike"): "cc-by-sa",
+        cc.format("Attribution-NoDerivatives"): "cc-by-nd", cc.format("Attribution-NonCommercial-NoDerivatives"): "cc-by-nc-nd",
+        cc.format("Attribution-Non-Commercial-Share-Alike"): "cc-by-nc-sa",
+        "Licensed under CC BY-NC-ND 4.0": "cc-by,cc-by-nc-nd", "Licensed under CC BY-NC-SA 4.0": "cc-by,cc-by-nc-sa", "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",
+        "Licensed under the GNU Lesser General Public License version 3": "gpl,lgpl-3.0", "Licensed under the GNU Affero General Public License version 3": "agpl-3.0,gpl",
+        "Licensed under the GNU General Public License, version 2": "gpl,gpl-2.0", "Licensed under the GNU General Public License, version 3": "gpl,gpl-3.0",
+        "Licensed under the GNU General Public License, version 1": "gpl", "Licensed under the GNU Lesser General Public License version 2.1": "gpl,lgpl-2.1",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "SPDX-License-Identifier: MIT": "mit", "// SPDX-License-Identifier: GPL-2.0-only": "gpl-2.0",
+        "Licensed under the Apache License, Version 1.1": "",
+    }
+    for text, want in cases.items():
+        assert judge(f"zzz {text} zzz")[5] == want, text
+    for label in ("agpl", "lgpl"):
+        notice = next(w for x, w in licences.TEMPLATES if x == label)
+        assert judge(notice)[5] == f"{label},gpl" if label == "agpl" else "gpl,lgpl"
+
+
+def test_spans_inside_larger_ones_go():
+    rng = random.Random(9)
+    for _ in range(300):
+        spans = [(i, a := rng.randint(0, 20), a + (n := rng.randint(1, 9)), rng.randint(1, n)) for i in range(rng.randint(0, 8))]
+        kept = licences._outermost(spans)
+        assert len(set(kept)) == len(kept) and set(kept) <= set(spans)
+        for span in set(spans) - set(kept):
+            assert any(o[1] <= span[1] and span[2] <= o[2] and span[3] < o[3] for o in spans)
+
+
 def test_query(spark, sf, sf_docs):
     texts = {r.doc_id: r.text for r in sf_docs.collect()}
     for r in queries.op5_licence_scan(spark, sf).collect():
