@@ -5,7 +5,9 @@ character before nor the one after is an ASCII letter or digit, so that terms in
 strict term, or several distinct soft terms, reject the url.
 
 Defined cases: a null url, or one without "://", has an empty host and path, matches no rule, and is judged by its
-terms alone (null has none and is allowed). Repeated rows give repeated results.
+terms alone (null has none and is allowed). Repeated rows give repeated results; an empty table gives none; columns other
+than key and url are ignored. Of rules of one length that fit, which can only be one rule twice, the first counts. The work for
+a url grows with its length, however many labels its host has.
 """
 
 from __future__ import annotations
@@ -53,6 +55,7 @@ class _Judge:
         self.by_host: dict[str, list[tuple[str, str]]] = {}
         for host, path, verdict in config.rules:
             self.by_host.setdefault(host, []).append((path, verdict))
+        self.most_labels = max((host.count(".") + 1 for host in self.by_host), default=0)
         self.least_soft, self.automaton = config.least_soft, ahocorasick.Automaton()
         for term in {*config.strict, *config.soft}:
             self.automaton.add_word(term, (term, term in config.strict))
@@ -60,11 +63,13 @@ class _Judge:
 
     def rule(self, host: str, path: str) -> tuple[str | None, str | None]:
         best: tuple[str | None, str | None] = (None, None)
-        while host:
+        # No rule has more labels, so longer ends of the host needn't be tried.
+        labels = host.rsplit(".", self.most_labels)[-self.most_labels :] if self.most_labels else []
+        for size in range(len(labels), 0, -1):
+            host = ".".join(labels[-size:])
             for start, verdict in self.by_host.get(host, ()):
                 if path.startswith(start) and len(host + start) > len(best[0] or ""):
                     best = (host + start, verdict)
-            host = host.partition(".")[2]
         return best
 
     def hits(self, url: str) -> tuple[int, int]:

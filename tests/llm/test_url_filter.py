@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from spotgrid.llm import url_filter
 
@@ -46,3 +48,22 @@ def test_automaton_equals_searching_each_term(spark, sf):
     for (url,) in spark.read.parquet(f"{sf}/pages.parquet").select("url").collect():
         each = lambda terms: sum(bool(re.search(f"(^|[^a-z0-9]){t}([^a-z0-9]|$)", url.lower())) for t in terms)
         assert judge.hits(url) == (each(url_filter.STRICT), each(url_filter.SOFT))
+
+
+def test_hosts_of_many_labels(spark):
+    judge = url_filter._Judge(url_filter.UrlRules())
+    start = time.monotonic()
+    assert judge("http://" + "a." * 300_000 + "example.com/en/")[2:4] == ("example.com/en/", "block")
+    assert time.monotonic() - start < 2
+    assert verdict(spark, []) == {}
+    twice = spark.createDataFrame([(1, "http://x.net/es/")] * 2, "page_id long, url string")
+    assert [r.verdict for r in url_filter.judge_urls(twice).collect()] == ["block"] * 2
+
+
+def test_rules_equal_trying_every_end_of_the_host():
+    rng, judge = random.Random(3), url_filter._Judge(url_filter.UrlRules())
+    for _ in range(2000):
+        host = ".".join(rng.choice(["", "a", "www", "example", "com", "net"]) for _ in range(rng.randint(0, 5)))
+        path = rng.choice(["", "/", "/en/", "/es/x", "/fr"])
+        fits = [(h + p, v) for h, p, v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert judge.rule(host, path) == max(fits, key=lambda f: len(f[0]), default=(None, None))
