@@ -461,12 +461,12 @@ def keep_one(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
     rows with one id and one text, one is kept; texts without shingles and without ids link with nothing and all stay.
     """
     name = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("id"), F.xxhash64(F.col(text), F.col(text).isNull()).alias("print"))
-    rows = docs.withColumn("_row", name)
-    found = stage(spark, jaccard_join(spark, rows.select("_row", text), "_row", text, k, percent).select(
-        F.col("_row").alias("_name"), "component_id", "n_shingles"), "jaccard_found")
-    gone = few(spark, stage(spark, found.where("_name != component_id").select("_name").distinct(), "jaccard_gone"))
-    same = F.col("_row").eqNullSafe(F.col("_name"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), name.alias("name"))
+    found = stage(spark, jaccard_join(spark, rows.select("name", F.col("row").getField(text).alias("text")), "name", "text", k, percent).select(
+        F.col("name").alias("of"), "component_id", "n_shingles"), "jaccard_found")
+    gone = few(spark, stage(spark, found.where("of != component_id").select("of").distinct(), "jaccard_gone"))
+    same = F.col("name").eqNullSafe(F.col("of"))
     left = rows.join(gone, same, "left_anti")
-    again = few(spark, stage(spark, found.where("not _name.unknown or n_shingles > 0").groupBy("_name").count().where("count > 1").select("_name"), "jaccard_again"))
+    again = few(spark, stage(spark, found.where("not of.unknown or n_shingles > 0").groupBy("of").count().where("count > 1").select("of"), "jaccard_again"))
     once = left.join(again, same, "left_anti")
-    return once.unionByName(left.join(again, same, "left_semi").dropDuplicates(["_row"])).drop("_row")
+    return once.unionByName(left.join(again, same, "left_semi").dropDuplicates(["name"])).select("row.*")

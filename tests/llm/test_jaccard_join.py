@@ -137,11 +137,13 @@ def test_query(spark, sf, sf_docs):
 
 def test_keep_one(spark, documents):
     rows = corpus(1, 80)
-    docs = documents(rows)
+    docs = documents(rows).selectExpr("*", "doc_id AS _row", "text AS name", "source AS row", "lang AS of")
     want = {c for _, _, c, _ in brute(rows, 5, 80)}
     out = jj.keep_one(spark, docs)
     assert out.columns == docs.columns
-    assert sorted(r.doc_id for r in out.collect()) == sorted(want)
+    got = out.collect()
+    assert sorted(r.doc_id for r in got) == sorted(want)
+    assert all(r._row == r.doc_id and r.name == r.text for r in got)
     assert jj.jaccard_join(spark, documents([])).collect() == []
 
 
