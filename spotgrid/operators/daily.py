@@ -103,7 +103,7 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
     sums = [F.sum(measure(output_type)).alias("planned_units_sum"), F.sum("planned_grp").alias("proj_grp")]
     key = ["plan_id", "project_id", "media_outlet_id", "daypart_id", "start_date"]
     # Own launch rows keep the point value in their grain; everything else is asked of the kept day sums.
-    spots, t = t.schedule.where(F.col("active_yn") == "Y"), t.with_day_sums()
+    spots, every_plan, t = t.schedule.where(F.col("active_yn") == "Y"), t.with_day_sums().schedule, t.with_day_sums(own_plans=True)
     launch = t.schedule.where(F.col("active_yn") == "Y")
     episode = t.schedule_episode.where(F.col("active_yn") == "Y")
     goal = goal_columns(t.campaign_goal)
@@ -128,7 +128,7 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
         .join(info.drop(*from_pp), ["plan_id", "plan_version_id", "project_id"])
         .withColumn("past_project", F.lit("Y"))
     )
-    launch_days = launch.select("project_id", "media_outlet_id", "start_date", F.col("plan_id").alias("launch_plan_id")).distinct()
+    launch_days = every_plan.where(F.col("active_yn") == "Y").select("project_id", "media_outlet_id", "start_date", F.col("plan_id").alias("launch_plan_id")).distinct()
     episode_status = t.plan_project_episode.select("plan_id", "plan_version_id", "project_id", "episode_id", F.col("status_cd").alias("episode_status"))
     e = on_later_maps(episode.select(*key, "episode_id", "campaign_goal_id").distinct(), t).alias("e")
     hidden = (

@@ -92,7 +92,7 @@ def quarterly_projects(t, output_type: int = UNITS) -> DataFrame:
     Weekly sums are packed per goal (a few dozen weeks at most) and the weeks unfold last,
     so the wide project rows are never shuffled once per week.
     """
-    t = t.with_day_sums()
+    t = t.with_day_sums(own_plans=True)
     weekly = by_week(live_rows(t.schedule), t.cal_period, ["planned_units", "planned_grp"], "plan_id", "campaign_goal_id")
     packed = weekly.groupBy("plan_id", "campaign_goal_id").agg(
         F.map_from_entries(F.collect_list(F.struct("week_start", F.struct("planned_units", "planned_grp")))).alias("by_week"))
@@ -118,7 +118,7 @@ def quarterly_projects(t, output_type: int = UNITS) -> DataFrame:
 
 def episode_rows(t, period_type: str, output_type: int) -> DataFrame:
     """Live episode spots by calendar slice and plan, matched to the map of the slice's quarter."""
-    t = t.with_day_sums()
+    t = t.with_day_sums(own_plans=True)
     live = t.schedule_episode.where(F.col("plan_version_id") == LIVE_VERSION)
     slices = day_map(t.cal_period, period_type).select("day", "fiscal_qtr", F.col("period_start").alias("slice_start"))
     quarters = t.cal_period.where(F.col("period_type") == "Q").select(F.col("name").alias("fiscal_qtr"), F.col("period_id").alias("map_period_id"))
@@ -153,7 +153,7 @@ def weekly_episode_units(t, output_type: int = UNITS) -> DataFrame:
 
 def weekly_projects(t, output_type: int = UNITS) -> DataFrame:
     """Projects of every map and week: own launch spots, own episode-only projects, and earlier plans' projects."""
-    t = t.with_day_sums()
+    t = t.with_day_sums(own_plans=True)
     week_of = day_map(t.cal_period, "W").select(F.col("day").alias("start_date"), F.col("period_start").alias("week_start"))
     info = project_info(t.plan_project)
     planned = info.where(F.col("status_cd") != IN_PROGRESS_STATUS)

@@ -10,15 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from spotgrid.sources.binding import BASE_TABLES, referenced, takes_shuffle, view_sql
+from spotgrid.sources.day_sums import SCHEDULES, DaySums, sum_days
 from spotgrid.sources.shared import new_table_path, stage
 
-DAY_KEYS = ("plan_id", "plan_version_id", "active_yn", "media_outlet_id", "project_id", "campaign_goal_id", "daypart_id", "start_date", "end_date")
-#: Spot schedules, and what their day sums are kept by.
-SCHEDULES = {"schedule": DAY_KEYS, "schedule_episode": (*DAY_KEYS, "episode_id")}
-
 
 class Tables:
     """Planning tables held as ``<root>/<name>`` parquet, or as ``<database>.<name>`` tables."""
@@ -30,6 +26,7 @@ class Tables:
         self._given: dict[str, DataFrame] = dict(overrides or {})
         self._frames: dict[str, DataFrame] = dict(self._given)
         self._made: dict[str, DataFrame] = {}
+        self._stores: dict[str, DaySums] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -54,6 +51,7 @@ class Tables:
         other = type(self)(self.spark, self._root, self._database, {**self._given, **frames})
         other._frames = {**self._frames, **other._given}
         other._made = {name: frame for name, frame in self._made.items() if not set(self._made_of[name]) & set(frames)}
+        other._stores = {name: store for name, store in self._stores.items() if name not in frames}
         return other
 
     #: Derived tables and the tables they are made of.
@@ -71,17 +69,28 @@ class Tables:
             kept[name] = stage(self.spark, build(self), name)
         return kept[name]
 
-    def with_day_sums(self) -> "Tables":
+    def day_sums(self, path: str) -> dict[str, DaySums]:
+        """The stores of both schedules' day sums under a folder, to be written or refreshed."""
+        return {name: DaySums(self.spark, path, name, getattr(self, name)) for name in SCHEDULES}
+
+    def with_stored_sums(self, path: str) -> "Tables":
+        """The same tables, with day sums read from the stores written under a folder. A schedule that is swapped leaves its store."""
+        other = self.replace()
+        other._stores = self.day_sums(path)
+        return other
+
+    def with_day_sums(self, own_plans: bool = False) -> "Tables":
         """The same tables with both schedules summed per day, goal and daypart.
 
-        The sums are written once for these tables and serve every grid that needs weeks or days of spots.
+        Without a store the sums are written once for these tables and serve every grid that needs weeks or days of spots. With
+        ``own_plans``, sums of plans that are not in a swapped plan table may be left out, as far as a store needn't read them.
         """
-        def days(facts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-            return facts.groupBy(*[k for k in keys if k in facts.columns]).agg(
-                F.sum("planned_units").alias("planned_units"), F.sum("planned_grp").alias("planned_grp"))
+        def sums(name: str, keys: tuple[str, ...]) -> DataFrame:
+            if name in self._stores:
+                return self._stores[name].of_plans(self.plan) if own_plans and self.given("plan") else self._stores[name].rows()
+            return self.derived(f"{name}_days", (name,), lambda t: sum_days(getattr(t, name), keys))
 
-        return self.replace(**{
-            name: self.derived(f"{name}_days", (name,), lambda t, name=name, keys=keys: days(getattr(t, name), keys)) for name, keys in SCHEDULES.items()})
+        return self.replace(**{name: sums(name, keys) for name, keys in SCHEDULES.items()})
 
 
 class BoundTables(Tables):

@@ -1,0 +1,121 @@
+"""Day sums kept in a store: whole, refreshed in part, and read for some plans only."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from spotgrid.operators import daily, grids
+from spotgrid.sources.day_sums import PARTITION, SCHEDULES, DaySums, partitions_of, sum_days
+from spotgrid.sources.tables import BoundTables
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = ("plan_id long, plan_version_id int, active_yn string, media_outlet_id int, project_id long, campaign_goal_id long, daypart_id int, "
+           "start_date date, end_date date, planned_units long, planned_grp decimal(8,2), spot_quarter string")
+
+
+def same(a, b):
+    b = b.select(*a.columns)
+    return a.schema.simpleString() == b.schema.simpleString() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def files(path):
+    return {os.path.join(folder, f) for folder, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def spots(spark, rows):
+    """Spots (plan, outlet, start, units) of one project; the clashing last column is no key."""
+    day = lambda x: dt.date.fromisoformat(x) if x else None
+    return spark.createDataFrame([(p, 0, "Y", o, 1, 1, 1, day(d), day(d), u, None, "x") for p, o, d, u in rows], COLUMNS)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    t, path = BoundTables(spark, SF_DIR), str(tmp_path_factory.mktemp("sums"))
+    for store in t.day_sums(path).values():
+        store.write()
+    return t, path
+
+
+@pytest.mark.parametrize("name", list(SCHEDULES))
+def test_a_store_has_all_sums(stored, name):
+    t, path = stored
+    assert same(sum_days(getattr(t, name), SCHEDULES[name]), getattr(t.with_stored_sums(path).with_day_sums(), name))
+
+
+def test_a_refresh_is_a_rebuild_and_touches_only_its_partitions(spark, tmp_path):
+    before = [(1, 1, "2024-01-05", 2), (1, 1, "2024-01-05", 3), (1, 2, "2024-01-05", 4), (2, 2, "2024-05-05", 5), (3, None, "2024-05-05", 6),
+              (3, 3, None, 7), (4, 4, "2024-05-05", 8), (2, 4, "2024-05-05", 9)]
+    after = [(1, 1, "2024-01-05", 2), (1, 1, "2024-01-06", 1), (1, 2, "2024-01-05", 4), (5, 2, "2024-08-05", 5), (3, None, "2024-05-05", 1),
+             (4, 4, "2024-05-05", 8), (2, 4, "2024-05-05", 9)]
+    path = str(tmp_path / "store")
+    old, new = spots(spark, before), spots(spark, after)
+    DaySums(spark, path, "schedule", old).write()
+    at_first = files(f"{path}/schedule/sums")
+    changed = partitions_of(old.exceptAll(new)).union(partitions_of(new.exceptAll(old)))
+    store = DaySums(spark, path, "schedule", new)
+    for _ in range(2):  # doing it again changes nothing more
+        store.refresh(changed)
+        assert same(sum_days(new, SCHEDULES["schedule"]), store.rows())
+        kept = files(f"{path}/schedule/sums") & at_first
+        assert {f.split("/sums/")[1].rpartition("/")[0] for f in kept} == {"media_outlet_id=2/spot_quarter=8097", "media_outlet_id=4/spot_quarter=8098"}
+        plans = sorted((tuple(r) for r in spark.read.schema(f"plan_id long, {PARTITION[0]} int, {PARTITION[1]} int").parquet(
+            f"{path}/schedule/plans").collect()), key=str)
+        assert plans == sorted([(1, 1, 8097), (1, 2, 8097), (5, 2, 8099), (3, None, 8098), (4, 4, 8098), (2, 4, 8098)], key=str)
+
+
+def test_plans_read_their_own_partitions(spark, tmp_path):
+    rows = [(1, 1, "2024-01-05", 2), (2, 1, "2024-01-06", 3), (1, None, "2024-01-05", 4), (1, 2, None, 5), (2, 2, "2024-05-05", 6), (3, 3, "2024-05-05", 7)]
+    store = DaySums(spark, str(tmp_path / "store"), "schedule", spots(spark, rows))
+    store.write()
+    read = lambda *plans: sorted(r.planned_units for r in store.of_plans(spark.createDataFrame([(p,) for p in plans], "plan_id long")).collect())
+    assert read(1) == [2, 3, 4, 5] and read(3) == [7] and read(9) == [] and read(1, 2, 3) == [2, 3, 4, 5, 6, 7]
+    assert store.of_plans(spark.createDataFrame([], "plan_id long")).count() == 0
+
+
+def test_a_schedule_without_spots(spark, tmp_path):
+    store = DaySums(spark, str(tmp_path / "store"), "schedule", spots(spark, []))
+    store.write()
+    assert store.rows().count() == 0
+    store.refresh(spark.createDataFrame([(1, 8097)], "media_outlet_id int, spot_quarter int"))
+    assert store.rows().count() == 0
+
+
+def test_more_partitions_than_a_scan_names(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("spotgrid.sources.day_sums.NAMED_PARTITIONS", 1)
+    store = DaySums(spark, str(tmp_path / "store"), "schedule", spots(spark, [(1, 1, "2024-01-05", 2), (1, 2, "2024-01-05", 3), (2, 3, "2024-01-05", 4)]))
+    store.write()
+    assert store.of_plans(spark.createDataFrame([(1,)], "plan_id long")).count() == 3
+
+
+REPORTS = {"quarterly": grids.quarterly_projects, "weekly": grids.weekly_projects, "episodes": grids.quarterly_episodes, "daily": daily.daily_projects}
+
+
+@pytest.mark.parametrize("name", list(REPORTS))
+def test_reports_of_some_plans_are_the_same_from_a_store(stored, name):
+    t, path = stored
+    busiest = t.schedule.groupBy("media_outlet_id").count().orderBy(F.desc("count"), "media_outlet_id").first().media_outlet_id
+    plan = t.plan.where(F.col("media_outlet_id") == busiest)
+    one = t.with_stored_sums(path).replace(plan=plan)
+    found = REPORTS[name](one)
+    assert found.count() > 0 and same(REPORTS[name](t.replace(plan=plan)), found)
+
+
+def test_a_report_of_one_plan_names_its_partitions_in_the_scan(stored):
+    t, path = stored
+    one = t.with_stored_sums(path).replace(plan=t.plan.orderBy("plan_id").limit(1))
+    sums = one.with_day_sums(own_plans=True).schedule
+    lies = t.schedule.join(one.plan, "plan_id", "left_semi")
+    used = {r.f.split("/sums/")[1].rpartition("/")[0] for r in sums.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert used == {f"media_outlet_id={r.media_outlet_id}/spot_quarter={r.spot_quarter}" for r in partitions_of(lies).collect()}
+    assert 0 < len(used) < len({f.rpartition("/")[0] for f in files(f"{path}/schedule/sums")})
+    plan = grids.quarterly_projects(one)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "/schedule/sums" in line]
+    assert scans and all("spot_quarter#" in line.split("PartitionFilters: [")[1].split("PushedFilters")[0] for line in scans)
+
+
+def test_a_swapped_schedule_leaves_its_store(stored):
+    t, path = stored
+    none = t.with_stored_sums(path).replace(schedule=t.schedule.limit(0)).with_day_sums()
+    assert none.schedule.count() == 0 and none.schedule_episode.count() > 0
