@@ -56,7 +56,16 @@ def others(table: str) -> str:
     return f"NOT EXISTS (SELECT 1 FROM decided d WHERE d.plan_id = {table}.plan_id AND d.plan_version_id = {table}.plan_version_id)"
 
 
+def day_sums(table: str, more: str, where: str = "") -> str:
+    return (f"SELECT x.plan_id, x.plan_version_id, x.active_yn, x.media_outlet_id, x.project_id, x.campaign_goal_id, x.daypart_id, x.start_date, x.end_date{more}, "
+            f"CAST(sum(x.planned_units) AS BIGINT) AS planned_units, sum(x.planned_grp) AS planned_grp FROM {{{table}}} x {where} GROUP BY ALL")
+
+
 SQL = {
+    "schedule_day_sums": day_sums("schedule", ""),
+    "episode_day_sums_after_save": f"WITH {DECIDED}, {REMOVED} " + day_sums(
+        "schedule_episode", ", x.episode_id",
+        "WHERE NOT EXISTS (SELECT 1 FROM removed_episode r WHERE r.project_id = x.project_id AND r.media_outlet_id = x.media_outlet_id)"),
     "resolve_plan": f"WITH {RESOLVED} SELECT * FROM resolved",
     "decide_version": f"WITH {DECIDED} SELECT * FROM decided",
     "saved_plans": f"""WITH {DECIDED}

@@ -24,6 +24,7 @@ from spotgrid.operators import (
     validate,
 )
 from spotgrid.plans import calendar, context
+from spotgrid.sources.shared import new_table_path
 from spotgrid.sources.tables import BoundTables
 
 AS_OF = dt.date(1998, 6, 17)
@@ -145,7 +146,19 @@ REACH = {
     "distribute_carry": lambda t: distribute.week_labels(distribute.distribute_carry(_overlap(t))),
 }
 
+def _stored_sums(t, schedule):
+    path = new_table_path(t.spark, "day_sums")
+    t.day_sums(path)[schedule].write()
+    return path
+
+
+def _schedule_day_sums(t):
+    return t.day_sums(_stored_sums(t, "schedule"))["schedule"].rows()
+
+
 SAVE = {
+    "schedule_day_sums": _schedule_day_sums,
+    "episode_day_sums_after_save": lambda t: save.refresh_episode_sums(t, _stored_sums(t, "schedule_episode")),
     "resolve_plan": save.resolve_plan,
     "decide_version": save.decide_version,
     "saved_plans": lambda t: save.saved_plans(t, NOON),

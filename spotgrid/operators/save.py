@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spotgrid.functions.columns import json_fault, monday_of
 from spotgrid.functions.joins import assign_ids, replace_groups, snapshot_merge
 from spotgrid.plans.context import latest_version
+from spotgrid.sources.day_sums import partitions_of
 from spotgrid.sources.shared import stage
 
 # Status codes, the two full bit masks that use the total segment type, and event texts.
@@ -214,6 +215,15 @@ def cascade_remove(t, clean_schedule: bool = False) -> dict[str, DataFrame]:
     return {name: df.select(*getattr(t, name).columns) for name, df in out.items()}
 
 
+def refresh_episode_sums(t, path: str) -> DataFrame:
+    """The stored episode day sums under ``path`` after ``cascade_remove``: only outlets and quarters with spots of removed projects are summed anew."""
+    gone = removed_episode_projects(t).select("project_id", "media_outlet_id").distinct()
+    touched = partitions_of(t.schedule_episode.join(gone, ["project_id", "media_outlet_id"], "left_semi"))
+    store = t.replace(schedule_episode=cascade_remove(t)["schedule_episode"]).day_sums(path)["schedule_episode"]
+    store.refresh(touched)
+    return store.rows()
+
+
 def audit_events(t, as_of: dt.datetime) -> DataFrame:
     """History rows: plans and versions created, and two per removed project."""
     decided = decide_version(t)

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from spotgrid.operators import daily, grids
+from spotgrid.operators import daily, grids, save
 from spotgrid.sources.day_sums import PARTITION, SCHEDULES, DaySums, partitions_of, sum_days
 from spotgrid.sources.tables import BoundTables
 
@@ -119,3 +119,15 @@ def test_a_swapped_schedule_leaves_its_store(stored):
     t, path = stored
     none = t.with_stored_sums(path).replace(schedule=t.schedule.limit(0)).with_day_sums()
     assert none.schedule.count() == 0 and none.schedule_episode.count() > 0
+
+
+def test_a_save_sums_only_the_outlets_and_quarters_of_removed_projects_anew(spark, tmp_path):
+    t, path = BoundTables(spark, SF_DIR), str(tmp_path / "store")
+    t.day_sums(path)["schedule_episode"].write()
+    before = files(f"{path}/schedule_episode/sums")
+    gone = save.removed_episode_projects(t).select("project_id", "media_outlet_id").distinct()
+    lost = partitions_of(t.schedule_episode.join(gone, ["project_id", "media_outlet_id"], "left_semi")).count()
+    after = save.refresh_episode_sums(t, path)
+    assert same(sum_days(save.cascade_remove(t)["schedule_episode"], SCHEDULES["schedule_episode"]), after)
+    changed = {f.rpartition("/")[0] for f in before - files(f"{path}/schedule_episode/sums")}
+    assert 0 < len(changed) == lost < len({f.rpartition("/")[0] for f in before})
