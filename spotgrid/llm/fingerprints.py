@@ -11,7 +11,8 @@ what chance gives, over the most there could be. Each filter of the shorter chai
 
 Defined cases: null text is empty; an empty text has an empty fingerprint, which is like another empty one (1) and
 unlike any other (0). A text shorter than a window is one feature. Equal texts have equal fingerprints. The text is
-read in segments with margins, so memory for ranks doesn't grow with its length.
+read in segments with margins, so memory for ranks doesn't grow with its length. Rows of one key follow each other by
+text, repeated rows too; an empty table gives no rows, and other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotgrid.llm.batches import map_batches
@@ -141,24 +142,31 @@ def edited(text: str, after: str) -> str:
 def with_neighbours(spark: SparkSession, docs: DataFrame, key: str, text: str) -> DataFrame:
     """Rows dealt into blocks of neighbouring keys, each block followed by the first row of the next (``guest``).
 
-    Block bounds come from the keys alone, one for each shuffle partition. The last block's guest is the first row.
+    Block bounds come from the keys alone, one for each shuffle partition, so a block is a task's share of the rows. A row
+    finds its block by halving, so its work grows with the logarithm of their number. The last block's guest is the first row.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = stage(spark, docs.select(F.col(key).alias("key")).repartitionByRange(parts, F.col("key").asc_nulls_first()).withColumn(
         "part", F.spark_partition_id()), "fingerprint_keys")
     firsts = sorted((r.first for r in keys.groupBy("part").agg(F.min("key").alias("first")).collect() if r.first is not None))
-    cuts = F.array(*[F.lit(f) for f in firsts[1:]]) if len(firsts) > 1 else F.array().cast(f"array<{keys.schema['key'].dataType.simpleString()}>")
     kind = docs.schema[key].dataType.simpleString()
-    block = F.coalesce(F.size(F.filter(cuts, lambda c: c <= F.col("key"))), F.lit(0))
+    cuts = F.array(*[F.lit(f) for f in firsts[1:]]).cast(f"array<{kind}>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(firsts).bit_length()))]).cast("array<int>")
+    last = max(len(firsts) - 1, 0)
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when((at + step <= last) & (F.get(cuts, at + step - 1) <= F.col("key")), at + step).otherwise(at)
+
+    block = F.aggregate(steps, F.lit(0), further)
     rows = docs.select(F.col(key).cast(kind).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("block", block)
-    opens = F.array_contains(cuts, F.col("key")) if len(firsts) > 1 else F.lit(False)
+    opens = (F.col("block") > 0) & F.coalesce(F.get(cuts, F.col("block") - 1) == F.col("key"), F.lit(False))
     lowest = docs.agg(F.min(F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("key"))).alias("m")).first().m
     is_first = F.lit(False) if lowest is None else F.col("key").eqNullSafe(F.lit(lowest.key).cast(kind))
-    before = F.when(is_first, F.lit(max(len(firsts) - 1, 0))).when(F.coalesce(opens, F.lit(False)), F.col("block") - 1)
+    before = F.when(is_first, F.lit(last)).when(opens, F.col("block") - 1)
     copies = F.filter(F.array(F.struct(F.col("block").alias("block"), F.lit(0).alias("guest")), F.struct(before.alias("block"), F.lit(1).alias("guest"))),
                       lambda c: c["block"].isNotNull())
     dealt = rows.select("key", "text", F.explode(copies).alias("at")).select("at.block", "at.guest", "key", "text")
-    return dealt.repartition(parts, "block").sortWithinPartitions("block", "guest", F.col("key").asc_nulls_first(), "text")
+    return dealt.repartitionById(parts, "block").sortWithinPartitions("block", "guest", F.col("key").asc_nulls_first(), "text")
 
 
 _RESULT = [

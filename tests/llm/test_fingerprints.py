@@ -3,6 +3,7 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spotgrid.llm import fingerprints as fp
 
@@ -56,7 +57,7 @@ def test_segments_change_nothing(words, monkeypatch):
     assert fp.features(data).tolist() == want
 
 
-@pytest.mark.parametrize("parts", ["1", "4", "9"])
+@pytest.mark.parametrize("parts", ["1", "4", "9", "97"])
 def test_neighbours(spark, documents, words, parts):
     rows = [(i * 3, text_of(words, i % 40, i)) for i in range(60)] + [(1000, None), (1001, ""), (1002, "é" * 9), (30, "again"), (30, "again"), (None, "no id, first"), (-5, "a" * 40_000)]
     random.Random(1).shuffle(rows)
@@ -81,3 +82,21 @@ def test_one_row_and_none(spark, documents):
     [r] = fp.compare_neighbours(spark, documents([(5, "abcdefgh" * 20)])).collect()
     assert r.near_next == 1
     assert fp.compare_neighbours(spark, documents([])).collect() == []
+
+
+def test_a_block_is_a_task_of_its_own(spark, documents):
+    rows = [(i // 2 * 7, f"text {i}") for i in range(4000)]
+    dealt = fp.with_neighbours(spark, documents(rows), "doc_id", "text").withColumn("task", F.spark_partition_id())
+    found = dealt.groupBy("task").agg(F.count_distinct("block").alias("blocks"), F.count("*").alias("n")).collect()
+    assert len(found) == 8 and all(r.blocks == 1 and r.n < 1500 for r in found)
+    assert dealt.where("guest = 0").count() == 4000 and dealt.where("guest = 1").select("block").distinct().count() == 8
+
+
+@pytest.mark.parametrize("kind", ["string", "decimal(20,0)", "date"])
+def test_keys_of_other_types(spark, documents, kind):
+    docs = documents([(i, f"text {i} " * 5) for i in range(300)])
+    key = F.date_from_unix_date(F.col("doc_id").cast("int")) if kind == "date" else F.format_string("%05d", "doc_id") if kind == "string" else F.col("doc_id").cast(kind)
+    want = {(r.doc_id, r.edited_sha256) for r in fp.compare_neighbours(spark, docs).collect()}
+    named = docs.select("doc_id", key.alias("name"))
+    got = fp.compare_neighbours(spark, docs.withColumn("name", key), "name").join(named, "name")
+    assert {(r.doc_id, r.edited_sha256) for r in got.collect()} == want
