@@ -32,7 +32,10 @@ def project_popup_grid(t, demo_id: int | None = None) -> DataFrame:
     """
     parts = t.daypart.where(F.col("active_yn") == "Y").select("media_outlet_id", "daypart_id", F.col("name").alias("daypart"))
     known_days = day_map(t.cal_period, "D").select(F.col("day").alias("broadcast_date"))
-    dated = flights(t).withColumn("broadcast_date", F.explode(F.sequence("start_date", "end_date")))
+    # Flights and spots are dealt by plan and project once; days, dayparts, the join, the cells and both totals then need no shuffle.
+    # A named number of partitions stays as it is: flights are small, but their cells are many.
+    deal = [int(t.spark.conf.get("spark.sql.shuffle.partitions")), "plan_id", "project_id"]
+    dated = flights(t).repartition(*deal).withColumn("broadcast_date", F.explode(F.sequence("start_date", "end_date")))
     if demo_id is not None:
         dated = dated.withColumn("demo_id", F.lit(demo_id))
     cells = dated.join(known_days, "broadcast_date", "left_semi").join(parts, "media_outlet_id")
@@ -43,8 +46,7 @@ def project_popup_grid(t, demo_id: int | None = None) -> DataFrame:
         .unionByName(t.schedule_episode.select(*keys, "episode_id", *values))
     )
     on = ["plan_id", "project_id", "media_outlet_id", "demo_id", "daypart_id", "broadcast_date", "episode_id"]
-    # Dealt by the join's keys once: equal rows meet there too, so the distinct needs no shuffle of its own.
-    spots = spots.repartition(*on).distinct()
+    spots = spots.repartition(*deal).distinct()
     detail = cells.join(spots, on, "left").select(
         "plan_id", "project_id", "episode_id", "broadcast_date", "daypart_id", "daypart", "airing_date",
         F.when(F.col("episode_id") == LAUNCH_EPISODE, F.lit("Launch")).otherwise(F.concat(F.lit("Episode"), F.col("episode_id"))).alias("phase"),

@@ -7,7 +7,7 @@ DataFrames lazily by attribute, so a report only touches what it uses.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +22,8 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None,
                  overrides: dict[str, DataFrame] | None = None):
         self.spark = spark
+        # Rows that a report deals by plan and project once stay there for joins by these and more columns.
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         self._root, self._database = root, database
         self._given: dict[str, DataFrame] = dict(overrides or {})
         self._frames: dict[str, DataFrame] = dict(self._given)
@@ -79,8 +81,8 @@ class Tables:
         other._stores = self.day_sums(path)
         return other
 
-    def with_day_sums(self, own_plans: bool = False) -> "Tables":
-        """The same tables with both schedules summed per day, goal and daypart.
+    def with_day_sums(self, own_plans: bool = False, schedules: Iterable[str] = SCHEDULES) -> "Tables":
+        """The same tables with both schedules, or the given ones, summed per day, goal and daypart.
 
         Without a store the sums are written once for these tables and serve every grid that needs weeks or days of spots. With
         ``own_plans``, sums of plans that are not in a swapped plan table may be left out, as far as a store needn't read them.
@@ -90,7 +92,7 @@ class Tables:
                 return self._stores[name].of_plans(self.plan) if own_plans and self.given("plan") else self._stores[name].rows()
             return self.derived(f"{name}_days", (name,), lambda t: sum_days(getattr(t, name), keys))
 
-        return self.replace(**{name: sums(name, keys) for name, keys in SCHEDULES.items()})
+        return self.replace(**{name: sums(name, keys) for name, keys in SCHEDULES.items() if name in schedules})
 
 
 class BoundTables(Tables):
