@@ -15,6 +15,7 @@ from spotgrid.plans.context import (
     REPORT_COLUMNS,
     carry_over_projects,
     current_projects,
+    dealt,
     last_opt_label,
     latest_completed_version,
     latest_model_version,
@@ -25,6 +26,7 @@ from spotgrid.plans.context import (
 )
 from spotgrid.sources.shared import stage
 
+GOAL_KEYS = ["plan_id", "project_id", "media_outlet_id", "campaign_goal_id"]
 LONG_CLOCK = "MM/dd/yyyy hh:mm:ss a"
 
 
@@ -34,10 +36,26 @@ def map_plans(t) -> DataFrame:
 
 
 def completed_or_first_version(t) -> DataFrame:
-    """Latest completed version of every plan, 0 if none."""
-    done = latest_completed_version(t.model_exec)
-    return t.plan.select("plan_id", "media_outlet_id").join(done, "plan_id", "left").withColumn(
-        "plan_version_id", F.coalesce("plan_version_id", F.lit(0).cast("bigint")))
+    """Latest completed version of every plan, 0 if none: a row per plan, written once, so its size is known."""
+    def build(t) -> DataFrame:
+        done = latest_completed_version(t.model_exec)
+        return t.plan.select("plan_id", "media_outlet_id").join(done, "plan_id", "left").withColumn(
+            "plan_version_id", F.coalesce("plan_version_id", F.lit(0).cast("bigint")))
+
+    return t.derived("completed_versions", ("plan", "model_exec"), build)
+
+
+def run_versions(t) -> DataFrame:
+    """``latest_model_version`` of these tables, written once."""
+    return t.derived("run_versions", ("plan", "model_exec"), lambda t: latest_model_version(t.plan, t.model_exec))
+
+
+def of_goals(spots: DataFrame, versions: DataFrame, on: list[str], goals: DataFrame, projects: DataFrame) -> DataFrame:
+    """What is shown with the spots of each plan, project, outlet and goal; many spots share it, so these keys look it up, not the spots."""
+    keys = spots.select(*GOAL_KEYS).distinct()
+    return keys.join(versions, on).join(goals, ["campaign_goal_id", "media_outlet_id"]).join(
+        projects.join(versions.select("plan_id", "plan_version_id").distinct(), ["plan_id", "plan_version_id"], "left_semi"),
+        ["plan_id", "plan_version_id", "project_id"])
 
 
 def live_rows(facts: DataFrame) -> DataFrame:
@@ -77,7 +95,7 @@ def quarterly_members(t) -> DataFrame:
     carry = (
         carry_over_projects(t.schedule, t.schedule_episode, t.plan, t.cal_period)
         .join(done.select(F.col("plan_id").alias("map_plan_id")), "map_plan_id", "left_semi")
-        .join(latest_model_version(t.plan, t.model_exec), "plan_id")
+        .join(run_versions(t), "plan_id")
     )
     with_episode = t.plan_project_episode.select("plan_id", "plan_version_id", "project_id").distinct()
     past = carry.where(F.col("phase_dur_type") == "PAST LAUNCH").unionByName(
@@ -102,9 +120,10 @@ def quarterly_projects(t, output_type: int = UNITS) -> DataFrame:
         quarterly_members(t).join(project_info(t.plan_project), ["plan_id", "plan_version_id", "project_id"])
         .join(map_plans(t), "map_plan_id")
         .join(t.project.select("project_id", F.col("project_type").alias("map_plan_type")), ["project_id", "map_plan_type"], "left_semi")
-        .join(packed, ["plan_id", "campaign_goal_id"], "left")
     )
-    grid = finish(labelled(rows.join(weeks, "map_period_id"), t), t,
+    # The packed weeks come after the label, which shuffles the rows.
+    shown = labelled(rows.join(weeks.select("map_period_id"), "map_period_id", "left_semi"), t).join(packed, ["plan_id", "campaign_goal_id"], "left")
+    grid = finish(shown.join(weeks, "map_period_id"), t,
                   ["map_plan_id", "plan_id", "project_id", "demo_id", "past_project", "by_week", "weeks"])
     cell = F.try_element_at("by_week", "week_start_date")
     return (
@@ -118,7 +137,7 @@ def quarterly_projects(t, output_type: int = UNITS) -> DataFrame:
 
 def episode_rows(t, period_type: str, output_type: int) -> DataFrame:
     """Live episode spots by calendar slice and plan, matched to the map of the slice's quarter."""
-    t = t.with_day_sums(own_plans=True)
+    t = t.with_day_sums(own_plans=True, schedules=["schedule_episode"])
     live = t.schedule_episode.where(F.col("plan_version_id") == LIVE_VERSION)
     slices = day_map(t.cal_period, period_type).select("day", "fiscal_qtr", F.col("period_start").alias("slice_start"))
     quarters = t.cal_period.where(F.col("period_type") == "Q").select(F.col("name").alias("fiscal_qtr"), F.col("period_id").alias("map_period_id"))
@@ -128,7 +147,7 @@ def episode_rows(t, period_type: str, output_type: int) -> DataFrame:
     typed = t.plan.select("plan_id", F.col("plan_type").alias("map_plan_type"))
     versions = typed.select("plan_id").join(
         latest_version(t.plan_version).withColumnRenamed("plan_version_id", "own_version"), "plan_id", "left"
-    ).join(latest_model_version(t.plan, t.model_exec).withColumnRenamed("plan_version_id", "run_version"), "plan_id", "left")
+    ).join(run_versions(t).withColumnRenamed("plan_version_id", "run_version"), "plan_id", "left")
     starts = t.plan_project_episode.select("plan_id", "plan_version_id", "project_id", "episode_id",
                                            F.date_format("episode_start_ts", LONG_CLOCK).alias("episode_start_ts"))
     return (
@@ -162,19 +181,18 @@ def weekly_projects(t, output_type: int = UNITS) -> DataFrame:
                                   F.col("start_date").alias("proj_start_date"), F.col("end_date").alias("proj_end_date"))
     sums = [F.sum(measure(output_type)).alias("units"), F.sum("planned_grp").alias("proj_grp")]
 
-    daily = t.schedule.where(F.col("active_yn") == "Y").groupBy(
-        "plan_id", "project_id", "campaign_goal_id", "media_outlet_id", "start_date", "end_date").agg(*sums).join(week_of, "start_date")
+    active = t.schedule.where(F.col("active_yn") == "Y")
+    daily = dealt(active.select(*GOAL_KEYS, "start_date", "end_date", "planned_units", "planned_grp")).groupBy(
+        *GOAL_KEYS, "start_date", "end_date").agg(*sums).join(week_of, "start_date")
+    from_pp = ["demo_id", "segment_id", "frequency", "proj_start_date", "proj_end_date", "campaign_goal_id"]
     own_launch = (
-        daily.join(version, ["plan_id", "media_outlet_id"]).join(goal, ["campaign_goal_id", "media_outlet_id"])
-        .join(planned.drop("demo_id", "segment_id", "frequency", "proj_start_date", "proj_end_date", "campaign_goal_id"),
-              ["plan_id", "plan_version_id", "project_id"])
+        daily.join(dealt(of_goals(active, version, ["plan_id", "media_outlet_id"], goal, planned.drop(*from_pp))), GOAL_KEYS)
         .withColumns({"map_plan_id": F.col("plan_id"), "past_project": F.lit("N")})
     )
 
-    launched = t.schedule.select("plan_id", "project_id", "start_date").distinct().join(week_of, "start_date").select(
-        "plan_id", "project_id", "week_start").distinct()
+    launched = dealt(t.schedule.join(week_of, "start_date").select("plan_id", "project_id", "week_start").distinct())
     episodes = (
-        t.schedule_episode.where(F.col("active_yn") == "Y").groupBy("plan_id", "project_id", "media_outlet_id", "start_date")
+        dealt(t.schedule_episode.where(F.col("active_yn") == "Y").select("plan_id", "project_id", "media_outlet_id", "start_date", "end_date")).groupBy("plan_id", "project_id", "media_outlet_id", "start_date")
         .agg(F.min("end_date").alias("end_date")).join(week_of, "start_date")
         .groupBy("plan_id", "project_id", "media_outlet_id", "week_start")
         .agg(F.min("start_date").alias("start_date"), F.min("end_date").alias("end_date"))
@@ -182,18 +200,23 @@ def weekly_projects(t, output_type: int = UNITS) -> DataFrame:
     zero_of = {f.name: F.lit(0).cast(f.dataType) for f in daily.schema if f.name in ("units", "proj_grp")}
     own_episode = (
         episodes.join(launched, ["plan_id", "project_id", "week_start"], "left_anti")
-        .join(version, ["plan_id", "media_outlet_id"]).join(planned, ["plan_id", "plan_version_id", "project_id"])
+        .join(version, ["plan_id", "media_outlet_id"])
+        .join(dealt(planned.join(version, ["plan_id", "plan_version_id"], "left_semi")), ["plan_id", "plan_version_id", "project_id"])
         .withColumns({"map_plan_id": F.col("plan_id"), "past_project": F.lit("N"), **zero_of})
     )
 
-    goal_days = live_rows(t.schedule).groupBy("plan_id", "campaign_goal_id", "start_date", "end_date").agg(*sums).join(week_of, "start_date")
+    # Dealt by plan and goal once, for the sums and for the join with earlier plans' projects.
+    goal_spots = live_rows(t.schedule).select("plan_id", "campaign_goal_id", "start_date", "end_date", "planned_units", "planned_grp")
+    goal_days = goal_spots.repartition("plan_id", "campaign_goal_id").groupBy(
+        "plan_id", "campaign_goal_id", "start_date", "end_date").agg(*sums).join(week_of, "start_date")
+    run = run_versions(t)
     past = (
         carry_over_projects(t.schedule, t.schedule_episode, t.plan, t.cal_period, n_quarters=2, window="week_start")
-        .join(latest_model_version(t.plan, t.model_exec), "plan_id")
-        .join(info, ["plan_id", "plan_version_id", "project_id"])
+        .join(run, "plan_id")
+        .join(info.join(run, ["plan_id", "plan_version_id"], "left_semi"), ["plan_id", "plan_version_id", "project_id"])
         .join(t.project.select("project_id", "project_type"), "project_id")
         .join(t.plan.select("plan_id", "plan_type"), "plan_id").where(F.col("project_type") == F.col("plan_type"))
-        .join(goal_days, ["plan_id", "campaign_goal_id", "week_start"], "left")
+        .repartition("plan_id", "campaign_goal_id").join(goal_days, ["plan_id", "campaign_goal_id", "week_start"], "left")
         .withColumn("past_project", F.lit("Y"))
     )
 
@@ -202,5 +225,5 @@ def weekly_projects(t, output_type: int = UNITS) -> DataFrame:
             "target_grp", "project_display_seq", "target_reach", "proj_reach_percent", "proj_planned_grp", "episode_priority",
             "premiere_date", "proj_start_date", "proj_end_date", "no_of_weeks"]
     # The branches cannot meet: episode-only rows exclude launch weeks, and earlier plans are marked.
-    rows = own_launch.select(*slim).unionByName(own_episode.select(*slim)).unionByName(past.select(*slim))
+    rows = own_launch.select(*slim).unionByName(own_episode.select(*slim)).unionByName(dealt(past.select(*slim)))
     return finish(labelled(rows.join(map_plans(t), "map_plan_id"), t), t, keep)

@@ -92,6 +92,11 @@ def optimised_runs(plan_project: DataFrame, episode: DataFrame, model_exec: Data
     )
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt by project: joins, sums and windows by the project and more columns then need no shuffle of their own."""
+    return rows.repartition("project_id")
+
+
 def with_last_opt_label(rows: DataFrame, plan_project: DataFrame, episode: DataFrame, model_exec: DataFrame) -> DataFrame:
     """Add the optimisation label to slim report rows holding (map_plan_id, plan_id, project_id).
 
@@ -102,7 +107,7 @@ def with_last_opt_label(rows: DataFrame, plan_project: DataFrame, episode: DataF
         F.col("run.phase").alias("phase"), F.col("plan_id").alias("plan_id"), F.col("run.v").alias("v"), F.col("run.ts").alias("ts")))
     per_project = Window.partitionBy("map_plan_id", "project_id")
     return (
-        rows.join(best, ["plan_id", "project_id"], "left").withColumn("run", F.max(candidate).over(per_project))
+        rows.join(dealt(best), ["plan_id", "project_id"], "left").withColumn("run", F.max(candidate).over(per_project))
         .withColumn("last_opt_version_ts", F.concat(
             F.lit("v"), F.col("run.v") + 1, F.lit(" "), F.date_format("run.ts", "MM/dd/yyyy hh:mm a")))
         .drop("run")
@@ -122,10 +127,11 @@ def last_opt_label(members: DataFrame, plan_project: DataFrame, episode: DataFra
 def on_map_periods(facts: DataFrame, cal: DataFrame, n_quarters: int, keys: list[str]) -> DataFrame:
     """Distinct keys of dated facts per map quarter that shows them.
 
-    Only the calendar is joined to the facts; what shuffles is one row per key and quarter.
+    Only the calendar is joined to the facts; what shuffles is one row per key and quarter. The days are bounded by the
+    calendar, which Spark's estimate of their size doesn't show.
     """
     days = map_days(cal, n_quarters).select(F.col("day").alias("start_date"), "week_start", F.col("period_id").alias("map_period_id"))
-    return facts.join(days, "start_date").select(*keys, "map_period_id").distinct()
+    return facts.join(F.broadcast(days), "start_date").select(*keys, "map_period_id").distinct()
 
 
 def carry_over_rows(facts: DataFrame, plan: DataFrame, cal: DataFrame, n_quarters: int, window: str) -> DataFrame:
