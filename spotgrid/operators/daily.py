@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotgrid.functions.columns import UNITS, flight_weeks, measure, own_network_first
-from spotgrid.operators.grids import LONG_CLOCK, completed_or_first_version, finish, labelled_by_join, map_plans
+from spotgrid.operators.grids import GOAL_KEYS, LONG_CLOCK, completed_or_first_version, finish, labelled, labelled_by_join, map_plans, of_goals, run_versions
 from spotgrid.plans.calendar import map_days
 from spotgrid.plans.context import (
     IN_PROGRESS_STATUS,
     REPORT_COLUMNS,
+    dealt,
     default_demo,
     latest_model_version,
     latest_version,
@@ -33,7 +34,7 @@ def on_later_maps(rows: DataFrame, t) -> DataFrame:
     days = map_days(t.cal_period).select(F.col("day").alias("start_date"), F.col("period_id").alias("map_period_id"))
     target = t.plan.select(F.col("plan_id").alias("map_plan_id"), "media_outlet_id", "plan_type", F.col("period_id").alias("map_period_id"))
     return (
-        rows.join(src, "plan_id").join(days, "start_date").where(F.col("map_period_id") > F.col("src_period"))
+        rows.join(src, "plan_id").join(F.broadcast(days), "start_date").where(F.col("map_period_id") > F.col("src_period"))
         .join(target, ["media_outlet_id", "plan_type", "map_period_id"]).drop("src_period", "map_period_id")
     )
 
@@ -99,7 +100,8 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
     info = project_info(t.plan_project)
     planned = info.where(F.col("status_cd") != IN_PROGRESS_STATUS)
     from_pp = ["demo_id", "segment_id", "frequency", "campaign_goal_id", "proj_start_date", "proj_end_date"]
-    version, run = completed_or_first_version(t), latest_model_version(t.plan, t.model_exec)
+    version, run = completed_or_first_version(t), run_versions(t)
+    older = info.join(run, ["plan_id", "plan_version_id"], "left_semi")
     sums = [F.sum(measure(output_type)).alias("planned_units_sum"), F.sum("planned_grp").alias("proj_grp")]
     key = ["plan_id", "project_id", "media_outlet_id", "daypart_id", "start_date"]
     # Own launch rows keep the point value in their grain; everything else is asked of the kept day sums.
@@ -109,38 +111,37 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
     goal = goal_columns(t.campaign_goal)
 
     own_launch = (
-        spots.groupBy(*key, "campaign_goal_id", "planned_grp").agg(*sums).drop("planned_grp").distinct()
-        .join(version, ["plan_id", "media_outlet_id"]).join(goal, ["campaign_goal_id", "media_outlet_id"])
-        .join(planned.drop(*from_pp), ["plan_id", "plan_version_id", "project_id"])
+        dealt(spots.select(*key, "campaign_goal_id", "planned_units", "planned_grp"))
+        .groupBy(*key, "campaign_goal_id", "planned_grp").agg(*sums).drop("planned_grp").distinct()
+        .join(dealt(of_goals(launch, version, ["plan_id", "media_outlet_id"], goal, planned.drop(*from_pp))), GOAL_KEYS)
         .withColumns({"map_plan_id": F.col("plan_id"), "past_project": F.lit("N")})
     )
     zero = {f.name: F.lit(0).cast(f.dataType) for f in own_launch.schema if f.name in ("planned_units_sum", "proj_grp")}
     own_episode = (
-        episode.select(*key).distinct()
-        .join(launch.select("plan_id", "project_id", "daypart_id", "start_date").distinct(), ["plan_id", "project_id", "daypart_id", "start_date"], "left_anti")
-        .join(version, ["plan_id", "media_outlet_id"]).join(planned, ["plan_id", "plan_version_id", "project_id"])
+        dealt(episode.select(*key)).distinct()
+        .join(dealt(launch.select("plan_id", "project_id", "daypart_id", "start_date")), ["plan_id", "project_id", "daypart_id", "start_date"], "left_anti")
+        .join(version, ["plan_id", "media_outlet_id"])
+        .join(dealt(planned.join(version, ["plan_id", "plan_version_id"], "left_semi")), ["plan_id", "plan_version_id", "project_id"])
         .withColumns({"map_plan_id": F.col("plan_id"), "past_project": F.lit("N"), **zero})
     )
     past_launch = (
-        on_later_maps(launch.groupBy(*key, "campaign_goal_id").agg(*sums), t)
-        .join(matching_type(t), ["project_id", "plan_type"], "left_semi")
-        .join(goal, ["campaign_goal_id", "media_outlet_id"]).join(run, "plan_id")
-        .join(info.drop(*from_pp), ["plan_id", "plan_version_id", "project_id"])
+        on_later_maps(dealt(launch.select(*key, "campaign_goal_id", "planned_units", "planned_grp")).groupBy(*key, "campaign_goal_id").agg(*sums), t)
+        .join(dealt(matching_type(t)), ["project_id", "plan_type"], "left_semi")
+        .join(dealt(of_goals(launch, run, ["plan_id"], goal, older.drop(*from_pp))), GOAL_KEYS)
         .withColumn("past_project", F.lit("Y"))
     )
-    launch_days = every_plan.where(F.col("active_yn") == "Y").select("project_id", "media_outlet_id", "start_date", F.col("plan_id").alias("launch_plan_id")).distinct()
-    episode_status = t.plan_project_episode.select("plan_id", "plan_version_id", "project_id", "episode_id", F.col("status_cd").alias("episode_status"))
-    e = on_later_maps(episode.select(*key, "episode_id", "campaign_goal_id").distinct(), t).alias("e")
+    launch_days = dealt(every_plan.where(F.col("active_yn") == "Y").select("project_id", "media_outlet_id", "start_date", F.col("plan_id").alias("launch_plan_id"))).distinct()
+    episode_status = t.plan_project_episode.join(run, ["plan_id", "plan_version_id"], "left_semi").select("plan_id", "plan_version_id", "project_id", "episode_id", F.col("status_cd").alias("episode_status"))
+    e = on_later_maps(dealt(episode.select(*key, "episode_id", "campaign_goal_id")).distinct(), t).alias("e")
     hidden = (
         (F.col("e.project_id") == F.col("l.project_id")) & (F.col("e.media_outlet_id") == F.col("l.media_outlet_id"))
         & (F.col("e.start_date") == F.col("l.start_date")) & (F.col("e.map_plan_id") != F.col("l.launch_plan_id"))
     )
     past_episode = (
         e.join(launch_days.alias("l"), hidden, "left_anti")
-        .join(matching_type(t), ["project_id", "plan_type"], "left_semi")
-        .join(goal_columns(t.campaign_goal_episode), ["campaign_goal_id", "media_outlet_id"]).join(run, "plan_id")
-        .join(episode_status, ["plan_id", "plan_version_id", "project_id", "episode_id"])
-        .join(info.drop(*from_pp).drop("status_cd"), ["plan_id", "plan_version_id", "project_id"])
+        .join(dealt(matching_type(t)), ["project_id", "plan_type"], "left_semi")
+        .join(dealt(of_goals(episode, run, ["plan_id"], goal_columns(t.campaign_goal_episode), older.drop(*from_pp).drop("status_cd"))), GOAL_KEYS)
+        .join(dealt(episode_status), ["plan_id", "plan_version_id", "project_id", "episode_id"])
         .withColumnRenamed("episode_status", "status_cd")
     )
     keep = ["map_plan_id", "plan_id", "project_id", "daypart_id", "start_date", "past_project", "planned_units_sum", "proj_grp"]
@@ -159,7 +160,8 @@ def daily_projects(t, output_type: int = UNITS) -> DataFrame:
         .join(map_plans(t), "map_plan_id")
         .join(dayparts(t).withColumnRenamed("media_outlet_id", "map_outlet_id"), ["daypart_id", "map_outlet_id"])
     )
-    out = finish(labelled_by_join(rows, t, "daily_projects"), t, [*keep, "daypart"])
+    # All branches are dealt by project, so the label's window needs no shuffle of the wide rows; its groups spill.
+    out = finish(labelled(rows, t), t, [*keep, "daypart"])
     return out.withColumnsRenamed({"planned_units_sum": "planned_units", "start_date": "selected_date"})
 
 
