@@ -86,19 +86,19 @@ def match_left_null(left: DataFrame, right: DataFrame, key: str, fallback: list[
     return one.join(tagged, ["_tag", *shared], "left").select(*left.columns, *extra)
 
 
-def match_right_null(left: DataFrame, right: DataFrame, key: str, fallback: str, shared: list[str]) -> DataFrame:
+def match_right_null(left: DataFrame, right: DataFrame, key: str, fallback: str, shared: list[str], deal: list[str] | None = None) -> DataFrame:
     """Left join on ``shared`` and ``key``; right rows without a key match on ``fallback`` instead.
 
     One equi join on a tagged key: a right row has one form, and matches of a form are gathered before the join (the rows of
-    one key, bounded as a goal's weeks are); the left side unfolds into both forms and takes its matches together again.
-    Keys are whole numbers.
+    one key, bounded as a goal's weeks are); the left side unfolds into both forms and takes its matches together again,
+    dealt by its columns ``deal`` (all, if none are named), so what follows by these needs no shuffle. Keys are whole numbers.
     """
     extra = [c for c in right.columns if c not in {key, fallback, *shared}]
     by_key, by_fallback = _tags(key, [fallback])
     own = F.when(F.col(key).isNotNull(), by_key).otherwise(by_fallback)
     gathered = right.withColumn("_tag", own).where(F.col("_tag").isNotNull()).groupBy("_tag", *shared).agg(F.collect_list(F.struct(*extra)).alias("_hits"))
     both = left.withColumn("_tag", F.explode(F.array(by_key, by_fallback)))
-    met = both.join(gathered, ["_tag", *shared], "left").groupBy(*left.columns).agg(
+    met = both.join(gathered, ["_tag", *shared], "left").repartition(*(deal or left.columns)).groupBy(*left.columns).agg(
         F.flatten(F.collect_list("_hits")).alias("_hits"), (F.count(F.lit(1)) / 2).cast("int").alias("_rows"))
     none = F.array_repeat(F.lit(None).cast(gathered.schema["_hits"].dataType.elementType), F.col("_rows"))
     hit = F.explode(F.when(F.size("_hits") > 0, F.col("_hits")).otherwise(none)).alias("_hit")

@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from spotgrid.functions.columns import UNITS, flight_weeks, measure, own_network_first
 from spotgrid.functions.joins import match_left_null, match_right_null
-from spotgrid.operators.grids import LONG_CLOCK, map_plans
+from spotgrid.operators.grids import LONG_CLOCK, map_plans, run_versions
 from spotgrid.operators.inventory import by_week
 from spotgrid.plans.calendar import quarter_weeks, week_number
 from spotgrid.plans.context import (
     LIVE_VERSION,
     default_demo,
-    latest_model_version,
     latest_version,
     on_map_periods,
     plan_context,
@@ -72,7 +71,7 @@ AMOUNTS_OF = (*MEMBERS_OF, "project", "plan_project_spots", "plan_project_spots_
 def weekly_live(t, schedule: str, output_type: int, keys: list[str]) -> DataFrame:
     """Live week sums, written once: the map's own plan and all other plans read them, in every report."""
     def build(t) -> DataFrame:
-        facts = live(getattr(t.with_day_sums(), schedule)).withColumn("units", measure(output_type))
+        facts = live(getattr(t.with_day_sums(schedules=[schedule]), schedule)).withColumn("units", measure(output_type))
         return by_week(facts, t.cal_period, ["units"], "plan_id", "media_outlet_id", *keys)
 
     return t.derived(f"{schedule}_live_weeks_{output_type}", (schedule, "cal_period"), build)
@@ -119,7 +118,7 @@ def episode_members(t) -> DataFrame:
     on_air = to_maps(on_map_periods(live(t.schedule_episode), t.cal_period, 2, ["plan_id", "project_id", "episode_id"]), t).where(
         F.col("plan_id") != F.col("map_plan_id"))
     goals = scheduled_goals(t.schedule_episode, t.plan_project_episode, t, 2, ["episode_id"])
-    run = t.plan_project_episode.join(latest_model_version(t.plan, t.model_exec), ["plan_id", "plan_version_id"], "left_semi")
+    run = t.plan_project_episode.join(run_versions(t), ["plan_id", "plan_version_id"], "left_semi")
     other = (
         on_air.join(run.select(*cols), ["plan_id", "project_id", "episode_id"])
         .join(goals, ["map_plan_id", "campaign_goal_id"], "left_semi").select("map_plan_id", *cols).distinct()
@@ -137,7 +136,7 @@ def episode_output(grid: DataFrame) -> DataFrame:
 
 def episodes_optimised(t, output_type: int = UNITS) -> DataFrame:
     """Episode by week: optimised episodes from the schedule, the others from manual entries."""
-    members = t.derived("episode_members", MEMBERS_OF, lambda t: episode_members(t.with_day_sums()))
+    members = t.derived("episode_members", MEMBERS_OF, lambda t: episode_members(t.with_day_sums(schedules=["schedule_episode"])))
     amounts = t.derived(f"episode_amounts_{output_type}", AMOUNTS_OF, lambda t: episode_amounts(t, output_type))
     return episode_output(match_left_null(members, amounts, "campaign_goal_id", ["project_id", "episode_id"], ["map_plan_id"]))
 
@@ -152,7 +151,9 @@ def episode_amounts(t, output_type: int) -> DataFrame:
     weekly = weekly_live(t, "schedule_episode", output_type, [*keys, "campaign_goal_id"])
     own = own_amounts(weekly, checked, t, [*keys, "campaign_goal_id"], label)
     other = other_plan_amounts(weekly, t, [*keys, "campaign_goal_id"], label)
-    typed_in = t.plan_project_spots_episode.join(unchecked, ["plan_id", "plan_version_id", *keys], "left_semi")
+    # The versions are few and small, so entries of older ones go before the join by episode.
+    typed_in = t.plan_project_spots_episode.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi").join(
+        unchecked, ["plan_id", "plan_version_id", *keys], "left_semi")
     manual = manual_amounts(typed_in, t, keys, label, own.schema["units"].dataType)
     return own.select(*shown).unionByName(other.select(*shown)).unionByName(manual.select(*shown)).distinct()
 
@@ -165,7 +166,7 @@ def episodes_saved(t, output_type: int = UNITS) -> DataFrame:
     other = other_plan_amounts(weekly_live(t, "schedule_episode", output_type, [*keys, "campaign_goal_id"]), t, [*keys, "campaign_goal_id"], label).where("started")
     manual = manual_amounts(saved, t, keys, label, other.schema["units"].dataType)
     amounts = other.select(*shown).unionByName(manual.select(*shown)).distinct()
-    members = t.derived("episode_members", MEMBERS_OF, lambda t: episode_members(t.with_day_sums()))
+    members = t.derived("episode_members", MEMBERS_OF, lambda t: episode_members(t.with_day_sums(schedules=["schedule_episode"])))
     return episode_output(members.join(amounts, ["map_plan_id", *keys], "left"))
 
 
@@ -176,7 +177,7 @@ def edit_members(t) -> DataFrame:
     keys = ["map_plan_id", "plan_id", "plan_version_id", "project_id"]
     current = t.plan_project.join(newest_versions(t), ["plan_id", "plan_version_id"], "left_semi").select(
         F.col("plan_id").alias("map_plan_id"), "plan_id", "plan_version_id", "project_id").withColumn("past_project", F.lit("N"))
-    run = latest_model_version(t.plan, t.model_exec)
+    run = run_versions(t)
     run_projects = t.plan_project.join(run, ["plan_id", "plan_version_id"], "left_semi").select(
         "plan_id", "plan_version_id", "project_id", "campaign_goal_id")
 
@@ -309,5 +310,5 @@ def plan_grid_for_edit(t, as_of: dt.datetime, output_type: int = UNITS, network_
     # Weeks are matched on slim keys; the wide rows join once, at the end.
     by_row, weeks = ["map_plan_id", "plan_id", "project_id"], ["week_start", "week_label", "units"]
     amounts = t.derived(f"edit_amounts_{output_type}", AMOUNTS_OF, lambda t: weekly_amounts(t, output_type))
-    cells = match_right_null(slim.select(*by_row, "campaign_goal_id"), amounts, "campaign_goal_id", "project_id", ["map_plan_id"]).select(*by_row, *weeks).distinct()
+    cells = match_right_null(slim.select(*by_row, "campaign_goal_id"), amounts, "campaign_goal_id", "project_id", ["map_plan_id"], by_row).select(*by_row, *weeks).distinct()
     return rows.join(cells, by_row).withColumnRenamed("week_label", "week")
