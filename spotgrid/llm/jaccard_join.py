@@ -10,11 +10,12 @@ of what lies across their border, and compares inside regions only.
    differ in, so on one part at least their projections coincide, at radius 0. Classes that coincide on a part are
    tied. Parts in which a set has no element tie nothing, as long as the set has no more such parts than were added
    for that. All classes tied to the same smallest class form a star.
-3. In a star, pivots are chosen one after another. A class within ``k`` of a pivot belongs to its Voronoi region, and
-   is a window's copy in the region of every pivot within ``2 k``; a class with no pivot within ``k`` is the next
-   pivot. The distance is the Hamming distance of hashed bitmaps, a metric that is never above the number ``k`` of
-   shingles in which linked sets can differ; so by the triangle inequality a linked pair shares a pivot. Classes
-   connected through pivots form a region.
+3. Stars whose pairs all meet in another star are left out. In a star, classes come by size and pivots are chosen one
+   after another: a class belongs to a pivot that is very near and about as large, else it is the next pivot; it is a
+   window's copy in the region of every pivot that is no farther than that and what two sets of their sizes can differ
+   in. The distance is the Hamming distance of hashed bitmaps, a metric that is never above the number of shingles in
+   which two sets differ; so by the triangle inequality a linked pair shares a pivot. Classes connected through pivots
+   form a region.
 4. Regions of more than ``LEAF`` classes are cut again the same way, by other parts and larger bitmaps, and then by pivots
    and Jaccard distances themselves: a class belongs to
    its nearest pivot, and is copied to an earlier pivot that is at most 2 r farther. This is done again on regions
@@ -59,8 +60,11 @@ WIDE = 4096
 #: The same for regions that are cut again, and how often they are.
 DETAIL_BITS = 32
 CUTS = 3
-#: Pivots of a star, beyond which classes join the first one unseen.
-STAR_PIVOTS = 512
+#: In stars of more classes than this, a class within so many percent of a pivot's size belongs to it.
+ALL_PIVOTS = 512
+SLACK = 5
+#: Pivots of a star at a time; classes beyond join the first one unseen.
+STAR_PIVOTS = 4096
 MOST_PIVOTS = 64
 VORONOI_ROUNDS = 2
 #: A Voronoi cut is kept if it makes at most so many copies per class.
@@ -90,9 +94,12 @@ def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def ties(items: np.ndarray, percent: int, seed: int = 0) -> np.ndarray:
-    """What a set ties to: one number for each part of its band, and of the next band if a partner may be there.
+    """What a set ties to: one number for each part it needs of its band, and of the next band if a partner may be there.
 
-    The band stands in the lowest six bits. Another seed cuts the universe into other parts.
+    The band stands in the lowest six bits. Another seed cuts the universe into other parts. A set that can differ from
+    its partners in ``differ`` elements coincides with each on all but ``differ`` of its parts. So in any order that is
+    the same for all sets, the first part they coincide on is among the first ``differ + 1`` of either; the order puts
+    parts of many elements first, which unrelated sets hardly share.
     """
     edges, parts, spare = bands(percent)
     size = len(items)
@@ -105,16 +112,20 @@ def ties(items: np.ndarray, percent: int, seed: int = 0) -> np.ndarray:
         if b > band and size * 100 < percent * int(edges[b]):
             break
         m = int(parts[b])
+        differ = (size + min(100 * size // percent, int(edges[b + 1]) - 1)) * (100 - percent) // (100 + percent)
         part = ((spread >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        there, first = np.unique(part[order], return_index=True)
+        there, first, count = np.unique(part[order], return_index=True, return_counts=True)
         content = np.add.reduceat(mix(spread[order] + np.uint64(1)), first)
         if m - len(there) > spare[b]:
-            whole = np.zeros(m, np.uint64)
-            whole[there] = content
-            there, content = np.arange(m), whole
+            # A partner may leave out as many empty parts as are spare.
+            differ += int(spare[b])
+            whole, counts = np.zeros(m, np.uint64), np.zeros(m, np.int64)
+            whole[there], counts[there] = content, count
+            there, content, count = np.arange(m), whole, counts
         tie = mix(content ^ mix(there.astype(np.uint64) + np.uint64(b * 0xD1B54A32D192ED03 & (1 << 64) - 1)))
-        found.append(tie & np.uint64((1 << 64) - 64) | np.uint64(b))
+        tie = tie & np.uint64((1 << 64) - 64) | np.uint64(b)
+        found.append(tie[np.lexsort((tie, -count))[: differ + 1]])
     return np.concatenate(found)
 
 
@@ -185,48 +196,92 @@ def tie_rows(docs: DataFrame, text: str, k: int, percent: int, seed: int = 0) ->
     return map_batches(docs.select(text), run, "node long, tie long")
 
 
+class Star:
+    """Pivots of a star, whose classes come in order of their sizes.
+
+    A class belongs to a pivot that is within ``slack`` percent of the pivot's size, and is larger by no more than that.
+    A later class that links with a member is then within the slack and the two sets' possible difference of the pivot,
+    and meets it; pivots too small for any later class are left. With no slack all differing classes are pivots. Of
+    classes beyond ``STAR_PIVOTS`` pivots at a time, those that may link all meet the first of them, unseen.
+    """
+
+    def __init__(self, width: int, percent: int, slack: int):
+        self.width, self.percent, self.slack = width, percent, slack
+        self.nodes: list[int] = []
+        self.maps = np.zeros((8, max(1, width // 64)), np.uint64)
+        self.sizes = np.zeros(8, np.int64)
+        self.low, self.first, self.unseen = 0, None, 0
+
+    def meet(self, node: int, n: int, packed: np.ndarray) -> list[int]:
+        """The classes that the next one meets."""
+        percent, slack, end = self.percent, self.slack, len(self.nodes)
+        own = np.zeros(8 * self.maps.shape[1], np.uint8)
+        own[: max(1, self.width // 8)] = _fold(packed, self.width)
+        own = own.view(np.uint64)
+        while self.low < end and self.sizes[self.low] * (100 + slack) < percent * n:
+            self.low += 1
+        sizes = self.sizes[self.low : end]
+        apart = np.bitwise_count(self.maps[self.low : end] ^ own).sum(1, dtype=np.int64)
+        # Two sets that link differ in at most (100 - percent) / (100 + percent) of their summed sizes.
+        far = 100 * apart - slack * sizes
+        met = [self.nodes[self.low + i] for i in np.flatnonzero(far * (100 + percent) <= (sizes * (100 + slack) + 100 * n) * (100 - percent))]
+        if ((far <= 0) & (100 * n <= sizes * (100 + slack))).any():
+            return met
+        full = end - self.low >= STAR_PIVOTS
+        if full and not self.unseen:
+            self.first = self.nodes[self.low]
+        if full or percent * n <= 100 * self.unseen:
+            met.append(self.first)
+        if full:
+            self.unseen = n
+            return met
+        if end == len(self.sizes):
+            self.maps, self.sizes = (np.concatenate([x[self.low :], np.zeros_like(x)]) for x in (self.maps, self.sizes))
+            self.nodes = self.nodes[self.low :]
+            end, self.low = len(self.nodes), 0
+        self.maps[end], self.sizes[end] = own, n
+        self.nodes.append(node)
+        return met
+
+
+def needed_stars(spark: SparkSession, stars: DataFrame) -> DataFrame:
+    """Rows (centre, band, node), the centre among its star's nodes, of the stars that are needed, with the star's size.
+
+    Every node has a first star of its band, the one of the smallest centre. If all nodes of a star have the same first
+    star, their pairs meet there, and the star is left out, unless it is that star itself.
+    """
+    whole = stars.unionByName(stars.select("centre", "band", F.col("centre").alias("node")).distinct())
+    placed = stage(spark, whole.withColumn("first", F.min("centre").over(Window.partitionBy("node", "band"))), "jaccard_placed")
+    sizes = placed.groupBy("centre", "band").agg(F.min("first").alias("low"), F.max("first").alias("high"), F.count("*").alias("size"))
+    needed = few(spark, stage(spark, sizes.where("low != high or low = centre").select("centre", "band", "size"), "jaccard_needed"))
+    return placed.join(needed, ["centre", "band"]).select("centre", "band", "node", "size")
+
+
 def regions(spark: SparkSession, tied: DataFrame, maps: DataFrame, percent: int, bits: int = BITS) -> DataFrame:
-    """(node, root) of every node that shares a pivot with another, from rows (node, tie) and (node, bitmap)."""
+    """(node, root) of every node that shares a pivot with another, from rows (node, tie) and (node, n, bitmap)."""
     tied = tied.withColumn("centre", F.min("node").over(Window.partitionBy("tie")))
     band = F.col("tie").bitwiseAND(F.lit(63).cast("long"))
     stars = stage(spark, tied.where("node != centre").select("centre", band.alias("band"), "node").distinct(), "jaccard_stars")
-    whole = stars.unionByName(stars.select("centre", "band", F.col("centre").alias("node")).distinct())
+    whole = needed_stars(spark, stars)
     # Most texts are tied to no other; their bitmaps stay where they are.
     tied_nodes = few(spark, stage(spark, whole.select(F.col("node").alias("of")).distinct(), "jaccard_tied"))
-    maps = maps.where("bitmap is not null").select(F.col("node").alias("of"), "bitmap").join(tied_nodes, "of", "left_semi").dropDuplicates(["of"])
-    dealt = whole.join(maps, F.col("node") == F.col("of")).select("centre", "band", "node", "bitmap").repartition("centre", "band").sortWithinPartitions(
-        "centre", "band", "node")
+    maps = maps.where("bitmap is not null").select(F.col("node").alias("of"), "n", "bitmap").join(tied_nodes, "of", "left_semi").dropDuplicates(["of"])
+    dealt = whole.join(maps, F.col("node") == F.col("of")).select("centre", "band", "node", "size", "n", "bitmap").repartition("centre", "band").sortWithinPartitions(
+        "centre", "band", "n", "node")
     edges, _, _ = bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, size, near, nodes, pivots = None, 0, 0, [], np.zeros((0, 0), np.uint8)
-        joined = Forest()
+        at, star, joined = None, None, Forest()
         for batch in batches:
             u, v = [], []
-            for centre, band, node, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for centre, band, node, size, n, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if at != (centre, band):
-                    at, nodes = (centre, band), []
-                    size = _bits(-(-percent * int(edges[band]) // 100), bits)
-                    near = 2 * (int(edges[band + 1]) - 1) * (100 - percent) // (100 + percent)
-                    pivots = np.zeros((8, size // 8), np.uint8)
-                own = _fold(np.frombuffer(packed, np.uint8), size)
-                apart = np.bitwise_count(pivots[: len(nodes)] ^ own).sum(1, dtype=np.int64)
-                window = np.flatnonzero(apart <= 2 * near)
+                    at = (centre, band)
+                    star = Star(_bits(-(-percent * int(edges[band]) // 100), bits), percent, 0 if size <= ALL_PIVOTS else SLACK)
                 # A class meets the same ones in star after star; an edge is given out only if it joins what the task hasn't joined yet.
-                news = [nodes[i] for i in window if joined.join(node, nodes[i])]
+                news = [other for other in star.meet(node, n, np.frombuffer(packed, np.uint8)) if joined.join(node, other)]
                 u += [node] * len(news)
                 v += news
-                if len(apart) and apart.min() <= near:
-                    continue
-                if len(nodes) == STAR_PIVOTS:
-                    if joined.join(node, nodes[0]):
-                        u.append(node)
-                        v.append(nodes[0])
-                    continue
-                if len(nodes) == len(pivots):
-                    pivots = np.concatenate([pivots, np.zeros_like(pivots)])
-                pivots[len(nodes)] = own
-                nodes.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
     return components(spark, map_batches(dealt, run, "u long, v long"))
@@ -439,7 +494,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text
     """
     rows = stage(spark, describe(docs, key, text, k, percent), "jaccard_rows")
     classes = stage(spark, rows.where("n > 0").groupBy("digest", "node", "n").agg(F.min("key").alias("rep"), F.count("*").alias("copies")), "jaccard_classes")
-    found = regions(spark, tie_rows(docs, text, k, percent), rows.select("node", "bitmap"), percent)
+    found = regions(spark, tie_rows(docs, text, k, percent), rows.select("node", "n", "bitmap"), percent)
     members = stage(spark, classes.join(found, "node").select("digest", "node", "n", "rep", "copies", F.col("root").cast("string").alias("region")), "jaccard_members")
     links = link_classes(spark, docs, members, key, text, k, percent)
     roots = components(spark, links.select(F.col("digest").alias("u"), F.col("root").alias("v")))

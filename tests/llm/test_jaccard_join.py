@@ -175,3 +175,58 @@ def test_components(spark, monkeypatch, small):
             if a != b:
                 label[a] = label[b] = min(label[a], label[b])
     assert got == label
+
+
+def test_only_needed_ties_are_sent():
+    """As many as linked sets can differ in, and one: parts of one element, which a common phrase alone can fill, come last."""
+    rng, edges = np.random.default_rng(6), jj.bands(80)[0]
+    for n in (int(n) for n in edges[8:14]):
+        found = jj.ties(np.unique(rng.integers(1, 2**62, n, dtype=np.uint64)), 80)
+        assert len(found) == (n + n * 100 // 80) * 20 // 180 + 1
+
+
+@pytest.mark.parametrize(("slack", "most"), [(0, 4096), (5, 4096), (5, 3), (20, 2)])
+def test_linked_classes_of_a_star_share_a_pivot(monkeypatch, slack, most):
+    monkeypatch.setattr(jj, "STAR_PIVOTS", most)
+    rng, percent = np.random.default_rng(slack + most), 80
+    centres, sets = [rng.integers(1, 2**62, 90, dtype=np.uint64) for _ in range(8)], []
+    for i in range(200):
+        keep = centres[i % 8][: rng.integers(60, 91)]
+        sets.append(np.unique(np.concatenate([keep[rng.integers(0, 8) :], rng.integers(1, 2**62, rng.integers(0, 8), dtype=np.uint64)])))
+    sets.sort(key=len)
+    star, joined = jj.Star(jj._bits(len(sets[0]), jj.BITS), percent, slack), jj.Forest()
+    for i, s in enumerate(sets):
+        for other in star.meet(i, len(s), jj.bitmap(s)):
+            joined.join(i, other)
+    linked = 0
+    for x in range(200):
+        for y in range(x + 1, 200):
+            both = len(np.intersect1d(sets[x], sets[y]))
+            if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                linked += 1
+                assert joined.root(x) == joined.root(y)
+    assert linked > 200
+    if most > 200 and slack < 10:
+        assert len({joined.root(x) for x in range(200)}) >= 8
+
+
+def test_a_group_of_near_copies_makes_few_edges(spark, documents, monkeypatch):
+    """However many tasks the stars are dealt to."""
+    rng = random.Random(8)
+    base, rows = [f"w{i}" for i in range(400)], []
+    for i in range(60):
+        body = list(base)
+        for _ in range(12):
+            body[rng.randrange(400)] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(body)))
+    made = []
+    monkeypatch.setattr(jj, "components", lambda s, edges: made.append(edges.count()) or components(s, edges))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(before, ("60", "false"), strict=True):
+            spark.conf.set(k, v)
+        jj.jaccard_join(spark, documents(rows), k=2, percent=80).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 59 <= made[0] <= 3 * 60
