@@ -6,7 +6,8 @@ merges that made them. Compatibility is tested for all distinct neighbouring pai
 both tokens are taken apart, last merge first, and at every stage the pair of pieces that face each other must not be a
 merge of lower rank. Only words with a failing pair are merged step by step.
 
-Words that a task has seen are kept (up to twice ``CACHE`` of them), so most words are one lookup.
+Words that a task has seen are kept (up to twice ``CACHE`` of them), so most words are one lookup. Words and vocabulary
+go with the task: the worker's next task may be of another operator, and needs the memory.
 
 Defined cases: null text is empty and has no tokens; the text of an added token (``<|endoftext|>``) becomes that token,
 as the library does; very long texts and words are encoded whole; repeated rows give repeated results.
@@ -249,11 +250,6 @@ class Bpe:
         return self._table
 
 
-@cache
-def _loaded(spec: str) -> Bpe:
-    return Bpe(spec)
-
-
 FIELDS: list[Field] = [("n_tokens", "long", pa.int64()), ("ids", "binary", pa.binary()), ("decoded", "string", pa.string())]
 
 
@@ -263,7 +259,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def make():
-        bpe = _loaded(spec.value)
+        bpe = Bpe(spec.value)
 
         return lambda texts: [(len(ids) // 4, ids, bpe.decode(ids)) for ids in bpe.encode(texts)]
 

@@ -3,6 +3,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -56,6 +57,20 @@ def test_long_words_and_a_small_cache(coder, library, monkeypatch):
         assert coder.encode(texts[i : i + 7]) == [ids(library, t) for t in texts[i : i + 7]]
 
 
+def test_workers_free_the_vocabulary_with_the_task(spark, documents):
+    """The next stage's tasks run in the same workers and need the memory."""
+    bpe.encode_texts(documents([(i, f"text {i}") for i in range(8)]), PATH).collect()
+
+    def held(batches):
+        import gc
+
+        for batch in batches:
+            n = sum(type(x).__name__ == "Bpe" for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int64())], names=["held"])
+
+    assert {r.held for r in spark.range(0, 64, 1, 16).mapInArrow(held, "held long").collect()} == {0}
+
+
 def test_rows(spark, documents, library):
     rows = [(1, None), (2, ""), (3, "Hello  world"), (3, "Hello  world"), (None, "<|endoftext|>"), (4, "é" * 70_000)]
     got = bpe.encode_texts(documents(rows), PATH).collect()
